@@ -7,7 +7,6 @@ case. Types are declared once here, so that no part file can drift through infer
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 SITUATION_FORMAT = "dd-MM-yyyy"
 
@@ -113,19 +112,15 @@ def to_silver(df: DataFrame, fmt: str = SITUATION_FORMAT) -> DataFrame:
     A situation date that does not parse becomes NULL; ``sources.silver.split_rejects`` keeps
     those rows apart.
     """
+    changed = {
+        name: f"nanvl(`{name}`, double(null))" for name, _, kind in RECORD_COLUMNS if kind == "double"
+    } | {"situation_date": f"try_to_date(situation_date, '{fmt}')"}
     present = set(df.columns)
-    out = []
-    for name, silver, kind in RECORD_COLUMNS:
-        if name not in present:
-            continue
-        col = F.col(f"`{name}`")
-        if name == "situation_date":
-            col = F.try_to_date(col, fmt)
-        elif kind == "double":
-            col = F.nanvl(col, F.lit(None).cast("double"))
-        out.append(col.alias(silver))
-    known = {name for name, _, _ in RECORD_COLUMNS}
-    return df.select(*out, *[F.col(f"`{c}`") for c in df.columns if c not in known])
+    names = {name: silver for name, silver, _ in RECORD_COLUMNS if name in present}
+    return df.selectExpr(
+        *[f"{changed.get(name, f'`{name}`')} as {silver}" for name, silver in names.items()],
+        *[f"`{c}`" for c in df.columns if c not in names],
+    )
 
 
 def to_source_names(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ both sides of the split.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.rows import split_vertical
@@ -16,8 +16,25 @@ from ..schema import RECORD_COLUMNS, SILVER_GROUPS, SITUATION_FORMAT, to_silver
 
 REPLAYED = 2
 
-# The property is a whole number from 0 to 99; a road feature is present where
-# the divisor goes into it.
+# Declared columns of the tables, so that opening one starts no job.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+    "props string",
+}
+
+# The property ``k`` is a whole number from 0 to 99; a road feature is present
+# where the divisor goes into it, and daylight lasts over the given hours.
 FEATURE_DIVISORS = {
     "Traffic_Signal": 2,
     "Stop": 3,
@@ -32,75 +49,62 @@ FEATURE_DIVISORS = {
     "Station": 31,
     "Traffic_Calming": 37,
 }
-SEVERITIES = {"error": 4, "purchase": 3, "click": 2, "view": 1}
-CONDITIONS = ["Clear", "Rain", "Snow", "Fog", "Cloudy"]
-DIRECTIONS = ["N", "E", "S", "W"]
 DAYLIGHT = {
     "Sunrise_Sunset": (6, 17),
     "Civil_Twilight": (5, 18),
     "Nautical_Twilight": (5, 19),
     "Astronomical_Twilight": (4, 20),
 }
+FIELDS = {
+    "ID": "'A-' || event_id",
+    "situation_date": f"date_format(ts, '{SITUATION_FORMAT}')",
+    "Source": "event_type",
+    "Severity": "decode(event_type, 'error', 4, 'purchase', 3, 'click', 2, 'view', 1)",
+    "Start_Time": "if(k % 25 != 24, ts, null)",
+    "End_Time": "ts + make_dt_interval(0, 0, k)",
+    "Start_Lat": "25 + k / 4",
+    "Start_Lng": "-120 + user_id % 60",
+    "Distance(mi)": "value",
+    "Description": "props",
+    "Street": "c_name",
+    "City": "nullif(c_mktsegment, 'MACHINERY')",
+    "County": "n_name || '/' || c_mktsegment",
+    "State": "if(n_nationkey != 0, n_name, null)",
+    "Zipcode": "lpad(user_id, 5, '0')",
+    "Country": "'US'",
+    "Turning_Loop": "false",
+    "Weather_Timestamp": "date_trunc('hour', ts)",
+    "Temperature(F)": "if(k % 10 != 9, value, null)",
+    "Wind_Chill(F)": "if(k % 4 != 3, value - 5, null)",
+    "Humidity(%)": "k",
+    "Pressure(in)": "29 + k / 100",
+    "Visibility(mi)": "if(k % 20 != 13, k / 10, null)",
+    "Wind_Direction": "elt(k % 4 + 1, 'N', 'E', 'S', 'W')",
+    "Wind_Speed(mph)": "user_id % 40",
+    "Precipitation(in)": "if(k % 6 != 5, (k % 6) / 10, null)",
+    "Weather_Condition": "decode(k % 6, 0, 'Clear', 1, 'Rain', 2, 'Snow', 3, 'Fog', 4, 'Cloudy')",
+}
+FIELDS |= {name: f"k % {divisor} = 0" for name, divisor in FEATURE_DIVISORS.items()}
+FIELDS |= {
+    name: f"if(hour(ts) between {first} and {last}, 'Day', 'Night')"
+    for name, (first, last) in DAYLIGHT.items()
+}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
-def _choice(index: Column, values: list[str]) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), index)
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def bronze_records(spark: SparkSession, folder: str) -> DataFrame:
     """All events as bronze records under the declared names and types."""
     customers = table(spark, folder, "customer").join(
-        table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+        table(spark, folder, "nation"), F.expr("c_nationkey = n_nationkey")
     )
-    events = table(spark, folder, "events").join(customers, F.col("user_id") == F.col("c_custkey"))
-    events = events.withColumn("k", F.regexp_extract("props", '"k": ([0-9]+)', 1).cast("int"))
-
-    k, ts, value = F.col("k"), F.col("ts"), F.col("value")
-    severity = F.lit(None)
-    for kind, level in SEVERITIES.items():
-        severity = F.when(F.col("event_type") == kind, level).otherwise(severity)
-    cols = {
-        "ID": F.concat(F.lit("A-"), F.col("event_id").cast("string")),
-        "situation_date": F.date_format("ts", SITUATION_FORMAT),
-        "Source": F.col("event_type"),
-        "Severity": severity,
-        "Start_Time": F.when(k % 25 != 24, ts),
-        "End_Time": ts + F.make_dt_interval(mins=k),
-        "Start_Lat": 25 + k / 4,
-        "Start_Lng": -120 + F.col("user_id") % 60,
-        "Distance(mi)": value,
-        "Description": F.col("props"),
-        "Street": F.col("c_name"),
-        "City": F.when(F.col("c_mktsegment") != "MACHINERY", F.col("c_mktsegment")),
-        "County": F.concat_ws("/", "n_name", "c_mktsegment"),
-        "State": F.when(F.col("n_nationkey") != 0, F.col("n_name")),
-        "Zipcode": F.lpad(F.col("user_id").cast("string"), 5, "0"),
-        "Country": F.lit("US"),
-        "Turning_Loop": F.lit(False),
-        "Weather_Timestamp": F.date_trunc("hour", ts.cast("timestamp")).cast("timestamp_ntz"),
-        "Temperature(F)": F.when(k % 10 != 9, value),
-        "Wind_Chill(F)": F.when(k % 4 != 3, value - 5),
-        "Humidity(%)": k,
-        "Pressure(in)": 29 + k / 100,
-        "Visibility(mi)": F.when(k % 20 != 13, k / 10),
-        "Wind_Direction": _choice(k % 4, DIRECTIONS),
-        "Wind_Speed(mph)": F.col("user_id") % 40,
-        "Precipitation(in)": F.when(k % 6 != 5, (k % 6) / 10),
-        "Weather_Condition": _choice(k % 6, CONDITIONS),
-    }
-    cols |= {name: k % divisor == 0 for name, divisor in FEATURE_DIVISORS.items()}
-    cols |= {
-        name: F.when(F.hour(ts).between(first, last), "Day").otherwise("Night")
-        for name, (first, last) in DAYLIGHT.items()
-    }
-    deliveries = F.explode(F.array_repeat(F.lit(0), F.when(k < REPLAYED, 2).otherwise(1)))
-    return events.select(
-        *[cols.get(name, F.lit(None)).cast(kind).alias(name) for name, _, kind in RECORD_COLUMNS],
-        deliveries.alias("_delivery"),
+    events = table(spark, folder, "events").join(customers, F.expr("user_id = c_custkey"))
+    events = events.withColumn("k", F.expr("int(regexp_extract(props, '\"k\": ([0-9]+)', 1))"))
+    return events.selectExpr(
+        *[f"cast({FIELDS.get(name, 'null')} as {kind}) as `{name}`" for name, _, kind in RECORD_COLUMNS],
+        f"explode(array_repeat(0, if(k < {REPLAYED}, 2, 1))) as _delivery",
     ).drop("_delivery")
 
 
