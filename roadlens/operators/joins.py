@@ -36,6 +36,7 @@ def join_counted(left: DataFrame, right: DataFrame, on: str, copies: str = "copi
 
 
 def _moments(cols: Mapping[str, str], side: str) -> list[Column]:
+    """Number and sum of the values of each column."""
     out = []
     for name, col in cols.items():
         value = F.col(col).cast("double")
@@ -43,6 +44,15 @@ def _moments(cols: Mapping[str, str], side: str) -> list[Column]:
     return out
 
 
+def _row_moments(cols: Mapping[str, str], side: str) -> list[Column]:
+    """The same for a single row."""
+    out = []
+    for name, col in cols.items():
+        value = F.col(col).cast("double")
+        out += [value.isNotNull().cast("bigint").alias(f"{side}n_{name}"), value.alias(f"{side}s_{name}")]
+    return out
+
+
 def _joined_mean(name: str, side: str, other_rows: str) -> Column:
     times = F.col(other_rows).cast("double")
     return F.try_divide(
@@ -58,27 +68,32 @@ def joined_aggregates(
     count: str | None = "accident_count",
     left_means: Mapping[str, str] | None = None,
     right_means: Mapping[str, str] | None = None,
+    hot_keys: bool = True,
 ) -> DataFrame:
     """Distinct ids and means over ``left JOIN right ON on GROUP BY by``, ``by`` on the right.
 
     An id with m rows left and n rows right has m*n rows in the join, and one hot id would make
     that explode. But every joined row repeats its left values n times and its right values m
-    times, so sums over the join follow from per-id counts and sums: both sides are first
-    reduced to one row per id (per id and group on the right), with map-side combine, and only
-    those rows are joined. They are unique per (id, group), so counting them counts ids.
+    times, so sums over the join follow from per-id counts and sums. The left side is reduced to
+    one row per id, with map-side combine, so the join never has more rows than the right side.
+
+    By default the right side is reduced to one row per id and group as well, so that an id
+    holding a large part of it arrives as a few rows; counting what is left then counts ids. It
+    takes one more exchange of the right side. Where no id repeats much (``quality_report``
+    tells), ``hot_keys=False`` sends the right rows straight to the join instead.
     """
     left_means, right_means = left_means or {}, right_means or {}
-    l_side = (
-        left.where(F.col(on).isNotNull())
-        .groupBy(on)
-        .agg(F.count(F.lit(1)).alias("l_rows"), *_moments(left_means, "l"))
-    )
-    r_side = (
-        right.where(F.col(on).isNotNull())
-        .groupBy(on, *by)
-        .agg(F.count(F.lit(1)).alias("r_rows"), *_moments(right_means, "r"))
-    )
-    out = [F.count(F.lit(1)).alias(count)] if count else []
+    left, right = left.where(F.col(on).isNotNull()), right.where(F.col(on).isNotNull())
+    l_side = left.groupBy(on).agg(F.count(F.lit(1)).alias("l_rows"), *_moments(left_means, "l"))
+    if hot_keys:
+        r_side = right.groupBy(on, *by).agg(
+            F.count(F.lit(1)).alias("r_rows"), *_moments(right_means, "r")
+        )
+        ids = F.count(F.lit(1))
+    else:
+        r_side = right.select(on, *by, F.lit(1).alias("r_rows"), *_row_moments(right_means, "r"))
+        ids = F.countDistinct(on)
+    out = [ids.alias(count)] if count else []
     out += [_joined_mean(name, "l", "r_rows") for name in left_means]
     out += [_joined_mean(name, "r", "l_rows") for name in right_means]
     return l_side.join(r_side, on, "inner").groupBy(*by).agg(*out)

@@ -58,35 +58,46 @@ def mart_infrastructure(accidents: DataFrame, **how) -> DataFrame:
     return flag_summary(accidents, ROAD_FLAGS, "id", **how)
 
 
-def _halves(accidents: DataFrame, weather: DataFrame, dedupe: bool):
-    if not dedupe:
-        return accidents, weather
-    return tuple(latest_per_key(df, ["id"], ["situation_date"]) for df in (accidents, weather))
+def _newest(df: DataFrame, cols: list[str]) -> DataFrame:
+    """The newest record per id, narrowed to what the mart needs before it is compared."""
+    return latest_per_key(df.select("id", "situation_date", *cols), ["id"], ["situation_date"])
 
 
 def mart_weather_condition(
-    accidents: DataFrame, weather: DataFrame, dedupe: bool = False
+    accidents: DataFrame, weather: DataFrame, dedupe: bool = False, hot_ids: bool = True
 ) -> DataFrame:
     """Incidents and mean severity per weather condition.
 
     Means are over the rows of the join on ``id``, so an id delivered twice on both sides weighs
-    four times. ``dedupe`` keeps the newest record per id first.
+    four times. ``dedupe`` keeps the newest record per id first. ``hot_ids`` as in
+    ``joined_aggregates``.
     """
-    accidents, weather = _halves(accidents, weather, dedupe)
+    if dedupe:
+        accidents = _newest(accidents, ["severity"])
+        weather = _newest(weather, ["weather_condition"])
+        hot_ids = False
     known = not_null(weather, ["weather_condition"]).withColumnRenamed(
         "weather_condition", "Weather_Condition"
     )
     out = joined_aggregates(
-        accidents, known, "id", by=["Weather_Condition"], left_means={"avg_severity": "severity"}
+        accidents,
+        known,
+        "id",
+        by=["Weather_Condition"],
+        left_means={"avg_severity": "severity"},
+        hot_keys=hot_ids,
     )
     return out.orderBy(F.desc("accident_count"), "Weather_Condition")
 
 
 def mart_weather_impact(
-    accidents: DataFrame, weather: DataFrame, dedupe: bool = False
+    accidents: DataFrame, weather: DataFrame, dedupe: bool = False, hot_ids: bool = True
 ) -> DataFrame:
     """Incidents, mean severity and mean wind per temperature and visibility band."""
-    accidents, weather = _halves(accidents, weather, dedupe)
+    if dedupe:
+        accidents = _newest(accidents, ["severity"])
+        weather = _newest(weather, ["temperature_f", "visibility_mi", "wind_speed_mph"])
+        hot_ids = False
     banded = not_null(weather, ["temperature_f", "visibility_mi"]).select(
         "id",
         "wind_speed_mph",
@@ -100,6 +111,7 @@ def mart_weather_impact(
         by=["temperature_range", "visibility_condition"],
         left_means={"avg_severity": "severity"},
         right_means={"avg_wind_speed": "wind_speed_mph"},
+        hot_keys=hot_ids,
     )
     return out.orderBy(F.desc("accident_count"), "temperature_range", "visibility_condition")
 
