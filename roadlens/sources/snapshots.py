@@ -11,7 +11,7 @@ import re
 import uuid
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import NoSnapshotDate, UnknownTable
@@ -57,12 +57,19 @@ def read_snapshot(spark: SparkSession, base: str, day: date | None = None) -> Da
     return spark.read.parquet(snapshot_path(base, day or days[-1]))
 
 
-def read_as_of(spark: SparkSession, base: str, day: date | None = None) -> DataFrame:
-    """Delta layout: all folders up to ``day``, older parts lacking a column filled with NULL."""
+def read_as_of(
+    spark: SparkSession, base: str, day: date | None = None, schema: str | None = None
+) -> DataFrame:
+    """Delta layout: all folders up to ``day``; a column a folder lacks is NULL there.
+
+    Hand in the ``schema`` where it is known, as for records: without it the footers of all
+    files are read to find the columns of all folders.
+    """
     days = [d for d in snapshot_days(spark, base) if day is None or d <= day]
     if not days:
         raise UnknownTable(base)
-    return spark.read.option("mergeSchema", True).parquet(*[snapshot_path(base, d) for d in days])
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
+    return reader.parquet(*[snapshot_path(base, d) for d in days])
 
 
 def previous_snapshot(
@@ -83,28 +90,48 @@ def previous_snapshot(
     return read_snapshot(spark, base, earlier[-1]) if earlier else None
 
 
-def write_snapshot(df: DataFrame, base: str, day: date) -> str:
-    """Write the folder of ``day``, replacing it only once the new one is complete."""
-    spark = df.sparkSession
-    staged = f"{base.rstrip('/')}/_staged-{day.isoformat()}-{uuid.uuid4().hex}"
+def _stage(df: DataFrame, base: str) -> str:
+    staged = f"{base.rstrip('/')}/_staged-{uuid.uuid4().hex}"
     df.write.option("compression", "snappy").parquet(staged)
+    return staged
+
+
+def _publish(spark: SparkSession, staged: str, base: str, day: date) -> str:
     path = snapshot_path(base, day)
     Folder(spark, path).replace_with(staged)
     return path
 
 
+def write_snapshot(df: DataFrame, base: str, day: date) -> str:
+    """Write the folder of ``day``, replacing it only once the new one is complete."""
+    return _publish(df.sparkSession, _stage(df, base), base, day)
+
+
 def append_snapshot(
-    new: DataFrame, base: str, col: str = "situation_date", lookback: str = "latest_before"
+    new: DataFrame,
+    base: str,
+    col: str = "situation_date",
+    lookback: str = "latest_before",
+    day: date | None = None,
 ) -> str:
-    """Cumulative layout: history so far plus ``new``, filed under the latest day in ``new``.
+    """Cumulative layout: history so far plus ``new``, filed under ``day`` or, without it, the
+    latest day in ``new`` (found by reading that column first).
 
     History is what lies before that day, so running a day again gives the same folder.
     """
-    day = snapshot_date(new, col)
+    day = day or snapshot_date(new, col)
     history = previous_snapshot(new.sparkSession, base, day, lookback)
     return write_snapshot(new if history is None else merge_by_name(history, new), base, day)
 
 
-def append_delta(new: DataFrame, base: str, col: str = "situation_date") -> str:
-    """Delta layout: ``new`` alone, filed under its latest day."""
-    return write_snapshot(new, base, snapshot_date(new, col))
+def append_delta(
+    new: DataFrame, base: str, col: str = "situation_date", fmt: str = SITUATION_FORMAT
+) -> str:
+    """Delta layout: ``new`` alone, filed under its latest day, which is observed while the feed
+    is written, so the feed is read once."""
+    seen = Observation()
+    latest = F.max(parse_day(F.col(col), fmt)).alias("day")
+    staged = _stage(new.observe(seen, latest), base)
+    if seen.get["day"] is None:
+        raise NoSnapshotDate(f"no parsable day in {col}; the feed is left in {staged}")
+    return _publish(new.sparkSession, staged, base, seen.get["day"])
