@@ -12,6 +12,8 @@ from ..functions.calendar import with_calendar
 from ..operators.rows import split_vertical
 from ..schema import PARTITION_COLUMNS, SILVER_GROUPS, to_silver
 
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 
 def split_rejects(silver: DataFrame, col: str = "situation_date") -> tuple[DataFrame, DataFrame]:
     """Rows that can be filed under a day, and rows that cannot (no day or no such day)."""
@@ -41,12 +43,13 @@ def write_silver(
     spark = df.sparkSession
     rebalanced = df.hint("rebalance", *PARTITION_COLUMNS)
     if mode == "overwrite_days" and spark.catalog.tableExists(table):
-        (
-            rebalanced.select(*spark.table(table).columns)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .insertInto(table)
-        )
+        # A table insert heeds this setting of the session only, not an option of the writer.
+        before = spark.conf.get(_OVERWRITE_MODE)
+        spark.conf.set(_OVERWRITE_MODE, "dynamic")
+        try:
+            rebalanced.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+        finally:
+            spark.conf.set(_OVERWRITE_MODE, before)
         return
     if mode not in ("overwrite", "overwrite_days"):
         raise ValueError(f"mode must be overwrite or overwrite_days, not {mode}")

@@ -11,7 +11,7 @@ import re
 import uuid
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import NoSnapshotDate, UnknownTable
@@ -127,11 +127,12 @@ def append_snapshot(
 def append_delta(
     new: DataFrame, base: str, col: str = "situation_date", fmt: str = SITUATION_FORMAT
 ) -> str:
-    """Delta layout: ``new`` alone, filed under its latest day, which is observed while the feed
-    is written, so the feed is read once."""
-    seen = Observation()
-    latest = F.max(parse_day(F.col(col), fmt)).alias("day")
-    staged = _stage(new.observe(seen, latest), base)
-    if seen.get["day"] is None:
-        raise NoSnapshotDate(f"no parsable day in {col}; the feed is left in {staged}")
-    return _publish(new.sparkSession, staged, base, seen.get["day"])
+    """Delta layout: ``new`` alone, filed under its latest day.
+
+    The day is looked up in the staged folder, one column of Parquet, so that the feed itself is
+    read once.
+    """
+    spark = new.sparkSession
+    staged = _stage(new, base)
+    written = spark.read.schema(new.schema).parquet(staged)
+    return _publish(spark, staged, base, snapshot_date(written, col, fmt))
