@@ -467,6 +467,21 @@ def describe_orders(spark, folder):
     return served.describe_table(spark, "driver_orders")
 
 
+@registered
+def source_view_sql(spark, folder):
+    """A statement of one's own against the original table and column names."""
+    served.register_views(*silver_halves(spark, folder), prefix="own_")
+    return spark.sql(
+        """
+        select a.County as county, w.Wind_Direction as wind_direction, max(w.`Wind_Speed(mph)`) as max_wind,
+               count(distinct a.ID) as accident_count
+        from own_accidents a join own_weather w on a.ID = w.ID
+        where a.Stop = true and w.`Humidity(%)` >= 40
+        group by all
+        """
+    )
+
+
 @registered
 def sort_orders(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
@@ -571,7 +586,9 @@ def _fitted(spark, folder):
     if key not in _FITTED:
         table_ = materialize(_prepared(spark, folder), "features")
         train, test = features.split_train_test(table_)
-        _FITTED[key] = (model.train_classifier(train), test)
+        path = scratch_path(spark, "model")
+        model.save_model(model.train_classifier(train), path)
+        _FITTED[key] = (model.load_model(path), test)
     return _FITTED[key]
 
 

@@ -312,6 +312,9 @@ SELECT 'driver_orders' AS table_name, (SELECT count(*) FROM orders) AS row_count
 FROM (VALUES (1, 'o_orderkey', 'bigint'), (2, 'o_custkey', 'bigint'), (3, 'o_orderstatus', 'string'),
              (4, 'o_totalprice', 'double'), (5, 'o_orderdate', 'timestamp_ntz'), (6, 'o_orderpriority', 'string'))
      AS t(position, "column", type)""",
+    "source_view_sql": _on_records("""
+SELECT a.county, w.wind_direction, max(w.wind_speed_mph) AS max_wind, count(DISTINCT a.id) AS accident_count
+FROM records a JOIN records w ON a.id = w.id WHERE a.stop AND w.humidity_pct >= 40 GROUP BY ALL"""),
     "sort_orders": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey DESC",
     "page_customers": "SELECT * FROM customer ORDER BY c_acctbal DESC, c_custkey DESC LIMIT 25 OFFSET 40",
     "page_deep": """

@@ -12,6 +12,7 @@ from pyspark.sql.types import DataType
 from ..errors import UnknownTable
 from ..operators import paging
 from ..operators.rows import search_table as search_rows
+from ..schema import to_source_names
 
 
 def write_mart(df: DataFrame, name: str, path: str | None = None) -> None:
@@ -78,6 +79,13 @@ def open_table(spark: SparkSession, name: str) -> DataFrame:
 read_mart = open_table
 
 
+def register_views(accidents: DataFrame, weather: DataFrame, prefix: str = "") -> None:
+    """Temporary views ``accidents`` and ``weather`` under the original column names, for
+    statements written against those. Without a prefix they hide tables of the same name."""
+    for name, df in (("accidents", accidents), ("weather", weather)):
+        to_source_names(df).createOrReplaceTempView(prefix + name)
+
+
 def list_tables(spark: SparkSession, pattern: str = "*") -> list[str]:
     return sorted(t.name for t in spark.catalog.listTables(pattern=pattern))
 
@@ -135,6 +143,16 @@ def table_page(
     )
 
 
+def page_payload(spark: SparkSession, name: str, **where) -> dict:
+    """A page as plain values, for handing to a client: at most one page is collected."""
+    rows, info = table_page(spark, name, **where)
+    return {
+        "table_name": name,
+        "data": [row.asDict() for row in rows.collect()],
+        "pagination": info.first().asDict(),
+    }
+
+
 def search_table(
     spark: SparkSession, name: str, text: str, cols: Sequence[str] | None = None
 ) -> DataFrame:

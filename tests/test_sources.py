@@ -179,6 +179,22 @@ def test_write_read_and_prune(spark, folder):
         silver.read_silver(spark, "t_absent")
 
 
+def test_a_hot_day_is_split_over_files(spark, folder):
+    import glob
+
+    many = spark.range(400_000, numPartitions=8).select(
+        F.uuid().alias("id"), F.lit(2025).alias("year"), F.lit(1).alias("month"), F.lit(31).alias("day")
+    )
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "1MB")
+    try:
+        silver.write_silver(many, "t_hot", path=folder + "/h")
+    finally:
+        spark.conf.set(size, before)
+    assert len(glob.glob(folder + "/h/year=2025/month=1/day=31/*.parquet")) > 1
+
+
 def test_overwrite_days_leaves_other_days(spark, folder):
     weather = silver.silver_tables(wide_bronze(spark))["weather"]
     silver.write_silver(weather, "t_days", path=folder + "/w", mode="overwrite_days")
@@ -207,6 +223,9 @@ def test_served_table_page_describe_list(spark, folder):
     page, info = served.table_page(spark, "served_small", ["k"], limit=2, offset=4, sort_by="k", order="desc")
     assert [r.k for r in page.collect()] == [2, 1]
     assert info.first().has_more is True
+    payload = served.page_payload(spark, "served_small", keys=["k"], limit=2, offset=6)
+    assert payload["data"] == [{"k": 6, "v": "n6"}]
+    assert payload["pagination"]["returned_rows"] == 1 and not payload["pagination"]["has_more"]
     rows = served.describe_table(spark, "served_small").orderBy("position").collect()
     assert [(r["column"], r["type"]) for r in rows] == [("k", "int"), ("v", "string")]
     assert {(r["row_count"], r["column_count"]) for r in rows} == {(7, 2)}
