@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import time_features
 from ..functions.fill import fill_const, fill_mean
 from ..functions.flags import binarize, flag_to_int
-from ..operators.joins import join_counted
+from ..operators.joins import join_counted, join_on_id
 from ..schema import MODEL_CATEGORIES, MODEL_FLAGS, MODEL_TWILIGHT, MODEL_WEATHER
 
 HIGH_SEVERITY = 3
@@ -25,10 +25,14 @@ def _named(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*[F.col(c).alias(MODEL_WEATHER.get(c, c)) for c in cols])
 
 
-def joined_inputs(accidents: DataFrame, weather: DataFrame) -> DataFrame:
+def joined_inputs(
+    accidents: DataFrame, weather: DataFrame, unique_ids: bool = False
+) -> DataFrame:
     """Model inputs from the two halves, joined on ``id``: each different joined row once, with
-    its number of occurrences in ``copies``."""
-    return join_counted(_named(accidents, _ACCIDENT), _named(weather, _WEATHER), "id", COPIES)
+    its number of occurrences in ``copies``. Where no id repeats (de-duplicated silver),
+    ``unique_ids`` joins the rows as they are, one exchange per side less, without ``copies``."""
+    halves = _named(accidents, _ACCIDENT), _named(weather, _WEATHER)
+    return join_on_id(*halves, "id") if unique_ids else join_counted(*halves, "id", COPIES)
 
 
 def wide_inputs(records: DataFrame) -> DataFrame:
@@ -51,8 +55,10 @@ def engineer(inputs: DataFrame, impute: bool = True) -> DataFrame:
     return out.withColumn(LABEL, binarize(F.col("severity"), HIGH_SEVERITY))
 
 
-def feature_table(accidents: DataFrame, weather: DataFrame, impute: bool = True) -> DataFrame:
-    return engineer(joined_inputs(accidents, weather), impute)
+def feature_table(
+    accidents: DataFrame, weather: DataFrame, impute: bool = True, unique_ids: bool = False
+) -> DataFrame:
+    return engineer(joined_inputs(accidents, weather, unique_ids), impute)
 
 
 def feature_rows(records: DataFrame, impute: bool = True) -> DataFrame:
