@@ -282,8 +282,8 @@ SELECT id, severity, city, CAST(count(*) AS DOUBLE) AS copies FROM records GROUP
     "band_join_summary": """
 SELECT CASE WHEN l_quantity < 10 THEN 'small' WHEN l_quantity <= 25 THEN 'medium'
             WHEN l_quantity <= 40 THEN 'large' ELSE 'bulk' END AS quantity_band,
-       l_returnflag, count(DISTINCT o_orderkey) AS order_count, round(avg(o_totalprice), 4) AS avg_price,
-       round(avg(l_quantity), 4) AS avg_quantity
+       l_returnflag, count(DISTINCT o_orderkey) AS order_count, round(avg(o_totalprice), 6) AS avg_price,
+       round(avg(l_quantity), 6) AS avg_quantity
 FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2""",
     "daily_distinct_orders": f"""
 SELECT {_day('o_orderdate', 'order_date')}, count(DISTINCT o_custkey) AS customer_count FROM orders GROUP BY 1""",

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..errors import BadPage
+from ..sources.storage import materialize
 from .rows import ordering, sort_table
 
 # Page size.
@@ -55,20 +56,20 @@ def deep_page(
     """A page found by position instead of by skipping rows.
 
     Only the sort columns are read, equal keys merged into one row with their number, then
-    range-sorted over the cluster and checkpointed, which pins the ranges. The row total of each
+    spread over the cluster by range and written, which pins the ranges. The row total of each
     range (one number per range) tells in which range the page begins and ends, and a running
     count inside those ranges alone gives its two end keys. They bound the read of the page.
     """
     columns = ordering(df, sort_by, keys)
     turn = F.desc if order == "desc" else F.asc
     turned = [turn(c) for c in columns]
-    placed = (
+    ranged = (
         df.groupBy(*columns)
         .agg(F.count(F.lit(1)).alias("_n"))
         .repartitionByRange(*turned)
         .select(F.struct(*columns).alias("key"), "_n", F.spark_partition_id().alias("part"))
-        .checkpoint()
     )
+    placed = materialize(ranged, "page")
     sizes = sorted(placed.groupBy("part").agg(F.sum("_n")).collect())
     total = sum(n for _, n in sizes)
     if offset >= total:
