@@ -108,21 +108,23 @@ def joined_correlations(
     Values are centred on their plain means first, which leaves the correlation as it is and
     keeps the sums of squares from cancelling.
     """
-    y0 = left.agg(F.avg(left_col)).scalar()
-    x0 = right.agg(F.struct(*[F.avg(c).alias(c) for c in right_cols])).scalar()
-    y = F.col(left_col).cast("double") - y0
+    middle = left.agg(F.avg(left_col)).scalar()
+    middles = right.agg(F.struct(*[F.avg(c).alias(c) for c in right_cols])).scalar()
+    y = F.col(left_col)
     l_side = (
         left.where(F.col(on).isNotNull())
+        .select(on, (F.col(left_col).cast("double") - middle).alias(left_col))
         .groupBy(on)
         .agg(F.count(y).alias("yn"), F.sum(y).alias("ys"), F.sum(y * y).alias("yy"))
     )
     sums = []
     for c in right_cols:
-        x = F.col(c).cast("double") - x0.getField(c)
+        x = F.col(c)
         sums += [
             F.count(x).alias(f"{c}_n"), F.sum(x).alias(f"{c}_s"), F.sum(x * x).alias(f"{c}_q"),
         ]
-    r_side = right.where(F.col(on).isNotNull()).groupBy(on).agg(*sums)
+    centred = [(F.col(c).cast("double") - middles.getField(c)).alias(c) for c in right_cols]
+    r_side = right.where(F.col(on).isNotNull()).select(on, *centred).groupBy(on).agg(*sums)
     totals = []
     for c in right_cols:
         n, s, q = (F.col(f"{c}_{k}").cast("double") for k in "nsq")
