@@ -169,11 +169,10 @@ def mart_copy_weather(spark, folder):
 def served_marts(spark, folder):
     """All nine served tables written and read back: their sizes."""
     accidents, weather = silver_halves(spark, folder)
-    prefix = "gold_"
-    marts.write_marts(
-        accidents, weather, lambda df, name: served.write_mart(df, name, scratch_path(spark, name)), prefix
+    names = marts.write_marts(
+        accidents, weather, lambda df, name: served.write_mart(df, name, scratch_path(spark, name)), "gold_"
     )
-    return served.table_overview(spark, [prefix + name for name in marts.SERVED])
+    return served.table_overview(spark, names)
 
 
 # ---------------------------------------------------------------- bronze

@@ -1,9 +1,9 @@
 """The four daily jobs, for ``spark-submit`` or from Python.
 
     python -m roadlens.jobs ingest --base hdfs:///incidents part1.csv part2.csv
-    python -m roadlens.jobs silver --base hdfs:///incidents
-    python -m roadlens.jobs marts --prefix gold_
-    python -m roadlens.jobs train --model hdfs:///models/severity
+    python -m roadlens.jobs silver --base hdfs:///incidents --dedupe
+    python -m roadlens.jobs marts --prefix gold_ --unique-ids
+    python -m roadlens.jobs train --model hdfs:///models/severity --unique-ids
 """
 
 from __future__ import annotations
@@ -67,17 +67,20 @@ def build_marts(
     url: str | None = None,
     properties: dict | None = None,
     folder: str | None = None,
+    unique_ids: bool = False,
 ) -> None:
-    """Write the seven marts and copies of both silver tables, as tables or to a database."""
+    """Write the seven marts and copies of both silver tables, as tables or to a database.
+    ``unique_ids`` states that silver was written de-duplicated."""
     halves = [silver.read_silver(spark, name) for name in ("accidents", "weather")]
     if url:
-        marts.write_marts(*halves, partial(served.write_mart_jdbc, url=url, properties=properties or {}))
+        sink = partial(served.write_mart_jdbc, url=url, properties=properties or {})
+        marts.write_marts(*halves, sink, unique_ids=unique_ids)
         return
 
-    def sink(df: DataFrame, name: str) -> None:
+    def table(df: DataFrame, name: str) -> None:
         served.write_mart(df, name, f"{folder}/{name}" if folder else None)
 
-    marts.write_marts(*halves, sink, prefix)
+    marts.write_marts(*halves, table, prefix, unique_ids)
 
 
 def train(
@@ -120,6 +123,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     job = jobs.add_parser("marts")
     job.add_argument("--prefix", default="gold_")
     job.add_argument("--url", help="JDBC address; user and password from DB_USER and DB_PASSWORD")
+    job.add_argument("--unique-ids", action="store_true")
     job = jobs.add_parser("train")
     job.add_argument("--model", required=True)
     job.add_argument("--unique-ids", action="store_true")
@@ -132,7 +136,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         build_silver(spark, read_bronze(spark, args.base, args.day, args.layout), args.dedupe, args.mode)
     elif args.job == "marts":
         login = {"user": os.environ.get("DB_USER"), "password": os.environ.get("DB_PASSWORD")}
-        build_marts(spark, args.prefix, args.url, {k: v for k, v in login.items() if v})
+        known = {k: v for k, v in login.items() if v}
+        build_marts(spark, args.prefix, args.url, known, unique_ids=args.unique_ids)
     else:
         for name, df in train(spark, args.model, args.unique_ids)[1].items():
             print(name)

@@ -68,7 +68,7 @@ def joined_aggregates(
     count: str | None = "accident_count",
     left_means: Mapping[str, str] | None = None,
     right_means: Mapping[str, str] | None = None,
-    hot_keys: bool = True,
+    repeats: str = "any",
 ) -> DataFrame:
     """Distinct ids and means over ``left JOIN right ON on GROUP BY by``, ``by`` on the right.
 
@@ -77,22 +77,27 @@ def joined_aggregates(
     times, so sums over the join follow from per-id counts and sums. The left side is reduced to
     one row per id, with map-side combine, so the join never has more rows than the right side.
 
-    By default the right side is reduced to one row per id and group as well, so that an id
-    holding a large part of it arrives as a few rows; counting what is left then counts ids. It
-    takes one more exchange of the right side. Where no id repeats much (``quality_report``
-    tells), ``hot_keys=False`` sends the right rows straight to the join instead.
+    ``repeats`` says how often an id may occur on one side. ``any``: the right side is reduced to
+    one row per id and group as well, so that an id holding a large part of it arrives as a few
+    rows; counting what is left then counts ids. It takes one more exchange of the right side.
+    ``few``: the right rows go straight to the join. ``none``: so do the left rows, since every
+    id occurs once on each side. ``quality_report`` tells which holds.
     """
+    if repeats not in ("any", "few", "none"):
+        raise ValueError(f"repeats must be any, few or none, not {repeats}")
     left_means, right_means = left_means or {}, right_means or {}
     left, right = left.where(F.col(on).isNotNull()), right.where(F.col(on).isNotNull())
-    l_side = left.groupBy(on).agg(F.count(F.lit(1)).alias("l_rows"), *_moments(left_means, "l"))
-    if hot_keys:
+    if repeats == "none":
+        l_side = left.select(on, F.lit(1).alias("l_rows"), *_row_moments(left_means, "l"))
+    else:
+        l_side = left.groupBy(on).agg(F.count(F.lit(1)).alias("l_rows"), *_moments(left_means, "l"))
+    if repeats == "any":
         r_side = right.groupBy(on, *by).agg(
             F.count(F.lit(1)).alias("r_rows"), *_moments(right_means, "r")
         )
-        ids = F.count(F.lit(1))
     else:
         r_side = right.select(on, *by, F.lit(1).alias("r_rows"), *_row_moments(right_means, "r"))
-        ids = F.countDistinct(on)
+    ids = F.countDistinct(on) if repeats == "few" else F.count(F.lit(1))
     out = [ids.alias(count)] if count else []
     out += [_joined_mean(name, "l", "r_rows") for name in left_means]
     out += [_joined_mean(name, "r", "l_rows") for name in right_means]

@@ -64,18 +64,18 @@ def _newest(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def mart_weather_condition(
-    accidents: DataFrame, weather: DataFrame, dedupe: bool = False, hot_ids: bool = True
+    accidents: DataFrame, weather: DataFrame, dedupe: bool = False, repeats: str = "any"
 ) -> DataFrame:
     """Incidents and mean severity per weather condition.
 
     Means are over the rows of the join on ``id``, so an id delivered twice on both sides weighs
-    four times. ``dedupe`` keeps the newest record per id first. ``hot_ids`` as in
+    four times. ``dedupe`` keeps the newest record per id first. ``repeats`` as in
     ``joined_aggregates``.
     """
     if dedupe:
         accidents = _newest(accidents, ["severity"])
         weather = _newest(weather, ["weather_condition"])
-        hot_ids = False
+        repeats = "none"
     known = not_null(weather, ["weather_condition"]).withColumnRenamed(
         "weather_condition", "Weather_Condition"
     )
@@ -85,19 +85,19 @@ def mart_weather_condition(
         "id",
         by=["Weather_Condition"],
         left_means={"avg_severity": "severity"},
-        hot_keys=hot_ids,
+        repeats=repeats,
     )
     return out.orderBy(F.desc("accident_count"), "Weather_Condition")
 
 
 def mart_weather_impact(
-    accidents: DataFrame, weather: DataFrame, dedupe: bool = False, hot_ids: bool = True
+    accidents: DataFrame, weather: DataFrame, dedupe: bool = False, repeats: str = "any"
 ) -> DataFrame:
     """Incidents, mean severity and mean wind per temperature and visibility band."""
     if dedupe:
         accidents = _newest(accidents, ["severity"])
         weather = _newest(weather, ["temperature_f", "visibility_mi", "wind_speed_mph"])
-        hot_ids = False
+        repeats = "none"
     banded = not_null(weather, ["temperature_f", "visibility_mi"]).select(
         "id",
         "wind_speed_mph",
@@ -111,7 +111,7 @@ def mart_weather_impact(
         by=["temperature_range", "visibility_condition"],
         left_means={"avg_severity": "severity"},
         right_means={"avg_wind_speed": "wind_speed_mph"},
-        hot_keys=hot_ids,
+        repeats=repeats,
     )
     return out.orderBy(F.desc("accident_count"), "temperature_range", "visibility_condition")
 
@@ -167,27 +167,39 @@ def marts_one_pass(accidents: DataFrame) -> DataFrame:
     return counts.where(whole).select(name.alias("mart"), *keys, "accident_count")
 
 
-# Names of the served tables.
-SERVED = {
-    "top_accidents_by_day": lambda a, w: mart_daily(a),
-    "accidents_by_severity": lambda a, w: mart_severity(a),
-    "accidents_by_location": lambda a, w: mart_location(a),
-    "accidents_by_weather": mart_weather_condition,
-    "accidents_time_patterns": lambda a, w: mart_time_patterns(a),
-    "road_infrastructure_summary": lambda a, w: mart_infrastructure(a),
-    "weather_impact_analysis": mart_weather_impact,
-    "accidents": lambda a, w: a,
-    "weather": lambda a, w: w,
-}
+def build_marts(
+    accidents: DataFrame, weather: DataFrame, unique_ids: bool = False
+) -> dict[str, DataFrame]:
+    """Every served table by name: the seven marts and copies of both silver halves.
 
-
-def build_marts(accidents: DataFrame, weather: DataFrame) -> dict[str, DataFrame]:
-    """Every served table by name: the seven marts and copies of both silver halves."""
-    return {name: build(accidents, weather) for name, build in SERVED.items()}
+    ``unique_ids`` states that no id repeats, as in silver written de-duplicated: then no mart
+    moves ids between executors to count them.
+    """
+    repeats = "none" if unique_ids else "any"
+    # Names of the served tables.
+    return {
+        "top_accidents_by_day": mart_daily(accidents, unique_ids=unique_ids),
+        "accidents_by_severity": mart_severity(accidents, unique_ids=unique_ids),
+        "accidents_by_location": mart_location(accidents, unique_ids=unique_ids),
+        "accidents_by_weather": mart_weather_condition(accidents, weather, repeats=repeats),
+        "accidents_time_patterns": mart_time_patterns(accidents, unique_ids=unique_ids),
+        "road_infrastructure_summary": mart_infrastructure(accidents, unique_ids=unique_ids),
+        "weather_impact_analysis": mart_weather_impact(accidents, weather, repeats=repeats),
+        "accidents": accidents,
+        "weather": weather,
+    }
 
 
-def write_marts(accidents: DataFrame, weather: DataFrame, sink=write_mart, prefix: str = "") -> None:
-    """Write all served tables through ``sink(df, name)``. A prefix keeps the copies apart from
-    silver tables of the same name."""
-    for name, df in build_marts(accidents, weather).items():
+def write_marts(
+    accidents: DataFrame,
+    weather: DataFrame,
+    sink=write_mart,
+    prefix: str = "",
+    unique_ids: bool = False,
+) -> list[str]:
+    """Write all served tables through ``sink(df, name)`` and give their names. A prefix keeps
+    the copies apart from silver tables of the same name."""
+    tables = build_marts(accidents, weather, unique_ids)
+    for name, df in tables.items():
         sink(df, prefix + name)
+    return [prefix + name for name in tables]

@@ -55,6 +55,11 @@ def test_deduped_silver_trains_a_model(spark, parts, folder):
     jobs.build_silver(spark, jobs.read_bronze(spark, base), dedupe=True, folder=folder)
     accidents = silver.read_silver(spark, "accidents")
     assert accidents.count() == accidents.select("id").distinct().count()
+    jobs.build_marts(spark, "once_", folder=folder + "/once", unique_ids=True)
+    total = served.read_mart(spark, "once_road_infrastructure_summary").first()["total_accidents"]
+    assert total == accidents.count()
+    for table in served.list_tables(spark, "once_*"):
+        spark.sql(f"drop table {table}")
     fitted, reports = jobs.train(spark, folder + "/model", unique_ids=True, num_trees=3, max_depth=3)
     assert 0.3 < reports["metrics"].first()["accuracy"] <= 1.0
     assert reports["importance"].count() == 10

@@ -86,11 +86,11 @@ def fan_out(spark):
     return left, right
 
 
-@pytest.mark.parametrize("hot", [True, False])
-def test_fan_out_average(spark, hot):
+@pytest.mark.parametrize("repeats", ["any", "few"])
+def test_fan_out_average(spark, repeats):
     left, right = fan_out(spark)
     assert join_on_id(left, right, "id").count() == 5
-    out = joined_aggregates(left, right, "id", ["c"], left_means={"avg": "severity"}, hot_keys=hot)
+    out = joined_aggregates(left, right, "id", ["c"], left_means={"avg": "severity"}, repeats=repeats)
     assert tuples(out) == [("Rain", 2, 1.6)]
 
 
@@ -104,9 +104,11 @@ def random_halves(seed):
 
 
 @pytest.mark.parametrize("seed", range(4))
-@pytest.mark.parametrize("hot", [True, False])
-def test_joined_aggregates_against_brute_force(spark, seed, hot):
+@pytest.mark.parametrize("repeats", ["any", "few", "none"])
+def test_joined_aggregates_against_brute_force(spark, seed, repeats):
     left, right = random_halves(seed)
+    if repeats == "none":
+        left, right = (list({r[0]: r for r in rows_}.values()) for rows_ in (left, right))
     groups = defaultdict(lambda: (set(), [], []))
     for lid, severity in left:
         for rid, c, wind in right:
@@ -120,7 +122,7 @@ def test_joined_aggregates_against_brute_force(spark, seed, hot):
     out = joined_aggregates(
         spark.createDataFrame(left, "id string, severity int"),
         spark.createDataFrame(right, "id string, c string, wind double"),
-        "id", ["c"], "n", {"sev": "severity"}, {"wnd": "wind"}, hot_keys=hot,
+        "id", ["c"], "n", {"sev": "severity"}, {"wnd": "wind"}, repeats=repeats,
     )
     got = {c: (n, s, w) for c, n, s, w in tuples(out)}
     assert got.keys() == expected.keys()
@@ -150,6 +152,11 @@ def test_joined_aggregates_never_join_raw_rows(spark):
     assert before_join.count("partial_count") >= 2
 
 
+def test_joined_aggregates_ask_how_ids_repeat(spark):
+    with pytest.raises(ValueError):
+        joined_aggregates(*fan_out(spark), "id", ["c"], repeats="often")
+
+
 def test_collapse(spark):
     df = spark.createDataFrame([("a", None), ("a", None), ("b", 1.0)], "id string, v double")
     assert sorted(map(str, tuples(collapse(df)))) == ["('a', None, 2.0)", "('b', 1.0, 1.0)"]

@@ -59,6 +59,15 @@ def test_one_pass_equals_the_single_marts(halves):
         assert sorted(map(str, part.collect())) == sorted(map(str, single.select(*cols).collect()))
 
 
+def test_unique_ids_give_the_same_marts(halves):
+    once = [df.dropDuplicates(["id"]).cache() for df in halves]
+    careful, quick = marts.build_marts(*once), marts.build_marts(*once, unique_ids=True)
+    for name in careful:
+        if name not in ("accidents", "weather"):
+            got = [sorted(map(str, tables[name].collect())) for tables in (careful, quick)]
+            assert got[0] == got[1], name
+
+
 def test_empty_input_gives_empty_marts(halves):
     a, w = (df.limit(0) for df in halves)
     for name, df in marts.build_marts(a, w).items():
