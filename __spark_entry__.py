@@ -38,6 +38,7 @@ from roadlens.schema import (  # noqa: E402
     SILVER_GROUPS,
     SITUATION_FORMAT,
     bronze_schema,
+    silver_schema,
     to_silver,
 )
 from roadlens.sources import served, silver, snapshots  # noqa: E402
@@ -646,9 +647,11 @@ def stream_ingest(spark, folder):
     _deliver(
         spark,
         _feeds(spark, folder),
-        lambda stream, at: ingest.stream_ingest(stream, ["ID"], ["situation_date"], store, at),
+        lambda stream, at: ingest.stream_ingest(
+            to_silver(stream), ["id"], ["situation_date"], store, at
+        ),
     )
-    return to_silver(ingest.read_store(spark, store, bronze_schema())).select(
+    return ingest.read_store(spark, store, silver_schema()).select(
         "id", "situation_date", "severity", "start_time", "city", "temperature_f"
     )
 

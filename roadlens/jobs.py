@@ -17,7 +17,6 @@ from functools import partial
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators.rows import latest_per_key
 from .plans import features, marts, model
 from .schema import bronze_schema
 from .session import build_session
@@ -51,9 +50,7 @@ def build_silver(
     folder: str | None = None,
 ) -> None:
     """Write ``accidents`` and ``weather`` by day, and ``rejects`` for records without one."""
-    if dedupe:
-        bronze = latest_per_key(bronze, ["ID"], ["situation_date"])
-    for name, df in silver.silver_tables(bronze).items():
+    for name, df in silver.silver_tables(bronze, dedupe).items():
         path = f"{folder}/{name}" if folder else None
         if name == "rejects":
             served.write_mart(df, name, path)

@@ -106,6 +106,12 @@ def bronze_schema() -> str:
     return ", ".join(f"`{name}` {kind}" for name, _, kind in RECORD_COLUMNS)
 
 
+def silver_schema() -> str:
+    """The silver columns of an unsplit record as a DDL string."""
+    kinds = {"situation_date": "date"}
+    return ", ".join(f"{silver} {kinds.get(name, kind)}" for name, silver, kind in RECORD_COLUMNS)
+
+
 def to_silver(df: DataFrame, fmt: str = SITUATION_FORMAT) -> DataFrame:
     """Bronze to silver, narrow and row by row: snake-case names, real dates, NaN as NULL.
 

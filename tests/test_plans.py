@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from roadlens.plans import features, marts, model
-from roadlens.schema import bronze_schema, to_silver
+from roadlens.schema import bronze_schema, silver_schema, to_silver
 from roadlens.sources.star_schema import bronze_records, silver_halves, silver_records
 from roadlens.sources.storage import scratch_path
 from roadlens.streaming import daily, ingest
@@ -199,14 +199,14 @@ def record(spark, *rows):
 def test_ingest_lands_each_id_once_over_restarts(spark, folder):
     landing, store, offsets = (f"{folder}/{n}" for n in ("in", "store", "offsets"))
     batches = [
-        [("a", "01-01-2025", None, 1), ("a", "02-01-2025", None, 2), (None, "01-01-2025", None, 7)],
-        [("a", "03-01-2025", None, 3), ("b", "03-01-2025", None, 4), (None, "01-01-2025", None, 7)],
+        [("a", "31-01-2025", None, 1), ("a", "01-02-2025", None, 2), (None, "01-01-2025", None, 7)],
+        [("a", "03-02-2025", None, 3), ("b", "03-02-2025", None, 4), (None, "01-01-2025", None, 7)],
     ]
     for rows in batches:
         record(spark, *rows).write.mode("append").parquet(landing)
-        stream = ingest.feed(spark, landing, bronze_schema())
-        ingest.stream_ingest(stream, ["ID"], ["situation_date"], store, offsets).awaitTermination()
-    got = [(r["ID"], r["Severity"]) for r in ingest.read_store(spark, store, bronze_schema()).collect()]
+        stream = to_silver(ingest.feed(spark, landing, bronze_schema()))
+        ingest.stream_ingest(stream, ["id"], ["situation_date"], store, offsets).awaitTermination()
+    got = [(r["id"], r["severity"]) for r in ingest.read_store(spark, store, silver_schema()).collect()]
     assert sorted(map(str, got)) == sorted(map(str, [("a", 2), ("b", 4), (None, 7), (None, 7)]))
 
 
@@ -214,9 +214,9 @@ def test_ingest_repeats_a_batch_without_doubling(spark, folder):
     landing, store = f"{folder}/in", f"{folder}/store"
     record(spark, ("a", "01-01-2025", None, 1)).write.parquet(landing)
     for offsets in ("first", "lost_and_started_again"):
-        stream = ingest.feed(spark, landing, bronze_schema())
-        ingest.stream_ingest(stream, ["ID"], [], store, f"{folder}/{offsets}").awaitTermination()
-    assert ingest.read_store(spark, store, bronze_schema()).count() == 1
+        stream = to_silver(ingest.feed(spark, landing, bronze_schema()))
+        ingest.stream_ingest(stream, ["id"], [], store, f"{folder}/{offsets}").awaitTermination()
+    assert ingest.read_store(spark, store, silver_schema()).count() == 1
 
 
 def test_empty_store_reads_empty(spark, folder):

@@ -166,6 +166,13 @@ def test_silver_tables_and_rejects(spark):
     assert got == {"a": (3, 40.0, 1), "b": (2, None, 2)}
 
 
+def test_dedupe_goes_by_day_not_by_text(spark):
+    twice = wide_bronze(spark).withColumn("ID", F.lit("same"))
+    rows = silver.silver_tables(twice, dedupe=True)
+    assert [r.severity for r in rows["accidents"].collect()] == [2]  # 01-02-2025 after 31-01-2025
+    assert rows["rejects"].count() == 0
+
+
 def test_write_read_and_prune(spark, folder):
     tables = silver.silver_tables(wide_bronze(spark))
     silver.write_silver(tables["weather"], "t_weather", path=folder + "/w")
