@@ -57,44 +57,57 @@ def deep_page(
 
     Only the sort columns are read, equal keys merged into one row with their number, then
     spread over the cluster by range and written, which pins the ranges. The row total of each
-    range (one number per range) tells in which range the page begins and ends, and a running
-    count inside those ranges alone gives its two end keys. They bound the read of the page.
+    range (one number per range) tells which ranges the page touches, and a running count inside
+    those alone gives its keys. Where the sort columns are all columns these keys are the page;
+    else its first and last key bound the read of the rows.
     """
     columns = ordering(df, sort_by, keys)
     turn = F.desc if order == "desc" else F.asc
     turned = [turn(c) for c in columns]
     ranged = (
         df.groupBy(*columns)
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count(F.lit(1)).alias("n"))
         .repartitionByRange(*turned)
-        .select(F.struct(*columns).alias("key"), "_n", F.spark_partition_id().alias("part"))
+        .select(F.struct(*columns).alias("key"), "n", F.spark_partition_id().alias("part"))
     )
     placed = materialize(ranged, "page")
-    sizes = sorted(placed.groupBy("part").agg(F.sum("_n")).collect())
-    total = sum(n for _, n in sizes)
-    if offset >= total:
+    end, begin, touched = offset + limit, 0, []
+    for part, n in sorted(placed.groupBy("part").agg(F.sum("n")).collect()):
+        if begin < end and begin + n > offset:
+            touched += [F.lit(part), F.lit(begin)]
+        begin += n
+    if not touched:
         return df.limit(0)
 
-    def end_row(rank: int) -> DataFrame:
-        for part, n in sizes:
-            if rank < n:
-                break
-            rank -= n
-        upto = F.sum("_n").over(Window.partitionBy("part").orderBy(turn("key")))
-        running = placed.where(F.col("part") == part).withColumn("_upto", upto)
-        here = (F.col("_upto") > rank) & (F.col("_upto") - F.col("_n") <= rank)
-        # Rows equal in every sort column share a key; some of them may lie before the page.
-        return running.where(here).select(
-            "key", (F.lit(rank) - F.col("_upto") + F.col("_n")).alias("before")
+    # Rows before each range, and from there the positions [start, upto) of each key.
+    before_range = F.create_map(*touched)[F.col("part")]
+    inside_range = F.sum("n").over(Window.partitionBy("part").orderBy(turn("key")))
+    upto = F.col("upto")
+    start = upto - F.col("n")
+    page_keys = (
+        placed.where(F.col("part").isin(*touched[::2]))
+        .withColumn("upto", before_range + inside_range)
+        .where((start < end) & (upto > offset))
+        .select(
+            "key",
+            (F.least(upto, F.lit(end)) - F.greatest(start, F.lit(offset))).alias("taken"),
+            F.greatest(F.lit(offset) - start, F.lit(0)).alias("skipped"),
         )
+    )
+    if set(columns) == set(df.columns):
+        copies = F.explode(F.array_repeat(F.lit(0), F.col("taken").cast("int"))).alias("_copy")
+        return page_keys.select("key.*", copies).select(*df.columns).orderBy(*turned)
 
-    first, last = end_row(offset), end_row(min(offset + limit, total) - 1)
-    low, high = (last, first) if order == "desc" else (first, last)
-    key = F.struct(*columns)
-    inside = df.where(
-        (key >= low.select("key").scalar()) & (key <= high.select("key").scalar())
+    # Rows equal in every sort column share a key; some of the first key's may lie before the page.
+    ends = page_keys.agg(
+        F.min("key").alias("low"), F.max("key").alias("high"), F.max("skipped").alias("skipped")
     )
-    return inside.orderBy(*turned).offset(first.first()["before"]).limit(limit)
+    skipped = ends.first()["skipped"]
+    if skipped > TOP_K_ROWS:
+        return deep_page(df, [*columns, *[c for c in df.columns if c not in columns]], limit, offset, sort_by, order)
+    key = F.struct(*columns)
+    rows = df.where((key >= ends.select("low").scalar()) & (key <= ends.select("high").scalar()))
+    return rows.orderBy(*turned).offset(skipped).limit(limit)
 
 
 def page_info(df: DataFrame, limit: int = DEFAULT_LIMIT, offset: int = 0) -> DataFrame:

@@ -236,6 +236,15 @@ def test_deep_page_through_equal_rows(spark):
     assert [r.v for r in paging.deep_page(df, [], 4, 1).collect()] == ["a", "a", "b", "b"]
 
 
+def test_deep_page_with_keys_that_repeat(spark, monkeypatch):
+    data = [(1, i) for i in range(20)] + [(2, i) for i in range(20)]
+    df = spark.createDataFrame(data, "k int, v int").repartition(4)
+    got = tuples(paging.deep_page(df, ["k"], 10, 15))
+    assert [k for k, _ in got] == [1] * 5 + [2] * 5
+    monkeypatch.setattr(paging, "TOP_K_ROWS", 3)
+    assert tuples(paging.deep_page(df, ["k"], 10, 15)) == data[15:25]
+
+
 def test_far_page_takes_the_deep_way(spark, monkeypatch):
     monkeypatch.setattr(paging, "TOP_K_ROWS", 5)
     assert [r.id for r in paging.page(spark.range(30), ["id"], 4, 11).collect()] == [11, 12, 13, 14]
