@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         spark__sql__warehouse__dir=str(home / "warehouse"),
         spark__checkpoint__dir=str(home / "checkpoints"),
         spark__driver__memory="8g",
+        spark__sql__maxMetadataStringLength="5000",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
