@@ -701,9 +701,24 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["mart_weather_impact"](spark, SMOKE_FOLDER)
 
 
+def _text_operators() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the subpackage ``llm`` and the pipeline; none where they are not installed."""
+    try:
+        import corpus_pipeline
+        from roadlens.llm import queries as text
+    except ModuleNotFoundError as missing:
+        if (missing.name or "").startswith(("corpus_pipeline", "roadlens.llm")):
+            return {}, {}
+        raise
+    sql = text.oracle_sql()
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**text.queries(), "pipeline": corpus_pipeline.run}, sql
+
+
 def queries() -> dict[str, Query]:
-    return dict(_REGISTERED)
+    return _REGISTERED | _text_operators()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE_SQL)
+    return ORACLE_SQL | _text_operators()[1]
