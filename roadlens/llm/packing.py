@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import SPACED, Block, Words, blocks, find_words, word_hashes
+from .words import SPACED, SPACED_LOWER, Block, Words, blocks, distinct, find_words, word_hashes
 
 SEQUENCE = 4096
 END_ID = 2
@@ -22,17 +22,60 @@ STRIDE = 256
 KNOWN_WORDS = 1 << 20
 
 
+_ASCII_LETTER = np.isin(np.arange(256) | 0x20, np.arange(97, 123)) & (np.arange(256) < 0x80)
+#: ASCII marks, without the apostrophe, which can begin a token of letters.
+_MARK = np.isin(np.arange(256), np.frombuffer(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~", np.uint8))
+
+
+def _letters(data: np.ndarray) -> np.ndarray:
+    """Bytes that surely belong to letters: of ASCII, and of U+00C0 to U+00FF but for the two signs there."""
+    sure = _ASCII_LETTER[data]
+    if len(data) > 1:
+        second = (data[1:] >= 0x80) & (data[1:] < 0xC0) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        pair = (data[:-1] == 0xC3) & second
+        sure[:-1] |= pair
+        sure[1:] |= pair
+    return sure
+
+
+def find_units(block: Block) -> tuple[Words, np.ndarray]:
+    """Runs without white space, cut further between a letter and a mark, and which are of one kind only.
+
+    The tokenizer never takes letters and marks into one token, so it gives the units of a text
+    the ids that it gives them in the text. A unit of letters only or marks only is one word to it.
+    """
+    data = block.data
+    words = find_words(block, SPACED)
+    letters, marks = _letters(data), _MARK[data]
+    cut = np.flatnonzero((letters[:-1] & marks[1:]) | (marks[:-1] & letters[1:])) + 1
+    between = np.zeros(len(data) + 1, bool)
+    between[block.bounds] = True
+    cut = cut[~between[cut]]
+    starts = np.sort(np.concatenate((words.starts, cut)), kind="stable")
+    ends = np.sort(np.concatenate((words.ends, cut)), kind="stable")
+    length = ends - starts
+    upto = np.concatenate(([0], np.cumsum(letters)))
+    plain = upto[ends] - upto[starts] == length
+    upto = np.concatenate(([0], np.cumsum(marks)))
+    plain |= upto[ends] - upto[starts] == length
+    return Words(starts, ends, np.searchsorted(starts, block.bounds)), plain
+
+
 class WordIds:
-    """Ids of words, each told apart by its hash and tokenized once.
+    """Ids of units, each told apart by its hash and tokenized once.
 
-    The tokenizer drops white space and looks at nothing beyond it, so a text's ids are those of
-    its words one after the other. At most ``KNOWN_WORDS`` words and those of a block are held.
+    At most ``KNOWN_WORDS`` units and those of a block are held.
     """
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
-        self.mark = "<|startoftext|>"
-        self.mark_id = tokenizer.token_to_id(self.mark)
+        special = tokenizer.get_added_tokens_decoder()
+        self.special = [token.content.lower().encode() for token in special.values()]
+        self.mark_id, mark = min(special.items(), default=(None, None), key=lambda x: x[0])
+        self.mark = mark.content if mark else ""
+        self.closes = np.zeros(tokenizer.get_vocab_size() + 1, bool)
+        for token, number in tokenizer.get_vocab().items():
+            self.closes[number] = token.endswith("</w>")
         self.forget()
 
     def forget(self) -> None:
@@ -41,64 +84,95 @@ class WordIds:
         self.counts = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the words in a row, and how many each has."""
-        if self.mark_id is not None and not any(self.mark in w for w in words):
-            ids = np.array(self.tokenizer.encode(self.mark.join(words), add_special_tokens=False).ids, np.uint32)
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def encode(self, units: list[str], plain: bool) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the units in a row, and how many each has.
+
+        Plain units are told apart by the tokens that close a word, others by a special token
+        between them; where these do not come out one by one, each unit is tokenized alone.
+        """
+        if not units:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        if plain:
+            ids = self._ids(" ".join(units))
+            closing = np.flatnonzero(self.closes[ids])
+            if len(closing) == len(units) and closing[-1] == len(ids) - 1:
+                return ids, np.diff(closing, prepend=-1)
+        elif self.mark:
+            ids = self._ids(self.mark.join(units))
             marks = np.flatnonzero(ids == self.mark_id)
-            if len(marks) == len(words) - 1:
+            if len(marks) == len(units) - 1:
                 edges = np.concatenate(([-1], marks, [len(ids)]))
                 return ids[ids != self.mark_id], np.diff(edges) - 1
-        each = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        each = [e.ids for e in self.tokenizer.encode_batch(units, add_special_tokens=False)]
         return np.array([i for ids in each for i in ids], np.uint32), np.array([len(ids) for ids in each], np.int64)
 
-    def places(self, block: Block, words: Words) -> np.ndarray:
-        """For each word of the block, where its ids are told of in ``begins`` and ``counts``."""
-        hashes = word_hashes(block, words, SPACED)
+    def places(self, block: Block, units: Words, plain: np.ndarray) -> np.ndarray:
+        """For each unit of the block, where its ids are told of in ``begins`` and ``counts``."""
+        # the tokenizer lower-cases, so units that differ in A-Z only are one
+        hashes = word_hashes(block, units, SPACED_LOWER)
         if len(self.hashes) > KNOWN_WORDS:
             self.forget()
-        different, first = np.unique(hashes, return_index=True)
+        different, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         at = np.searchsorted(self.hashes, different)
         known = np.zeros(len(different), bool)
         inside = at < len(self.hashes)
         known[inside] = self.hashes[at[inside]] == different[inside]
         if not known.all():
-            held, new = block.data.tobytes(), first[~known]
+            held, fresh = block.data.tobytes(), np.flatnonzero(~known)
+            fresh = fresh[np.argsort(~plain[first[fresh]], kind="stable")]
+            new = first[fresh]
             texts = [
                 held[a:b].decode("utf-8", "replace")
-                for a, b in zip(words.starts[new].tolist(), words.ends[new].tolist())
+                for a, b in zip(units.starts[new].tolist(), units.ends[new].tolist())
             ]
-            ids, counts = self.encode(texts)
+            n = int(plain[new].sum())
+            parts = [self.encode(texts[:n], True), self.encode(texts[n:], False)]
+            counts = np.concatenate([c for _, c in parts])
             begins = len(self.ids) + np.concatenate(([0], np.cumsum(counts[:-1])))
-            self.ids = np.concatenate((self.ids, ids))
+            self.ids = np.concatenate((self.ids, *[i for i, _ in parts]))
+            order = np.argsort(fresh)
             self.hashes = np.insert(self.hashes, at[~known], different[~known])
-            self.begins = np.insert(self.begins, at[~known], begins)
-            self.counts = np.insert(self.counts, at[~known], counts)
-        return np.searchsorted(self.hashes, hashes)
+            self.begins = np.insert(self.begins, at[~known], begins[order])
+            self.counts = np.insert(self.counts, at[~known], counts[order])
+            at = np.searchsorted(self.hashes, different)
+        return at[inverse]
 
 
 def token_stream(block: Block, vocabulary: WordIds, end_id: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(ids, ends of documents, ends of sentences)`` of the block's texts, each closed by ``end_id``."""
-    words = find_words(block, SPACED)
-    at = vocabulary.places(block, words) if len(words.starts) else np.zeros(0, np.int64)
-    # the closing id of a text counts as a word of its own, placed after its words
-    slots = np.arange(len(at)) + words.text_of()
-    closing = words.first[1:] + np.arange(len(block))
+    held = block.data.tobytes()
+    if any(token in held.lower() for token in vocabulary.special):
+        # a special token's own text: its case counts and it is taken as a whole
+        texts = [held[a:b].decode("utf-8", "replace") for a, b in zip(block.bounds[:-1].tolist(), block.bounds[1:].tolist())]
+        each = [
+            np.array([*e.ids, end_id], np.uint32)
+            for e in vocabulary.tokenizer.encode_batch(texts, add_special_tokens=False)
+        ]
+        return np.concatenate(each), np.cumsum([len(ids) for ids in each]), np.zeros(0, np.int64)
+    units, plain = find_units(block)
+    at = vocabulary.places(block, units, plain) if len(units.starts) else np.zeros(0, np.int64)
+    # the closing id of a text counts as a unit of its own, placed after its units
+    slots = np.arange(len(at)) + units.text_of()
+    closing = units.first[1:] + np.arange(len(block))
     counts = np.ones(len(at) + len(block), np.int64)
     begins = np.full(len(counts), len(vocabulary.ids), np.int64)
     counts[slots], begins[slots] = vocabulary.counts[at], vocabulary.begins[at]
     upto = np.concatenate(([0], np.cumsum(counts)))
     source = np.repeat(begins - upto[:-1], counts) + np.arange(upto[-1])
     ids = np.append(vocabulary.ids, np.uint32(end_id))[source]
-    last = block.data[words.ends - 1]
-    following = np.append(block.data, np.uint8(10))[words.ends]
-    closes = (last == ord(".")) | (last == ord("!")) | (last == ord("?")) | (following == 10)
+    last = block.data[units.ends - 1]
+    following = np.append(block.data, np.uint8(10))[units.ends]
+    closes = (last == ord(".")) | (last == ord("!")) | (last == ord("?"))
+    closes = (closes & ~SPACED.inside[following]) | (following == 10)
     return ids, upto[closing + 1], upto[slots[closes] + 1]
 
 
 def cut_places(ends: np.ndarray, sentences: np.ndarray, total: int, stride: int) -> tuple[np.ndarray, np.ndarray]:
     """Places at which a window may end, in order, and what a cut there costs."""
-    places = np.unique(np.concatenate((ends, sentences, [total])))
+    places = distinct(np.concatenate((ends, sentences, [total])))
     gaps = np.diff(np.concatenate(([0], places)))
     more = np.maximum((gaps - 1) // stride, 0)
     begins = np.repeat(places - gaps, more)
@@ -163,7 +237,7 @@ class _Open:
     def take(self, cuts: list[int], sequence: int):
         """The pieces of the sequences that end at ``cuts``; what follows stays."""
         past = cuts[-1]
-        begins = np.unique(np.concatenate((self.starts[self.starts < past], [0], cuts[:-1]))).astype(np.int64)
+        begins = distinct(np.concatenate((self.starts[self.starts < past], [0], cuts[:-1]))).astype(np.int64)
         ends = np.append(begins[1:], past)
         owner = np.searchsorted(self.starts, begins, "right") - 1
         number = np.searchsorted(cuts, begins, "right")
@@ -245,8 +319,8 @@ def pack(
     next ones, so only the last sequence of a partition may be short. No rows are shuffled, and
     a task holds one block of texts and one open window.
 
-    The tokenizer's words must end at white space (it is read from ``tokenizer_path`` on the
-    driver and sent as text). Null and empty texts are ``end_id`` alone. Rows that repeat an id
+    The tokenizer must lower-case, drop white space and take letters and marks apart (it is read
+    from ``tokenizer_path`` on the driver and sent as text). Null and empty texts are ``end_id`` alone. Rows that repeat an id
     are documents of their own; other columns are ignored, and no rows give no rows.
     """
     with open(tokenizer_path, encoding="utf-8") as file:
