@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..sources.storage import materialize
 from .bits import bit_map, may_hold
 from .links import Similarity, similar_components
-from .words import SPACED_LOWER, Block, blocks, find_words, gram_hashes, mix, word_hashes
+from .words import SPACED_LOWER, Block, blocks, distinct, find_words, gram_hashes, mix, word_hashes
 
 SIMILARITY = Similarity(percent=75, hashes=256, bands=32, looks=(32, 64, 96, 128, 192, 256))
 
@@ -25,7 +25,7 @@ def shingle_sets(block: Block, size: int) -> list[np.ndarray]:
     out = []
     for low, high in zip(words.first[:-1].tolist(), words.first[1:].tolist()):
         if high - low >= size:
-            out.append(np.unique(grams[low : high - size + 1]))
+            out.append(distinct(grams[low : high - size + 1]))
         else:
             out.append(gram_hashes(hashes[low:high], high - low) if high > low else hashes[:0])
     return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 from .line_dedup import lines_of
-from .words import SPACED, Block, Words, find_words, gram_hashes, mix, whole_grams, word_hashes
+from .words import SPACED, Block, Words, distinct, find_words, gram_hashes, mix, whole_grams, word_hashes
 
 SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 CONTINUES = (np.arange(256) & 0xC0) == 0x80
@@ -46,7 +46,7 @@ def repeated_words(words: Words, hashes: np.ndarray, size: int) -> np.ndarray:
     whole = np.flatnonzero(whole_grams(words, size)[: len(grams)])
     keys = mix(grams[whole] ^ mix(words.text_of()[whole].astype(np.uint64) + np.uint64(1)))
     ordered = np.sort(keys)
-    twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    twice = distinct(ordered[1:][ordered[1:] == ordered[:-1]])
     out = np.zeros(len(hashes) + 1, np.int64)
     if len(twice):
         at = np.searchsorted(twice, keys)

@@ -34,6 +34,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The different values, sorted."""
+    x = np.sort(x)
+    new = np.ones(len(x), bool)
+    new[1:] = x[1:] != x[:-1]
+    return x[new]
+
+
 def _byte_values(lower: bool) -> np.ndarray:
     code = np.arange(256, dtype=np.uint64)
     if lower:
