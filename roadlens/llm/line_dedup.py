@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from ..sources.storage import materialize
 from .bits import bit_map, may_hold
 from .links import Similarity, similar_components
-from .words import SPACED, Block, _tables, blocks, code_points, find_words, mix
+from .words import SPACED, Block, _tables, blocks, code_points, distinct, find_words, mix
 
 SIMILARITY = Similarity(percent=80, hashes=32, bands=8, looks=(16, 32), miss=1e-4)
 SHINGLE = 10
 NEWLINE = 10
+#: The value of a shingle in its part depends on the bits that do not choose the part as well.
+SPREAD = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def lines_of(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -45,6 +47,16 @@ def line_key(line: bytes) -> bytes:
     return hashlib.blake2b(line, digest_size=16).digest()
 
 
+_LOW = mix(np.arange(1, 1 << 12, dtype=np.uint64))
+
+
+def _character_values(codes: np.ndarray) -> np.ndarray:
+    """64 bits of each character; the first few thousand are looked up."""
+    if not len(codes) or codes.max() < len(_LOW):
+        return _LOW[codes]
+    return mix(codes + np.uint64(1))
+
+
 def shingle_hashes(lines: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the runs of ``size`` characters of each line, and where each line's begin.
 
@@ -52,15 +64,25 @@ def shingle_hashes(lines: list[bytes], size: int) -> tuple[np.ndarray, np.ndarra
     """
     bounds = np.concatenate(([0], np.cumsum([len(line) for line in lines]))).astype(np.int64)
     codes, begins = code_points(Block(0, bounds, np.frombuffer(b"".join(lines), np.uint8)))
-    length = np.diff(begins)
     powers, inverses = _tables(len(codes) + 1)
     sums = np.zeros(len(codes) + 1, np.uint64)
-    np.cumsum(mix(codes + np.uint64(1)) * powers[: len(codes)], out=sums[1:])
-    counts = np.maximum(length - size + 1, 1)
-    first = np.concatenate(([0], np.cumsum(counts)))
-    starts = np.repeat(begins[:-1] - first[:-1], counts) + np.arange(first[-1])
-    ends = starts + np.repeat(np.minimum(length, size), counts)
-    return mix((sums[ends] - sums[starts]) * inverses[starts]), first
+    np.cumsum(_character_values(codes) * powers[: len(codes)], out=sums[1:])
+    length = np.diff(begins)
+    first = np.concatenate(([0], np.cumsum(np.maximum(length - size + 1, 1))))
+    # every place of the block at once, then without those that run over a line's end
+    n = max(len(codes) - size + 1, 0)
+    every = (sums[size:] - sums[:n]) * inverses[:n]
+    inside = np.ones(len(codes), bool)
+    for back in range(1, size):
+        ends = begins[1:] - back
+        inside[ends[ends >= begins[:-1]]] = False
+    short = np.flatnonzero(length < size)
+    out = np.empty(first[-1], np.uint64)
+    whole = np.ones(len(out), bool)
+    whole[first[short]] = False
+    out[whole] = every[inside[:n]]
+    out[first[short]] = (sums[begins[short + 1]] - sums[begins[short]]) * inverses[begins[short]]
+    return mix(out), first
 
 
 def one_permutation(hashes: np.ndarray, first: np.ndarray, bins: int) -> np.ndarray:
@@ -73,21 +95,25 @@ def one_permutation(hashes: np.ndarray, first: np.ndarray, bins: int) -> np.ndar
     empty = np.uint64((1 << 64) - 1)
     least = np.full(lines * bins, empty, np.uint64)
     part = ((hashes >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
-    np.minimum.at(least, np.repeat(np.arange(lines) * bins, np.diff(first)) + part, mix(hashes))
-    least = least.reshape(lines, bins)
-    missing = least == empty
-    out = least.copy()
+    np.minimum.at(least, np.repeat(np.arange(lines) * bins, np.diff(first)) + part, hashes * SPREAD)
+    out = least.reshape(lines, bins)
+    missing = out == empty
     parts = np.arange(bins, dtype=np.uint64)
-    for attempt in range(1, 400):
-        if not missing.any():
+    open_lines = np.flatnonzero(missing.any(1))
+    least, rest = out[open_lines], missing[open_lines]
+    for attempt in range(1, 8 * bins):
+        if not len(open_lines):
             break
         source = (mix(parts + np.uint64(attempt << 16)) % np.uint64(bins)).astype(np.int64)
-        filled = missing & (least[:, source] != empty)
-        out[filled] = least[:, source][filled]
-        missing &= ~filled
-    # a few parts may be left for lines of one or two values
-    rest = np.where(missing, least.min(1, keepdims=True), out)
-    return (rest >> np.uint64(16) & np.uint64(0xFFFF)).astype(np.uint16)
+        found = least[:, source]
+        filled = rest & (found != empty)
+        out[open_lines] = np.where(filled, found, out[open_lines])
+        rest &= ~filled
+        still = rest.any(1)
+        open_lines, least, rest = open_lines[still], least[still], rest[still]
+    # what is left after that many steps takes the line's least value
+    out[open_lines] = np.where(rest, least.min(1, keepdims=True), out[open_lines])
+    return (out >> np.uint64(16) & np.uint64(0xFFFF)).astype(np.uint16)
 
 
 def _described(size: int, bins: int):
@@ -124,33 +150,28 @@ def _described(size: int, bins: int):
 
 
 def _chosen(wanted):
-    """Key and normalised text of the lines that may be wanted, once for each block."""
+    """Key and normalised text of the lines of documents that may have a wanted one."""
 
     def run(batches):
         for batch in batches:
-            for block in blocks(batch.column(0)):
+            rows = np.flatnonzero(may_hold(wanted.value, batch.column(0).to_numpy(zero_copy_only=False)))
+            if not len(rows):
+                continue
+            for block in blocks(batch.column(1).take(pa.array(rows))):
                 _, _, starts, ends = lines_of(block)
                 held = block.data.tobytes()
                 lines = list({normalised(held[a:b]) for a, b in zip(starts.tolist(), ends.tolist())})
-                keys = [line_key(line) for line in lines]
-                heads = np.frombuffer(b"".join(k[:8] for k in keys), ">u8").astype(np.uint64)
-                rows = np.flatnonzero(may_hold(wanted.value, heads)).tolist()
-                if rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([keys[i] for i in rows], pa.binary()),
-                            pa.array([lines[i] for i in rows], pa.binary()),
-                        ],
-                        ["key", "payload"],
-                    )
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([line_key(line) for line in lines], pa.binary()),
+                        pa.array(lines, pa.binary()),
+                    ],
+                    ["key", "payload"],
+                )
 
     return run
 
 
-#: The first eight bytes of a key as a 64-bit value, as ``_chosen`` reads them.
-HEAD = "cast(conv(hex(substring(key, 1, 8)), 16, -10) as long)"
-
-
 def line_components(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -188,15 +209,16 @@ def line_components(
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "line-classes")
 
     def fetch(wanted: DataFrame) -> DataFrame:
-        at = nodes.select("node", "key").join(wanted, "node", "left_semi")
-        likely = spark.sparkContext.broadcast(bit_map(at, F.expr(HEAD)))
-        texts = source.select("text").mapInArrow(_chosen(likely), "key binary, payload binary")
+        at = nodes.select("node", "key", "at.id").join(wanted, "node", "left_semi")
+        likely = spark.sparkContext.broadcast(bit_map(at, F.xxhash64("id")))
+        texts = source.select(F.xxhash64("id").alias("hash"), "text")
+        texts = texts.mapInArrow(_chosen(likely), "key binary, payload binary")
         return at.join(texts, "key").select("node", "payload").dropDuplicates(["node"])
 
     def sets_of(payload: pa.Array) -> list[np.ndarray]:
         lines = payload.to_pylist()
         hashes, first = shingle_hashes(lines, shingle)
-        return [np.unique(hashes[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+        return [distinct(hashes[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
 
     labels = similar_components(nodes, similarity, fetch, sets_of)
     linked = nodes.select("node", "key", "at").join(labels, "node")

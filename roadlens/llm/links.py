@@ -64,11 +64,11 @@ class Similarity:
 
 
 def signature_buckets(similarity: Similarity):
-    """The bucket of each band of the binary column ``signature``; its last six bits are the band."""
-    return F.expr(
-        f"transform(sequence(0L, {similarity.bands - 1}L), "
-        "i -> (xxhash64(substring(signature, cast(i * 8 + 1 as int), 8)) & -64L) | i)"
-    )
+    """The buckets of the bands of the binary column ``signature``; the last six bits are the band."""
+    keys = [
+        f"(xxhash64(substring(signature, {8 * band + 1}, 8)) & -64L) | {band}L" for band in range(similarity.bands)
+    ]
+    return F.expr(f"array({', '.join(keys)})")
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
