@@ -78,8 +78,8 @@ def judge_urls(
     does, ``rule`` is null and ``verdict`` is ``default``. A rule without words is tried everywhere.
 
     Each URL's rows are combined before they are shuffled, and its row number, not its host or
-    words, is the key, so common hosts and words make no large group. Rules are joined, not
-    collected: how they are sent follows from their size.
+    words, is the key, so common hosts and words make no large group. The rules, a list that the
+    caller holds, are sent to every task.
 
     A null URL, or one without ``://``, has an empty host and path. Repeated rows and ids are
     judged each by itself; other columns are ignored, and no rows give no rows.
@@ -96,7 +96,7 @@ def judge_urls(
     rule_words = known.select("name", "pattern", F.explode("words").alias("word"))
     counts = (
         urls.select(F.explode(words).alias("word"))
-        .join(rule_words.select("word").distinct(), "word", "left_semi")
+        .join(F.broadcast(rule_words.select("word").distinct()), "word", "left_semi")
         .groupBy("word")
         .agg(F.count("*").alias("n"))
     )
@@ -111,7 +111,7 @@ def judge_urls(
 
     asked = urls.withColumn("row", F.monotonically_increasing_id()).withColumn("target", target)
     asked = asked.withColumn("word", F.explode(F.concat(F.array(F.lit("")), words)))
-    tried = asked.join(filed, "word", "left")
+    tried = asked.join(F.broadcast(filed), "word", "left")
     fits = F.expr("target rlike pattern")
     # the smallest of (-rank, name): the highest rank, then the first name
     best = F.min(F.when(fits, F.struct((-F.col("rank")).alias("order"), "name", "verdict")))
