@@ -96,7 +96,8 @@ def scan_licenses(
     documents have each, rarest first. A block and a template whose overlap can reach the least
     needed share one of the first (length - least + 1) words of both; they are joined on these, a
     pair at its first shared word only, and pairs go on where lengths and positions allow the
-    overlap. What is left is counted in full. The templates are few and are joined by size.
+    overlap. What is left is counted in full. The templates are sent to every task: they are a list that the
+    caller holds.
 
     Null and empty texts have no words. Rows that repeat an id are scanned each by itself. Other
     columns are ignored, and no rows give no rows.
@@ -152,7 +153,8 @@ def scan_licenses(
     ours = blocks.select("row", "line", "words", F.posexplode(prefix).alias("at", "word"))
     their_prefix = F.slice("theirs", 1, F.size("theirs") - F.col("least") + 1)
     indexed = known.select("*", F.posexplode(their_prefix).alias("their_at", "word"))
-    pairs = ours.join(indexed, "word").where(
+    # a row for each word of a template at most; the templates are held by the driver
+    pairs = ours.join(F.broadcast(indexed), "word").where(
         # length; the prefix of this template; the words left after this place on either side
         "size(words) >= least AND at <= size(words) - least "
         "AND least(size(words) - at, size(theirs) - their_at) >= least "
