@@ -9,11 +9,12 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.ml.functions import vector_to_array  # noqa: E402
+from pyspark.ml.functions import array_to_vector, vector_to_array  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
@@ -194,6 +195,25 @@ def raw_csv_roundtrip(spark, folder):
     )
 
 
+@registered
+def raw_csv_bad_rows(spark, folder):
+    """Rows with a field too few or too many, read back with their lines."""
+    path = scratch_path(spark, "bad-rows")
+    fields = [
+        F.concat(F.lit("O-"), F.col("o_orderkey")), (F.col("o_orderkey") % 4 + 1).cast("string"), F.col("o_orderpriority")
+    ]
+    line = (
+        F.when(F.col("o_orderkey") % 10 == 0, F.concat_ws(",", *fields[:2]))
+        .when(F.col("o_orderkey") % 10 == 1, F.concat_ws(",", *fields, F.lit("more")))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    lines = table(spark, folder, "orders").select(line.alias("ID,Severity,Description"))
+    lines.write.option("header", True).option("sep", "\x01").option("quote", "").csv(path)
+    return read_raw_csv(spark, path).select(
+        F.col("ID").alias("id"), F.col("Severity").alias("severity"), F.col("Description").alias("description"), "bad_row"
+    )
+
+
 def _order_feeds(spark, folder):
     """The orders as three feeds of consecutive date ranges."""
     orders = table(spark, folder, "orders").withColumn(
@@ -219,6 +239,34 @@ def snapshot_merge(spark, folder):
     return _order_columns(snapshots.read_snapshot(spark, base))
 
 
+def _feeds_of_one_day(spark, folder):
+    """The orders as three feeds that all end with the same day, the last one given twice."""
+    orders = table(spark, folder, "orders").withColumn(
+        "situation_date", F.when(F.col("o_orderkey") % 5 != 0, F.lit("31-12-2001"))
+    )
+    parts = [orders.where(F.col("o_orderkey") % 3 == n) for n in range(3)]
+    return [*parts, parts[2]]
+
+
+@registered
+def feeds_same_day(spark, folder):
+    """Every feed of a day stays; the same feed again replaces itself."""
+    base = scratch_path(spark, "bronze")
+    for feed in _feeds_of_one_day(spark, folder):
+        snapshots.append_delta(feed, base)
+    return _order_columns(snapshots.read_as_of(spark, base))
+
+
+@registered
+def feeds_late(spark, folder):
+    """Cumulative folders where the second feed comes last."""
+    base = scratch_path(spark, "bronze")
+    first, second, third = _order_feeds(spark, folder)
+    for feed in (first, third, second):
+        snapshots.append_snapshot(feed, base)
+    return _order_columns(snapshots.read_snapshot(spark, base))
+
+
 @registered
 def snapshot_delta(spark, folder):
     """As of the second feed's day, from folders that hold one feed each."""
@@ -503,6 +551,16 @@ def page_deep(spark, folder):
     )
 
 
+@registered
+def page_union(spark, folder):
+    """All pages over a key that repeats, from one index: every row once."""
+    orders = table(spark, folder, "orders").select("o_orderpriority", "o_custkey", "o_orderkey")
+    index = paging.PageIndex(orders, ["o_orderpriority"])
+    total, step = sum(n for _, n in index.totals), paging.MAX_LIMIT
+    pages = [index.page(step, offset) for offset in range(0, total, step)]
+    return reduce(DataFrame.unionAll, pages)
+
+
 @registered
 def page_info(spark, folder):
     return paging.page_info(table(spark, folder, "customer"), limit=25, offset=40)
@@ -622,6 +680,34 @@ def feature_importance(spark, folder):
     return model.feature_importance(fitted, model.score(fitted, test))
 
 
+def _by_rule(spark, folder):
+    """Records with a prediction that a statement can make: high above 60 degrees."""
+    records = silver_records(spark, folder).select("id", "severity", "temperature_f")
+    warmth = F.coalesce(F.col("temperature_f"), F.lit(0.0)) / 1000
+    return records.select(
+        "id",
+        "severity",
+        binarize(F.col("severity"), features.HIGH_SEVERITY).alias(features.LABEL),
+        F.when(F.col("temperature_f") > 60, 1.0).otherwise(0.0).alias("prediction"),
+        array_to_vector(F.array(1 - warmth, warmth)).alias("probability"),
+    )
+
+
+@registered
+def confusion_by_rule(spark, folder):
+    return model.confusion_matrix(_by_rule(spark, folder))
+
+
+@registered
+def metrics_by_rule(spark, folder):
+    return _rounded(model.evaluate(model.confusion_matrix(_by_rule(spark, folder))))
+
+
+@registered
+def top_by_rule(spark, folder):
+    return _rounded(model.top_predictions(_by_rule(spark, folder)))
+
+
 # ---------------------------------------------------------------- streams
 
 
@@ -651,11 +737,30 @@ def stream_ingest(spark, folder):
             to_silver(stream), ["id"], ["situation_date"], store, at
         ),
     )
-    return ingest.read_store(spark, store, silver_schema()).select(
+    return ingest.read_store(spark, store, silver_schema(), ["id"], ["situation_date"]).select(
         "id", "situation_date", "severity", "start_time", "city", "temperature_f"
     )
 
 
+@registered
+def stream_versions(spark, folder):
+    """A second delivery with other severities, on a later day, under a checkpoint of its own."""
+    store = scratch_path(spark, "store")
+    records = bronze_records(spark, folder)
+    newer = records.where("Severity is not null").withColumns(
+        {"Severity": F.lit(5) - F.col("Severity"), "situation_date": F.lit("31-12-2024")}
+    )
+    for feed in (newer, records):
+        _deliver(
+            spark,
+            [feed],
+            lambda stream, at: ingest.stream_ingest(to_silver(stream), ["id"], ["situation_date"], store, at),
+        )
+    return ingest.read_store(spark, store, silver_schema(), ["id"], ["situation_date"]).select(
+        "id", "situation_date", "severity"
+    )
+
+
 @registered
 def stream_daily_counts(spark, folder):
     store = scratch_path(spark, "days")

@@ -151,6 +151,12 @@ _QUALITY = [
     ("parsable_date", "situation_date", "try_strptime(situation_text, '%d-%m-%Y') IS NULL"),
 ]
 
+_RULE = """,
+ruled AS (
+  SELECT CAST(severity >= 3 AS INTEGER) AS label, CAST(coalesce(temperature_f > 60, false) AS INTEGER) AS prediction
+  FROM records WHERE severity IS NOT NULL
+)"""
+
 ORACLE_SQL = {
     "mart_daily": _on_records(f"""
 SELECT {_day('CAST(start_time AS DATE)', 'accident_date')}, count(DISTINCT id) AS accident_count
@@ -226,6 +232,37 @@ SELECT id, situation_text AS situation_date, severity, {_stamp('start_time')}, t
        stop, 0 AS bad_fields FROM records"""),
     "snapshot_merge": f"SELECT {_ORDERS}",
     "snapshot_delta": f"SELECT {_ORDERS} WHERE o_orderdate < TIMESTAMP '1999-01-01'",
+    "feeds_same_day": """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 5 <> 0 THEN '31-12-2001' END AS situation_date, o_totalprice
+FROM orders""",
+    "feeds_late": f"SELECT {_ORDERS}",
+    "raw_csv_bad_rows": """
+SELECT 'O-' || o_orderkey AS id, CAST(o_orderkey % 4 + 1 AS INTEGER) AS severity,
+       CASE WHEN o_orderkey % 10 <> 0 THEN o_orderpriority END AS description,
+       CASE o_orderkey % 10 WHEN 0 THEN 'O-' || o_orderkey || ',' || (o_orderkey % 4 + 1)
+            WHEN 1 THEN 'O-' || o_orderkey || ',' || (o_orderkey % 4 + 1) || ',' || o_orderpriority || ',more' END AS bad_row
+FROM orders""",
+    "page_union": "SELECT o_orderpriority, o_custkey, o_orderkey FROM orders",
+    "confusion_by_rule": _on_records(f"{_RULE} SELECT label, prediction, count(*) AS n FROM ruled GROUP BY ALL"),
+    "metrics_by_rule": _on_records(f"""{_RULE},
+per_class AS (
+  SELECT c, count(*) FILTER (label = c) AS support, count(*) FILTER (prediction = c) AS predicted,
+         count(*) FILTER (label = c AND prediction = c) AS hit
+  FROM ruled, (VALUES (0), (1)) AS classes(c) GROUP BY c
+)
+SELECT CAST(sum(support) AS BIGINT) AS n, round(sum(hit) / sum(support), 6) AS accuracy,
+       round(sum(coalesce(2.0 * hit / nullif(support + predicted, 0), 0) * support) / sum(support), 6) AS f1
+FROM per_class"""),
+    "top_by_rule": _on_records("""
+SELECT id, severity, CAST(coalesce(severity, 0) >= 3 AS INTEGER) AS severity_binary,
+       CASE WHEN temperature_f > 60 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction,
+       round(coalesce(temperature_f, 0) / 1000, 6) AS probability_high
+FROM records
+ORDER BY prediction DESC, coalesce(temperature_f, 0) / 1000 DESC, id LIMIT 20"""),
+    "stream_versions": _on_records(f"""
+SELECT id, CASE WHEN severity IS NULL THEN {_day('situation_date', 'd').rpartition(' AS ')[0]} ELSE '2024-12-31' END AS situation_date,
+       5 - severity AS severity
+FROM once"""),
     "merge_feeds": f"""SELECT {_ORDERS} WHERE o_orderdate < TIMESTAMP '1997-01-01'
 UNION ALL SELECT {_ORDERS} WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1999-01-01'
 UNION ALL SELECT {_ORDERS} WHERE o_orderdate >= TIMESTAMP '1999-01-01'""",

@@ -10,28 +10,67 @@ from __future__ import annotations
 
 import argparse
 import os
+import re
 from collections.abc import Sequence
 from datetime import date
 from functools import partial
+from typing import NamedTuple
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from .plans import features, marts, model
 from .schema import bronze_schema
 from .session import build_session
 from .sources import served, silver, snapshots
-from .sources.delimited import BAD_FIELDS, read_raw_csv
+from .sources.delimited import BAD_FIELDS, BAD_ROW, read_raw_csv
 from .sources.storage import materialize
 
 
-def ingest(spark: SparkSession, parts: Sequence[str], base: str, layout: str = "delta") -> list[str]:
-    """File each delimited part under its latest day.
+MISFITS = "misfits"
+
+
+class Ingested(NamedTuple):
+    """The day's folder of a part, its rows, those with a field that fits no type, and those of
+    another number of fields."""
+
+    path: str
+    rows: int
+    misfit_rows: int
+    bad_rows: int
+
+
+def ingest(
+    spark: SparkSession, parts: Sequence[str], base: str, layout: str = "delta", multi_line: bool = False
+) -> list[Ingested]:
+    """File each delimited part under its latest day, as a feed named after its path.
 
     ``delta`` writes each part once. ``cumulative`` repeats all history in each day's folder.
+    Records with a misfit are filed with NULL there and also written to ``base``-misfits, by feed,
+    with the names of the fields and the line. Counts are observed while writing.
     """
     append = {"delta": snapshots.append_delta, "cumulative": snapshots.append_snapshot}[layout]
-    return [append(read_raw_csv(spark, part).drop(BAD_FIELDS), base) for part in parts]
+    out = []
+    # a session that has observed cannot ship a model it has just trained, so this one is apart
+    own = spark.newSession()
+    for part in parts:
+        records = read_raw_csv(own, part, multi_line=multi_line)
+        misfit, bad = F.size(BAD_FIELDS) > 0, F.col(BAD_ROW).isNotNull()
+        seen = Observation()
+        observed = records.observe(
+            seen,
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(misfit).alias("misfit_rows"),
+            F.count_if(bad).alias("bad_rows"),
+        )
+        path = append(observed.drop(BAD_FIELDS, BAD_ROW), base, feed=part)
+        counts = seen.get
+        if counts["misfit_rows"] or counts["bad_rows"]:
+            name = re.sub(r"[^0-9A-Za-z._-]", "_", part)
+            records.where(misfit | bad).write.mode("overwrite").parquet(f"{base.rstrip('/')}-{MISFITS}/{name}")
+        out.append(Ingested(path, counts["rows"], counts["misfit_rows"], counts["bad_rows"]))
+    return out
 
 
 def read_bronze(
@@ -49,10 +88,15 @@ def build_silver(
     mode: str = "overwrite",
     folder: str | None = None,
 ) -> None:
-    """Write ``accidents`` and ``weather`` by day, and ``rejects`` for records without one."""
+    """Write ``accidents`` and ``weather`` by day, and ``rejects`` for records without one.
+
+    ``overwrite_days`` keeps the rejects of earlier runs as well, each different one once.
+    """
     for name, df in silver.silver_tables(bronze, dedupe).items():
         path = f"{folder}/{name}" if folder else None
         if name == "rejects":
+            if mode == "overwrite_days" and spark.catalog.tableExists(name):
+                df = materialize(df.unionByName(spark.table(name)).distinct(), name)
             served.write_mart(df, name, path)
         else:
             silver.write_silver(df, name, path, mode)
@@ -113,6 +157,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         job.add_argument("--layout", choices=["delta", "cumulative"], default="delta")
         if name == "ingest":
             job.add_argument("parts", nargs="+")
+            job.add_argument("--multi-line", action="store_true")
         else:
             job.add_argument("--day", type=date.fromisoformat)
             job.add_argument("--dedupe", action="store_true")
@@ -128,7 +173,8 @@ def main(argv: Sequence[str] | None = None) -> None:
 
     spark = build_session(f"roadlens-{args.job}", spark__sql__catalogImplementation="hive")
     if args.job == "ingest":
-        ingest(spark, args.parts, args.base, args.layout)
+        for done in ingest(spark, args.parts, args.base, args.layout, args.multi_line):
+            print(*done)
     elif args.job == "silver":
         build_silver(spark, read_bronze(spark, args.base, args.day, args.layout), args.dedupe, args.mode)
     elif args.job == "marts":

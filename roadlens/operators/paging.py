@@ -8,15 +8,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..errors import BadPage
-from ..sources.storage import materialize
-from .rows import ordering, sort_table
+from ..sources.storage import Folder, scratch_path
+from .rows import ordering, sort_table, total_order
 
 # Page size.
 DEFAULT_LIMIT = 100
 MAX_LIMIT = 1000
 
-# Up to here a page is a top-k: every task, and the task that merges them, keeps this many rows.
-TOP_K_ROWS = 100_000
+# Up to here a page is taken as a top-k, further down by position: another plan, the same rows.
+NEAR_ROWS = 10 * MAX_LIMIT
+# Rows of a range of a page index.
+RANGE_ROWS = 1_000_000
 
 
 def check_page(limit: int, offset: int) -> None:
@@ -34,13 +36,14 @@ def page(
     sort_by: str | None = None,
     order: str = "asc",
 ) -> DataFrame:
-    """Rows ``offset`` to ``offset + limit`` of ``df``, sorted by ``sort_by`` and then ``keys``.
+    """Rows ``offset`` to ``offset + limit`` of ``df``, sorted by ``sort_by``, ``keys`` and all other columns.
 
-    With no ``keys`` all columns break ties, so pages never overlap. A page far down the table
-    goes through :func:`deep_page`, which keeps no more than a page in any one place.
+    The order is total at every offset, so pages never overlap and leave nothing out, whether or not
+    the keys repeat. A page far down goes through :func:`deep_page`, which keeps no more than a
+    page in any one place and gives the same rows.
     """
     check_page(limit, offset)
-    if offset + limit <= TOP_K_ROWS:
+    if offset + limit <= NEAR_ROWS:
         return sort_table(df, sort_by, order, keys).offset(offset).limit(limit)
     return deep_page(df, keys, limit, offset, sort_by, order)
 
@@ -53,61 +56,84 @@ def deep_page(
     sort_by: str | None = None,
     order: str = "asc",
 ) -> DataFrame:
-    """A page found by position instead of by skipping rows.
+    """A page found by position instead of by skipping rows; see :class:`PageIndex` for many of them."""
+    return PageIndex(df, keys, sort_by, order).page(limit, offset)
+
+
+class PageIndex:
+    """Positions of a table's rows, written once and used for all its pages.
 
     Only the sort columns are read, equal keys merged into one row with their number, then
-    spread over the cluster by range and written, which pins the ranges. The row total of each
-    range (one number per range) tells which ranges the page touches, and a running count inside
-    those alone gives its keys. Where the sort columns are all columns these keys are the page;
-    else its first and last key bound the read of the rows.
+    spread over the cluster by range and written, which pins the ranges. There are as many ranges
+    as keep one near ``RANGE_ROWS`` rows. The row total of each range (one number per range) tells
+    which ranges a page touches, and a running count inside those alone gives its keys. The first
+    and last of them bound the read of the rows; where the sort columns are all columns, the keys
+    are the page. :meth:`remove` deletes what was written.
     """
-    columns = ordering(df, sort_by, keys)
-    turn = F.desc if order == "desc" else F.asc
-    turned = [turn(c) for c in columns]
-    ranged = (
-        df.groupBy(*columns)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .repartitionByRange(*turned)
-        .select(F.struct(*columns).alias("key"), "n", F.spark_partition_id().alias("part"))
-    )
-    placed = materialize(ranged, "page")
-    end, begin, touched = offset + limit, 0, []
-    for part, n in sorted(placed.groupBy("part").agg(F.sum("n")).collect()):
-        if begin < end and begin + n > offset:
-            touched += [F.lit(part), F.lit(begin)]
-        begin += n
-    if not touched:
-        return df.limit(0)
-
-    # Rows before each range, and from there the positions [start, upto) of each key.
-    before_range = F.create_map(*touched)[F.col("part")]
-    inside_range = F.sum("n").over(Window.partitionBy("part").orderBy(turn("key")))
-    upto = F.col("upto")
-    start = upto - F.col("n")
-    page_keys = (
-        placed.where(F.col("part").isin(*touched[::2]))
-        .withColumn("upto", before_range + inside_range)
-        .where((start < end) & (upto > offset))
-        .select(
-            "key",
-            (F.least(upto, F.lit(end)) - F.greatest(start, F.lit(offset))).alias("taken"),
-            F.greatest(F.lit(offset) - start, F.lit(0)).alias("skipped"),
+
+    def __init__(self, df: DataFrame, keys: Sequence[str], sort_by: str | None = None, order: str = "asc"):
+        self.df, self.keys, self.sort_by, self.order = df, list(keys), sort_by, order
+        self.columns = ordering(df, sort_by, keys)
+        self.turn = F.desc if order == "desc" else F.asc
+        self.turned = [self.turn(c) for c in self.columns]
+        counted = df.groupBy(*self.columns).agg(F.count(F.lit(1)).alias("n"))
+        ranges = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.count() // RANGE_ROWS + 1)
+        ranged = counted.repartitionByRange(ranges, *self.turned).select(
+            F.struct(*self.columns).alias("key"), "n", F.spark_partition_id().alias("part")
         )
-    )
-    if set(columns) == set(df.columns):
-        copies = F.explode(F.array_repeat(F.lit(0), F.col("taken").cast("int"))).alias("_copy")
-        return page_keys.select("key.*", copies).select(*df.columns).orderBy(*turned)
+        self._path = scratch_path(df.sparkSession, "page")
+        ranged.write.parquet(self._path)
+        self.placed = df.sparkSession.read.schema(ranged.schema).parquet(self._path)
+        self.totals = sorted(self.placed.groupBy("part").agg(F.sum("n")).collect())
+        self._finer: PageIndex | None = None
+
+    def remove(self) -> None:
+        Folder(self.df.sparkSession, self._path).remove()
+        if self._finer:
+            self._finer.remove()
+
+    def page(self, limit: int, offset: int) -> DataFrame:
+        check_page(limit, offset)
+        df, columns, turn = self.df, self.columns, self.turn
+        end, begin, touched = offset + limit, 0, []
+        for part, n in self.totals:
+            if begin < end and begin + n > offset:
+                touched += [F.lit(part), F.lit(begin)]
+            begin += n
+        if not touched:
+            return df.limit(0)
+
+        # Rows before each range, and from there the positions [start, upto) of each key.
+        before_range = F.create_map(*touched)[F.col("part")]
+        inside_range = F.sum("n").over(Window.partitionBy("part").orderBy(turn("key")))
+        upto = F.col("upto")
+        start = upto - F.col("n")
+        page_keys = (
+            self.placed.where(F.col("part").isin(*touched[::2]))
+            .withColumn("upto", before_range + inside_range)
+            .where((start < end) & (upto > offset))
+            .select(
+                "key",
+                (F.least(upto, F.lit(end)) - F.greatest(start, F.lit(offset))).alias("taken"),
+                F.greatest(F.lit(offset) - start, F.lit(0)).alias("skipped"),
+            )
+        )
+        if set(columns) == set(df.columns):
+            copies = F.explode(F.array_repeat(F.lit(0), F.col("taken").cast("int"))).alias("_copy")
+            return page_keys.select("key.*", copies).select(*df.columns).orderBy(*self.turned)
 
-    # Rows equal in every sort column share a key; some of the first key's may lie before the page.
-    ends = page_keys.agg(
-        F.min("key").alias("low"), F.max("key").alias("high"), F.max("skipped").alias("skipped")
-    )
-    skipped = ends.first()["skipped"]
-    if skipped > TOP_K_ROWS:
-        return deep_page(df, [*columns, *[c for c in df.columns if c not in columns]], limit, offset, sort_by, order)
-    key = F.struct(*columns)
-    rows = df.where((key >= ends.select("low").scalar()) & (key <= ends.select("high").scalar()))
-    return rows.orderBy(*turned).offset(skipped).limit(limit)
+        # Rows equal in every sort column share a key; some of the first key's may lie before the page.
+        ends = page_keys.agg(
+            F.min("key").alias("low"), F.max("key").alias("high"), F.max("skipped").alias("skipped")
+        )
+        skipped = ends.first()["skipped"]
+        whole = total_order(df, self.sort_by, self.keys)
+        if skipped > NEAR_ROWS:
+            self._finer = self._finer or PageIndex(df, whole, self.sort_by, self.order)
+            return self._finer.page(limit, offset)
+        key = F.struct(*columns)
+        rows = df.where((key >= ends.select("low").scalar()) & (key <= ends.select("high").scalar()))
+        return rows.orderBy(*[turn(c) for c in whole]).offset(skipped).limit(limit)
 
 
 def page_info(df: DataFrame, limit: int = DEFAULT_LIMIT, offset: int = 0) -> DataFrame:

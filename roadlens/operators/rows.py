@@ -37,16 +37,15 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str])
 
     This is a maximum over a row struct rather than a numbered window: it is combined map-side,
     so a key that holds a large part of all rows arrives as one row per map task.
-    Rows with a NULL key have no identity to share and are all kept.
+    Rows with a NULL key have no identity to share and are all kept: a number of their own makes
+    each a group, so the source is read once.
     """
     ranked = [*latest_by, *[c for c in df.columns if c not in {*keys, *latest_by}]]
     has_key = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
-    if ranked:
-        newest = df.where(has_key).groupBy(*keys).agg(F.max(F.struct(*ranked)).alias("_row"))
-        picked = newest.select(*keys, "_row.*").select(*df.columns)
-    else:
-        picked = df.where(has_key).distinct()
-    return picked.unionByName(df.where(~has_key))
+    numbered = df.withColumn("own number", F.when(~has_key, F.monotonically_increasing_id()))
+    row = F.max(F.struct(*ranked)) if ranked else F.count(F.lit(1))
+    newest = numbered.groupBy(*keys, "own number").agg(row.alias("row"))
+    return newest.select(*keys, *(["row.*"] if ranked else [])).select(*df.columns)
 
 
 def top_k(df: DataFrame, measure: str, keys: Sequence[str], n: int = 50) -> DataFrame:
@@ -57,8 +56,8 @@ def top_k(df: DataFrame, measure: str, keys: Sequence[str], n: int = 50) -> Data
 def sort_table(
     df: DataFrame, by: str | None, order: str = "asc", keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Sort by any column, then by ``keys``: ascending has NULLs first, descending last."""
-    columns = ordering(df, by, keys)
+    """Sort by any column, then by ``keys``, then by all others: ascending has NULLs first, descending last."""
+    columns = total_order(df, by, keys)
     turn = F.desc if order == "desc" else F.asc
     return df.orderBy(*[turn(c) for c in columns])
 
@@ -70,6 +69,12 @@ def ordering(df: DataFrame, by: str | None, keys: Sequence[str]) -> list[str]:
     return first + [c for c in rest if c not in first]
 
 
+def total_order(df: DataFrame, by: str | None, keys: Sequence[str]) -> list[str]:
+    """:func:`ordering` and then every other column that can be sorted, so only equal rows tie."""
+    first = ordering(df, by, keys)
+    return first + [c for c, kind in df.dtypes if c not in first and not kind.startswith(("map", "variant"))]
+
+
 def search_table(df: DataFrame, text: str, cols: Sequence[str] | None = None) -> DataFrame:
     """Rows with ``text`` somewhere in one of ``cols`` (default: all), whatever the case."""
     needle = F.lower(F.lit(text))

@@ -8,8 +8,10 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
     Imputer,
     OneHotEncoder,
+    SQLTransformer,
     StandardScaler,
     StringIndexer,
+    StringIndexerModel,
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
@@ -17,6 +19,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.fill import column_means
 from ..schema import (
     MODEL_CALENDAR,
     MODEL_CATEGORIES,
@@ -56,6 +59,29 @@ def index_categories() -> StringIndexer:
     )
 
 
+def weighted_index(rows: DataFrame) -> list[StringIndexerModel]:
+    """:func:`index_categories` where a row counts as many times as it has copies; ties in name order.
+
+    The different values of each category reach the driver, as they do in any such index.
+    """
+    out = []
+    for name in MODEL_CATEGORIES:
+        counted = rows.where(F.col(name).isNotNull()).groupBy(name).agg(F.sum(COPIES).alias("n"))
+        labels = [r[0] for r in counted.orderBy(F.desc("n"), name).collect()]
+        out.append(StringIndexerModel.from_labels(labels, name, f"{name}_indexed", handleInvalid="keep"))
+    return out
+
+
+def weighted_means(rows: DataFrame) -> SQLTransformer:
+    """Fills readings with means in which a row counts as many times as it has copies."""
+    means = column_means(rows, READINGS, COPIES).first()
+    filled = ", ".join(
+        f"coalesce(nanvl(`{c}`, null), {float(means[c] if means[c] is not None else 0.0)!r}D) AS `{c}_filled`"
+        for c in READINGS
+    )
+    return SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")
+
+
 def one_hot() -> OneHotEncoder:
     return OneHotEncoder(
         inputCols=[f"{c}_indexed" for c in MODEL_CATEGORIES],
@@ -96,9 +122,21 @@ def severity_pipeline(
 
 
 def train_classifier(train: DataFrame, **settings) -> PipelineModel:
-    """Fit on labelled rows. Hand in a written table: fitting reads it several times."""
+    """Fit on labelled rows. Hand in a written table: fitting reads it several times.
+
+    Where rows stand for several, index, means and forest weigh them. The scaler only divides each
+    slot by a constant, which leaves every split of a tree where it is.
+    """
     rows = ready(train.where(F.col("severity").isNotNull()))
-    return severity_pipeline(weighted=COPIES in train.columns, **settings).fit(rows)
+    return _pipeline_for(rows, **settings).fit(rows)
+
+
+def _pipeline_for(rows: DataFrame, **settings) -> Pipeline:
+    if COPIES not in rows.columns:
+        return severity_pipeline(**settings)
+    pipeline = severity_pipeline(weighted=True, **settings)
+    _, encoder, _, *rest = pipeline.getStages()
+    return Pipeline(stages=[*weighted_index(rows), encoder, weighted_means(rows), *rest])
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -115,9 +153,14 @@ def score(model: PipelineModel, features: DataFrame) -> DataFrame:
 
 
 def confusion_matrix(predictions: DataFrame, label: str = LABEL) -> DataFrame:
+    """Rows per label and prediction. A row that stands for several counts as many, and rows
+    without a severity, whose label is only a default, do not count."""
+    if "severity" in predictions.columns:
+        predictions = predictions.where(F.col("severity").isNotNull())
+    n = F.sum(F.col(COPIES).cast("bigint")) if COPIES in predictions.columns else F.count(F.lit(1))
     return predictions.groupBy(
         F.col(label).cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction")
-    ).agg(F.count(F.lit(1)).alias("n"))
+    ).agg(n.alias("n"))
 
 
 def evaluate(matrix: DataFrame) -> DataFrame:
@@ -181,7 +224,10 @@ def tune(
 
     Folds follow a hash of the id, so the copies of a record never sit on both sides.
     """
-    pipeline = severity_pipeline()
+    rows = ready(train.where(F.col("severity").isNotNull())).withColumn(
+        "fold", F.pmod(F.hash("id"), F.lit(folds)).cast("int")
+    )
+    pipeline = _pipeline_for(rows)
     forest = pipeline.getStages()[-1]
     grid = (
         ParamGridBuilder()
@@ -189,13 +235,13 @@ def tune(
         .addGrid(forest.maxDepth, max_depth)
         .build()
     )
-    rows = ready(train.where(F.col("severity").isNotNull())).withColumn(
-        "fold", F.pmod(F.hash("id"), F.lit(folds)).cast("int")
-    )
+    evaluator = MulticlassClassificationEvaluator(labelCol=LABEL, metricName="f1")
+    if COPIES in rows.columns:
+        evaluator.setWeightCol(COPIES)
     return CrossValidator(
         estimator=pipeline,
         estimatorParamMaps=grid,
-        evaluator=MulticlassClassificationEvaluator(labelCol=LABEL, metricName="f1"),
+        evaluator=evaluator,
         numFolds=folds,
         foldCol="fold",
         parallelism=parallelism,

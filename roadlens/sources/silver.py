@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,13 +53,16 @@ def write_silver(
     spark = df.sparkSession
     rebalanced = df.hint("rebalance", *PARTITION_COLUMNS)
     if mode == "overwrite_days" and spark.catalog.tableExists(table):
-        # A table insert heeds this setting of the session only, not an option of the writer.
-        before = spark.conf.get(_OVERWRITE_MODE)
-        spark.conf.set(_OVERWRITE_MODE, "dynamic")
+        # A table insert heeds this setting of the session only, so it goes through one of its own.
+        own = spark.newSession()
+        own.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+        own.conf.set(_OVERWRITE_MODE, "dynamic")
+        view = f"days_{uuid.uuid4().hex}"
+        rebalanced.select(*spark.table(table).columns).createGlobalTempView(view)
         try:
-            rebalanced.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+            own.table(f"global_temp.{view}").write.insertInto(table, overwrite=True)
         finally:
-            spark.conf.set(_OVERWRITE_MODE, before)
+            spark.catalog.dropGlobalTempView(view)
         return
     if mode not in ("overwrite", "overwrite_days"):
         raise ValueError(f"mode must be overwrite or overwrite_days, not {mode}")

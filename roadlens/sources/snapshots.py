@@ -1,8 +1,11 @@
-"""Bronze: one folder per day under a base path.
+"""Bronze: one folder per day under a base path, and in it one folder per feed.
 
-Two layouts. *Cumulative*: each day's folder holds all records up to that day, so it is read
-alone. *Delta*: each folder holds that day's feed only, and "as of a day" is the folders up to
-it; history is then written once instead of once per day.
+Two layouts. *Cumulative*: each day's folder also holds the history before that day, so it is
+read alone. *Delta*: each folder holds that day's feeds only, and "as of a day" is the folders up
+to it; history is then written once instead of once per day.
+
+A feed's folder is named after the feed, so feeds of one day stand side by side and the same feed
+again replaces itself.
 """
 
 from __future__ import annotations
@@ -10,6 +13,7 @@ from __future__ import annotations
 import re
 import uuid
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +24,8 @@ from ..operators.rows import merge_by_name
 from ..schema import SITUATION_FORMAT
 from .storage import Folder
 
+FEED, HISTORY = "feed-", "history"
+
 _DAY = re.compile(r"\d{4}-\d{2}-\d{2}")
 
 
@@ -54,22 +60,35 @@ def read_snapshot(spark: SparkSession, base: str, day: date | None = None) -> Da
     days = snapshot_days(spark, base)
     if not days or (day is not None and day not in days):
         raise UnknownTable(snapshot_path(base, day) if day else base)
-    return spark.read.parquet(snapshot_path(base, day or days[-1]))
+    parts = _parts(spark, base, day or days[-1])
+    return reduce(merge_by_name, [spark.read.parquet(part) for part in parts])
+
+
+def _parts(spark: SparkSession, base: str, day: date) -> list[str]:
+    """The folders that make up a day: its history and feeds, or the day's folder itself."""
+    path = snapshot_path(base, day)
+    names = Folder(spark, path).names()
+    return [f"{path}/{n}" for n in names if n == HISTORY or n.startswith(FEED)] or [path]
 
 
 def read_as_of(
-    spark: SparkSession, base: str, day: date | None = None, schema: str | None = None
+    spark: SparkSession,
+    base: str,
+    day: date | None = None,
+    schema: str | None = None,
+    since: date | None = None,
 ) -> DataFrame:
-    """Delta layout: all folders up to ``day``; a column a folder lacks is NULL there.
+    """Delta layout: all folders up to ``day``, or from ``since`` to it (both included); a column
+    a folder lacks is NULL there.
 
     Hand in the ``schema`` where it is known, as for records: without it the footers of all
     files are read to find the columns of all folders.
     """
-    days = [d for d in snapshot_days(spark, base) if day is None or d <= day]
+    days = [d for d in snapshot_days(spark, base) if (day is None or d <= day) and (since is None or d >= since)]
     if not days:
         raise UnknownTable(base)
     reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
-    return reader.parquet(*[snapshot_path(base, d) for d in days])
+    return reader.parquet(*[part for d in days for part in _parts(spark, base, d)])
 
 
 def previous_snapshot(
@@ -96,15 +115,32 @@ def _stage(df: DataFrame, base: str) -> str:
     return staged
 
 
-def _publish(spark: SparkSession, staged: str, base: str, day: date) -> str:
+def write_snapshot(df: DataFrame, base: str, day: date) -> str:
+    """Write the folder of ``day``, replacing it only once the new one is complete."""
     path = snapshot_path(base, day)
-    Folder(spark, path).replace_with(staged)
+    Folder(df.sparkSession, path).replace_with(_stage(df, base))
     return path
 
 
-def write_snapshot(df: DataFrame, base: str, day: date) -> str:
-    """Write the folder of ``day``, replacing it only once the new one is complete."""
-    return _publish(df.sparkSession, _stage(df, base), base, day)
+def feed_id(df: DataFrame) -> str:
+    """A name that follows from the rows of a feed, in whatever order."""
+    # a hash leaves out NULLs, so they are marked
+    row = F.xxhash64(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\0")) for c in df.columns])
+    # sums of halves: a repeated row must not cancel out
+    halves = F.sum(F.shiftrightunsigned(row, 32)), F.sum(row.bitwiseAND(F.lit(0xFFFFFFFF)))
+    n, high, low = df.agg(F.count("*"), *halves).first()
+    return f"{n:x}-{(high or 0) & (1 << 63) - 1:x}-{(low or 0) & (1 << 63) - 1:x}"
+
+
+def _file_feed(new: DataFrame, base: str, day: date | None, feed: str | None, col: str, fmt: str) -> date:
+    """Stage a feed and move it to its own folder under its day."""
+    spark = new.sparkSession
+    staged = _stage(new, base)
+    written = spark.read.schema(new.schema).parquet(staged)
+    day = day or snapshot_date(written, col, fmt)
+    name = re.sub(r"[^0-9A-Za-z._-]", "_", feed) if feed else feed_id(written)
+    Folder(spark, f"{snapshot_path(base, day)}/{FEED}{name}").replace_with(staged)
+    return day
 
 
 def append_snapshot(
@@ -113,26 +149,37 @@ def append_snapshot(
     col: str = "situation_date",
     lookback: str = "latest_before",
     day: date | None = None,
+    feed: str | None = None,
+    fmt: str = SITUATION_FORMAT,
 ) -> str:
     """Cumulative layout: history so far plus ``new``, filed under ``day`` or, without it, the
-    latest day in ``new`` (found by reading that column first).
+    latest day in ``new`` (found by reading that column of the staged feed).
 
-    History is what lies before that day, so running a day again gives the same folder.
+    History is what lies before that day, so running a day again gives the same folder. A feed
+    that comes late is also added to the history of every later day. ``feed`` names the feed;
+    without it its rows do, so a second feed of a day never replaces the first.
     """
-    day = day or snapshot_date(new, col)
-    history = previous_snapshot(new.sparkSession, base, day, lookback)
-    return write_snapshot(new if history is None else merge_by_name(history, new), base, day)
+    spark = new.sparkSession
+    day = _file_feed(new, base, day, feed, col, fmt)
+    for later in [d for d in snapshot_days(spark, base) if d >= day]:
+        kept = Folder(spark, f"{snapshot_path(base, later)}/{HISTORY}")
+        history = previous_snapshot(spark, base, later, lookback)
+        if history is not None:
+            kept.replace_with(_stage(history, base))
+        elif kept.exists():
+            kept.remove()
+    return snapshot_path(base, day)
 
 
 def append_delta(
-    new: DataFrame, base: str, col: str = "situation_date", fmt: str = SITUATION_FORMAT
+    new: DataFrame,
+    base: str,
+    col: str = "situation_date",
+    fmt: str = SITUATION_FORMAT,
+    feed: str | None = None,
 ) -> str:
-    """Delta layout: ``new`` alone, filed under its latest day.
+    """Delta layout: ``new`` alone, filed under its latest day and its name (see :func:`append_snapshot`).
 
-    The day is looked up in the staged folder, one column of Parquet, so that the feed itself is
-    read once.
+    Day and name are looked up in the staged folder, so that the feed itself is read once.
     """
-    spark = new.sparkSession
-    staged = _stage(new, base)
-    written = spark.read.schema(new.schema).parquet(staged)
-    return _publish(spark, staged, base, snapshot_date(written, col, fmt))
+    return snapshot_path(base, _file_feed(new, base, None, feed, col, fmt))

@@ -42,10 +42,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_RETIRED = "_retired-"
+
+
 class Folder:
     """A path on whatever file system the cluster uses."""
 
     def __init__(self, spark: SparkSession, path: str):
+        self._spark = spark
         jvm = spark._jvm
         self._path_class = jvm.org.apache.hadoop.fs.Path
         self.path = path
@@ -59,21 +63,36 @@ class Folder:
         return self.exists() and self._fs.getFileStatus(self._at).isFile()
 
     def names(self) -> list[str]:
-        """Entries of the folder; none if it does not exist. Other failures are raised."""
+        """Entries of the folder; none if it does not exist. Other failures are raised.
+
+        An entry that a broken-off :meth:`replace_with` had set aside is put back first.
+        """
         if not self.exists():
             return []
-        return [status.getPath().getName() for status in self._fs.listStatus(self._at)]
+        found = {status.getPath().getName() for status in self._fs.listStatus(self._at)}
+        for name in [n for n in found if n.startswith(_RETIRED)]:
+            kept = name.removeprefix(_RETIRED)
+            if kept not in found:
+                self._move(self._path_class(self._at, name), self._path_class(self._at, kept))
+                found.add(kept)
+            else:
+                self._fs.delete(self._path_class(self._at, name), True)
+            found.remove(name)
+        return sorted(found)
 
     def replace_with(self, staged: str) -> None:
         """Put the finished folder ``staged`` in this place; the old one goes only after that."""
-        self._fs.mkdirs(self._at.getParent())
-        retired = None
+        parent = self._at.getParent()
+        self._fs.mkdirs(parent)
+        Folder(self._spark, str(parent)).names()
+        retired = self._path_class(parent, _RETIRED + self._at.getName())
         if self.exists():
-            retired = self._path_class(f"{staged}-retired")
             self._move(self._at, retired)
         self._move(self._path_class(staged), self._at)
-        if retired is not None:
-            self._fs.delete(retired, True)
+        self._fs.delete(retired, True)
+
+    def remove(self) -> None:
+        self._fs.delete(self._at, True)
 
     def _move(self, source, target) -> None:
         if not self._fs.rename(source, target):

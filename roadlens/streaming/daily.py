@@ -28,8 +28,8 @@ def stream_daily_counts(
 
 
 def daily_counts(spark, store: str) -> DataFrame:
-    """Counts per day from the store; its pairs are distinct, so this only counts rows."""
-    pairs = read_store(spark, store, "accident_date date, id string")
+    """Distinct ids per day from the store."""
+    pairs = read_store(spark, store, "accident_date date, id string", KEYS)
     return pairs.groupBy("accident_date").agg(F.count("id").alias("accident_count"))
 
 

@@ -1,7 +1,9 @@
-"""Landing a stream of records in a store, each id once."""
+"""Landing a stream of records in a store, read back as the newest version of each id."""
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,26 +34,22 @@ def stream_ingest(
     checkpoint: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Append records to ``store``, leaving out those whose key has landed before.
+    """Append versions of records to ``store``; :func:`read_store` takes the newest of each key.
 
     Within a batch the newest record of a key is kept, combined map-side, so a key that fills a
     third of a batch is no burden on one task (a streaming de-duplication would send it to one).
-    Against earlier batches an anti-join on the keys decides; it reads the key columns only and
-    needs no state beyond the store itself. A batch owns one folder, so repeating it after a
-    failure rewrites that folder and nothing else.
+    Nothing landed before is read, so a batch costs what it holds. A batch owns one folder, named
+    by the query's own id and the batch, so repeating it after a failure rewrites that folder, and
+    a query with a new checkpoint, whose batches start again at 0, touches none of the old ones.
     """
     keys = list(keys)
 
     def land(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        # the identity of a query is in its checkpoint and survives restarts
+        query = json.loads(spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
         fresh = latest_per_key(batch, keys, latest_by)
-        folder = Folder(spark, store)
-        before = [n for n in folder.names() if n.startswith(f"{BATCH}=")]
-        before = [n for n in before if int(n.partition("=")[2]) < batch_id]
-        if before:
-            landed = spark.read.schema(batch.schema).parquet(*[f"{store}/{n}" for n in before])
-            fresh = fresh.join(landed.select(*keys), keys, "left_anti")
-        fresh.select(*batch.columns).write.mode("overwrite").parquet(f"{store}/{BATCH}={batch_id}")
+        fresh.write.mode("overwrite").parquet(f"{store}/{BATCH}={query}-{batch_id}")
 
     return (
         stream.writeStream.foreachBatch(land)
@@ -61,9 +59,30 @@ def stream_ingest(
     )
 
 
-def read_store(spark: SparkSession, store: str, schema) -> DataFrame:
-    """Everything landed so far."""
-    names = [n for n in Folder(spark, store).names() if n.startswith(f"{BATCH}=")]
-    if not names:
+def _landed(spark: SparkSession, store: str) -> list[str]:
+    return [f"{store}/{n}" for n in Folder(spark, store).names() if n.startswith(f"{BATCH}=")]
+
+
+def read_store(
+    spark: SparkSession, store: str, schema, keys: Sequence[str] = ("id",), latest_by: Sequence[str] = ()
+) -> DataFrame:
+    """The newest version of each key landed so far: what the batch operator gives over all feeds."""
+    paths = _landed(spark, store)
+    if not paths:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*[f"{store}/{n}" for n in names])
+    return latest_per_key(spark.read.schema(schema).parquet(*paths), keys, latest_by)
+
+
+def compact_store(
+    spark: SparkSession, store: str, schema, keys: Sequence[str] = ("id",), latest_by: Sequence[str] = ()
+) -> None:
+    """Put all landed batches into one folder, while no query is writing.
+
+    The old folders go after the new one is complete; breaking off in between leaves copies, which
+    reading takes for one.
+    """
+    paths = _landed(spark, store)
+    if len(paths) > 1:
+        read_store(spark, store, schema, keys, latest_by).write.parquet(f"{store}/{BATCH}=compact-{uuid.uuid4().hex}")
+        for path in paths:
+            Folder(spark, path).remove()

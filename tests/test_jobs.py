@@ -31,7 +31,7 @@ def parts(spark, tmp_path_factory):
 def test_from_parts_to_marts(spark, parts, folder, layout):
     base = folder + "/bronze"
     written = jobs.ingest(spark, parts, base, layout)
-    assert [p.rpartition("/")[2] for p in written] == ["2024-01-12", "2024-01-30"]
+    assert [p.path.rpartition("/")[2] for p in written] == ["2024-01-12", "2024-01-30"]
     jobs.build_silver(spark, jobs.read_bronze(spark, base, layout=layout), folder=folder)
     expected = bronze_records(spark, FOLDER).count()
     assert silver.read_silver(spark, "accidents").count() == expected
@@ -73,3 +73,27 @@ def test_arguments_are_checked():
         jobs.main(["ingest", "--layout", "other", "--base", "x", "p"])
     with pytest.raises(SystemExit):
         jobs.main([])
+
+
+def test_ingest_counts_and_files_misfits(spark, folder):
+    one = f"{folder}/one.csv"
+    with open(one, "w") as out:
+        out.write("ID,Severity,situation_date\nA,2,01-01-2025\nB,oops,01-01-2025\nC,1\n")
+    done = jobs.ingest(spark, [one], folder + "/bronze")
+    assert [d[1:] for d in done] == [(3, 1, 1)]
+    kept = spark.read.parquet(glob.glob(folder + "/bronze-misfits/*")[0])
+    assert {r["ID"]: (r["bad_fields"], r["bad_row"]) for r in kept.collect()} == {"B": (["Severity"], None), "C": ([], "C,1")}
+
+
+def test_daily_silver_keeps_earlier_rejects_and_the_session_as_it_is(spark, folder):
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    records = bronze_records(spark, FOLDER).limit(20)
+    for day in ("nowhen", "someday"):
+        part = records.withColumn("situation_date", F.when(F.col("ID").isNotNull() & (F.hash("ID") % 2 == 0), F.lit(day)).otherwise(F.lit("05-01-2024")))
+        jobs.build_silver(spark, part.withColumn("City", F.lit(day)), mode="overwrite_days", folder=folder)
+    assert {r["city"] for r in spark.table("rejects").collect()} == {"nowhen", "someday"}
+    assert {r["city"] for r in spark.table("accidents").collect()} == {"someday"}
+    assert spark.conf.get(setting) == before
+    for table in ("accidents", "weather", "rejects"):
+        spark.sql(f"drop table if exists {table}")

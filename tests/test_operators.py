@@ -236,17 +236,35 @@ def test_deep_page_through_equal_rows(spark):
     assert [r.v for r in paging.deep_page(df, [], 4, 1).collect()] == ["a", "a", "b", "b"]
 
 
-def test_deep_page_with_keys_that_repeat(spark, monkeypatch):
-    data = [(1, i) for i in range(20)] + [(2, i) for i in range(20)]
-    df = spark.createDataFrame(data, "k int, v int").repartition(4)
-    got = tuples(paging.deep_page(df, ["k"], 10, 15))
-    assert [k for k, _ in got] == [1] * 5 + [2] * 5
-    monkeypatch.setattr(paging, "TOP_K_ROWS", 3)
-    assert tuples(paging.deep_page(df, ["k"], 10, 15)) == data[15:25]
+@pytest.mark.parametrize("near", [0, 3, 10_000])
+def test_pages_over_keys_that_repeat_serve_every_row_once(spark, monkeypatch, near):
+    """Whichever way a page is found, it holds the same rows."""
+    monkeypatch.setattr(paging, "NEAR_ROWS", near)
+    rng = random.Random(9)
+    data = [(rng.choice([1, 2, None]), rng.choice(["x", None, "y"]), i) for i in range(200)]
+    df = spark.createDataFrame(data, "k int, v string, w int").repartition(7)
+    order = sorted(data, key=lambda r: tuple((c is not None, c or 0) if i != 1 else (c is not None, c or "") for i, c in enumerate(r)))
+    served = []
+    for offset in range(0, 200, 35):
+        served += tuples(paging.page(df, ["k"], 35, offset))
+    assert served == [(k, v, w) for k, v, w in order]
+
+
+def test_one_index_serves_all_pages_and_is_removed(spark, folder):
+    import os
+
+    df = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
+    index = paging.PageIndex(df, ["k"])
+    written = index._path.removeprefix("file:")
+    assert os.path.exists(written)
+    rows = [r for offset in range(0, 100, 30) for r in tuples(index.page(30, offset))]
+    assert rows == sorted((i % 3, i) for i in range(100))
+    index.remove()
+    assert not os.path.exists(written)
 
 
 def test_far_page_takes_the_deep_way(spark, monkeypatch):
-    monkeypatch.setattr(paging, "TOP_K_ROWS", 5)
+    monkeypatch.setattr(paging, "NEAR_ROWS", 5)
     assert [r.id for r in paging.page(spark.range(30), ["id"], 4, 11).collect()] == [11, 12, 13, 14]
 
 
@@ -271,3 +289,13 @@ def test_quality_report(spark):
     }
     empty = quality_report(df.limit(0), "id", ["s"])
     assert all(v == 0 for _, _, v in tuples(empty))
+
+
+def test_newest_rows_take_one_scan_and_keep_rows_without_a_key(spark, folder):
+    data = [("a", 1, 5), ("a", 2, 1), (None, 1, 1), (None, 1, 1), ("b", None, 3)]
+    spark.createDataFrame(data, "k string, at int, v int").write.parquet(folder + "/t")
+    df = spark.read.parquet(folder + "/t")
+    newest = rows.latest_per_key(df, ["k"], ["at"])
+    assert sorted(map(str, tuples(newest))) == sorted(map(str, [("a", 2, 1), (None, 1, 1), (None, 1, 1), ("b", None, 3)]))
+    assert newest._jdf.queryExecution().executedPlan().toString().count("FileScan") <= 2  # the initial and the final plan
+    assert rows.latest_per_key(df.select("k"), ["k"], []).count() == 4

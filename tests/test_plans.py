@@ -7,8 +7,9 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from roadlens.functions.fill import column_means
 from roadlens.plans import features, marts, model
-from roadlens.schema import bronze_schema, silver_schema, to_silver
+from roadlens.schema import MODEL_CATEGORIES, bronze_schema, silver_schema, to_silver
 from roadlens.sources.star_schema import bronze_records, silver_halves, silver_records
 from roadlens.sources.storage import scratch_path
 from roadlens.streaming import daily, ingest
@@ -176,6 +177,29 @@ def test_copies_weigh_in_training(spark):
     assert model.train_classifier(rows, num_trees=2, max_depth=2).stages[-1].getOrDefault("weightCol") == "copies"
 
 
+def test_rows_that_stand_for_several_weigh_the_same_as_their_copies(spark):
+    counted = features.feature_rows(separable(spark, 60), impute=False).withColumn(
+        "copies", (F.abs(F.hash("id")) % 4 + 1).cast("bigint")
+    )
+    plain = counted.withColumn("c", F.explode(F.expr("sequence(1, copies)"))).drop("c", "copies")
+    ready, plain_ready = model.ready(counted), model.ready(plain)
+    index = [one.labels for one in model.weighted_index(ready)]
+    for name, ours, theirs in zip(MODEL_CATEGORIES, index, model.index_categories().fit(plain_ready).labelsArray):
+        n = {r[0]: r["count"] for r in plain_ready.groupBy(name).count().collect()}
+        assert [n[label] for label in ours] == [n[label] for label in theirs] and set(ours) == set(theirs)
+    means = column_means(plain_ready, model.READINGS).first()
+    filled = model.weighted_means(ready).transform(ready.limit(1).withColumns({c: F.lit(None).cast("double") for c in model.READINGS})).first()
+    assert all(filled[f"{c}_filled"] == pytest.approx(means[c] or 0.0) for c in model.READINGS)
+    rule = (F.hash("id", "state") % 2 == 0).cast("double").alias("prediction")
+    matrices = [sorted(map(tuple, model.confusion_matrix(df.select("*", rule)).collect())) for df in (counted, plain)]
+    assert matrices[0] == matrices[1]
+
+
+def test_unlabelled_rows_are_not_measured(spark):
+    rows = spark.createDataFrame([(1, 1, 1.0), (None, 0, 1.0), (2, 0, 0.0)], "severity int, severity_binary int, prediction double")
+    assert sum(r["n"] for r in model.confusion_matrix(rows).collect()) == 2
+
+
 def test_tune(spark, fitted):
     _, train, _ = fitted
     best = model.tune(train, num_trees=[2], max_depth=[1, 3], folds=2)
@@ -206,8 +230,25 @@ def test_ingest_lands_each_id_once_over_restarts(spark, folder):
         record(spark, *rows).write.mode("append").parquet(landing)
         stream = to_silver(ingest.feed(spark, landing, bronze_schema()))
         ingest.stream_ingest(stream, ["id"], ["situation_date"], store, offsets).awaitTermination()
-    got = [(r["id"], r["severity"]) for r in ingest.read_store(spark, store, silver_schema()).collect()]
-    assert sorted(map(str, got)) == sorted(map(str, [("a", 2), ("b", 4), (None, 7), (None, 7)]))
+    expected = sorted(map(str, [("a", 3), ("b", 4), (None, 7), (None, 7)]))  # the newest, as the batch has it
+
+    def got():
+        rows = ingest.read_store(spark, store, silver_schema(), ["id"], ["situation_date"]).collect()
+        return sorted(str((r["id"], r["severity"])) for r in rows)
+
+    assert got() == expected
+    ingest.compact_store(spark, store, silver_schema(), ["id"], ["situation_date"])
+    assert got() == expected
+
+
+def test_a_new_checkpoint_with_a_new_feed_keeps_what_has_landed(spark, folder):
+    store = f"{folder}/store"
+    for name in ("a", "b", "c"):
+        landing = f"{folder}/in-{name}"
+        record(spark, (name, "01-01-2025", None, 1)).write.parquet(landing)
+        stream = to_silver(ingest.feed(spark, landing, bronze_schema()))
+        ingest.stream_ingest(stream, ["id"], [], store, f"{folder}/offsets-{name}").awaitTermination()
+    assert sorted(r["id"] for r in ingest.read_store(spark, store, silver_schema()).collect()) == ["a", "b", "c"]
 
 
 def test_ingest_repeats_a_batch_without_doubling(spark, folder):

@@ -56,9 +56,51 @@ def test_a_part_with_another_header_is_an_error(spark, folder):
         read_raw_csv(spark, folder).collect()
 
 
+def test_rows_of_another_length_are_named_and_fail_fast(spark, folder):
+    path = write(
+        folder, "c.csv",
+        'ID,Severity,Street,City\nA-1,3,Main,X\nshort,2\nlong,1,Elm,Y,more\nA-4,4,"two\nlines",Z\n',
+    )
+    found = {r["ID"]: r["bad_row"] for r in read_raw_csv(spark, path).collect()}
+    assert found["A-1"] is None and found["short"] == "short,2" and found["long"] == "long,1,Elm,Y,more"
+    assert sum(v is not None for v in found.values()) == 4
+    whole = {r["ID"]: (r["Street"], r["bad_row"]) for r in read_raw_csv(spark, path, multi_line=True).collect()}
+    assert whole["A-4"] == ("two\nlines", None) and set(whole) == {"A-1", "short", "long", "A-4"}
+    for bad in ("ID,Severity\nA-1\n", "ID,Severity\nA-1,2,3\n"):
+        with pytest.raises(Exception, match="MALFORMED"):
+            read_raw_csv(spark, write(folder, "d.csv", bad), mode="failfast").collect()
+
+
 # ---------------------------------------------------------------- snapshots
 
 
+@pytest.mark.parametrize("append", [snapshots.append_delta, snapshots.append_snapshot])
+def test_feeds_of_one_day_and_late_feeds_are_all_kept(spark, folder, append):
+    base = folder + "/bronze"
+    feeds = [
+        feed(spark, ("a", "01-01-2025"), ("b", "03-01-2025")),
+        feed(spark, ("c", "03-01-2025")),
+        feed(spark, ("d", "04-01-2025"), ("d", "04-01-2025")),
+        feed(spark, ("late", "02-01-2025")),
+        feed(spark, ("c", "03-01-2025")),
+    ]
+    for one in feeds:
+        append(one, base)
+    append(feed(spark, ("named", "03-01-2025")), base, feed="part/1.csv")
+    append(feed(spark, ("named again", "03-01-2025")), base, feed="part/1.csv")
+    read = snapshots.read_as_of if append is snapshots.append_delta else snapshots.read_snapshot
+    assert ids(read(spark, base)) == ["a", "b", "c", "d", "d", "late", "named again"]
+    assert ids(read(spark, base, date(2025, 1, 3))) == ["a", "b", "c", "late", "named again"]
+
+
+def test_a_swap_that_broke_off_is_put_back(spark, folder):
+    base = folder + "/bronze"
+    path = snapshots.write_snapshot(feed(spark, ("a", "01-01-2025")), base, date(2025, 1, 1))
+    at = Folder(spark, path)
+    at._move(at._at, at._path_class(base + "/_retired-2025-01-01"))
+    assert ids(snapshots.read_snapshot(spark, base)) == ["a"]
+
+
 def test_latest_day_is_not_the_largest_text(spark):
     df = feed(spark, ("a", "31-01-2025"), ("b", "01-02-2025"), ("c", "2025-13-40"), ("d", None))
     assert snapshots.latest_situation_date(df).first()[0] == date(2025, 2, 1)
