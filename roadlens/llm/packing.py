@@ -276,11 +276,15 @@ class _Open:
 PIECES = "id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
-def _packed(tokenizer_json, size: int, end_id: int, stride: int):
+def _packed(tokenizer, size: int, end_id: int, stride: int):
     def run(batches):
         from tokenizers import Tokenizer
 
-        vocabulary = WordIds(Tokenizer.from_str(tokenizer_json.value))
+        # a worker process loads this once and keeps it, so its tasks share the units seen so far
+        own = tokenizer.value
+        if "units" not in own:
+            own["units"] = WordIds(Tokenizer.from_str(own["json"]))
+        vocabulary = own["units"]
         sequence = TaskContext.get().partitionId() << 40
         held = _Open()
         for batch in batches:
@@ -324,7 +328,7 @@ def pack(
     are documents of their own; other columns are ignored, and no rows give no rows.
     """
     with open(tokenizer_path, encoding="utf-8") as file:
-        tokenizer = docs.sparkSession.sparkContext.broadcast(file.read())
+        tokenizer = docs.sparkSession.sparkContext.broadcast({"json": file.read()})
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     pieces = source.mapInArrow(_packed(tokenizer, size, end_id, min(stride, size)), PIECES)
     return pieces.withColumnRenamed("id", id_col)
