@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import deque
 from dataclasses import dataclass, field
 
@@ -16,9 +17,9 @@ from .words import SPACED, SPACED_LOWER, Block, Words, blocks, distinct, find_wo
 SEQUENCE = 4096
 END_ID = 2
 #: What a cut costs, in tokens of padding: at a document's end, a sentence's end, elsewhere.
-AT_DOCUMENT, AT_SENTENCE, ELSEWHERE = 0, 8, 64
+AT_DOCUMENT, AT_SENTENCE, ELSEWHERE = 0, 4, 16
 #: Longest run of tokens without a place to cut.
-STRIDE = 256
+STRIDE = 64
 KNOWN_WORDS = 1 << 20
 
 
@@ -191,8 +192,8 @@ def best_cuts(places: list[int], cost: list[int], size: int, final: bool) -> lis
     ``best[j]`` is the least cost of windows that end at ``places[j]``. A window from i to j pads
     ``size - (places[j] - places[i])``, so ``best[j] + places[j]`` is ``size``, the cost of the
     cut, and the least ``best[i] + places[i]`` with i in reach: the front of a queue whose values
-    rise. Unless ``final``, the last window is left open: the cuts end where the cheapest way to
-    reach beyond the last place would end its window.
+    rise. Unless ``final``, the last window is left open: of the places within reach of the end, the
+    cuts lead to the one with the least cost so far.
     """
     at = [0, *places]
     value, back = [0] * len(at), [0] * len(at)
@@ -206,7 +207,9 @@ def best_cuts(places: list[int], cost: list[int], size: int, final: bool) -> lis
         while queue and value[queue[-1]] > v:
             queue.pop()
         queue.append(j)
-    j = len(at) - 1 if final else queue[0]
+    j = len(at) - 1
+    if not final:
+        j = min(range(bisect_left(at, at[-1] - size), len(at)), key=lambda k: value[k] - at[k])
     cuts = []
     while j:
         cuts.append(at[j])
