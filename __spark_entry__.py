@@ -7,6 +7,7 @@ and ``oracle_sql`` maps the same name to SQL over the same tables.
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
 from datetime import date
 from functools import reduce
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from oracle_queries import ORACLE_SQL  # noqa: E402
+from roadlens import jobs  # noqa: E402
 from roadlens.functions.bands import TEMPERATURE, VISIBILITY, Bands, band  # noqa: E402
 from roadlens.functions.calendar import time_features, with_calendar  # noqa: E402
 from roadlens.functions.fill import fill_const, fill_mean  # noqa: E402
@@ -338,6 +340,35 @@ def silver_days(spark, folder):
     return distinct_count_by(days, ["situation_date"], "id")
 
 
+@registered
+def silver_incremental(spark, folder):
+    """Three daily runs. The second feed moves records of the first to another day; the third moves
+    all records of one day away and gives some of those that had no day one."""
+    base, prefix = scratch_path(spark, "bronze"), f"daily_{uuid.uuid4().hex}_"
+    records = bronze_records(spark, folder)
+    first, second, moved = date(2024, 1, 10), date(2024, 1, 20), date(2024, 1, 3)
+    day = F.to_date("situation_date", SITUATION_FORMAT)
+
+    def version(which, when, severity):
+        return records.where(which).withColumns({"situation_date": F.lit(when), "Severity": F.lit(severity)})
+
+    no_day = F.when(F.col("`Humidity(%)`") == 50, "nowhen").otherwise(F.col("situation_date"))
+    feeds = [
+        records.where(day <= first).withColumn("situation_date", no_day),
+        records.where((day > first) & (day <= second)).unionAll(
+            version((day <= first) & (F.col("Severity") == 3), "15-01-2024", 1)
+        ),
+        records.where(day > second).unionAll(version(day == moved, "25-01-2024", 2)),
+    ]
+    for feed in feeds:
+        filed = snapshots.append_delta(feed, base)
+        jobs.refresh_silver(spark, base, date.fromisoformat(filed.rpartition("/")[2]), dedupe=True, prefix=prefix)
+    accidents, weather, rejects = (spark.table(prefix + name) for name in ("accidents", "weather", "rejects"))
+    weather = weather.select("id", "situation_date", "temperature_f")
+    whole = accidents.select("id", "situation_date", "severity").join(weather, ["id", "situation_date"], "full")
+    return whole.unionByName(rejects.select(whole.columns))
+
+
 @registered
 def silver_rejects(spark, folder):
     """Records whose day cannot be read: here those without a start time are sent without one."""

@@ -284,6 +284,16 @@ SELECT id, {_day('situation_date', 'situation_date')}, temperature_f, weather_co
        CAST(year(situation_date) AS INTEGER) AS year, CAST(month(situation_date) AS INTEGER) AS month,
        CAST(day(situation_date) AS INTEGER) AS day
 FROM records"""),
+    "silver_incremental": _on_records(f""",
+versions AS (
+  SELECT id, CASE WHEN situation_date > DATE '2024-01-10' OR k <> 50 THEN situation_date END AS d, severity, temperature_f
+  FROM once
+  UNION ALL SELECT id, DATE '2024-01-15', 1, temperature_f FROM once
+  WHERE situation_date <= DATE '2024-01-10' AND severity = 3
+  UNION ALL SELECT id, DATE '2024-01-25', 2, temperature_f FROM once WHERE situation_date = DATE '2024-01-03'
+)
+SELECT id, {_day('d', 'situation_date')}, severity, temperature_f FROM versions
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY d DESC NULLS LAST) = 1"""),
     "silver_days": _on_records(f"""
 SELECT {_day('situation_date', 'situation_date')}, count(DISTINCT id) AS accident_count
 FROM records WHERE situation_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-19' GROUP BY 1"""),

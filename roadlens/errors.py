@@ -27,3 +27,10 @@ class NoSnapshotDate(RoadlensError):
 
 class NoSharedFolder(RoadlensError):
     """A cluster session names no folder that all its executors can reach."""
+
+
+class RepeatedIds(RoadlensError):
+    """A table said to hold each id once holds some more often."""
+
+    def __init__(self, ids: int, example):
+        super().__init__(f"{ids} ids have more than one row, such as {example}")

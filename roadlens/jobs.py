@@ -1,7 +1,7 @@
 """The four daily jobs, for ``spark-submit`` or from Python.
 
     python -m roadlens.jobs ingest --base hdfs:///incidents part1.csv part2.csv
-    python -m roadlens.jobs silver --base hdfs:///incidents --dedupe
+    python -m roadlens.jobs silver --base hdfs:///incidents --dedupe --since 2025-01-31
     python -m roadlens.jobs marts --prefix gold_ --unique-ids
     python -m roadlens.jobs train --model hdfs:///models/severity --unique-ids
 """
@@ -20,8 +20,10 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from .operators.quality import require_unique
+from .operators.rows import latest_per_key
 from .plans import features, marts, model
-from .schema import bronze_schema
+from .schema import bronze_schema, to_silver
 from .session import build_session
 from .sources import served, silver, snapshots
 from .sources.delimited import BAD_FIELDS, BAD_ROW, read_raw_csv
@@ -87,19 +89,68 @@ def build_silver(
     dedupe: bool = False,
     mode: str = "overwrite",
     folder: str | None = None,
+    prefix: str = "",
 ) -> None:
     """Write ``accidents`` and ``weather`` by day, and ``rejects`` for records without one.
 
     ``overwrite_days`` keeps the rejects of earlier runs as well, each different one once.
     """
     for name, df in silver.silver_tables(bronze, dedupe).items():
-        path = f"{folder}/{name}" if folder else None
+        table = prefix + name
+        path = f"{folder}/{table}" if folder else None
         if name == "rejects":
-            if mode == "overwrite_days" and spark.catalog.tableExists(name):
-                df = materialize(df.unionByName(spark.table(name)).distinct(), name)
-            served.write_mart(df, name, path)
+            if mode == "overwrite_days" and spark.catalog.tableExists(table):
+                df = materialize(df.unionByName(spark.table(table)).distinct(), name)
+            served.write_mart(df, table, path)
         else:
-            silver.write_silver(df, name, path, mode)
+            silver.write_silver(df, table, path, mode)
+
+
+def refresh_silver(
+    spark: SparkSession,
+    base: str,
+    since: date,
+    dedupe: bool = False,
+    folder: str | None = None,
+    prefix: str = "",
+) -> list[date]:
+    """Bring silver up to date with the feeds filed (delta layout) under ``since`` or later.
+
+    Gives the days formed anew: those in these feeds and, with ``dedupe``, those where silver
+    holds an older version of a record in them. Each is formed in full from the feeds that can
+    hold its records (a feed lies under its latest day, so those from the first of these days on),
+    and a day left without a record is emptied. Silver then equals one built from all feeds, and
+    running again changes nothing. Without silver tables all feeds are read.
+
+    Rejects of earlier feeds stay, each different one once; with ``dedupe`` one for each id, and
+    none for an id that has a day by now. A feed filed again with fewer records asks for a full build.
+    """
+    tables = {name: prefix + name for name in ("accidents", "weather", "rejects")}
+    if not all(spark.catalog.tableExists(table) for table in tables.values()):
+        build_silver(spark, read_bronze(spark, base), dedupe, folder=folder, prefix=prefix)
+        return []
+    halves = ("accidents", "weather")
+    new = to_silver(snapshots.read_as_of(spark, base, schema=bronze_schema(), since=since))
+    touched = new.select("situation_date")
+    if dedupe:
+        ids = new.select("id").where("id is not null").distinct()
+        for name in halves:
+            held = spark.table(tables[name]).select("id", "situation_date")
+            touched = touched.unionAll(held.join(ids, "id", "left_semi").select("situation_date"))
+    # one value for each day of the calendar
+    days = sorted(row[0] for row in touched.where("situation_date is not null").distinct().collect())
+    bronze = snapshots.read_as_of(spark, base, schema=bronze_schema(), since=min([since, *days]))
+    formed = silver.silver_tables(bronze, dedupe)
+    for name in halves:
+        silver.replace_days(formed[name].where(F.col("situation_date").isin(days)), tables[name], days)
+    rejects = formed["rejects"].unionByName(spark.table(tables["rejects"])).distinct()
+    if dedupe:
+        found = spark.table(tables["accidents"]).select("id")
+        rejects = latest_per_key(rejects, ["id"], ["situation_date"]).join(found, "id", "left_anti")
+        rejects = rejects.select(formed["rejects"].columns)
+    path = f"{folder}/{tables['rejects']}" if folder else None
+    served.write_mart(materialize(rejects, "rejects"), tables["rejects"], path)
+    return days
 
 
 def build_marts(
@@ -111,8 +162,11 @@ def build_marts(
     unique_ids: bool = False,
 ) -> None:
     """Write the seven marts and copies of both silver tables, as tables or to a database.
-    ``unique_ids`` states that silver was written de-duplicated."""
+    ``unique_ids`` states that silver was written de-duplicated, which is checked."""
     halves = [silver.read_silver(spark, name) for name in ("accidents", "weather")]
+    if unique_ids:
+        for half in halves:
+            require_unique(half, "id")
     if url:
         sink = partial(served.write_mart_jdbc, url=url, properties=properties or {})
         marts.write_marts(*halves, sink, unique_ids=unique_ids)
@@ -130,9 +184,13 @@ def train(
     """Fit on four fifths of the ids, save, and measure on the rest.
 
     Gives the saved model as loaded again and the reports ``confusion``, ``metrics``,
-    ``importance`` and ``top``. ``unique_ids`` states that silver was written de-duplicated.
+    ``importance`` and ``top``. ``unique_ids`` states that silver was written de-duplicated,
+    which is checked.
     """
     halves = [silver.read_silver(spark, name) for name in ("accidents", "weather")]
+    if unique_ids:
+        for half in halves:
+            require_unique(half, "id")
     inputs = features.feature_table(*halves, impute=False, unique_ids=unique_ids)
     rows = materialize(inputs, "features")
     train_rows, test_rows = features.split_train_test(rows)
@@ -162,6 +220,7 @@ def main(argv: Sequence[str] | None = None) -> None:
             job.add_argument("--day", type=date.fromisoformat)
             job.add_argument("--dedupe", action="store_true")
             job.add_argument("--mode", choices=["overwrite", "overwrite_days"], default="overwrite")
+            job.add_argument("--since", type=date.fromisoformat, help="read feeds from this day on, form the days they touch anew")
     job = jobs.add_parser("marts")
     job.add_argument("--prefix", default="gold_")
     job.add_argument("--url", help="JDBC address; user and password from DB_USER and DB_PASSWORD")
@@ -170,11 +229,15 @@ def main(argv: Sequence[str] | None = None) -> None:
     job.add_argument("--model", required=True)
     job.add_argument("--unique-ids", action="store_true")
     args = parser.parse_args(argv)
+    if args.job == "silver" and args.since and (args.day or args.layout != "delta" or args.mode != "overwrite"):
+        parser.error("--since goes with the delta layout, without --day and --mode")
 
     spark = build_session(f"roadlens-{args.job}", spark__sql__catalogImplementation="hive")
     if args.job == "ingest":
         for done in ingest(spark, args.parts, args.base, args.layout, args.multi_line):
             print(*done)
+    elif args.job == "silver" and args.since:
+        print(*refresh_silver(spark, args.base, args.since, args.dedupe))
     elif args.job == "silver":
         build_silver(spark, read_bronze(spark, args.base, args.day, args.layout), args.dedupe, args.mode)
     elif args.job == "marts":

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..errors import RepeatedIds
 from ..functions.calendar import parse_day
 from ..schema import SITUATION_FORMAT
 
@@ -38,3 +39,14 @@ def quality_report(
         F.lit("unique_id").alias("rule"), F.lit(id_col).alias("column_name"), "violations"
     )
     return report.unionByName(repeated)
+
+
+def require_unique(df: DataFrame, id_col: str) -> None:
+    """Raise :class:`RepeatedIds` where an id has more than one row; NULL ids are not compared.
+
+    Ids are counted map-side before they move, so one that fills the table is no burden on one task.
+    """
+    counts = df.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("rows"))
+    repeated = counts.where("rows > 1").agg(F.count(F.lit(1)), F.min(id_col)).first()
+    if repeated[0]:
+        raise RepeatedIds(*repeated)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,6 +64,8 @@ def write_silver(
             own.table(f"global_temp.{view}").write.insertInto(table, overwrite=True)
         finally:
             spark.catalog.dropGlobalTempView(view)
+        # this session may remember the files of the old days
+        spark.catalog.refreshTable(table)
         return
     if mode not in ("overwrite", "overwrite_days"):
         raise ValueError(f"mode must be overwrite or overwrite_days, not {mode}")
@@ -72,6 +75,21 @@ def write_silver(
     writer.saveAsTable(table)
 
 
+def replace_days(df: DataFrame, table: str, days: Sequence[date]) -> None:
+    """Replace ``days`` of a table by the rows of ``df``; a day without a row there is emptied."""
+    spark = df.sparkSession
+    kept = {row[0] for row in df.select("situation_date").distinct().collect()}
+    if kept:
+        write_silver(df, table, mode="overwrite_days")
+    nothing = spark.createDataFrame([], spark.table(table).drop(*PARTITION_COLUMNS).schema)
+    for day in sorted(set(days) - kept):
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION (year = {day.year}, month = {day.month}, day = {day.day}) "
+            "SELECT * FROM {nothing}",
+            nothing=nothing,
+        )
+
+
 def read_silver(
     spark: SparkSession, table: str, since: date | None = None, until: date | None = None
 ) -> DataFrame:

@@ -1,13 +1,17 @@
 """The daily jobs one after the other, from delimited parts to a saved model."""
 
 import glob
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from roadlens import jobs
+from roadlens.errors import RepeatedIds
+from roadlens.operators.quality import require_unique
 from roadlens.plans import marts
-from roadlens.sources import served, silver
+from roadlens.schema import bronze_schema
+from roadlens.sources import served, silver, snapshots
 from roadlens.sources.star_schema import bronze_records, silver_halves
 
 FOLDER = "/root/testdata/sf0.001"
@@ -97,3 +101,42 @@ def test_daily_silver_keeps_earlier_rejects_and_the_session_as_it_is(spark, fold
     assert spark.conf.get(setting) == before
     for table in ("accidents", "weather", "rejects"):
         spark.sql(f"drop table if exists {table}")
+
+
+def test_refreshed_silver_equals_a_full_build(spark, folder):
+    base, columns = folder + "/bronze", "ID string, Severity int, City string, situation_date string"
+    feeds = [
+        [("A", 1, "x", "01-01-2025"), ("B", 1, "x", "02-01-2025"), ("C", 1, "x", "02-01-2025"), ("D", 1, "x", "no day"),
+         (None, 1, "x", "01-01-2025"), ("E", 1, "x", "none")],
+        [("A", 2, "y", "03-01-2025"), ("C", 2, "y", "no day"), ("D", 2, "y", "02-01-2025"), ("E", 2, "y", "no day")],
+        [("B", 3, "z", "04-01-2025"), ("C", 3, "z", "04-01-2025"), ("D", 3, "z", "04-01-2025"), ("F", 3, "z", "no day")],
+    ]
+    declared = spark.createDataFrame([], bronze_schema())
+    touched = []
+    for number, rows in enumerate(feeds):
+        feed = declared.unionByName(spark.createDataFrame(rows, columns), allowMissingColumns=True)
+        at = snapshots.append_delta(feed, base, feed=str(number))
+        for _ in range(2):
+            since = date.fromisoformat(at.rpartition("/")[2])
+            touched.append([d.day for d in jobs.refresh_silver(spark, base, since, True, folder + "/daily", "daily_")])
+    assert touched == [[], [1, 2], [1, 2, 3], [2, 3], [2, 4], [4]]
+    jobs.build_silver(spark, jobs.read_bronze(spark, base), True, folder=folder + "/full", prefix="full_")
+    for name in ("accidents", "weather", "rejects"):
+        daily, full = (sorted(map(str, spark.table(kind + name).collect())) for kind in ("daily_", "full_"))
+        assert daily == full
+        assert sorted(map(str, spark.read.schema(spark.table("daily_" + name).schema).parquet(f"{folder}/daily/daily_{name}").collect())) == full
+    assert not glob.glob(folder + "/daily/daily_accidents/year=2025/month=1/day=2/*.parquet")
+    for name in ("accidents", "weather", "rejects"):
+        spark.sql(f"drop table daily_{name}")
+        spark.sql(f"drop table full_{name}")
+
+
+def test_repeated_ids_are_not_taken_for_unique(spark):
+    require_unique(spark.createDataFrame([("a",), (None,), (None,)], "id string"), "id")
+    with pytest.raises(RepeatedIds, match="1 ids .* b"):
+        require_unique(spark.createDataFrame([("a",), ("b",), ("b",)], "id string"), "id")
+
+
+def test_silver_since_needs_the_delta_layout():
+    with pytest.raises(SystemExit):
+        jobs.main(["silver", "--base", "x", "--since", "2025-01-01", "--layout", "cumulative"])
