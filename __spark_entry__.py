@@ -139,6 +139,20 @@ def mart_weather_impact_dedupe(spark, folder):
     return _rounded(marts.mart_weather_impact(*silver_halves(spark, folder), dedupe=True))
 
 
+def _newest_records(spark, folder):
+    return rows.latest_per_key(silver_records(spark, folder), ["id"], ["situation_date"])
+
+
+@registered
+def mart_weather_condition_wide(spark, folder):
+    return _rounded(marts.wide_weather_condition(_newest_records(spark, folder)))
+
+
+@registered
+def mart_weather_impact_wide(spark, folder):
+    return _rounded(marts.wide_weather_impact(_newest_records(spark, folder)))
+
+
 @registered
 def marts_one_pass(spark, folder):
     return marts.marts_one_pass(silver_halves(spark, folder)[0])

@@ -424,3 +424,6 @@ FROM records
 WHERE CAST(start_time AS DATE) + INTERVAL 1 DAY <= (SELECT max(start_time) FROM records) - INTERVAL 1 DAY
 GROUP BY 1"""),
 }
+
+for _name in ("mart_weather_condition", "mart_weather_impact"):
+    ORACLE_SQL[f"{_name}_wide"] = ORACLE_SQL[f"{_name}_dedupe"]

@@ -90,12 +90,14 @@ def build_silver(
     mode: str = "overwrite",
     folder: str | None = None,
     prefix: str = "",
+    wide: bool = False,
 ) -> None:
     """Write ``accidents`` and ``weather`` by day, and ``rejects`` for records without one.
 
     ``overwrite_days`` keeps the rejects of earlier runs as well, each different one once.
+    ``wide`` also writes the unsplit ``records`` by day.
     """
-    for name, df in silver.silver_tables(bronze, dedupe).items():
+    for name, df in silver.silver_tables(bronze, dedupe, wide).items():
         table = prefix + name
         path = f"{folder}/{table}" if folder else None
         if name == "rejects":
@@ -113,6 +115,7 @@ def refresh_silver(
     dedupe: bool = False,
     folder: str | None = None,
     prefix: str = "",
+    wide: bool = False,
 ) -> list[date]:
     """Bring silver up to date with the feeds filed (delta layout) under ``since`` or later.
 
@@ -125,23 +128,23 @@ def refresh_silver(
     Rejects of earlier feeds stay, each different one once; with ``dedupe`` one for each id, and
     none for an id that has a day by now. A feed filed again with fewer records asks for a full build.
     """
-    tables = {name: prefix + name for name in ("accidents", "weather", "rejects")}
+    by_day = ["accidents", "weather"] + ["records"] * wide
+    tables = {name: prefix + name for name in [*by_day, "rejects"]}
     if not all(spark.catalog.tableExists(table) for table in tables.values()):
-        build_silver(spark, read_bronze(spark, base), dedupe, folder=folder, prefix=prefix)
+        build_silver(spark, read_bronze(spark, base), dedupe, folder=folder, prefix=prefix, wide=wide)
         return []
-    halves = ("accidents", "weather")
     new = to_silver(snapshots.read_as_of(spark, base, schema=bronze_schema(), since=since))
     touched = new.select("situation_date")
     if dedupe:
         ids = new.select("id").where("id is not null").distinct()
-        for name in halves:
+        for name in by_day:
             held = spark.table(tables[name]).select("id", "situation_date")
             touched = touched.unionAll(held.join(ids, "id", "left_semi").select("situation_date"))
     # one value for each day of the calendar
     days = sorted(row[0] for row in touched.where("situation_date is not null").distinct().collect())
     bronze = snapshots.read_as_of(spark, base, schema=bronze_schema(), since=min([since, *days]))
-    formed = silver.silver_tables(bronze, dedupe)
-    for name in halves:
+    formed = silver.silver_tables(bronze, dedupe, wide)
+    for name in by_day:
         silver.replace_days(formed[name].where(F.col("situation_date").isin(days)), tables[name], days)
     rejects = formed["rejects"].unionByName(spark.table(tables["rejects"])).distinct()
     if dedupe:
@@ -153,6 +156,17 @@ def refresh_silver(
     return days
 
 
+def _silver(spark: SparkSession, unique_ids: bool, wide: bool) -> tuple[list[DataFrame], DataFrame | None]:
+    """Both halves, and the unsplit records where they are asked for; ids checked as stated."""
+    if wide and not unique_ids:
+        raise ValueError("records stand for the join only where ids are unique")
+    halves = [silver.read_silver(spark, name) for name in ("accidents", "weather")]
+    records = silver.read_silver(spark, "records") if wide else None
+    for df in [*halves, *([records] if wide else [])] if unique_ids else []:
+        require_unique(df, "id")
+    return halves, records
+
+
 def build_marts(
     spark: SparkSession,
     prefix: str = "gold_",
@@ -160,38 +174,37 @@ def build_marts(
     properties: dict | None = None,
     folder: str | None = None,
     unique_ids: bool = False,
+    wide: bool = False,
 ) -> None:
     """Write the seven marts and copies of both silver tables, as tables or to a database.
-    ``unique_ids`` states that silver was written de-duplicated, which is checked."""
-    halves = [silver.read_silver(spark, name) for name in ("accidents", "weather")]
-    if unique_ids:
-        for half in halves:
-            require_unique(half, "id")
+    ``unique_ids`` states that silver was written de-duplicated, which is checked; with ``wide``
+    the marts of both halves then read ``records`` instead of joining them."""
+    halves, records = _silver(spark, unique_ids, wide)
     if url:
         sink = partial(served.write_mart_jdbc, url=url, properties=properties or {})
-        marts.write_marts(*halves, sink, unique_ids=unique_ids)
+        marts.write_marts(*halves, sink, unique_ids=unique_ids, records=records)
         return
 
     def table(df: DataFrame, name: str) -> None:
         served.write_mart(df, name, f"{folder}/{name}" if folder else None)
 
-    marts.write_marts(*halves, table, prefix, unique_ids)
+    marts.write_marts(*halves, table, prefix, unique_ids, records)
 
 
 def train(
-    spark: SparkSession, path: str, unique_ids: bool = False, **settings
+    spark: SparkSession, path: str, unique_ids: bool = False, wide: bool = False, **settings
 ) -> tuple[PipelineModel, dict[str, DataFrame]]:
     """Fit on four fifths of the ids, save, and measure on the rest.
 
     Gives the saved model as loaded again and the reports ``confusion``, ``metrics``,
     ``importance`` and ``top``. ``unique_ids`` states that silver was written de-duplicated,
-    which is checked.
+    which is checked; with ``wide`` the features come from ``records``, without a join.
     """
-    halves = [silver.read_silver(spark, name) for name in ("accidents", "weather")]
-    if unique_ids:
-        for half in halves:
-            require_unique(half, "id")
-    inputs = features.feature_table(*halves, impute=False, unique_ids=unique_ids)
+    halves, records = _silver(spark, unique_ids, wide)
+    if records is None:
+        inputs = features.feature_table(*halves, impute=False, unique_ids=unique_ids)
+    else:
+        inputs = features.feature_rows(records.where("id is not null"), impute=False)
     rows = materialize(inputs, "features")
     train_rows, test_rows = features.split_train_test(rows)
     model.save_model(model.train_classifier(train_rows, **settings), path)
@@ -219,6 +232,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         else:
             job.add_argument("--day", type=date.fromisoformat)
             job.add_argument("--dedupe", action="store_true")
+            job.add_argument("--wide", action="store_true", help="write the unsplit records as well")
             job.add_argument("--mode", choices=["overwrite", "overwrite_days"], default="overwrite")
             job.add_argument("--since", type=date.fromisoformat, help="read feeds from this day on, form the days they touch anew")
     job = jobs.add_parser("marts")
@@ -228,24 +242,28 @@ def main(argv: Sequence[str] | None = None) -> None:
     job = jobs.add_parser("train")
     job.add_argument("--model", required=True)
     job.add_argument("--unique-ids", action="store_true")
+    for name in ("marts", "train"):
+        jobs.choices[name].add_argument("--wide", action="store_true", help="read records, with --unique-ids")
     args = parser.parse_args(argv)
     if args.job == "silver" and args.since and (args.day or args.layout != "delta" or args.mode != "overwrite"):
         parser.error("--since goes with the delta layout, without --day and --mode")
+    if args.job in ("marts", "train") and args.wide and not args.unique_ids:
+        parser.error("--wide goes with --unique-ids")
 
     spark = build_session(f"roadlens-{args.job}", spark__sql__catalogImplementation="hive")
     if args.job == "ingest":
         for done in ingest(spark, args.parts, args.base, args.layout, args.multi_line):
             print(*done)
     elif args.job == "silver" and args.since:
-        print(*refresh_silver(spark, args.base, args.since, args.dedupe))
+        print(*refresh_silver(spark, args.base, args.since, args.dedupe, wide=args.wide))
     elif args.job == "silver":
-        build_silver(spark, read_bronze(spark, args.base, args.day, args.layout), args.dedupe, args.mode)
+        build_silver(spark, read_bronze(spark, args.base, args.day, args.layout), args.dedupe, args.mode, wide=args.wide)
     elif args.job == "marts":
         login = {"user": os.environ.get("DB_USER"), "password": os.environ.get("DB_PASSWORD")}
         known = {k: v for k, v in login.items() if v}
-        build_marts(spark, args.prefix, args.url, known, unique_ids=args.unique_ids)
+        build_marts(spark, args.prefix, args.url, known, unique_ids=args.unique_ids, wide=args.wide)
     else:
-        for name, df in train(spark, args.model, args.unique_ids)[1].items():
+        for name, df in train(spark, args.model, args.unique_ids, args.wide)[1].items():
             print(name)
             df.show(truncate=False)
 

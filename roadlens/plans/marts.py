@@ -63,6 +63,18 @@ def _newest(df: DataFrame, cols: list[str]) -> DataFrame:
     return latest_per_key(df.select("id", "situation_date", *cols), ["id"], ["situation_date"])
 
 
+def _with_condition(weather: DataFrame) -> DataFrame:
+    return not_null(weather, ["weather_condition"]).withColumnRenamed("weather_condition", "Weather_Condition")
+
+
+def _banded(weather: DataFrame, *cols: str) -> DataFrame:
+    return not_null(weather, ["temperature_f", "visibility_mi"]).select(
+        *cols,
+        band(F.col("temperature_f"), TEMPERATURE).alias("temperature_range"),
+        band(F.col("visibility_mi"), VISIBILITY).alias("visibility_condition"),
+    )
+
+
 def mart_weather_condition(
     accidents: DataFrame, weather: DataFrame, dedupe: bool = False, repeats: str = "any"
 ) -> DataFrame:
@@ -76,9 +88,7 @@ def mart_weather_condition(
         accidents = _newest(accidents, ["severity"])
         weather = _newest(weather, ["weather_condition"])
         repeats = "none"
-    known = not_null(weather, ["weather_condition"]).withColumnRenamed(
-        "weather_condition", "Weather_Condition"
-    )
+    known = _with_condition(weather)
     out = joined_aggregates(
         accidents,
         known,
@@ -98,15 +108,9 @@ def mart_weather_impact(
         accidents = _newest(accidents, ["severity"])
         weather = _newest(weather, ["temperature_f", "visibility_mi", "wind_speed_mph"])
         repeats = "none"
-    banded = not_null(weather, ["temperature_f", "visibility_mi"]).select(
-        "id",
-        "wind_speed_mph",
-        band(F.col("temperature_f"), TEMPERATURE).alias("temperature_range"),
-        band(F.col("visibility_mi"), VISIBILITY).alias("visibility_condition"),
-    )
     out = joined_aggregates(
         accidents,
-        banded,
+        _banded(weather, "id", "wind_speed_mph"),
         "id",
         by=["temperature_range", "visibility_condition"],
         left_means={"avg_severity": "severity"},
@@ -116,6 +120,26 @@ def mart_weather_impact(
     return out.orderBy(F.desc("accident_count"), "temperature_range", "visibility_condition")
 
 
+def wide_weather_condition(records: DataFrame) -> DataFrame:
+    """:func:`mart_weather_condition` over unsplit records that hold each id once: no join."""
+    known = _with_condition(not_null(records, ["id"]))
+    out = known.groupBy("Weather_Condition").agg(
+        F.count(F.lit(1)).alias("accident_count"), F.avg("severity").alias("avg_severity")
+    )
+    return out.orderBy(F.desc("accident_count"), "Weather_Condition")
+
+
+def wide_weather_impact(records: DataFrame) -> DataFrame:
+    """:func:`mart_weather_impact` over unsplit records that hold each id once: no join."""
+    banded = _banded(not_null(records, ["id"]), "severity", "wind_speed_mph")
+    out = banded.groupBy("temperature_range", "visibility_condition").agg(
+        F.count(F.lit(1)).alias("accident_count"),
+        F.avg("severity").alias("avg_severity"),
+        F.avg("wind_speed_mph").alias("avg_wind_speed"),
+    )
+    return out.orderBy(F.desc("accident_count"), "temperature_range", "visibility_condition")
+
+
 def seasonal_counts(accidents: DataFrame, **how) -> DataFrame:
     named = season(F.month("start_time")).alias("season")
     counts = distinct_count_by(not_null(accidents, ["start_time"]), [named], "id", **how)
@@ -168,23 +192,29 @@ def marts_one_pass(accidents: DataFrame) -> DataFrame:
 
 
 def build_marts(
-    accidents: DataFrame, weather: DataFrame, unique_ids: bool = False
+    accidents: DataFrame, weather: DataFrame, unique_ids: bool = False, records: DataFrame | None = None
 ) -> dict[str, DataFrame]:
     """Every served table by name: the seven marts and copies of both silver halves.
 
     ``unique_ids`` states that no id repeats, as in silver written de-duplicated: then no mart
-    moves ids between executors to count them.
+    moves ids between executors to count them. Unsplit ``records`` of unique ids, where given,
+    stand for the join of the halves.
     """
     repeats = "none" if unique_ids else "any"
+    if records is None:
+        condition = mart_weather_condition(accidents, weather, repeats=repeats)
+        impact = mart_weather_impact(accidents, weather, repeats=repeats)
+    else:
+        condition, impact = wide_weather_condition(records), wide_weather_impact(records)
     # Names of the served tables.
     return {
         "top_accidents_by_day": mart_daily(accidents, unique_ids=unique_ids),
         "accidents_by_severity": mart_severity(accidents, unique_ids=unique_ids),
         "accidents_by_location": mart_location(accidents, unique_ids=unique_ids),
-        "accidents_by_weather": mart_weather_condition(accidents, weather, repeats=repeats),
+        "accidents_by_weather": condition,
         "accidents_time_patterns": mart_time_patterns(accidents, unique_ids=unique_ids),
         "road_infrastructure_summary": mart_infrastructure(accidents, unique_ids=unique_ids),
-        "weather_impact_analysis": mart_weather_impact(accidents, weather, repeats=repeats),
+        "weather_impact_analysis": impact,
         "accidents": accidents,
         "weather": weather,
     }
@@ -196,10 +226,11 @@ def write_marts(
     sink=write_mart,
     prefix: str = "",
     unique_ids: bool = False,
+    records: DataFrame | None = None,
 ) -> list[str]:
     """Write all served tables through ``sink(df, name)`` and give their names. A prefix keeps
     the copies apart from silver tables of the same name."""
-    tables = build_marts(accidents, weather, unique_ids)
+    tables = build_marts(accidents, weather, unique_ids, records)
     for name, df in tables.items():
         sink(df, prefix + name)
     return [prefix + name for name in tables]

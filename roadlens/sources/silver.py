@@ -23,19 +23,19 @@ def split_rejects(silver: DataFrame, col: str = "situation_date") -> tuple[DataF
     return silver.where(F.col(col).isNotNull()), silver.where(F.col(col).isNull())
 
 
-def silver_tables(bronze: DataFrame, dedupe: bool = False) -> dict[str, DataFrame]:
+def silver_tables(bronze: DataFrame, dedupe: bool = False, wide: bool = False) -> dict[str, DataFrame]:
     """Bronze records as the ``accidents`` and ``weather`` tables with their partition columns,
     and the ``rejects`` that have no usable day.
 
     ``dedupe`` keeps the newest record per id, compared as silver, where a day is a date and
     not a text. Whole records travel for that, so it is done once, in a written table from which
-    the three are cut.
+    the three are cut. ``wide`` adds the unsplit ``records``, which spare readers the join.
     """
     records = to_silver(bronze)
     if dedupe:
         records = materialize(latest_per_key(records, ["id"], ["situation_date"]), "records")
     good, rejects = split_rejects(records)
-    halves = split_vertical(good, SILVER_GROUPS)
+    halves = split_vertical(good, SILVER_GROUPS) | ({"records": good} if wide else {})
     tables = {name: with_calendar(df, "situation_date", fmt=None) for name, df in halves.items()}
     return tables | {"rejects": rejects}
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from roadlens import jobs
 from roadlens.errors import RepeatedIds
 from roadlens.operators.quality import require_unique
-from roadlens.plans import marts
+from roadlens.plans import features, marts
 from roadlens.schema import bronze_schema
 from roadlens.sources import served, silver, snapshots
 from roadlens.sources.star_schema import bronze_records, silver_halves
@@ -56,19 +56,33 @@ def test_from_parts_to_marts(spark, parts, folder, layout):
 def test_deduped_silver_trains_a_model(spark, parts, folder):
     base = folder + "/bronze"
     jobs.ingest(spark, parts, base)
-    jobs.build_silver(spark, jobs.read_bronze(spark, base), dedupe=True, folder=folder)
+    jobs.build_silver(spark, jobs.read_bronze(spark, base), dedupe=True, folder=folder, wide=True)
     accidents = silver.read_silver(spark, "accidents")
     assert accidents.count() == accidents.select("id").distinct().count()
     jobs.build_marts(spark, "once_", folder=folder + "/once", unique_ids=True)
     total = served.read_mart(spark, "once_road_infrastructure_summary").first()["total_accidents"]
     assert total == accidents.count()
-    for table in served.list_tables(spark, "once_*"):
+    jobs.build_marts(spark, "wide_", folder=folder + "/wide", unique_ids=True, wide=True)
+    for name in ("accidents_by_weather", "weather_impact_analysis"):
+        joined, wide = (served.read_mart(spark, kind + name) for kind in ("once_", "wide_"))
+        doubles = [F.round(c, 9) if kind == "double" else F.col(c) for c, kind in joined.dtypes]
+        assert sorted(map(str, joined.select(doubles).collect())) == sorted(map(str, wide.select(doubles).collect()))
+    for table in [*served.list_tables(spark, "once_*"), *served.list_tables(spark, "wide_*")]:
         spark.sql(f"drop table {table}")
     fitted, reports = jobs.train(spark, folder + "/model", unique_ids=True, num_trees=3, max_depth=3)
     assert 0.3 < reports["metrics"].first()["accuracy"] <= 1.0
     assert reports["importance"].count() == 10
     assert reports["confusion"].agg(F.sum("n")).first()[0] == reports["metrics"].first()["n"]
-    for table in ("accidents", "weather", "rejects"):
+    halves = [silver.read_silver(spark, name) for name in ("accidents", "weather")]
+    apart, whole = (
+        sorted(map(str, df.select(sorted(df.columns)).collect()))
+        for df in (
+            features.feature_table(*halves, impute=False, unique_ids=True),
+            features.feature_rows(silver.read_silver(spark, "records"), impute=False),
+        )
+    )
+    assert apart == whole
+    for table in ("accidents", "weather", "rejects", "records"):
         spark.sql(f"drop table if exists {table}")
 
 
@@ -118,15 +132,15 @@ def test_refreshed_silver_equals_a_full_build(spark, folder):
         at = snapshots.append_delta(feed, base, feed=str(number))
         for _ in range(2):
             since = date.fromisoformat(at.rpartition("/")[2])
-            touched.append([d.day for d in jobs.refresh_silver(spark, base, since, True, folder + "/daily", "daily_")])
+            touched.append([d.day for d in jobs.refresh_silver(spark, base, since, True, folder + "/daily", "daily_", True)])
     assert touched == [[], [1, 2], [1, 2, 3], [2, 3], [2, 4], [4]]
-    jobs.build_silver(spark, jobs.read_bronze(spark, base), True, folder=folder + "/full", prefix="full_")
-    for name in ("accidents", "weather", "rejects"):
+    jobs.build_silver(spark, jobs.read_bronze(spark, base), True, folder=folder + "/full", prefix="full_", wide=True)
+    for name in ("accidents", "weather", "records", "rejects"):
         daily, full = (sorted(map(str, spark.table(kind + name).collect())) for kind in ("daily_", "full_"))
         assert daily == full
         assert sorted(map(str, spark.read.schema(spark.table("daily_" + name).schema).parquet(f"{folder}/daily/daily_{name}").collect())) == full
     assert not glob.glob(folder + "/daily/daily_accidents/year=2025/month=1/day=2/*.parquet")
-    for name in ("accidents", "weather", "rejects"):
+    for name in ("accidents", "weather", "records", "rejects"):
         spark.sql(f"drop table daily_{name}")
         spark.sql(f"drop table full_{name}")
 
