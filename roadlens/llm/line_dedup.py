@@ -245,11 +245,12 @@ def drop_similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     A text that loses no line stays as it is; a row whose text had words and has none left is
     dropped. Null and empty texts stay.
     """
-    lost = line_components(docs, id_col, text_col, **options).where("not kept")
-    lost = lost.groupBy(id_col).agg(F.collect_set("line").alias("lost")).withColumnRenamed(id_col, "lost_id")
-    joined = docs.join(lost, docs[id_col].eqNullSafe(lost["lost_id"]), "left")
-    left = F.filter(F.split(docs[text_col], "\n", -1), lambda _, i: ~F.array_contains("lost", i))
-    text = F.when(F.col("lost").isNull(), docs[text_col]).otherwise(F.array_join(left, "\n"))
-    joined = joined.withColumn("lines left", text)
-    joined = joined.where(F.col("lost").isNull() | F.col("lines left").rlike("[^\\x20\\x09-\\x0D]"))
-    return joined.select([F.col("lines left").alias(c) if c == text_col else docs[c] for c in docs.columns])
+    gone = line_components(docs, id_col, text_col, **options).where("not kept")
+    gone = gone.groupBy(id_col).agg(F.collect_set("line").alias("lines"))
+    # by frame, since ``docs`` may have columns of any name
+    lines, text = gone["lines"], docs[text_col]
+    left = F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains(lines, i))
+    cut = F.when(lines.isNull(), text).otherwise(F.array_join(left, "\n"))
+    joined = docs.join(gone, docs[id_col].eqNullSafe(gone[id_col]), "left")
+    joined = joined.where(lines.isNull() | cut.rlike("[^\\x20\\x09-\\x0D]"))
+    return joined.select([cut.alias(c) if c == text_col else docs[c] for c in docs.columns])

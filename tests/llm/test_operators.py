@@ -453,6 +453,27 @@ def test_similar_lines_are_cut_from_texts(spark, none):
     assert line_dedup.drop_similar_lines(none).collect() == []
 
 
+def test_filters_hand_on_columns_of_any_name(spark, labels):
+    names = ["lost", "lost_id", "lines", "line", "lines left", "hit_id", "dropped_id", "component_id", "kept", "n_words", "row"]
+    texts = [(1, PASSAGE + " " + LONG), (2, PASSAGE + " " + LONG + "\nmore"), (3, LONG + "\nmore"), (4, "no line of another\nMORE"), (None, None)]
+    schema = ", ".join(["text string", *(f"`{n}` string" for n in names), "doc_id long"])
+    table = spark.createDataFrame([(t, *names, i) for i, t in texts], schema)
+    items = spark.createDataFrame([(9, PASSAGE)], "item_id long, text string")
+    kept = {
+        "lines": line_dedup.drop_similar_lines(table),
+        "near": near_dedup.drop_near_duplicates(table),
+        "clean": decontaminate.drop_contaminated(table, items),
+        "good": quality_rules.keep_good(table, labels),
+    }
+    for df in kept.values():
+        assert df.columns == table.columns
+        assert all([r[n] for n in names] == names for r in df.collect())
+    ids = {name: {r["doc_id"] for r in df.collect()} for name, df in kept.items()}
+    assert ids["near"] == {1, 4, None} and ids["clean"] == {3, 4, None}
+    texts_left = {r["doc_id"]: r["text"] for r in kept["lines"].collect()}
+    assert texts_left == {1: texts[0][1], 2: "more", 4: "no line of another", None: None}
+
+
 def test_signatures_agree_as_often_as_sets_do():
     random = np.random.default_rng(5)
     items = mix(np.arange(4000, dtype=np.uint64))
