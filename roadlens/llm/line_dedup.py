@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import re
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +19,7 @@ from .words import SPACED, Block, _tables, blocks, code_points, distinct, find_w
 SIMILARITY = Similarity(percent=80, hashes=32, bands=8, looks=(16, 32), miss=1e-4)
 SHINGLE = 10
 NEWLINE = 10
+WORD = re.compile("[^\x20\x09-\x0D]")
 #: The value of a shingle in its part depends on the bits that do not choose the part as well.
 SPREAD = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -239,18 +242,36 @@ def line_components(
     )
 
 
+def _cut(at: int):
+    """Rows without the lines of the text whose numbers are in the last column, and without that column."""
+
+    def run(batches):
+        for batch in batches:
+            columns, lost = batch.columns[:-1], batch.column(batch.num_columns - 1)
+            texts, kept = columns[at].to_pylist(), np.ones(len(batch), bool)
+            for row in np.flatnonzero(lost.is_valid().to_numpy(zero_copy_only=False)).tolist():
+                if texts[row] is None:
+                    continue
+                gone = set(lost[row].as_py())
+                left = "\n".join(x for i, x in enumerate(texts[row].split("\n")) if i not in gone)
+                kept[row] = WORD.search(left) is not None or WORD.search(texts[row]) is None
+                texts[row] = left
+            columns[at] = pa.array(texts, columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1]).filter(pa.array(kept))
+
+    return run
+
+
 def drop_similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` with all columns; of each component of lines, all but the first are cut from the texts.
 
     A text that loses no line stays as it is; a row whose text had words and has none left is
-    dropped. Null and empty texts stay.
+    dropped. Null and empty texts stay. Rows that repeat an id lose lines of the same numbers. Texts
+    are cut in Arrow batches, in time that grows with their length, however many lines go.
     """
     gone = line_components(docs, id_col, text_col, **options).where("not kept")
-    gone = gone.groupBy(id_col).agg(F.collect_set("line").alias("lines"))
-    # by frame, since ``docs`` may have columns of any name
-    lines, text = gone["lines"], docs[text_col]
-    left = F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains(lines, i))
-    cut = F.when(lines.isNull(), text).otherwise(F.array_join(left, "\n"))
-    joined = docs.join(gone, docs[id_col].eqNullSafe(gone[id_col]), "left")
-    joined = joined.where(lines.isNull() | cut.rlike("[^\\x20\\x09-\\x0D]"))
-    return joined.select([cut.alias(c) if c == text_col else docs[c] for c in docs.columns])
+    # a name that ``docs`` has not
+    name = uuid.uuid4().hex
+    gone = gone.groupBy(id_col).agg(F.collect_set("line").alias(name))
+    joined = docs.join(gone, docs[id_col].eqNullSafe(gone[id_col]), "left").select(*[docs[c] for c in docs.columns], name)
+    return joined.mapInArrow(_cut(docs.columns.index(text_col)), docs.schema)

@@ -1,5 +1,6 @@
 """Text operators against plain Python, on small tables with odd rows."""
 
+import hashlib
 import math
 import random
 import zlib
@@ -474,6 +475,13 @@ def test_filters_hand_on_columns_of_any_name(spark, labels):
     assert texts_left == {1: texts[0][1], 2: "more", 4: "no line of another", None: None}
 
 
+def test_lines_go_in_time_that_grows_with_the_text(spark):
+    many = "\n".join(hashlib.md5(b"%d" % i).hexdigest() for i in range(40_000))
+    table = spark.createDataFrame([(1, "first of all"), (2, many), (3, many + "\nfirst of all\nanother end"), (3, ""), (3, None)], "doc_id long, text string")
+    left = line_dedup.drop_similar_lines(table)
+    assert sorted(left.collect(), key=str) == sorted([(1, "first of all"), (2, many), (3, "another end"), (3, ""), (3, None)], key=str)
+
+
 def test_signatures_agree_as_often_as_sets_do():
     random = np.random.default_rng(5)
     items = mix(np.arange(4000, dtype=np.uint64))
