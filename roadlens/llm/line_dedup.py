@@ -8,6 +8,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -247,17 +248,18 @@ def _cut(at: int):
 
     def run(batches):
         for batch in batches:
-            columns, lost = batch.columns[:-1], batch.column(batch.num_columns - 1)
-            texts, kept = columns[at].to_pylist(), np.ones(len(batch), bool)
-            for row in np.flatnonzero(lost.is_valid().to_numpy(zero_copy_only=False)).tolist():
-                if texts[row] is None:
-                    continue
-                gone = set(lost[row].as_py())
-                left = "\n".join(x for i, x in enumerate(texts[row].split("\n")) if i not in gone)
-                kept[row] = WORD.search(left) is not None or WORD.search(texts[row]) is None
-                texts[row] = left
-            columns[at] = pa.array(texts, columns[at].type)
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1]).filter(pa.array(kept))
+            for block in blocks(batch.column(at)):
+                part = batch.slice(block.first, len(block))
+                columns, lost = part.columns[:-1], part.column(part.num_columns - 1)
+                touched = lost.is_valid().to_numpy(zero_copy_only=False) & columns[at].is_valid().to_numpy(zero_copy_only=False)
+                kept, left = np.ones(len(part), bool), []
+                for row in np.flatnonzero(touched).tolist():
+                    text, gone = columns[at][row].as_py(), set(lost[row].as_py())
+                    left.append("\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone))
+                    kept[row] = WORD.search(left[-1]) is not None or WORD.search(text) is None
+                if left:
+                    columns[at] = pc.replace_with_mask(columns[at], pa.array(touched), pa.array(left, columns[at].type))
+                yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1]).filter(pa.array(kept))
 
     return run
 
