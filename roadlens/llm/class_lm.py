@@ -14,10 +14,17 @@ CLASSES = 64
 CLUSTERED_WORDS = 1 << 10
 HELD_WORDS = 1 << 18
 SWEEPS = 6
-#: Words outside the clustered ones are classed by their length and last character.
+#: Sweeps over the words outside the core, all at once in each.
+REST_SWEEPS = 2
+#: Words outside the core begin in groups by their length and last character.
 SHAPES = 16
 END = np.uint64(0x0E0E0E0E0E0E0E0E)
 FLUSH = 1 << 20
+ENTRIES_AT_ONCE = 1 << 14
+#: Added to the class of a core word, whose class is settled.
+CORE = 1 << 8
+#: What a row of a pass over neighbours is: of the table of classes, of a word, or of a pair to be looked up.
+TABLE, WORD, PAIR = 0, 1, 2
 
 
 def tokens_of(block: Block) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
@@ -170,6 +177,199 @@ def exchange_classes(bigrams: np.ndarray, words: int, classes: int, sweeps: int)
     return of
 
 
+def _grouped(batches):
+    """``(word, code, n)`` of whole words, their codes in order and each once; rows come sorted by word."""
+    held = None
+    for batch in batches:
+        rows = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)]
+        if held is not None:
+            rows = [np.concatenate(x) for x in zip(held, rows)]
+        if not len(rows[0]):
+            continue
+        cut = int(np.searchsorted(rows[0], rows[0][-1]))
+        held = [x[cut:] for x in rows]
+        if cut:
+            yield _once([x[:cut] for x in rows])
+    if held is not None:
+        yield _once(held)
+
+
+def _once(rows):
+    word, code, n = rows
+    order = np.lexsort((code, word))
+    word, code = word[order], code[order]
+    starts = np.flatnonzero(np.concatenate(([True], (word[1:] != word[:-1]) | (code[1:] != code[:-1]))))
+    return word[starts], code[starts], np.add.reduceat(n[order], starts)
+
+
+def best_classes(table: np.ndarray, classes: int, old: np.ndarray, word: np.ndarray, code: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """For each word the class of the first ``classes`` that makes the text likeliest, the others staying.
+
+    ``table`` counts neighbouring classes, ``old`` is each word's class in it. The counts ``n`` are of
+    the word (a number, sorted) and the class after it (``code``), before it (``code`` less the number of
+    kinds) or the word itself after it (twice that number). A word that gains nothing stays.
+    """
+    kinds, c = len(table), np.arange(classes)
+    counts = np.zeros((len(old), 2 * kinds + 1))
+    counts[word, code] = n
+    own = counts[:, -1:]
+    sides = counts[:, :kinds], counts[:, kinds:-1]
+    here = c == old[:, None]
+    gain = np.zeros((len(old), classes))
+    for side, (mine, others, cells) in enumerate(((sides[0], sides[1], table.T), (sides[1], sides[0], table))):
+        at = code // kinds == side
+        w, k, x = word[at], code[at] - side * kinds, n[at, None].astype(float)
+        if not len(w):
+            continue
+        # the cells without the word
+        base = cells[k, :classes] - here[w] * x
+        inside = np.flatnonzero(k == old[w])
+        base[inside] -= others[w[inside], :classes] + here[w[inside]] * own[w[inside]]
+        starts = np.flatnonzero(np.concatenate(([True], w[1:] != w[:-1])))
+        gain[w[starts]] += np.add.reduceat(_xlogx(base + x) - _xlogx(base), starts)
+    after, before = sides[0][:, :classes], sides[1][:, :classes]
+    cell = table[c, c] - here * (after + before + own)
+    gain += _xlogx(cell + after + before + own) + _xlogx(cell) - _xlogx(cell + after) - _xlogx(cell + before)
+    for side, total in zip(sides, (table.sum(1)[c], table.sum(0)[c])):
+        of_word = side.sum(1, keepdims=True) + own
+        left = total - here * of_word
+        gain -= _xlogx(left + of_word) - _xlogx(left)
+    new = gain.argmax(1)
+    each = np.arange(len(old))
+    stays = (old < classes) & (gain[each, new] <= gain[each, np.minimum(old, classes - 1)] + 1e-9)
+    return np.where(stays, old, new)
+
+
+ASSIGNED = "word long, n long, shape int, class int"
+
+
+def _assign(sent, classes: int):
+    """New classes of words; the row of a word with code -1 packs its count, shape and class."""
+
+    def run(batches):
+        table = sent.value
+        for word, code, n in _grouped(batches):
+            first = np.flatnonzero(code == -1)
+            upto = np.append(first, len(word))
+            low = 0
+            while low < len(first):
+                high = max(low + 1, int(np.searchsorted(upto, upto[low] + ENTRIES_AT_ONCE, "right")) - 1)
+                a, b = upto[low], upto[high]
+                about = n[first[low:high]]
+                of = np.repeat(np.arange(high - low), np.diff(upto[low : high + 1]))
+                counted = code[a:b] >= 0
+                new = best_classes(table, classes, about & 255, of[counted], code[a:b][counted], n[a:b][counted])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(word[first[low:high]]),
+                        pa.array(about >> 16),
+                        pa.array((about >> 8 & 255).astype(np.int32)),
+                        pa.array(new.astype(np.int32)),
+                    ],
+                    ["word", "n", "shape", "class"],
+                )
+                low = high
+
+    return run
+
+
+NEIGHBOURS = "part int, word long, a int, other long, b int, n long"
+
+
+def _neighbour_rows(part: int, word, a, other, b, n) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.full(len(n), part, np.int32)),
+            pa.array(np.ascontiguousarray(word).view(np.int64)),
+            pa.array(a.astype(np.int32)),
+            pa.array(np.ascontiguousarray(other).view(np.int64)),
+            pa.array(b.astype(np.int32)),
+            pa.array(n.astype(np.int64)),
+        ],
+        ["part", "word", "a", "other", "b", "n"],
+    )
+
+
+def _neighbours(sent, by_word: bool):
+    """Neighbouring classes, and with ``by_word`` those of each word outside the core.
+
+    Classes are those of the words sent, or of the shape if the sent ones say so. ``TABLE`` rows
+    count classes (a, b); ``WORD`` rows a word and a code (a) as ``best_classes`` takes them; ``PAIR``
+    rows are pairs (word, other) of which one was not sent (class -1). Classes of core words are
+    ``CORE`` more.
+    """
+
+    def run(batches):
+        m = sent.value
+        kinds = m["kinds"]
+        table = np.zeros(kinds * kinds, np.int64)
+        held: list = []
+        size = 0
+        for batch in batches:
+            for block in blocks(batch.column(0)):
+                _, hashes, shapes, _ = tokens_of(block)
+                found = look_up(m["known"], hashes, -1)
+                if m["shapes"] is not None:
+                    found = np.where(found < 0, m["shapes"] + shapes, found)
+                found[hashes == END] = CORE + kinds - 1
+                left, right = np.concatenate(([END], hashes[:-1])), hashes
+                a, b = np.concatenate(([CORE + kinds - 1], found[:-1])), found
+                known = (a >= 0) & (b >= 0)
+                table += np.bincount((a[known] % CORE) * kinds + b[known] % CORE, minlength=kinds * kinds)
+                if not known.all():
+                    some = ~known
+                    n = np.ones(some.sum(), np.int64)
+                    yield _neighbour_rows(PAIR, left[some], a[some], right[some], b[some], n)
+                if not by_word:
+                    continue
+                own = left == right
+                after, before = known & (a < CORE) & ~own, known & (b < CORE) & ~own
+                own &= known & (a < CORE)
+                word = np.concatenate((left[after], right[before], left[own]))
+                code = np.concatenate((b[after] % CORE, kinds + a[before] % CORE, np.full(own.sum(), 2 * kinds)))
+                if not len(word):
+                    continue
+                different, rank = np.unique(word, return_inverse=True)
+                pairs, n = np.unique(rank * (2 * kinds + 1) + code, return_counts=True)
+                held.append((different[pairs // (2 * kinds + 1)], pairs % (2 * kinds + 1), n))
+                size += len(n)
+                if size > FLUSH:
+                    word, code, n = _once([np.concatenate(x) for x in zip(*held)])
+                    held, size = [(word, code, n)], len(n)
+                    if size > FLUSH // 2:
+                        yield _neighbour_rows(WORD, word, code, word, code, n)
+                        held, size = [], 0
+        if held:
+            word, code, n = _once([np.concatenate(x) for x in zip(*held)])
+            yield _neighbour_rows(WORD, word, code, word, code, n)
+        pairs = np.flatnonzero(table)
+        none = np.zeros(len(pairs), np.int64)
+        yield _neighbour_rows(TABLE, none, pairs // kinds, none, pairs % kinds, table[pairs])
+
+    return run
+
+
+def _resolved(pairs: DataFrame, assigned: DataFrame) -> DataFrame:
+    """Pairs with the classes of both words; the classes of core words are ``CORE`` more."""
+    of = assigned.select(F.col("word").alias("w"), F.col("class").alias("c"))
+    pairs = pairs.groupBy("word", "a", "other", "b").agg(F.sum("n").alias("n"))
+
+    def joined(rows: DataFrame, word: str, a: str) -> DataFrame:
+        found = rows.where(F.col(a) < 0).join(of, F.col(word) == F.col("w")).withColumn(a, F.col("c")).drop("w", "c")
+        return found.unionByName(rows.where(F.col(a) >= 0))
+
+    return joined(joined(pairs, "word", "a"), "other", "b")
+
+
+def _class_table(rows: DataFrame, resolved: DataFrame, kinds: int) -> np.ndarray:
+    counted = rows.where(F.col("part") == TABLE).select("a", "b", "n")
+    counted = counted.unionByName(resolved.select((F.col("a") % CORE).alias("a"), (F.col("b") % CORE).alias("b"), "n"))
+    counted = counted.groupBy("a", "b").agg(F.sum("n").alias("n")).toPandas()
+    table = np.zeros((kinds, kinds))
+    table[counted["a"].to_numpy(np.int64), counted["b"].to_numpy(np.int64)] = counted["n"].to_numpy(float)
+    return table
+
+
 def transition_scores(table: np.ndarray) -> np.ndarray:
     """log10 of P(class | class before), smoothed by the share of each class (Witten and Bell)."""
     total, kinds = table.sum(), len(table)
@@ -180,46 +380,65 @@ def transition_scores(table: np.ndarray) -> np.ndarray:
 
 SCORED = (
     "id long, held_out boolean, n_tokens long, n_known long, base double, model double, "
-    "rare array<struct<word: long, n: long>>"
+    "rare array<struct<word: long, shape: int, before: int, prior: long, prior_shape: int, after: int, times: long>>"
+)
+_RARE = pa.struct(
+    [
+        ("word", pa.int64()),
+        ("shape", pa.int32()),
+        ("before", pa.int32()),
+        ("prior", pa.int64()),
+        ("prior_shape", pa.int32()),
+        ("after", pa.int32()),
+        ("times", pa.int64()),
+    ]
 )
-_RARE = pa.struct([("word", pa.int64()), ("n", pa.int64())])
 
 
 def _scored(model):
-    """Scores without the counts of rare words, which are listed."""
+    """Scores without the steps to and from words that were not sent, which are listed.
+
+    Each such word has the class before it and after it: -1 if that is such a word as well, which
+    ``prior`` names if it comes before. The step between two of them is of the second.
+    """
 
     def run(batches):
         m = model.value
+        kinds = len(m["transitions"])
         for batch in batches:
             for block in blocks(batch.column(2)):
-                words, hashes, shapes, first = tokens_of(block)
-                units = _units(hashes, shapes, m["clustered"], m["size"])
-                classes = m["classes"][units]
-                before = np.concatenate(([m["classes"][-1]], classes[:-1]))
+                _, hashes, shapes, first = tokens_of(block)
+                classes = look_up(m["known"], hashes, -1)
+                classes[hashes == END] = kinds - 1
+                before = np.concatenate(([kinds - 1], classes[:-1]))
+                after = np.concatenate((classes[1:], [-1]))
                 count = look_up(m["counts"], hashes, 0)
-                held = count > 0
+                held = classes >= 0
                 known = np.where(held, np.log10(count + 0.5), 0.0)
-                step = m["transitions"][before, classes] - m["below"][classes] + known
+                step = np.where(held, known - m["below"][classes], 0.0)
+                step += np.where(held & (before >= 0), m["transitions"][before, classes], 0.0)
                 sums = lambda x: np.diff(np.concatenate(([0.0], np.cumsum(x)))[first])
                 n = np.diff(first)
-                text = np.repeat(np.arange(len(block)), n)[~held]
-                rare = hashes[~held]
-                order = np.lexsort((rare, text))
-                text, rare = text[order], rare[order]
-                new = np.ones(len(rare), bool)
-                new[1:] = (text[1:] != text[:-1]) | (rare[1:] != rare[:-1])
+                at = np.flatnonzero(~held)
+                text = np.repeat(np.arange(len(block)), n)[at]
+                alone = before[at] >= 0
+                prior = np.where(alone, hashes[at], hashes[at - 1])
+                prior_shape = np.where(alone, -1, shapes[at - 1])
+                fields = [hashes[at].view(np.int64), shapes[at], before[at], prior.view(np.int64), prior_shape, after[at]]
+                order = np.lexsort((*fields, text))
+                text, fields = text[order], [x[order] for x in fields]
+                new = np.ones(len(text), bool)
+                new[1:] = np.any([x[1:] != x[:-1] for x in (text, *fields)], axis=0)
                 starts = np.flatnonzero(new)
-                each = np.diff(np.append(starts, len(rare)))
+                fields = [x[starts] for x in fields] + [np.diff(np.append(starts, len(text)))]
                 lists = np.searchsorted(text[starts], np.arange(len(block) + 1)).astype(np.int32)
-                rows = pa.StructArray.from_arrays(
-                    [pa.array(rare[starts].view(np.int64)), pa.array(each.astype(np.int64))], fields=list(_RARE)
-                )
+                rows = pa.StructArray.from_arrays([pa.array(x).cast(f.type) for x, f in zip(fields, _RARE)], fields=list(_RARE))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(block.first, len(block)),
                         batch.column(1).slice(block.first, len(block)),
                         pa.array(n.astype(np.int64)),
-                        pa.array(sums(held.astype(float)).round().astype(np.int64)),
+                        pa.array(sums((count > 0).astype(float)).round().astype(np.int64)),
                         pa.array(sums(known) - n * m["base_below"]),
                         pa.array(sums(step)),
                         pa.ListArray.from_arrays(pa.array(lists), rows),
@@ -230,6 +449,129 @@ def _scored(model):
     return run
 
 
+def _rare_steps(model):
+    """What the listed words add to each row; ``class`` and ``prior_class`` are -1 for words never seen."""
+
+    def run(batches):
+        m = model.value
+        transitions, below, of_shape = m["transitions"], m["below"], m["of_shape"]
+        for batch in batches:
+            x = {name: batch.column(k).to_numpy(zero_copy_only=False) for k, name in enumerate(batch.schema.names)}
+            own = np.where(x["class"] >= 0, x["class"], of_shape[x["shape"]])
+            prior = np.where(x["prior_class"] >= 0, x["prior_class"], of_shape[x["prior_shape"]])
+            before = np.where(x["before"] >= 0, x["before"], prior)
+            count = np.log10(x["n"] + 0.5)
+            step = count - below[own] + transitions[before, own]
+            step += np.where(x["after"] >= 0, transitions[own, x["after"]], 0.0)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array(x["times"] * count),
+                    pa.array(x["times"] * step),
+                    pa.array(np.where(x["n"] > 0, x["times"], 0)),
+                ],
+                ["row", "base", "model", "known"],
+            )
+
+    return run
+
+
+def word_classes(
+    training: DataFrame,
+    counts: DataFrame,
+    classes: int = CLASSES,
+    clustered_words: int = CLUSTERED_WORDS,
+    held_words: int = HELD_WORDS,
+    sweeps: int = SWEEPS,
+    rest_sweeps: int = REST_SWEEPS,
+) -> tuple[DataFrame, dict, np.ndarray]:
+    """``(word, n, shape, class)`` of all words of ``counts``; arrays of the most frequent ones; neighbouring classes.
+
+    ``counts`` has (word, shape, n). The ``clustered_words`` most frequent words, ties by their hash, are
+    the core. The others are moved against it and each other: a sweep counts the classes before and after
+    each of them, and moves all of them at once, each as if the others stayed.
+    """
+    if not 0 < classes <= CORE - SHAPES - 1:
+        raise ValueError(f"classes must be 1 to {CORE - SHAPES - 1}")
+    spark = training.sparkSession
+    counts = counts.where("shape >= 0")
+    octave = F.floor(F.log2("n") * 8).cast("int")
+    sizes = counts.groupBy(octave.alias("octave")).agg(F.count("*").alias("words")).collect()
+    top = counts.orderBy(F.desc("n"), "word").limit(clustered_words).select("word", "n", "shape").toPandas()
+    size = len(top)
+    core_words = top["word"].to_numpy(np.int64).view(np.uint64)
+
+    units = size + SHAPES + 1
+    sent = spark.sparkContext.broadcast(lookup(core_words, np.arange(size)))
+    pairs = training.mapInArrow(_bigrams(sent, size), "pair long, n long")
+    pairs = pairs.groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
+    table = np.zeros(units * units)
+    table[pairs["pair"].to_numpy(np.int64)] = pairs["n"].to_numpy(float)
+    table = table.reshape(units, units)
+    of = exchange_classes(table, size, classes, sweeps)
+    kinds = classes + SHAPES + 1
+    member = np.zeros((units, kinds))
+    member[np.arange(units), of] = 1
+    table = member.T @ table @ member
+
+    core = top.assign(**{"class": of[:size]})
+    core = spark.createDataFrame(core[["word", "n", "shape", "class"]].values.tolist(), ASSIGNED)
+    core = materialize(core, "core-classes")
+    # the most frequent others, as many whole steps of frequency as fit: their classes need no shuffle
+    taken, least = 0, None
+    for row in sorted(sizes, key=lambda r: -r["octave"]):
+        taken += row["words"]
+        if taken > held_words:
+            break
+        least = row["octave"]
+
+    def known(assigned: DataFrame) -> dict:
+        often = octave >= F.lit(least) if least is not None else F.lit(False)
+        held = assigned.where(often).select("word", "n", "class").toPandas()
+        return {
+            "words": np.append(core_words, held["word"].to_numpy(np.int64).view(np.uint64)),
+            "n": np.append(top["n"].to_numpy(np.int64), held["n"].to_numpy(np.int64)),
+            "class": np.append(of[:size], held["class"].to_numpy(np.int64)),
+            "core": np.arange(size + len(held)) < size,
+        }
+
+    def passed(own: dict, shapes, by_word: bool) -> DataFrame:
+        lookups = lookup(own["words"], own["class"] + CORE * own["core"])
+        model = spark.sparkContext.broadcast({"known": lookups, "kinds": kinds, "shapes": shapes})
+        return training.mapInArrow(_neighbours(model, by_word), NEIGHBOURS)
+
+    def moved(assigned: DataFrame, rows: DataFrame) -> DataFrame:
+        about = F.expr("shiftleft(n, 16) + shape * 256 + class")
+        rows = assigned.select("word", F.lit(-1).alias("code"), about.alias("n")).unionByName(rows)
+        rows = rows.repartition("word").sortWithinPartitions("word")
+        return materialize(rows.mapInArrow(_assign(spark.sparkContext.broadcast(table), classes), ASSIGNED), "classes")
+
+    rest = counts.join(core.select("word"), "word", "left_anti")
+    rest = rest.select("word", "n", "shape", (F.col("shape") + classes).alias("class"))
+    own = known(rest.limit(0))
+    if sum(r["words"] for r in sizes) > size:
+        code = F.col("a").alias("code")
+        rows = passed(own, classes, True)
+        rest = moved(rest, rows.where(F.col("part") == WORD).select("word", code, "n"))
+        for sweep in range(1, rest_sweeps + 1):
+            # after the last one the table alone is counted
+            own = known(rest)
+            rows = materialize(passed(own, None, sweep < rest_sweeps), "neighbours")
+            pairs = rows.where(F.col("part") == PAIR).select("word", "a", "other", "b", "n")
+            pairs = materialize(_resolved(pairs, rest), "pairs")
+            table = _class_table(rows, pairs, kinds)
+            if sweep < rest_sweeps:
+                same = F.col("word") == F.col("other")
+                after = pairs.where((F.col("a") < CORE) & ~same).select("word", (F.col("b") % CORE).alias("code"), "n")
+                before = pairs.where((F.col("b") < CORE) & ~same)
+                before = before.select(F.col("other").alias("word"), (F.col("a") % CORE + kinds).alias("code"), "n")
+                itself = pairs.where(same & (F.col("a") < CORE)).select("word", F.lit(2 * kinds).alias("code"), "n")
+                known_rows = rows.where(F.col("part") == WORD).select("word", code, "n")
+                rest = moved(rest, known_rows.unionByName(after).unionByName(before).unionByName(itself))
+    used = np.append(np.arange(classes), kinds - 1)  # no word is left in a shape
+    return core.unionByName(rest), own, table[np.ix_(used, used)]
+
+
 def class_scores(
     docs: DataFrame,
     held_out: Column,
@@ -239,6 +581,7 @@ def class_scores(
     clustered_words: int = CLUSTERED_WORDS,
     held_words: int = HELD_WORDS,
     sweeps: int = SWEEPS,
+    rest_sweeps: int = REST_SWEEPS,
 ) -> DataFrame:
     """``(id_col, held_out, n_tokens, n_known, train_tokens, base_score, score)``, a row for every row.
 
@@ -247,12 +590,14 @@ def class_scores(
     probability by counts of single tokens with 0.5 added to each; ``score`` is the sum of
     log10 P(class | class before) and log10 P(token | class). ``perplexity`` turns either into one.
 
-    The at most ``clustered_words`` most frequent words are put into ``classes`` classes by
-    exchange clustering; the rest go by length and last character into ``SHAPES`` more, and the
-    end is its own. All tokens of all training rows are counted. Neighbouring units are summed
-    over the corpus into a table of ``(clustered_words + SHAPES + 1)`` squared cells at most, the
-    only thing beside ``held_words`` counts that reaches the driver. Counts of rarer words are
-    joined to the texts that have them, by word.
+    Every word of the training rows is put into one of ``classes`` classes by exchange clustering, and
+    the end is its own. The ``clustered_words`` most frequent words (ties by their hash) are moved one by
+    one on the driver, over a table of ``(clustered_words + SHAPES + 1)`` squared counts at most; all
+    others are moved in tasks, ``rest_sweeps`` times, by the classes before and after all their places.
+    The driver also gets the classes and counts of at most ``held_words`` frequent words and sends
+    them to the tasks. Those of rarer words are written and joined to the texts and neighbours that
+    have them, by word. Words never seen take the class that most words seen once of their length and
+    last character have.
 
     Null and empty texts are an end alone. Rows that repeat an id are scored each by itself.
     Without training rows every token is unknown. Other columns are ignored, no rows give no rows.
@@ -266,86 +611,60 @@ def class_scores(
     training = source.where("not held_out").select("text")
     counts = training.mapInArrow(_counted(), "word long, shape int, n long")
     counts = materialize(counts.groupBy("word", "shape").agg(F.sum("n").alias("n")), "word-counts")
+    assigned, own, table = word_classes(training, counts, classes, clustered_words, held_words, sweeps, rest_sweeps)
 
-    octave = F.floor(F.log2("n") * 8).cast("int").alias("octave")
-    sizes = counts.where("shape >= 0").groupBy(octave).agg(F.count("*").alias("words")).collect()
-
-    def frequent(limit: int) -> DataFrame:
-        """The most frequent words, as many whole steps of frequency as fit into ``limit``."""
-        taken, least = 0, None
-        for row in sorted(sizes, key=lambda r: -r["octave"]):
-            taken += row["words"]
-            if taken > limit:
-                break
-            least = row["octave"]
-        return counts.where((F.col("shape") >= 0) & (octave >= F.lit(least)) if least is not None else F.lit(False))
-
-    held = frequent(held_words).select("word", "n").toPandas()
-    top = frequent(clustered_words).select("word", "n", "shape").toPandas().sort_values(["n", "word"], ascending=[False, True])
-    size = len(top)
-    clustered = lookup(top["word"].to_numpy(np.int64).view(np.uint64), np.arange(size))
-
-    units = size + SHAPES + 1
-    sent = spark.sparkContext.broadcast(clustered)
-    pairs = training.mapInArrow(_bigrams(sent, size), "pair long, n long")
-    pairs = pairs.groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
-    table = np.zeros(units * units)
-    table[pairs["pair"].to_numpy(np.int64)] = pairs["n"].to_numpy(float)
-    table = table.reshape(units, units)
-    of = exchange_classes(table, size, classes, sweeps)
-
-    kinds = classes + SHAPES + 1
-    member = np.zeros((units, kinds))
-    member[np.arange(units), of] = 1
-    total = counts.groupBy("shape").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()
-    tokens = sum(r["n"] for r in total)
-    words = sum(r["words"] for r in total)
+    ends = counts.where("shape < 0").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    once = F.sum(F.when(F.col("n") == 1, 1).otherwise(0))
+    total = assigned.groupBy("shape", "class").agg(F.sum("n").alias("n"), F.count("*").alias("words"), once.alias("once"))
+    total = total.orderBy("shape", "class").collect()
+    kinds = classes + 1
     tokens_in, words_in = np.zeros(kinds), np.zeros(kinds)
+    shaped = np.zeros((SHAPES, classes))
     for r in total:
-        at = classes + (r["shape"] if r["shape"] >= 0 else SHAPES)
-        tokens_in[at] += r["n"]
-        words_in[at] += r["words"]
-    # clustered words leave their shape for their class
-    at = classes + top["shape"].to_numpy(np.int64)
-    np.subtract.at(tokens_in, at, top["n"].to_numpy(float))
-    np.subtract.at(words_in, at, 1)
-    np.add.at(tokens_in, of[:size], top["n"].to_numpy(float))
-    np.add.at(words_in, of[:size], 1)
-    open_ended = np.arange(kinds) >= classes  # a shape also holds words never seen; the end is always seen
-    open_ended[-1] = False
-    below = np.log10(np.maximum(tokens_in + 0.5 * (words_in + open_ended), 0.5))
-    ends = int(tokens_in[-1])
+        tokens_in[r["class"]] += r["n"]
+        words_in[r["class"]] += r["words"]
+        # words seen once come first, then all of the shape
+        shaped[r["shape"], r["class"]] = r["once"] + r["words"] * 1e-12
+    tokens_in[-1], words_in[-1] = ends, ends > 0
+    of_shape = np.where(shaped.any(1), shaped.argmax(1), shaped.sum(0).argmax())
+    open_ended = np.isin(np.arange(kinds), of_shape)  # such a class also holds words never seen
+    tokens, words = int(tokens_in.sum()), int(words_in.sum())
     model = {
-        "clustered": clustered,
-        "size": size,
-        "classes": of,
-        "transitions": transition_scores(member.T @ table @ member),
-        "below": below,
-        "counts": lookup(
-            np.append(held["word"].to_numpy(np.int64).view(np.uint64), END),
-            np.append(held["n"].to_numpy(np.int64), ends),
-        ),
+        "known": lookup(own["words"], own["class"]),
+        "counts": lookup(np.append(own["words"], END), np.append(own["n"], ends)),
+        "transitions": transition_scores(table),
+        "below": np.log10(np.maximum(tokens_in + 0.5 * (words_in + open_ended), 0.5)),
         "base_below": float(np.log10(tokens + 0.5 * (words + 1))),
+        "of_shape": of_shape,
     }
-    rows = source.mapInArrow(_scored(spark.sparkContext.broadcast(model)), SCORED)
+    model = spark.sparkContext.broadcast(model)
+    rows = source.mapInArrow(_scored(model), SCORED)
     rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "scores")
 
-    rare = rows.select("row", F.inline("rare")).withColumnRenamed("n", "times")
-    rare = rare.join(counts.select("word", "n"), "word", "left")
-    rare = rare.groupBy("row").agg(
-        F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("rare"),
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
+    rare = rows.select("row", F.inline("rare"))
+    rare = rare.join(assigned.select("word", "n", "class"), "word", "left")
+    prior = assigned.select(F.col("word").alias("prior"), F.col("class").alias("prior_class"))
+    rare = rare.join(prior, "prior", "left").select(
+        "row",
+        F.coalesce("n", F.lit(0)).cast("long").alias("n"),
+        F.coalesce("class", F.lit(-1)).alias("class"),
+        F.coalesce("prior_class", F.lit(-1)).alias("prior_class"),
+        *("shape", "before", "prior_shape", "after", "times"),
+    )
+    rare = rare.mapInArrow(_rare_steps(model), "row long, base double, model double, known long").groupBy("row")
+    rare = rare.agg(
+        F.sum("base").alias("rare_base"), F.sum("model").alias("rare_model"), F.sum("known").alias("rare_known")
     )
     out = rows.drop("rare").join(rare, "row", "left")
-    more = F.coalesce("rare", F.lit(0.0))
+    more = lambda name: F.coalesce(name, F.lit(0))
     return out.select(
         F.col("id").alias(id_col),
         "held_out",
         "n_tokens",
-        (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
+        (F.col("n_known") + more("rare_known")).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + more).alias("base_score"),
-        (F.col("model") + more).alias("score"),
+        (F.col("base") + more("rare_base")).alias("base_score"),
+        (F.col("model") + more("rare_model")).alias("score"),
     )
 
 

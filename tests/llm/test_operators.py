@@ -389,6 +389,83 @@ def test_exchange_never_lowers_the_likelihood():
     assert values == sorted(values) and values[-1] > values[0]
 
 
+def _words_of(spark, texts, **options):
+    training = spark.createDataFrame([(t,) for t in texts], "text string")
+    counts = training.mapInArrow(class_lm._counted(), "word long, shape int, n long")
+    counts = counts.groupBy("word", "shape").agg(F.sum("n").alias("n")).cache()
+    return training, counts, class_lm.word_classes(training, counts, **options)
+
+
+def test_every_training_word_gets_a_class_also_where_frequencies_tie(spark):
+    texts = [f"{a}{i} {b}{i}" for i in range(150) for a, b in (("left", "right"), ("right", "left"))]
+    _, counts, (assigned, own, table) = _words_of(spark, texts, classes=4, clustered_words=16, held_words=40)
+    found = assigned.collect()
+    assert len({r["word"] for r in found}) == len(found) == counts.where("shape >= 0").count() == 300
+    assert all(0 <= r["class"] < 4 for r in found)
+    assert own["core"].sum() == 16  # all words are equally frequent
+    tokens = sum(r["n"] for r in found) + len(texts)
+    assert table.sum() == tokens  # each token follows one
+
+
+@pytest.mark.parametrize("held", [0, 60, 1 << 18])
+def test_words_beyond_the_core_are_clustered_by_their_neighbours(spark, held):
+    random = np.random.default_rng(4)
+    nouns, verbs = [f"x{i}" for i in range(60)], [f"x{i}" for i in range(60, 120)]
+    texts = [" ".join(f"{random.choice(nouns)} {random.choice(verbs)}" for _ in range(8)) for _ in range(200)]
+    texts += [" ".join(["x5"] * 40), "x200 x200 x201 x202"]
+    training, counts, (assigned, _, table) = _words_of(spark, texts, classes=4, clustered_words=10, held_words=held)
+    of = {r["word"]: r["class"] for r in assigned.collect()}
+    hashes = [np.concatenate(([class_lm.END], class_lm.tokens_of(b)[1])) for b in class_lm.blocks(class_lm.pa.array(texts))]
+    by_hand = np.zeros((5, 5))
+    for tokens in hashes:
+        kinds = [of.get(int(t), 4) for t in tokens.view(np.int64)]
+        np.add.at(by_hand, (kinds[:-1], kinds[1:]), 1)
+    assert (table == by_hand).all()
+    names = {n: int(class_lm.tokens_of(next(iter(class_lm.blocks(class_lm.pa.array([n])))))[1].view(np.int64)[0]) for n in nouns + verbs}
+    agree = sum(of[names[a]] != of[names[b]] for a in nouns[10:] for b in verbs[10:])
+    assert agree >= 0.95 * 50 * 50
+
+
+def test_best_classes_are_those_of_the_likeliest_text():
+    random = np.random.default_rng(5)
+    units, kinds, classes = 40, 7, 5
+    bigrams = random.poisson(0.6, (units, units)).astype(float)
+    of = np.concatenate((random.integers(0, kinds - 1, units - 1), [kinds - 1]))
+    of[:3] = kinds - 2
+
+    def likelihood(of):
+        member = np.zeros((units, kinds))
+        member[np.arange(units), of] = 1
+        table = member.T @ bigrams @ member
+        x = class_lm._xlogx
+        return table, x(table).sum() - x(bigrams.sum(1) @ member).sum() - x(bigrams.sum(0) @ member).sum()
+
+    table = likelihood(of)[0]
+    rows = []
+    for w in range(units - 1):
+        for kind in range(kinds):
+            others = (of == kind) & (np.arange(units) != w)
+            rows += [(w, kind, bigrams[w, others].sum()), (w, kinds + kind, bigrams[others, w].sum())]
+        rows.append((w, 2 * kinds, bigrams[w, w]))
+    word, code, n = (np.array(x) for x in zip(*sorted(r for r in rows if r[2])))
+    found = class_lm.best_classes(table, classes, of[:-1], word, code, n)
+    for w in range(units - 1):
+        values = []
+        for c in range(classes):
+            moved = of.copy()
+            moved[w] = c
+            values.append(likelihood(moved)[1])
+        assert math.isclose(values[found[w]], max(values), abs_tol=1e-6)
+
+
+def test_scores_do_not_depend_on_how_many_words_are_sent(docs):
+    def scores(**options):
+        found = class_lm.class_scores(docs, queries._id_remainder("doc_id") == 1, clustered_words=30, classes=6, **options)
+        return sorted((r["doc_id"] or 0, r["n_tokens"], r["n_known"], round(r["score"], 3)) for r in found.collect())
+
+    assert scores(held_words=20) == scores(held_words=1 << 18)
+
+
 @pytest.mark.parametrize("training", ["none", "all"])
 def test_scores_without_training_or_held_out_rows(docs, none, rows, training):
     found = class_lm.class_scores(docs, F.lit(training == "none"))
