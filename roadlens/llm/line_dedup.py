@@ -89,6 +89,19 @@ def shingle_hashes(lines: list[bytes], size: int) -> tuple[np.ndarray, np.ndarra
     return mix(out), first
 
 
+def set_sizes(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """How many different hashes each line has; the lines are not empty."""
+    sizes = np.diff(first)
+    # one sort: the line's number above what bits of the hash there is room for
+    bits = np.uint64(max(len(sizes).bit_length(), 1))
+    keys = np.repeat(np.arange(len(sizes), dtype=np.uint64) << (np.uint64(64) - bits), sizes) | hashes >> bits
+    keys.sort()
+    twice = np.flatnonzero(keys[1:] == keys[:-1])
+    for line in np.unique(keys[twice] >> (np.uint64(64) - bits)).astype(np.int64).tolist():
+        sizes[line] = len(distinct(hashes[first[line] : first[line + 1]]))
+    return sizes
+
+
 def one_permutation(hashes: np.ndarray, first: np.ndarray, bins: int) -> np.ndarray:
     """One-permutation MinHash: the least value in each of ``bins`` parts of the hash range.
 
@@ -137,7 +150,7 @@ def _described(size: int, bins: int):
                 values = one_permutation(hashes, first, bins)
                 signature: list = [None] * len(lines)
                 count: list = [None] * len(lines)
-                for row, n, place in zip(values, np.diff(first).tolist(), places.values()):
+                for row, n, place in zip(values, set_sizes(hashes, first).tolist(), places.values()):
                     signature[place], count[place] = row.tobytes(), n
                 yield pa.RecordBatch.from_arrays(
                     [

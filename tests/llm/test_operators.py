@@ -512,6 +512,23 @@ def test_line_components_equal_brute_force(docs, rows, none):
     assert line_dedup.line_components(none).collect() == []
 
 
+def test_lines_of_one_set_are_linked_whatever_repeats(spark, none):
+    lines = ["-" * 40, "-" * 60, "buy now " * 10, "buy now " * 20, "Contents " + "." * 30 + " 7", "Contents " + "." * 70 + " 7", "alone in its kind"]
+    table = frame(spark, list(enumerate(lines)))
+    test_line_components_equal_brute_force(table, list(enumerate(lines)), none)
+    kept = line_dedup.line_components(table).where("kept").collect()
+    assert {r["doc_id"] for r in kept} == {0, 2, 4, 6}
+
+
+def test_set_sizes_count_each_shingle_once():
+    random = np.random.default_rng(6)
+    lines = [mix(random.integers(0, n, n).astype(np.uint64)) for n in random.integers(1, 60, 200)]
+    lines += [mix(np.arange(50, dtype=np.uint64)), mix(np.zeros(9, np.uint64))]
+    first = np.concatenate(([0], np.cumsum([len(x) for x in lines])))
+    assert line_dedup.set_sizes(np.concatenate(lines), first).tolist() == [len(set(x.tolist())) for x in lines]
+    assert line_dedup.set_sizes(np.zeros(0, np.uint64), np.zeros(1, np.int64)).tolist() == []
+
+
 def test_similar_lines_are_cut_from_texts(spark, none):
     line = "the quick brown fox jumps over the lazy dog and runs away from all of the other animals here"
     rows = [
