@@ -31,6 +31,8 @@ TEMPLATES = {
     "all rights reserved no part of this may be reproduced without permission": "reserved",
 }
 CONTAINMENT = 0.8
+#: Lines over which a notice may be wrapped.
+RUN = 5
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -81,6 +83,7 @@ def scan_licenses(
     phrases: dict[str, str] = PHRASES,
     templates: dict[str, str] = TEMPLATES,
     containment: float = CONTAINMENT,
+    run: int = RUN,
 ) -> DataFrame:
     r"""``(id_col, n_words, n_base, first_word, last_word, base_labels, labels, score, blocks)``.
 
@@ -90,8 +93,9 @@ def scan_licenses(
     one; no phrase may overlap itself), ``base_labels`` the labels found, sorted and comma-joined; ``labels`` has those of
     templates as well. ``score`` is 1 with a phrase, else the largest containment found, else 0.
 
-    A block is a line. It meets a template if it has at least ``containment`` of the template's
-    different words; ``blocks`` lists (line, template, containment). Words that no template has
+    A block is a line and the up to ``run - 1`` lines after it, as far as each has a word (a notice may
+    be wrapped); it has what each shorter run from its first line has. It meets a template if it has at least ``containment`` of the template's
+    different words; ``blocks`` lists (first line, template, containment). Words that no template has
     cannot count, so blocks are reduced to the templates' words, ordered by how many of all
     documents have each, rarest first. A block and a template whose overlap can reach the least
     needed share one of the first (length - least + 1) words of both; they are joined on these, a
@@ -113,10 +117,25 @@ def scan_licenses(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), _spaced(F.col(text_col)).alias("spaced")
     )
     lines = F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda line: F.split(F.trim(_spaced(line)), " "))
+    # lines without a word are null
     reduced = F.transform(
-        lines, lambda words, n: F.struct(n.alias("line"), F.array_intersect(words, in_vocabulary).alias("words"))
+        lines, lambda words: F.when(words != F.array(F.lit("")), F.array_intersect(words, in_vocabulary))
     )
-    reduced = F.filter(reduced, lambda block: F.size(block["words"]) >= fewest)
+    # a run that begins with a line without such words has no more than the next one
+    starts = F.filter(
+        F.transform("lines", lambda words, n: F.when(F.size(words) > 0, n)), lambda n: n.isNotNull()
+    )
+    joined = lambda n: F.aggregate(
+        F.slice("lines", n + 2, run - 1),
+        F.struct(F.lit(True).alias("open"), F.element_at("lines", n + 1).alias("words")),
+        lambda done, words: F.when(
+            done["open"] & words.isNotNull(),
+            F.struct(F.lit(True).alias("open"), F.array_union(done["words"], words).alias("words")),
+        ).otherwise(F.struct(F.lit(False).alias("open"), done["words"].alias("words"))),
+        lambda done: done["words"],
+    )
+    runs = F.transform(starts, lambda n: F.struct(n.alias("line"), joined(n).alias("words")))
+    runs = F.filter(runs, lambda block: F.size(block["words"]) >= fewest)
     places = F.array_sort(
         F.flatten(
             F.array(*[F.coalesce(_phrase_places(F.col("spaced"), p), F.expr("cast(array() as array<int>)")) for p in phrases])
@@ -129,12 +148,12 @@ def scan_licenses(
             )
         )
     )
-    rows = spaced.select(
+    rows = spaced.withColumn("lines", reduced).select(
         "id",
         _n_words(F.col("spaced")).alias("n_words"),
         places.alias("places"),
         labels.alias("base"),
-        reduced.alias("blocks"),
+        runs.alias("blocks"),
         F.array_intersect(F.split("spaced", " "), in_vocabulary).alias("held"),
         F.monotonically_increasing_id().alias("row"),
     )

@@ -342,6 +342,27 @@ def test_licenses_equal_brute_force(docs, rows, none):
     assert licenses.scan_licenses(none).collect() == []
 
 
+WRAPPED = {
+    "bsd-notice": "Redistribution and use in source and binary forms, with or without\n{}modification, are permitted provided that",
+    "gpl-notice": "This program is free software: you can redistribute it and/or modify\n{}it under the terms of the GNU\n{}General Public License as published",
+    "apache-notice": "you may not use this file\n{}except in compliance\n{}with the License.",
+    "mit-notice": "Permission is hereby granted, free of\n{}charge, to any person obtaining a copy\n{}of this software",
+}
+
+
+@pytest.mark.parametrize("mark", ["", " * ", "# "])
+def test_wrapped_notices_are_found(spark, mark):
+    rows = [(i, f"first line\n{mark}" + text.format(mark, mark) + "\nlast") for i, text in enumerate(WRAPPED.values())]
+    rows += [(9, WRAPPED["bsd-notice"].replace("\n", "\n\n").format(mark))]
+    found = {r["doc_id"]: r for r in licenses.scan_licenses(frame(spark, rows)).collect()}
+    for i, label in enumerate(WRAPPED):
+        assert found[i]["labels"].split(",") == sorted({label} | set(filter(None, found[i]["base_labels"].split(","))))
+        assert found[i]["score"] == 1
+        assert 1 in {b["line"] for b in found[i]["blocks"]}
+    # an empty line ends a block
+    assert (found[9]["labels"], found[9]["score"]) == ("", 0)
+
+
 # ---------------------------------------------------------------- 7
 
 
