@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlens.llm.decontaminate import drop_contaminated
-from roadlens.llm.line_dedup import drop_similar_lines
+from roadlens.llm.line_dedup import FUZZY_SHINGLES, drop_similar_lines
 from roadlens.llm.near_dedup import drop_near_duplicates
 from roadlens.llm.packing import pack
 from roadlens.llm.quality_rules import keep_good
@@ -25,7 +25,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One line stays of each component of similar lines; documents left without a word go."""
-    cut = drop_similar_lines(docs)
+    cut = drop_similar_lines(docs, shingles=FUZZY_SHINGLES)
     return cut.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
 
 

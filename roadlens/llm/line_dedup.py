@@ -14,11 +14,17 @@ from pyspark.sql import functions as F
 
 from ..sources.storage import materialize
 from .bits import bit_map, may_hold
+from .components import connected_components
 from .links import Similarity, similar_components
 from .words import SPACED, Block, _tables, blocks, code_points, distinct, find_words, mix
 
 SIMILARITY = Similarity(percent=80, hashes=32, bands=8, looks=(16, 32), miss=1e-4)
-SHINGLE = 10
+#: Characters of a shingle of short and of long lines: the operator's default, and what the query and the pipeline take.
+SHINGLES = (10, 10)
+FUZZY_SHINGLES = (3, 5)
+#: A line is long with more than this many different short shingles, and short up to a quarter more. It
+#: can be both, so that two lines as similar as 80 % in short shingles are both short or both long.
+LONG_FROM = 100
 NEWLINE = 10
 WORD = re.compile("[^\x20\x09-\x0D]")
 #: The value of a shingle in its part depends on the bits that do not choose the part as well.
@@ -133,8 +139,19 @@ def one_permutation(hashes: np.ndarray, first: np.ndarray, bins: int) -> np.ndar
     return (out >> np.uint64(16) & np.uint64(0xFFFF)).astype(np.uint16)
 
 
-def _described(size: int, bins: int):
-    """A row per line with a word; the signature is given once for equal lines of a block."""
+def _kinds(lines: list[bytes], shingles: tuple[int, int], most_short: int, bins: int):
+    """For the short and the long shingles: places of the lines compared by them, set sizes and signatures."""
+    hashes, first = shingle_hashes(lines, shingles[0])
+    sizes = set_sizes(hashes, first)
+    signatures = one_permutation(hashes, first, bins)
+    short, long = np.flatnonzero(sizes <= most_short), np.flatnonzero(sizes > LONG_FROM)
+    yield short, sizes[short], signatures[short]
+    hashes, first = shingle_hashes([lines[i] for i in long.tolist()], shingles[1])
+    yield long, set_sizes(hashes, first), one_permutation(hashes, first, bins)
+
+
+def _described(shingles: tuple[int, int], most_short: int, bins: int):
+    """A row per line with a word; sizes and signatures are given once for equal lines of a block."""
 
     def run(batches):
         for batch in batches:
@@ -146,21 +163,22 @@ def _described(size: int, bins: int):
                 places: dict[bytes, int] = {}
                 for place, line in enumerate(lines):
                     places.setdefault(line, place)
-                hashes, first = shingle_hashes(list(places), size)
-                values = one_permutation(hashes, first, bins)
-                signature: list = [None] * len(lines)
-                count: list = [None] * len(lines)
-                for row, n, place in zip(values, set_sizes(hashes, first).tolist(), places.values()):
-                    signature[place], count[place] = row.tobytes(), n
+                at = list(places.values())
+                columns = []
+                for chosen, sizes, values in _kinds(list(places), shingles, most_short, bins):
+                    signature: list = [None] * len(lines)
+                    count: list = [None] * len(lines)
+                    for row, n, i in zip(values, sizes.tolist(), chosen.tolist()):
+                        signature[at[i]], count[at[i]] = row.tobytes(), n
+                    columns += [pa.array(count, pa.int64()), pa.array(signature, pa.binary())]
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.take(pa.array(owner + block.first)),
                         pa.array(number.astype(np.int32)),
                         pa.array([line_key(line) for line in lines], pa.binary()),
-                        pa.array(count, pa.int64()),
-                        pa.array(signature, pa.binary()),
+                        *columns,
                     ],
-                    ["id", "line", "key", "size", "signature"],
+                    ["id", "line", "key", "size", "signature", "long_size", "long_signature"],
                 )
 
     return run
@@ -193,15 +211,18 @@ def line_components(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    shingle: int = SHINGLE,
+    shingles: tuple[int, int] = SHINGLES,
     similarity: Similarity = SIMILARITY,
 ) -> DataFrame:
     r"""``(id_col, line, kept_id, kept_line, kept)``, a row for each line of each row of ``docs``.
 
     Lines are split at \n and counted from 0; a line without a word (only white space) is none.
     Two lines are linked if they are equal after A-Z is lower-cased and white space collapsed,
-    or if the sets of their ``shingle``-character runs have a Jaccard similarity of at least the
-    threshold. Of each component of linked lines the first stays: the smallest id, then the
+    or if the sets of their character runs have a Jaccard similarity of at least the threshold: of runs
+    of the length that is first in ``shingles`` if both lines have at most 125 different ones (100 divided by
+    the threshold), of the second if both have more than 100. With ``FUZZY_SHINGLES`` lines of 30 characters
+    on are linked with one letter changed, of 74 on with a word of six letters changed; with runs of ten it takes 99
+    and 144. Of each component of linked lines the first stays: the smallest id, then the
     smallest line number. ``kept_id`` and ``kept_line`` name it.
 
     Equal lines are one node. Candidates agree in one of the bands of a one-permutation MinHash
@@ -215,36 +236,51 @@ def line_components(
     """
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    schema = "id long, line int, key binary, size long, signature binary"
-    rows = materialize(source.mapInArrow(_described(shingle, similarity.hashes), schema), "lines")
+    schema = "id long, line int, key binary, size long, signature binary, long_size long, long_signature binary"
+    most_short = LONG_FROM * 100 // similarity.percent
+    rows = materialize(source.mapInArrow(_described(shingles, most_short, similarity.hashes), schema), "lines")
 
+    described = ("size", "signature", "long_size", "long_signature")
     nodes = rows.groupBy("key").agg(
-        F.min(F.struct("id", "line")).alias("at"),
-        F.first("size", ignorenulls=True).alias("size"),
-        F.first("signature", ignorenulls=True).alias("signature"),
+        F.min(F.struct("id", "line")).alias("at"), *[F.first(c, ignorenulls=True).alias(c) for c in described]
     )
+    # a node for each kind of shingles that a line is compared by
+    kinds = [F.struct(F.lit(k).alias("kind"), F.col(n).alias("size"), F.col(v).alias("signature")) for k, n, v in ((0, *described[:2]), (1, *described[2:]))]
+    nodes = nodes.select("key", "at", F.inline(F.filter(F.array(*kinds), lambda k: k["size"].isNotNull())))
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "line-classes")
 
     def fetch(wanted: DataFrame) -> DataFrame:
-        at = nodes.select("node", "key", "at.id").join(wanted, "node", "left_semi")
+        at = nodes.select("node", "key", "kind", "at.id").join(wanted, "node", "left_semi")
         likely = spark.sparkContext.broadcast(bit_map(at, F.xxhash64("id")))
         texts = source.select(F.xxhash64("id").alias("hash"), "text")
         texts = texts.mapInArrow(_chosen(likely), "key binary, payload binary")
-        return at.join(texts, "key").select("node", "payload").dropDuplicates(["node"])
+        payload = F.concat(F.when(F.col("kind") == 0, F.lit(b"0")).otherwise(F.lit(b"1")), "payload")
+        return at.join(texts, "key").select("node", payload.alias("payload")).dropDuplicates(["node"])
 
     def sets_of(payload: pa.Array) -> list[np.ndarray]:
         lines = payload.to_pylist()
-        hashes, first = shingle_hashes(lines, shingle)
-        return [distinct(hashes[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+        out: list = [None] * len(lines)
+        for kind, size in zip((b"0", b"1"), shingles):
+            places = [i for i, line in enumerate(lines) if line[:1] == kind]
+            hashes, first = shingle_hashes([lines[i][1:] for i in places], size)
+            for i, a, b in zip(places, first[:-1].tolist(), first[1:].tolist()):
+                # the first bit is the kind's, so sets of different kinds have nothing in common
+                out[i] = distinct(hashes[a:b] >> np.uint64(1) | np.uint64(int(kind) << 63))
+        return out
 
     labels = similar_components(nodes, similarity, fetch, sets_of)
     linked = nodes.select("node", "key", "at").join(labels, "node")
+    # a line linked by both kinds joins their components
+    both = linked.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a != b")
+    whole = connected_components(materialize(both.select("a", "b"), "both-kinds"))
+    whole = whole.select(F.col("node").alias("label"), F.col("label").alias("whole"))
+    linked = linked.join(whole, "label", "left").withColumn("label", F.coalesce("whole", "label")).drop("whole")
     firsts = linked.groupBy("label").agg(F.min("at").alias("keeper"))
     # lines without a similar one keep the first of their copies
     keepers = nodes.select("key", "node", "at").join(
         linked.join(firsts, "label").select("node", "keeper"), "node", "left"
     )
-    keepers = keepers.select("key", F.coalesce("keeper", "at").alias("keeper"))
+    keepers = keepers.groupBy("key").agg(F.coalesce(F.min("keeper"), F.min("at")).alias("keeper"))
     out = rows.select("id", "line", "key").join(keepers, "key")
     kept = F.col("id").eqNullSafe(F.col("keeper.id")) & (F.col("line") == F.col("keeper.line"))
     return out.select(

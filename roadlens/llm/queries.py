@@ -9,7 +9,7 @@ from .class_lm import class_scores
 from .decontaminate import contaminated_spans
 from .fourier_quality import kernel_scores
 from .licenses import scan_licenses
-from .line_dedup import line_components
+from .line_dedup import FUZZY_SHINGLES, line_components
 from .near_dedup import near_duplicates
 from .packing import pack
 from .quality_rules import quality_verdicts
@@ -87,7 +87,7 @@ def op7_class_scores(spark, folder):
 
 
 def op8_line_components(spark, folder):
-    return line_components(_table(spark, folder, "documents"))
+    return line_components(_table(spark, folder, "documents"), shingles=FUZZY_SHINGLES)
 
 
 def op9_kernel_quality(spark, folder):
