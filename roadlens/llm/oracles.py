@@ -121,9 +121,94 @@ SELECT page_id, host, path, string_split(b, ' ')[3] AS rule,
 FROM h LEFT JOIN best USING (page_id)
 """
 
+_CRC_STEP = "CASE WHEN {c} % 2 = 1 THEN xor({c} // 2, 3988292384) ELSE {c} // 2 END"
+
+RESAMPLING = f"""
+WITH RECURSIVE steps(b, n, c) AS (
+    SELECT b, 0, b FROM (SELECT unnest(range(256)) AS b)
+    UNION ALL SELECT b, n + 1, {_CRC_STEP.format(c='c')} FROM steps WHERE n < 8
+),
+crc AS (SELECT list(c ORDER BY b) AS of_byte FROM steps WHERE n = 8),
+d AS (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [NULL] ELSE w END) AS word, len(w) AS n_features
+    FROM (SELECT doc_id, {_words('text', _ALPHANUMERIC)} AS w FROM documents)),
+b AS (SELECT unnest({_words('text', _ALPHANUMERIC)}) AS word FROM benchmark),
+bytes AS (
+    SELECT word, list_transform(range(1, length(h), 2), lambda i: CAST('0x' || h[i : i + 1] AS BIGINT)) AS own
+    FROM (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM d WHERE word IS NOT NULL UNION SELECT word FROM b))
+),
+buckets AS (
+    SELECT word, xor(list_reduce(list_concat([4294967295], own), lambda c, x: xor(c // 256, of_byte[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+    FROM bytes, crc
+),
+s AS (SELECT bucket, count(*) AS s FROM d JOIN buckets USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM b JOIN buckets USING (word) GROUP BY bucket),
+totals AS (SELECT coalesce((SELECT sum(s) FROM s), 0) + 10000 AS all_s, coalesce((SELECT sum(t) FROM t), 0) + 10000 AS all_t),
+gains AS (
+    SELECT bucket, CAST(floor(1000 * ln(CAST(coalesce(t, 0) + 1 AS DOUBLE) * all_s / (CAST(s + 1 AS DOUBLE) * all_t))) AS BIGINT) AS gain
+    FROM s LEFT JOIN t USING (bucket), totals
+),
+weights AS (
+    SELECT doc_id, any_value(n_features) AS n_features, CAST(coalesce(sum(gain), 0) AS BIGINT) AS weight
+    FROM d LEFT JOIN buckets USING (word) LEFT JOIN gains USING (bucket) GROUP BY doc_id
+),
+scores AS (
+    SELECT doc_id, n_features, weight, weight + CAST(floor(-1000.0 * ln(-ln((h + 0.5) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score
+    FROM (SELECT *, CAST(CAST('0x' || sha256('2024:' || doc_id)[:8] AS BIGINT) AS DOUBLE) AS h FROM weights)
+),
+ranks AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scores WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+FROM scores LEFT JOIN ranks USING (doc_id)
+"""
+
+
+def _assignment(n: int) -> str:
+    """Vectors with their nearest centroid of round ``n``."""
+    return f"""
+a{n} AS (
+    SELECT i, any_value(v) AS v, min(struct_pack(distance := distance, cluster := cluster)) AS best
+    FROM (
+        SELECT i, v, cluster, list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS distance
+        FROM kept, c{n}
+    ) GROUP BY i
+)"""
+
+
+def _centroids(n: int) -> str:
+    """Floors of the means of round ``n``; an empty centroid stays."""
+    return f"""
+m{n} AS (
+    SELECT cluster, list((total - ((total % n) + n) % n) // n ORDER BY place) AS c
+    FROM (
+        SELECT best.cluster AS cluster, place, CAST(sum(v[place]) AS BIGINT) AS total, count(*) AS n
+        FROM a{n}, (SELECT unnest(range(1, 65)) AS place) GROUP BY ALL
+    ) GROUP BY cluster
+),
+c{n + 1} AS (SELECT cluster, coalesce(m{n}.c, c{n}.c) AS c FROM c{n} LEFT JOIN m{n} USING (cluster))"""
+
+
+HEAP_KMEANS = f"""
+WITH kept AS (
+    SELECT row_number() OVER () AS i, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+),
+c0 AS (
+    SELECT CAST(row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS INTEGER) AS cluster, v AS c
+    FROM kept ORDER BY sha256('1:' || vec_id) LIMIT 16
+),{','.join(_assignment(n) + ',' + _centroids(n) for n in range(3))},{_assignment(3)}
+SELECT vec_id, best.cluster AS cluster, CAST(best.distance AS BIGINT) AS distance,
+    CAST(sum(best.distance) OVER (PARTITION BY best.cluster) AS BIGINT) AS cluster_inertia,
+    CAST(sum(best.distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a3 JOIN kept USING (i) JOIN c3 ON c3.cluster = best.cluster
+"""
+
 ORACLE_SQL = {
     "op1_decontamination": DECONTAMINATION,
     "op3_near_duplicates": NEAR_DUPLICATES,
     "op6_licenses": _licenses(),
     "op10_url_rules": URL_RULES,
+    "op11_resampling": RESAMPLING,
+    "op13_heap_kmeans": HEAP_KMEANS,
 }

@@ -5,19 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import byte_bpe
 from .class_lm import class_scores
 from .decontaminate import contaminated_spans
 from .fourier_quality import kernel_scores
+from .heap_kmeans import heap_kmeans
 from .licenses import scan_licenses
 from .line_dedup import FUZZY_SHINGLES, line_components
 from .near_dedup import near_duplicates
 from .packing import pack
 from .quality_rules import quality_verdicts
+from .resampling import resample
 from .sharding import shard
 from .url_rules import host_path_rule, host_word_rule, judge_urls
 
 SHARDS = 24
 TOKENIZER = "word_bpe_49k.json"
+BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 #: The rules asked for; the last two are of our own.
 URL_RULES = [
     host_path_rule("allow", "org", "/"),
@@ -101,6 +105,24 @@ def op10_url_rules(spark, folder):
     return judged.withColumn("rule", F.when(asked, F.col("rule")))
 
 
+def op11_resampling(spark, folder):
+    return resample(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op12_byte_bpe(spark, folder):
+    import public_tokenizers
+
+    ranks = tokenizer_path(BYTE_RANKS)
+    coded = byte_bpe.encode(_table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+    return byte_bpe.decode(coded, ranks).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op13_heap_kmeans(spark, folder):
+    return heap_kmeans(_table(spark, folder, "embeddings"))
+
+
 def queries() -> dict:
     found = [
         op1_decontamination,
@@ -113,6 +135,9 @@ def queries() -> dict:
         op8_line_components,
         op9_kernel_quality,
         op10_url_rules,
+        op11_resampling,
+        op12_byte_bpe,
+        op13_heap_kmeans,
     ]
     return {query.__name__: query for query in found}
 

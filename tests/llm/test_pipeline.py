@@ -19,14 +19,14 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 @pytest.fixture(scope="module")
 def connection():
     out = duckdb.connect()
-    for name in ("documents", "pages", "benchmark", "labels"):
+    for name in ("documents", "pages", "benchmark", "labels", "embeddings"):
         out.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{Path(FOLDER) / name}.parquet')")
     return out
 
 
 def test_all_are_registered():
     assert set(queries.queries()) | {"pipeline"} <= set(contract.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 14))
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "line_dedup", "near_dedup", "decontamination", "packing",
     ]
