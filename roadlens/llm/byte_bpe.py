@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .words import blocks
 
 #: Text of a block, words found at a time in a longer text, and ids decoded at a time.
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 WORDS_AT_ONCE = 1 << 19
 IDS_AT_ONCE = 1 << 18
 #: Words, and bytes of them, that a worker keeps with their ids.
@@ -43,24 +43,28 @@ FROM (
 ) t JOIN vocabulary s ON s.bytes = part AND s.id > t.id;
 """
 
-#: Token t of word w begins at byte p. A step joins neighbours with the merge table and contracts each word's
-#: leftmost pair of least rank; a word without a pair is done.
+#: Token ``id`` of word w begins at byte p; ``next_id`` follows it at byte q; ``pair`` is the rank of both together and
+#: their places (a word is shorter than 256 bytes here). A step joins neighbours with the merge table and
+#: contracts each word's leftmost pair of least rank; a word without a pair is done.
 _CONTRACT = """
-WITH RECURSIVE state(step, done, w, p, id) AS (
-    SELECT 0, false, w, p, id FROM pieces
+WITH RECURSIVE state(step, done, w, p, id, q, next_id, pair) AS (
+    SELECT 0, false, w, p, id, q, next_id, (merged::BIGINT << 16) | (p << 8) | q
+    FROM (SELECT w, p, id, lead(p) OVER word AS q, lead(id) OVER word AS next_id FROM pieces WINDOW word AS (PARTITION BY w ORDER BY p))
+    LEFT JOIN merges ON a = id AND b = next_id
     UNION ALL
-    SELECT step + 1, best IS NULL, w, p, CASE WHEN here = best THEN merged ELSE id END
+    SELECT step + 1, least IS NULL, w, p, new_id, new_q, new_next, (merged::BIGINT << 16) | (p << 8) | new_q
     FROM (
-        SELECT *, min(here) OVER (PARTITION BY w) AS best, lag(here) OVER (PARTITION BY w ORDER BY p) AS before
-        FROM (
-            SELECT step, w, p, id, merged, (merged::BIGINT << 32) | p AS here
-            FROM (
-                SELECT step, w, p, id, lead(id) OVER (PARTITION BY w ORDER BY p) AS following
-                FROM state WHERE NOT done AND step < {steps}
-            ) LEFT JOIN merges ON a = id AND b = following
-        )
-    )
-    WHERE best IS NULL OR before IS DISTINCT FROM best
+        SELECT step, w, p, least,
+            CASE WHEN pair = least THEN (least >> 16)::INTEGER ELSE id END AS new_id,
+            CASE WHEN pair = least THEN past ELSE q END AS new_q,
+            CASE WHEN pair = least THEN past_id WHEN q = (least >> 8) & 255 THEN (least >> 16)::INTEGER ELSE next_id END AS new_next
+        FROM (SELECT * FROM state WHERE NOT done AND step < {steps}) JOIN (
+            SELECT taken.w AS word, least, cut.q AS past, cut.next_id AS past_id
+            FROM (SELECT w, min(pair) AS least FROM state WHERE NOT done AND step < {steps} GROUP BY w) taken
+            LEFT JOIN state cut ON cut.w = taken.w AND cut.p = (least & 255)
+        ) ON word = w
+        WHERE least IS NULL OR p <> (least & 255)
+    ) LEFT JOIN merges ON a = new_id AND b = new_next
 )
 SELECT w, p, id, done FROM state WHERE done OR step = {steps}
 """
@@ -111,6 +115,14 @@ FROM tokens JOIN vocabulary USING (id) GROUP BY n ORDER BY n
 """
 
 
+class _Slots(dict):
+    """A number for each word, in the order in which they come up."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 class ByteBpe:
     """The vocabulary and its merge table as tables of a database in this process's memory.
 
@@ -134,10 +146,10 @@ class ByteBpe:
         self.forget()
 
     def forget(self) -> None:
-        self.slots: dict[str, int] = {}
+        self.slots = _Slots()
         self.held_bytes = 0
         self.ids = np.zeros(0, np.int32)
-        self.first = np.zeros(1, np.int64)
+        self.starts = self.counts = np.zeros(0, np.int64)
 
     def _contract(self, query: str, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words in a row, and how many each has."""
@@ -160,57 +172,55 @@ class ByteBpe:
         order = np.lexsort((p, w))
         return ids[order], np.bincount(w, minlength=len(words))
 
-    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of different words in a row, and how many each has."""
-        ids: list = [None] * len(words)
-        rest = []
-        for i, word in enumerate(words):
-            whole = self.whole.get(word)
-            if whole is None:
-                rest.append(i)
-            else:
-                ids[i] = np.array([whole], np.int32)
-        rest.sort(key=lambda i: len(words[i]))
+    def _learn(self, words: list[str]) -> None:
+        """Find the ids of the words that got the last slots, shorter ones first."""
+        spelled = [word.encode() for word in words]
+        whole = [self.whole.get(word, -1) for word in spelled]
+        counts = np.ones(len(words), np.int64)
+        known = [np.array([i for i in whole if i >= 0], np.int32)]
+        order = [np.flatnonzero(np.array(whole) >= 0)]
+        sizes = np.fromiter(map(len, spelled), np.int64, len(words))
+        rest = np.flatnonzero(np.array(whole) < 0)
+        rest = rest[np.argsort(sizes[rest], kind="stable")]
+        upto = np.cumsum(sizes[rest])
+        short = int(np.searchsorted(sizes[rest], LONG_WORD))
         low = 0
         while low < len(rest):
-            long = len(words[rest[low]]) >= LONG_WORD
-            high, size = low, 0
-            while high < len(rest) and (high == low or size + len(words[rest[high]]) <= QUERY_BYTES):
-                if not long and len(words[rest[high]]) >= LONG_WORD:
-                    break
-                size += len(words[rest[high]])
-                high += 1
-            part = rest[low:high]
-            found, counts = self._contract(_CONTRACT_LONG if long else _CONTRACT, [words[i] for i in part])
-            for i, own in zip(part, np.split(found, np.cumsum(counts)[:-1])):
-                ids[i] = own
+            past = upto[low] - sizes[rest[low]] + QUERY_BYTES
+            high = max(int(np.searchsorted(upto, past, "right")), low + 1)
+            high = min(high, short) if low < short else high
+            query = _CONTRACT if low < short else _CONTRACT_LONG
+            found, counts[rest[low:high]] = self._contract(query, [spelled[i] for i in rest[low:high].tolist()])
+            known.append(found)
+            order.append(rest[low:high])
             low = high
-        counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        return (np.concatenate(ids) if ids else np.zeros(0, np.int32)), counts
+        order = np.concatenate(order)
+        starts = np.empty(len(words), np.int64)
+        starts[order] = len(self.ids) + np.cumsum(counts[order]) - counts[order]
+        self.ids = np.concatenate((self.ids, *known))
+        self.starts = np.concatenate((self.starts, starts))
+        self.counts = np.concatenate((self.counts, counts))
+        self.held_bytes += int(sizes.sum())
 
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words of a text or several in a row, and how many each has."""
         if len(self.slots) > KNOWN_WORDS or self.held_bytes > KNOWN_BYTES:
             self.forget()
-        new = list(set(words).difference(self.slots))
-        if new:
-            spelled = [word.encode() for word in new]
-            ids, counts = self.encode_words(spelled)
-            self.slots.update(zip(new, range(len(self.slots), len(self.slots) + len(new))))
-            self.held_bytes += sum(map(len, spelled))
-            self.ids = np.concatenate((self.ids, ids))
-            self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(counts)))
+        known = len(self.slots)
         slot = np.fromiter(map(self.slots.__getitem__, words), np.int64, len(words))
-        counts = self.first[slot + 1] - self.first[slot]
+        if len(self.slots) > known:
+            self._learn(list(islice(self.slots, known, None)))
+        counts = self.counts[slot]
         ends = np.cumsum(counts)
-        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[slot] - ends + counts, counts)
+        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[slot] - ends + counts, counts)
         return self.ids[places], counts
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """The bytes of each run of ``counts`` ids; an id without a token has none."""
         out = [b""] * len(counts)
-        owner = np.repeat(np.arange(len(counts)), counts)
-        self.db.register("tokens", pa.table({"n": owner, "place": np.arange(len(ids)), "id": ids}))
+        owner = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+        place = np.arange(len(ids), dtype=np.int32)
+        self.db.register("tokens", pa.table({"n": owner, "place": place, "id": ids}))
         found = self.db.sql(_SPELLED).to_arrow_table()
         for n, spelled in zip(found.column("n").to_pylist(), found.column("bytes").to_pylist()):
             out[n] = spelled
