@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 from .words import blocks
 
 #: Text of a block, words found at a time in a longer text, and ids decoded at a time.
-BLOCK = 2 << 20
+BLOCK = 4 << 20
 WORDS_AT_ONCE = 1 << 19
 IDS_AT_ONCE = 1 << 18
 #: Words, and bytes of them, that a worker keeps with their ids.
-KNOWN_WORDS = 1 << 19
-KNOWN_BYTES = 1 << 24
+KNOWN_WORDS = 1 << 20
+KNOWN_BYTES = 1 << 25
 #: Bytes of new words in one query, rows of all its steps, and bytes from which a word is long.
 QUERY_BYTES = 1 << 18
 QUERY_ROWS = 1 << 22
@@ -218,9 +218,8 @@ class ByteBpe:
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """The bytes of each run of ``counts`` ids; an id without a token has none."""
         out = [b""] * len(counts)
-        owner = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
-        place = np.arange(len(ids), dtype=np.int32)
-        self.db.register("tokens", pa.table({"n": owner, "place": place, "id": ids}))
+        owner = np.repeat(np.arange(len(counts)), counts)
+        self.db.register("tokens", pa.table({"n": owner, "place": np.arange(len(ids)), "id": ids.astype(np.int64)}))
         found = self.db.sql(_SPELLED).to_arrow_table()
         for n, spelled in zip(found.column("n").to_pylist(), found.column("bytes").to_pylist()):
             out[n] = spelled
@@ -235,16 +234,31 @@ def _coder(sent) -> ByteBpe:
     return own["coder"]
 
 
-def _ids_column(parts: list[np.ndarray]) -> pa.Array:
-    return pa.array([part.astype("<u4").tobytes() for part in parts], pa.binary())
-
-
 def _texts(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
     for block in blocks(column, BLOCK):
         yield block.first, column.slice(block.first, len(block)).fill_null("").to_pylist()
 
 
-def _encoding(sent, pattern: str):
+def _spelled(coder: ByteBpe, rows: list[np.ndarray]) -> Iterator[bytes]:
+    """What each row's ids spell, ``IDS_AT_ONCE`` ids at a time."""
+    held, size = [], 0
+    for ids in rows:
+        if held and size + len(ids) > IDS_AT_ONCE:
+            yield from coder.decode(np.concatenate(held), np.array([len(x) for x in held]))
+            held, size = [], 0
+        if len(ids) > IDS_AT_ONCE:
+            parts = [ids[i : i + IDS_AT_ONCE] for i in range(0, len(ids), IDS_AT_ONCE)]
+            yield b"".join(coder.decode(part, np.array([len(part)]))[0] for part in parts)
+        else:
+            held.append(ids)
+            size += len(ids)
+    if held:
+        yield from coder.decode(np.concatenate(held), np.array([len(x) for x in held]))
+
+
+def _encoding(sent, pattern: str, decoded_col: str | None):
+    names = ["id", "n_tokens", "ids", *([decoded_col] if decoded_col else [])]
+
     def run(batches):
         import regex
 
@@ -265,46 +279,24 @@ def _encoding(sent, pattern: str):
                     flat, counts = coder.encode(words)
                     upto = np.concatenate(([0], np.cumsum(counts)))
                     ids = np.split(flat, upto[ends[:-1]])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(first, len(texts)),
-                        pa.array([len(x) for x in ids], pa.int64()),
-                        _ids_column(ids),
-                    ],
-                    ["id", "n_tokens", "ids"],
-                )
+                columns = [
+                    batch.column(0).slice(first, len(texts)),
+                    pa.array([len(x) for x in ids], pa.int64()),
+                    pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()),
+                ]
+                if decoded_col:
+                    columns.append(pa.array(_spelled(coder, ids), pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
 
-def _runs(column: pa.Array) -> Iterator[list[bytes]]:
-    """Rows of at most ``IDS_AT_ONCE`` ids together, or one longer row."""
-    held, size = [], 0
-    for ids in column:
-        ids = ids.as_py() or b""
-        if held and size + len(ids) > 4 * IDS_AT_ONCE:
-            yield held
-            held, size = [], 0
-        held.append(ids)
-        size += len(ids)
-    if held:
-        yield held
-
-
 def _decoding(sent, names: list[str], place: int):
     def run(batches):
         coder = _coder(sent)
         for batch in batches:
-            out = []
-            for rows in _runs(batch.column(place)):
-                flat = np.frombuffer(b"".join(rows), "<u4").astype(np.int64)
-                counts = np.fromiter((len(x) // 4 for x in rows), np.int64, len(rows))
-                if len(rows) > 1 or len(flat) <= IDS_AT_ONCE:
-                    out += coder.decode(flat, counts)
-                    continue
-                parts = [flat[i : i + IDS_AT_ONCE] for i in range(0, len(flat), IDS_AT_ONCE)]
-                out.append(b"".join(coder.decode(part, np.array([len(part)]))[0] for part in parts))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names)
+            rows = [np.frombuffer(ids.as_py() or b"", "<u4") for ids in batch.column(place)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_spelled(coder, rows), pa.binary())], names)
 
     return run
 
@@ -315,10 +307,17 @@ def _sent(df: DataFrame, ranks_path: str):
 
 
 def encode(
-    docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    decoded_col: str | None = None,
 ) -> DataFrame:
     """``(id_col, n_tokens, ids)``, a row for every row of ``docs``: ``ids`` are little-endian 32-bit values.
 
+    With ``decoded_col`` a column of that name has what :func:`decode` makes of the ids, in the same pass.
+
     Each match of ``pattern`` is encoded by itself: as one token where it is one, else from its bytes by
     contracting the leftmost pair of least rank until none is left. The partition's words that the worker has
     not met are rows (word, place, token) of a DuckDB table; a recursive query joins neighbours with the merge
@@ -332,7 +331,8 @@ def encode(
     are texts of their own, null ids stay null; other columns are ignored, and no rows give no rows.
     """
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    coded = source.mapInArrow(_encoding(_sent(docs, ranks_path), pattern), "id long, n_tokens long, ids binary")
+    schema = "id long, n_tokens long, ids binary" + (f", `{decoded_col}` binary" if decoded_col else "")
+    coded = source.mapInArrow(_encoding(_sent(docs, ranks_path), pattern, decoded_col), schema)
     return coded.withColumnRenamed("id", id_col)
 
 

@@ -112,9 +112,9 @@ def op11_resampling(spark, folder):
 def op12_byte_bpe(spark, folder):
     import public_tokenizers
 
-    ranks = tokenizer_path(BYTE_RANKS)
-    coded = byte_bpe.encode(_table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
-    return byte_bpe.decode(coded, ranks).select(
+    documents, ranks = _table(spark, folder, "documents"), tokenizer_path(BYTE_RANKS)
+    coded = byte_bpe.encode(documents, ranks, public_tokenizers.PATTERN, decoded_col="decoded")
+    return coded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 

@@ -117,6 +117,9 @@ def test_encoding_equals_the_library(docs, rows, reference):
     ids = [(i, reference.encode_ordinary(t or "")) for i, t in rows]
     assert got == sorted((str(i), len(x), x, reference.decode_bytes(x)) for i, x in ids)
     assert sorted(x[3] for x in got) == sorted((t or "").encode() for _, t in rows)
+    both = byte_bpe.encode(docs, RANKS, public_tokenizers.PATTERN, decoded_col="text")
+    assert both.columns == ["doc_id", "n_tokens", "ids", "text"]
+    assert sorted(str(tuple(r)) for r in both.collect()) == sorted(str(tuple(r)) for r in back.collect())
 
 
 def test_words_of_any_length(reference):
