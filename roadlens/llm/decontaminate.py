@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..sources.storage import materialize
 from .bits import bit_map, may_hold
+from .row_keys import PARTS, keyed, named, row_key
 from .words import ALPHANUMERIC_LOWER, Block, Words, blocks, find_words, gram_hashes, mix, whole_grams, word_hashes
 
 WINDOW = 10
@@ -133,14 +134,14 @@ def _document_prints(sizes: list[int], window: int, gram: int, wanted):
                         hits[text].append((size, place, fingerprint, near))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(block.first, len(block)),
+                        *[batch.column(k).slice(block.first, len(block)) for k in (0, 2, 3)],
                         pa.array(words.counts.astype(np.int64)),
                         pa.array(
                             [[dict(zip(("size", "place", "fingerprint", "around"), h)) for h in own] for own in hits],
                             pa.list_(_HIT),
                         ),
                     ],
-                    ["id", "n_words", "hits"],
+                    ["id", *PARTS, "n_words", "hits"],
                 )
 
     return run
@@ -173,6 +174,12 @@ def contaminated_spans(
     counts by itself; repeated items count once, items with a null id hit but are not listed.
     Other columns are ignored. Without items nothing is hit; no documents give no rows.
     """
+    found = _spans(docs, items, id_col, text_col, item_id_col, item_text_col, window, gram)
+    return found.select(F.col("id").alias(id_col), "n_words", "n_hit", "items", "spans")
+
+
+def _spans(docs, items, id_col, text_col, item_id_col, item_text_col, window, gram) -> DataFrame:
+    """The columns of :func:`contaminated_spans` and the row's key."""
     spark = docs.sparkSession
     texts = items.select(F.col(item_id_col).cast("long").alias("id"), F.col(item_text_col).alias("text"))
     prints = texts.mapInArrow(_item_prints(window, gram), ITEM_PRINTS).distinct()
@@ -180,9 +187,11 @@ def contaminated_spans(
     sizes = sorted(row[0] for row in prints.select("size").distinct().collect())
     wanted = spark.sparkContext.broadcast(bit_map(prints, F.col("fingerprint")))
 
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    source = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *row_key(id_col, text_col)
+    )
     rows = source.mapInArrow(
-        _document_prints(sizes, window, gram, wanted), f"id long, n_words long, hits {HITS}"
+        _document_prints(sizes, window, gram, wanted), f"id long, ka long, kb long, n_words long, hits {HITS}"
     )
     rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "document-prints")
 
@@ -215,12 +224,13 @@ def contaminated_spans(
         "ELSE concat(done, array(named_struct('first', s.first, 'past', s.past))) END)"
     )
     spans = spans.select("row", "items", merged.alias("spans"))
-    out = rows.select("row", "id", "n_words").join(spans, "row", "left")
+    out = rows.select("row", "id", *PARTS, "n_words").join(spans, "row", "left")
     no_spans = F.expr("cast(array() as array<struct<first: int, past: int>>)")
     out = out.withColumn("spans", F.coalesce("spans", no_spans))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["past"] - s["first"])
     return out.select(
-        F.col("id").alias(id_col),
+        "id",
+        *PARTS,
         "n_words",
         n_hit.alias("n_hit"),
         F.coalesce("items", F.expr("cast(array() as array<string>)")).alias("items"),
@@ -237,8 +247,17 @@ def _agreeing(places: list[int]):
     return count
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs``, all columns, without those whose id has a row with a hit word."""
-    hit = contaminated_spans(docs, items, id_col, **options).where("n_hit > 0")
-    hit = hit.select(F.col(id_col).alias("hit_id")).distinct()
-    return docs.join(hit, docs[id_col].eqNullSafe(hit["hit_id"]), "left_anti").select(docs.columns)
+def drop_contaminated(
+    docs: DataFrame,
+    items: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_id_col: str = "item_id",
+    item_text_col: str = "text",
+    window: int = WINDOW,
+    gram: int = GRAM,
+) -> DataFrame:
+    """The rows of ``docs``, all columns, without those with a hit word: each row of a repeated id by its own text."""
+    hit = _spans(docs, items, id_col, text_col, item_id_col, item_text_col, window, gram).where("n_hit > 0")
+    rows, name = keyed(docs, id_col, text_col)
+    return rows.join(named(hit.select(*PARTS).distinct(), name), name, "left_anti").select(*docs.columns)

@@ -16,15 +16,12 @@ from ..sources.storage import materialize
 from .bits import bit_map, may_hold
 from .components import connected_components
 from .links import Similarity, similar_components
+from .row_keys import PARTS, keyed, one_of_each, row_key
 from .words import SPACED, Block, _tables, blocks, code_points, distinct, find_words, mix
 
-SIMILARITY = Similarity(percent=80, hashes=32, bands=8, looks=(16, 32), miss=1e-4)
-#: Characters of a shingle of short and of long lines: the operator's default, and what the query and the pipeline take.
-SHINGLES = (10, 10)
-FUZZY_SHINGLES = (3, 5)
-#: A line is long with more than this many different short shingles, and short up to a quarter more. It
-#: can be both, so that two lines as similar as 80 % in short shingles are both short or both long.
-LONG_FROM = 100
+SIMILARITY = Similarity(percent=80, hashes=90, bands=15, looks=(30, 60, 90), miss=1e-4, rows=6)
+#: Characters of a shingle, for lines of any length.
+SHINGLE = 4
 NEWLINE = 10
 WORD = re.compile("[^\x20\x09-\x0D]")
 #: The value of a shingle in its part depends on the bits that do not choose the part as well.
@@ -139,23 +136,11 @@ def one_permutation(hashes: np.ndarray, first: np.ndarray, bins: int) -> np.ndar
     return (out >> np.uint64(16) & np.uint64(0xFFFF)).astype(np.uint16)
 
 
-def _kinds(lines: list[bytes], shingles: tuple[int, int], most_short: int, bins: int):
-    """For the short and the long shingles: places of the lines compared by them, set sizes and signatures."""
-    hashes, first = shingle_hashes(lines, shingles[0])
-    sizes = set_sizes(hashes, first)
-    signatures = one_permutation(hashes, first, bins)
-    short, long = np.flatnonzero(sizes <= most_short), np.flatnonzero(sizes > LONG_FROM)
-    yield short, sizes[short], signatures[short]
-    hashes, first = shingle_hashes([lines[i] for i in long.tolist()], shingles[1])
-    yield long, set_sizes(hashes, first), one_permutation(hashes, first, bins)
-
-
-def _described(shingles: tuple[int, int], most_short: int, bins: int):
+def _described(shingle: int, bins: int):
     """A row per line with a word; sizes and signatures are given once for equal lines of a block."""
 
     def run(batches):
         for batch in batches:
-            ids = batch.column(0)
             for block in blocks(batch.column(1)):
                 owner, number, starts, ends = lines_of(block)
                 held = block.data.tobytes()
@@ -163,22 +148,25 @@ def _described(shingles: tuple[int, int], most_short: int, bins: int):
                 places: dict[bytes, int] = {}
                 for place, line in enumerate(lines):
                     places.setdefault(line, place)
-                at = list(places.values())
-                columns = []
-                for chosen, sizes, values in _kinds(list(places), shingles, most_short, bins):
-                    signature: list = [None] * len(lines)
-                    count: list = [None] * len(lines)
-                    for row, n, i in zip(values, sizes.tolist(), chosen.tolist()):
-                        signature[at[i]], count[at[i]] = row.tobytes(), n
-                    columns += [pa.array(count, pa.int64()), pa.array(signature, pa.binary())]
+                hashes, first = shingle_hashes(list(places), shingle)
+                signature: list = [None] * len(lines)
+                size: list = [None] * len(lines)
+                rows = zip(places.values(), set_sizes(hashes, first).tolist(), one_permutation(hashes, first, bins))
+                for at, n, values in rows:
+                    signature[at], size[at] = values.tobytes(), n
+                begins = np.ones(len(owner), bool)
+                begins[1:] = owner[1:] != owner[:-1]
+                text = pa.array(owner + block.first)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids.take(pa.array(owner + block.first)),
+                        *[batch.column(k).take(text) for k in (0, 2, 3)],
                         pa.array(number.astype(np.int32)),
+                        pa.array(begins),
                         pa.array([line_key(line) for line in lines], pa.binary()),
-                        *columns,
+                        pa.array(size, pa.int64()),
+                        pa.array(signature, pa.binary()),
                     ],
-                    ["id", "line", "key", "size", "signature", "long_size", "long_signature"],
+                    ["id", *PARTS, "line", "begins", "key", "size", "signature"],
                 )
 
     return run
@@ -207,88 +195,79 @@ def _chosen(wanted):
     return run
 
 
-def line_components(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    shingles: tuple[int, int] = SHINGLES,
-    similarity: Similarity = SIMILARITY,
-) -> DataFrame:
-    r"""``(id_col, line, kept_id, kept_line, kept)``, a row for each line of each row of ``docs``.
-
-    Lines are split at \n and counted from 0; a line without a word (only white space) is none.
-    Two lines are linked if they are equal after A-Z is lower-cased and white space collapsed,
-    or if the sets of their character runs have a Jaccard similarity of at least the threshold: of runs
-    of the length that is first in ``shingles`` if both lines have at most 125 different ones (100 divided by
-    the threshold), of the second if both have more than 100. With ``FUZZY_SHINGLES`` lines of 30 characters
-    on are linked with one letter changed, of 74 on with a word of six letters changed; with runs of ten it takes 99
-    and 144. Of each component of linked lines the first stays: the smallest id, then the
-    smallest line number. ``kept_id`` and ``kept_line`` name it.
-
-    Equal lines are one node. Candidates agree in one of the bands of a one-permutation MinHash
-    signature; unlikely ones are given up early and the rest is confirmed on the full sets. The
-    eight bands of four miss 1.5 % of the pairs right at the threshold and 0.02 % of those at 0.9;
-    a component needs only some of its links (see ``links`` for the bounds of tasks).
-
-    Null and empty texts have no line. Rows that repeat an id and a line number with an equal
-    line are one place: they stay or go together. A null id sorts first. Other columns are
-    ignored, and no rows give no rows.
-    """
+def _kept_lines(
+    docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: Similarity
+) -> tuple[DataFrame, DataFrame]:
+    """The lines of ``docs`` with their place, the row's key and the place that is kept for them; keys that repeat."""
     spark = docs.sparkSession
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    schema = "id long, line int, key binary, size long, signature binary, long_size long, long_signature binary"
-    most_short = LONG_FROM * 100 // similarity.percent
-    rows = materialize(source.mapInArrow(_described(shingles, most_short, similarity.hashes), schema), "lines")
+    source = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *row_key(id_col, text_col)
+    )
+    schema = "id long, ka long, kb long, line int, begins boolean, key binary, size long, signature binary"
+    rows = materialize(source.mapInArrow(_described(shingle, similarity.hashes), schema), "lines")
 
-    described = ("size", "signature", "long_size", "long_signature")
+    place = F.struct("id", "line", *PARTS)
     nodes = rows.groupBy("key").agg(
-        F.min(F.struct("id", "line")).alias("at"), *[F.first(c, ignorenulls=True).alias(c) for c in described]
+        F.min(place).alias("at"), *[F.first(c, ignorenulls=True).alias(c) for c in ("size", "signature")]
     )
-    # a node for each kind of shingles that a line is compared by
-    kinds = [F.struct(F.lit(k).alias("kind"), F.col(n).alias("size"), F.col(v).alias("signature")) for k, n, v in ((0, *described[:2]), (1, *described[2:]))]
-    nodes = nodes.select("key", "at", F.inline(F.filter(F.array(*kinds), lambda k: k["size"].isNotNull())))
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "line-classes")
 
     def fetch(wanted: DataFrame) -> DataFrame:
-        at = nodes.select("node", "key", "kind", "at.id").join(wanted, "node", "left_semi")
+        at = nodes.select("node", "key", "at.id").join(wanted, "node", "left_semi")
         likely = spark.sparkContext.broadcast(bit_map(at, F.xxhash64("id")))
         texts = source.select(F.xxhash64("id").alias("hash"), "text")
         texts = texts.mapInArrow(_chosen(likely), "key binary, payload binary")
-        payload = F.concat(F.when(F.col("kind") == 0, F.lit(b"0")).otherwise(F.lit(b"1")), "payload")
-        return at.join(texts, "key").select("node", payload.alias("payload")).dropDuplicates(["node"])
+        return at.join(texts, "key").select("node", "payload").dropDuplicates(["node"])
 
     def sets_of(payload: pa.Array) -> list[np.ndarray]:
-        lines = payload.to_pylist()
-        out: list = [None] * len(lines)
-        for kind, size in zip((b"0", b"1"), shingles):
-            places = [i for i, line in enumerate(lines) if line[:1] == kind]
-            hashes, first = shingle_hashes([lines[i][1:] for i in places], size)
-            for i, a, b in zip(places, first[:-1].tolist(), first[1:].tolist()):
-                # the first bit is the kind's, so sets of different kinds have nothing in common
-                out[i] = distinct(hashes[a:b] >> np.uint64(1) | np.uint64(int(kind) << 63))
-        return out
+        hashes, first = shingle_hashes(payload.to_pylist(), shingle)
+        return [distinct(hashes[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
 
     labels = similar_components(nodes, similarity, fetch, sets_of)
-    linked = nodes.select("node", "key", "at").join(labels, "node")
-    # a line linked by both kinds joins their components
-    both = linked.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a != b")
-    whole = connected_components(materialize(both.select("a", "b"), "both-kinds"))
-    whole = whole.select(F.col("node").alias("label"), F.col("label").alias("whole"))
-    linked = linked.join(whole, "label", "left").withColumn("label", F.coalesce("whole", "label")).drop("whole")
+    linked = nodes.select("node", "at").join(labels, "node")
     firsts = linked.groupBy("label").agg(F.min("at").alias("keeper"))
     # lines without a similar one keep the first of their copies
     keepers = nodes.select("key", "node", "at").join(
         linked.join(firsts, "label").select("node", "keeper"), "node", "left"
     )
-    keepers = keepers.groupBy("key").agg(F.coalesce(F.min("keeper"), F.min("at")).alias("keeper"))
-    out = rows.select("id", "line", "key").join(keepers, "key")
-    kept = F.col("id").eqNullSafe(F.col("keeper.id")) & (F.col("line") == F.col("keeper.line"))
+    # written, so that the rows of a very common line can be joined with it in several tasks
+    keepers = materialize(keepers.select("key", F.coalesce("keeper", "at").alias("keeper")), "line-keepers")
+    again = rows.where("begins").groupBy(*PARTS).count().where("count > 1").select(*PARTS)
+    return rows.select("id", *PARTS, "line", "key").join(keepers, "key"), again
+
+
+def line_components(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = SHINGLE,
+    similarity: Similarity = SIMILARITY,
+) -> DataFrame:
+    r"""``(id_col, line, kept_id, kept_line, kept)``, a row for each line of each row of ``docs``.
+
+    Lines are split at \n and counted from 0; a line without a word (only white space) is none.
+    Two lines are linked if they are equal after A-Z is lower-cased and white space collapsed,
+    or if the sets of their runs of ``shingle`` characters have a Jaccard similarity of at least the threshold.
+    With runs of four, lines of 39 characters on are linked with one letter changed, of 84 on with a word of
+    six letters changed. Of each component of linked lines the first stays: the smallest id, then the
+    smallest line number. ``kept_id`` and ``kept_line`` name it.
+
+    Equal lines are one node. Candidates agree in one of the bands of a one-permutation MinHash
+    signature; unlikely ones are given up early and the rest is confirmed on the full sets. The
+    fifteen bands of six miss 1 % of the pairs right at the threshold and 4e-5 of those at 0.9;
+    a component needs only some of its links (see ``links`` for the bounds of tasks).
+
+    Null and empty texts have no line. Of rows that repeat an id with other texts one has the kept line;
+    rows equal in id and text are one place: they stay or go together. A null id sorts first. Other columns are
+    ignored, and no rows give no rows.
+    """
+    out, _ = _kept_lines(docs, id_col, text_col, shingle, similarity)
     return out.select(
         F.col("id").alias(id_col),
         "line",
         F.col("keeper.id").alias("kept_id"),
         F.col("keeper.line").alias("kept_line"),
-        kept.alias("kept"),
+        (F.struct("id", "line", *PARTS).eqNullSafe(F.col("keeper"))).alias("kept"),
     )
 
 
@@ -313,16 +292,25 @@ def _cut(at: int):
     return run
 
 
-def drop_similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def drop_similar_lines(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = SHINGLE,
+    similarity: Similarity = SIMILARITY,
+) -> DataFrame:
     """The rows of ``docs`` with all columns; of each component of lines, all but the first are cut from the texts.
 
     A text that loses no line stays as it is; a row whose text had words and has none left is
-    dropped. Null and empty texts stay. Rows that repeat an id lose lines of the same numbers. Texts
-    are cut in Arrow batches, in time that grows with their length, however many lines go.
+    dropped. Null and empty texts stay. Rows that repeat an id lose lines by their own texts; of rows
+    equal in id and text, with words, one stays. Texts are cut in Arrow batches, in time that grows with
+    their length, however many lines go.
     """
-    gone = line_components(docs, id_col, text_col, **options).where("not kept")
-    # a name that ``docs`` has not
-    name = uuid.uuid4().hex
-    gone = gone.groupBy(id_col).agg(F.collect_set("line").alias(name))
-    joined = docs.join(gone, docs[id_col].eqNullSafe(gone[id_col]), "left").select(*[docs[c] for c in docs.columns], name)
+    lines, again = _kept_lines(docs, id_col, text_col, shingle, similarity)
+    gone = lines.where(~F.struct("id", "line", *PARTS).eqNullSafe(F.col("keeper")))
+    rows, name = keyed(docs, id_col, text_col)
+    rows = one_of_each(rows, name, again)
+    lost = uuid.uuid4().hex
+    gone = gone.groupBy(F.struct(*PARTS).alias(name)).agg(F.collect_set("line").alias(lost))
+    joined = rows.join(gone, name, "left").select(*docs.columns, lost)
     return joined.mapInArrow(_cut(docs.columns.index(text_col)), docs.schema)

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..sources.storage import materialize
 from .components import connected_components
+from .words import mix
 
 PAIRS_AT_ONCE = 1 << 16
 TASK = ["bucket", "low", "high"]
@@ -32,7 +33,7 @@ TASK = ["bucket", "low", "high"]
 class Similarity:
     """Jaccard similarity of at least ``percent`` / 100, told from 16-bit MinHash signatures.
 
-    ``bands`` bands of four values give the candidates. ``looks`` says after how many values a
+    ``bands`` bands of ``rows`` values give the candidates. ``looks`` says after how many values a
     pair is judged, and ``miss`` is the posterior probability of a similarity at or over the
     threshold under which a pair is given up.
     """
@@ -42,6 +43,7 @@ class Similarity:
     bands: int
     looks: tuple[int, ...]
     miss: float = 1e-6
+    rows: int = 4
 
     def least_matches(self) -> list[int]:
         """For each look: with fewer equal values than this, a pair is given up.
@@ -65,8 +67,10 @@ class Similarity:
 
 def signature_buckets(similarity: Similarity):
     """The buckets of the bands of the binary column ``signature``; the last six bits are the band."""
+    size = 2 * similarity.rows
     keys = [
-        f"(xxhash64(substring(signature, {8 * band + 1}, 8)) & -64L) | {band}L" for band in range(similarity.bands)
+        f"(xxhash64(substring(signature, {size * band + 1}, {size})) & -64L) | {band}L"
+        for band in range(similarity.bands)
     ]
     return F.expr(f"array({', '.join(keys)})")
 
@@ -117,13 +121,25 @@ def _pairs(edges: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         low = high
 
 
+def _band_keys(values: np.ndarray, similarity: Similarity) -> np.ndarray:
+    """64 bits of each row and band."""
+    banded = np.ascontiguousarray(values[:, : similarity.bands * similarity.rows])
+    if similarity.rows == 4:
+        return banded.view(np.uint64)
+    parts = banded.reshape(len(values), similarity.bands, similarity.rows)
+    out = np.zeros(parts.shape[:2], np.uint64)
+    for k in range(similarity.rows):
+        out = mix(out ^ parts[:, :, k])
+    return out
+
+
 def _survivors(table: pa.Table, similarity: Similarity) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows of a task that stay likely after every look, each in the first band it shares."""
     size = table["size"].to_numpy()
     label, band = table["label"].to_numpy(), table["bucket"].to_numpy() & 63
     joined = b"".join(table["signature"].to_pylist())
     values = np.frombuffer(joined, np.uint16).reshape(-1, similarity.hashes)
-    keys = np.ascontiguousarray(values[:, : similarity.bands * 4]).view(np.uint64)
+    keys = _band_keys(values, similarity)
     least = similarity.least_matches()
     kept_a, kept_b = [], []
     for a, b in _pairs(_edges(table)):

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..sources.storage import materialize
 from .bits import bit_map, may_hold
 from .links import Similarity, similar_components
+from .row_keys import PARTS, keyed, named, one_of_each, row_key
 from .words import SPACED_LOWER, Block, blocks, distinct, find_words, gram_hashes, mix, word_hashes
 
 SIMILARITY = Similarity(percent=75, hashes=256, bands=32, looks=(32, 64, 96, 128, 192, 256))
@@ -61,12 +62,12 @@ def _described(words: int, hashes: int):
                     signature[i] = row.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(block.first, len(block)),
+                        *[batch.column(k).slice(block.first, len(block)) for k in (0, 2, 3)],
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([set_key(s) for s in sets], pa.binary()),
                         pa.array(signature, pa.binary()),
                     ],
-                    ["id", "size", "key", "signature"],
+                    ["id", *PARTS, "size", "key", "signature"],
                 )
 
     return run
@@ -89,6 +90,41 @@ def _chosen(words: int, wanted):
     return run
 
 
+def _judged(docs: DataFrame, id_col: str, text_col: str, words: int, similarity: Similarity) -> DataFrame:
+    """Each row's id and key, shingles, and the first row of its component (null where it has no shingle)."""
+    spark = docs.sparkSession
+    source = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *row_key(id_col, text_col)
+    )
+    schema = "id long, ka long, kb long, size long, key binary, signature binary"
+    rows = source.mapInArrow(_described(words, similarity.hashes), schema)
+    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "signatures")
+
+    # rows with an id come before those without
+    place = F.struct(F.col("id").isNull().alias("nameless"), "id", *PARTS)
+    classes = rows.where("size > 0").groupBy("key").agg(F.min("row").alias("node"), F.min(place).alias("first"))
+    described = rows.select(F.col("row").alias("node"), "id", "size", "signature")
+    nodes = materialize(classes.join(described, "node"), "classes")
+
+    def fetch(wanted: DataFrame) -> DataFrame:
+        at = nodes.select("node", "id", "key").join(wanted, "node", "left_semi")
+        likely = spark.sparkContext.broadcast(bit_map(at, F.xxhash64("id")))
+        texts = source.select("id", "text", F.xxhash64("id").alias("hash"))
+        texts = texts.mapInArrow(_chosen(words, likely), "id long, key binary, payload string")
+        found = at.join(texts, at["id"].eqNullSafe(texts["id"]) & (at["key"] == texts["key"]))
+        return found.select("node", "payload").dropDuplicates(["node"])
+
+    def sets_of(payload: pa.Array) -> list[np.ndarray]:
+        return [s for block in blocks(payload) for s in shingle_sets(block, words)]
+
+    labels = similar_components(nodes, similarity, fetch, sets_of)
+    classes = nodes.select("key", "node", "first").join(labels, "node", "left")
+    classes = classes.select("key", "first", F.coalesce("label", "node").alias("label"))
+    least = classes.groupBy("label").agg(F.min("first").alias("keeper"))
+    component = classes.join(least, "label").select("key", "keeper")
+    return rows.select("id", *PARTS, "size", "key").join(component, "key", "left")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -112,44 +148,34 @@ def near_duplicates(
     component without any id has a null ``component_id`` and is kept. Other columns are ignored,
     and no rows give no rows.
     """
-    spark = docs.sparkSession
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    schema = "id long, size long, key binary, signature binary"
-    rows = source.mapInArrow(_described(words, similarity.hashes), schema)
-    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "signatures")
-
-    classes = rows.where("size > 0").groupBy("key").agg(F.min("row").alias("node"), F.min("id").alias("least"))
-    first = rows.select(F.col("row").alias("node"), "id", "size", "signature")
-    nodes = materialize(classes.join(first, "node"), "classes")
-
-    def fetch(wanted: DataFrame) -> DataFrame:
-        at = nodes.select("node", "id", "key").join(wanted, "node", "left_semi")
-        likely = spark.sparkContext.broadcast(bit_map(at, F.xxhash64("id")))
-        texts = source.select("id", "text", F.xxhash64("id").alias("hash"))
-        texts = texts.mapInArrow(_chosen(words, likely), "id long, key binary, payload string")
-        found = at.join(texts, at["id"].eqNullSafe(texts["id"]) & (at["key"] == texts["key"]))
-        return found.select("node", "payload").dropDuplicates(["node"])
-
-    def sets_of(payload: pa.Array) -> list[np.ndarray]:
-        return [s for block in blocks(payload) for s in shingle_sets(block, words)]
-
-    labels = similar_components(nodes, similarity, fetch, sets_of)
-    classes = nodes.select("key", "node", "least").join(labels, "node", "left")
-    classes = classes.select("key", "least", F.coalesce("label", "node").alias("label"))
-    smallest = classes.groupBy("label").agg(F.min("least").alias("component_id"))
-    component = classes.join(smallest, "label").select("key", "component_id", F.lit(True).alias("found"))
-    out = rows.join(component, "key", "left")
-    out = out.withColumn("component_id", F.when(F.col("found"), F.col("component_id")).otherwise(F.col("id")))
-    return out.select(
+    judged = _judged(docs, id_col, text_col, words, similarity)
+    component = F.when(F.col("keeper").isNull(), F.col("id")).otherwise(F.col("keeper.id"))
+    return judged.select(
         F.col("id").alias(id_col),
         F.col("size").alias("n_shingles"),
-        "component_id",
-        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
+        component.alias("component_id"),
+        F.col("id").eqNullSafe(component).alias("kept"),
     )
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs``, all columns, whose id is the smallest of its component."""
-    dropped = near_duplicates(docs, id_col, text_col, **options).where("not kept")
-    dropped = dropped.select(F.col(id_col).alias("dropped_id")).distinct()
-    return docs.join(dropped, docs[id_col].eqNullSafe(dropped["dropped_id"]), "left_anti").select(docs.columns)
+def drop_near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int = 5,
+    similarity: Similarity = SIMILARITY,
+) -> DataFrame:
+    """The rows of ``docs``, all columns, with one row of each component: one of its smallest id.
+
+    Rows are judged by id and text, so a text stays whatever other texts have its id, and of equal
+    rows one stays. Where texts of one component share the smallest id, the one whose hash is least
+    stays. Rows without a shingle all stay.
+    """
+    judged = _judged(docs, id_col, text_col, words, similarity).where(F.col("keeper").isNotNull())
+    own = F.struct(F.col("id").isNull().alias("nameless"), "id", *PARTS).eqNullSafe(F.col("keeper"))
+    judged = materialize(judged.select(*PARTS, own.alias("first")), "judged")
+    rows, name = keyed(docs, id_col, text_col)
+    dropped = named(judged.where("not first").distinct(), name)
+    again = judged.where("first").groupBy(*PARTS).count().where("count > 1")
+    kept = rows.join(dropped, name, "left_anti")
+    return one_of_each(kept, name, again).select(*docs.columns)
