@@ -31,7 +31,7 @@ TASK = ["bucket", "low", "high"]
 
 @dataclass(frozen=True)
 class Similarity:
-    """Jaccard similarity of at least ``percent`` / 100, told from 16-bit MinHash signatures.
+    """Jaccard similarity of at least ``percent`` / 100, told from MinHash signatures of ``width`` bytes a value.
 
     ``bands`` bands of ``rows`` values give the candidates. ``looks`` says after how many values a
     pair is judged, and ``miss`` is the posterior probability of a similarity at or over the
@@ -44,6 +44,7 @@ class Similarity:
     looks: tuple[int, ...]
     miss: float = 1e-6
     rows: int = 4
+    width: int = 2
 
     def least_matches(self) -> list[int]:
         """For each look: with fewer equal values than this, a pair is given up.
@@ -67,7 +68,7 @@ class Similarity:
 
 def signature_buckets(similarity: Similarity):
     """The buckets of the bands of the binary column ``signature``; the last six bits are the band."""
-    size = 2 * similarity.rows
+    size = similarity.width * similarity.rows
     keys = [
         f"(xxhash64(substring(signature, {size * band + 1}, {size})) & -64L) | {band}L"
         for band in range(similarity.bands)
@@ -124,7 +125,7 @@ def _pairs(edges: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 def _band_keys(values: np.ndarray, similarity: Similarity) -> np.ndarray:
     """64 bits of each row and band."""
     banded = np.ascontiguousarray(values[:, : similarity.bands * similarity.rows])
-    if similarity.rows == 4:
+    if similarity.rows * similarity.width == 8:
         return banded.view(np.uint64)
     parts = banded.reshape(len(values), similarity.bands, similarity.rows)
     out = np.zeros(parts.shape[:2], np.uint64)
@@ -138,7 +139,7 @@ def _survivors(table: pa.Table, similarity: Similarity) -> tuple[np.ndarray, np.
     size = table["size"].to_numpy()
     label, band = table["label"].to_numpy(), table["bucket"].to_numpy() & 63
     joined = b"".join(table["signature"].to_pylist())
-    values = np.frombuffer(joined, np.uint16).reshape(-1, similarity.hashes)
+    values = np.frombuffer(joined, f"u{similarity.width}").reshape(-1, similarity.hashes)
     keys = _band_keys(values, similarity)
     least = similarity.least_matches()
     kept_a, kept_b = [], []
@@ -254,7 +255,7 @@ def similar_components(
     """``(node, label)`` of the nodes linked with another one, directly or through others.
 
     ``nodes``: ``node`` long (different in every row), ``size`` long (items of its set),
-    ``signature`` binary (``similarity.hashes`` 16-bit values). ``fetch`` gives ``(node,
+    ``signature`` binary (``similarity.hashes`` values). ``fetch`` gives ``(node,
     payload)`` for a table of nodes, and ``sets_of`` the sorted distinct hashes of each payload.
 
     A task holds at most about ``block_members`` members and ``block_items`` items, or one

@@ -83,7 +83,7 @@ def shingles(text, size=5):
     return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
 
 
-def line_shingles(line, size=4):
+def line_shingles(line, size=5):
     line = " ".join(spaced(line))
     return {line[i : i + size] for i in range(max(len(line) - size + 1, 1))}
 

@@ -550,11 +550,11 @@ def test_lines_with_one_letter_or_word_changed_are_linked(spark):
         pairs.append((len(rows), len(rows) + 1))
         rows.extend([(len(rows), line), (len(rows) + 1, changed)])
 
-    for length in range(40, 260, 5):
+    for length in range(50, 260, 5):
         line = "".join(random.choice(list(letters), length))
         at = length // 2
         pair(line, line[:at] + "Z0"[length % 2] + line[at + 1 :])
-        if length >= 85:
+        if length >= 95:
             pair(line[::-1], line[::-1][:at] + "123456" + line[::-1][at + 6 :])
     kept = {r["doc_id"]: r["kept_id"] for r in line_dedup.line_components(frame(spark, rows)).collect()}
     linked = [kept[b] == a for a, b in pairs]
