@@ -99,10 +99,8 @@ def set_sizes(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     bits = np.uint64(max(len(sizes).bit_length(), 1))
     keys = np.repeat(np.arange(len(sizes), dtype=np.uint64) << (np.uint64(64) - bits), sizes) | hashes >> bits
     keys.sort()
-    twice = np.flatnonzero(keys[1:] == keys[:-1])
-    for line in np.unique(keys[twice] >> (np.uint64(64) - bits)).astype(np.int64).tolist():
-        sizes[line] = len(distinct(hashes[first[line] : first[line + 1]]))
-    return sizes
+    twice = keys[1:][keys[1:] == keys[:-1]]
+    return sizes - np.bincount((twice >> (np.uint64(64) - bits)).astype(np.int64), minlength=len(sizes))
 
 
 def one_permutation(hashes: np.ndarray, first: np.ndarray, bins: int) -> np.ndarray:

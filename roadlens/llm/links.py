@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.storage import materialize
+from .bits import bit_map, may_hold
 from .components import connected_components
 from .words import mix
 
@@ -66,14 +67,23 @@ class Similarity:
         return out
 
 
-def signature_buckets(similarity: Similarity):
-    """The buckets of the bands of the binary column ``signature``; the last six bits are the band."""
-    size = similarity.width * similarity.rows
-    keys = [
-        f"(xxhash64(substring(signature, {size * band + 1}, {size})) & -64L) | {band}L"
-        for band in range(similarity.bands)
-    ]
-    return F.expr(f"array({', '.join(keys)})")
+def _bucket_rows(similarity: Similarity, wanted=None):
+    """Node and size in each bucket of its signature, the band in the last six bits; those that may be wanted."""
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            values = np.frombuffer(b"".join(batch.column(2).to_pylist()), f"u{similarity.width}")
+            keys = _band_keys(values.reshape(batch.num_rows, similarity.hashes), similarity)
+            keys = (mix(keys) & ~np.uint64(63)) | np.arange(similarity.bands, dtype=np.uint64)
+            row, band = np.nonzero(np.ones(keys.shape, bool) if wanted is None else may_hold(wanted.value, keys >> np.uint64(6)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys[row, band].view(np.int64)), *[batch.column(k).take(pa.array(row)) for k in (0, 1)]],
+                ["bucket", "node", "size"],
+            )
+
+    return run
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -261,12 +271,17 @@ def similar_components(
     A task holds at most about ``block_members`` members and ``block_items`` items, or one
     member that is larger by itself.
     """
-    rows = nodes.select("node", "size", F.explode(signature_buckets(similarity)).alias("bucket"))
+    signed = nodes.select("node", "size", "signature")
+    bucket_rows = "bucket long, node long, size long"
+    rows = signed.mapInArrow(_bucket_rows(similarity), bucket_rows)
     blocks = F.greatest(
         F.ceil(F.col("members") / block_members), F.ceil(F.col("items") / block_items)
     ).cast("int")
     buckets = rows.groupBy("bucket").agg(F.count("*").alias("members"), F.sum("size").alias("items"))
-    buckets = buckets.where("members > 1").select("bucket", blocks.alias("blocks"))
+    buckets = materialize(buckets.where("members > 1").select("bucket", blocks.alias("blocks")), "shared-buckets")
+    # most buckets have one member: a bit map keeps nearly all of those from being moved again
+    wanted = nodes.sparkSession.sparkContext.broadcast(bit_map(buckets, F.shiftrightunsigned("bucket", 6)))
+    rows = signed.mapInArrow(_bucket_rows(similarity, wanted), bucket_rows)
     shared = materialize(rows.join(buckets, "bucket"), "buckets")
 
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
