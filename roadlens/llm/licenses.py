@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.storage import materialize
@@ -31,8 +32,10 @@ TEMPLATES = {
     "all rights reserved no part of this may be reproduced without permission": "reserved",
 }
 CONTAINMENT = 0.8
-#: Lines over which a notice may be wrapped.
-RUN = 5
+#: Words of a block for each word of a template.
+STRETCH = 1.5
+#: Of all templates together; they are sent to every task.
+MOST_WORDS = 10_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -49,33 +52,42 @@ def _n_words(spaced: Column) -> Column:
 
 
 def _phrase_places(spaced: Column, phrase: str) -> Column:
-    """The numbers of the words at which a phrase begins; null if it is not there."""
+    """``(n, first, last)``: at how many words a phrase begins, and the numbers of the first and last; null without one."""
     cuts = F.split(spaced, f" {phrase}(?= )")
     length = phrase.count(" ") + 1
     # each part before an occurrence begins with a space for every word it has
     spaces = F.transform(
         F.slice(cuts, 1, F.size(cuts) - 1), lambda c: F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit("")))
     )
-    added = F.aggregate(
-        spaces,
-        F.expr("cast(array() as array<int>)"),
-        lambda done, n: F.concat(
-            done, F.array(F.when(F.size(done) == 0, n).otherwise(F.element_at(done, -1) + length + n))
-        ),
-    )
-    return F.when(F.contains(spaced, F.lit(f" {phrase} ")), added)
+    start = F.expr("named_struct('n', 0L, 'first', cast(null as bigint), 'last', cast(null as bigint), 'next', 0L)")
+
+    def step(done: Column, n: Column) -> Column:
+        at = done["next"] + n
+        return F.struct(
+            (done["n"] + 1).alias("n"),
+            F.coalesce(done["first"], at).alias("first"),
+            at.alias("last"),
+            (at + length).alias("next"),
+        )
+
+    return F.when(F.contains(spaced, F.lit(f" {phrase} ")), F.aggregate(spaces, start, step))
 
 
 def _templates(templates: dict[str, str], containment: float) -> list[tuple]:
-    """``(number, label, different words, fewest of them that meet the threshold)``."""
+    """``(number, label, different words, fewest of them that meet the threshold, words of a block)``."""
     rows = []
     for number, (text, label) in enumerate(templates.items()):
         words = list(dict.fromkeys(text.lower().split()))
         # a millionth less, so that a threshold met exactly is met
-        rows.append((number, label, words, max(1, math.ceil(containment * len(words) - 1e-6))))
+        least = max(1, math.ceil(containment * len(words) - 1e-6))
+        rows.append((number, label, words, least, math.ceil(STRETCH * len(text.split()) - 1e-6)))
     return rows
 
 
+def _strings(values: list[str]) -> Column:
+    return F.array(*[F.lit(v) for v in values]) if values else F.expr("cast(array() as array<string>)")
+
+
 def scan_licenses(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -83,7 +95,6 @@ def scan_licenses(
     phrases: dict[str, str] = PHRASES,
     templates: dict[str, str] = TEMPLATES,
     containment: float = CONTAINMENT,
-    run: int = RUN,
 ) -> DataFrame:
     r"""``(id_col, n_words, n_base, first_word, last_word, base_labels, labels, score, blocks)``.
 
@@ -93,54 +104,33 @@ def scan_licenses(
     one; no phrase may overlap itself), ``base_labels`` the labels found, sorted and comma-joined; ``labels`` has those of
     templates as well. ``score`` is 1 with a phrase, else the largest containment found, else 0.
 
-    A block is a line and the up to ``run - 1`` lines after it, as far as each has a word (a notice may
-    be wrapped); it has what each shorter run from its first line has. It meets a template if it has at least ``containment`` of the template's
-    different words; ``blocks`` lists (first line, template, containment). Words that no template has
-    cannot count, so blocks are reduced to the templates' words, ordered by how many of all
-    documents have each, rarest first. A block and a template whose overlap can reach the least
+    A block is a run of words of the text, wherever its lines end, ``STRETCH`` times as long as the
+    template it is held against. It meets the template if it has at least ``containment`` of the template's
+    different words. Blocks that meet and overlap are one; ``blocks`` lists (its first word, template, largest
+    containment), sorted.
+
+    Words that no template has cannot count, so texts are reduced to the templates' words, ordered by how many of
+    all texts have each, rarest first. A text and a template whose overlap can reach the least
     needed share one of the first (length - least + 1) words of both; they are joined on these, a
     pair at its first shared word only, and pairs go on where lengths and positions allow the
-    overlap. What is left is counted in full. The templates are sent to every task: they are a list that the
-    caller holds.
+    overlap. Only the texts of such pairs are taken apart into places, and in a window over the
+    places of a template's words blocks are counted in full, in time that grows with the text. The templates, at
+    most ``MOST_WORDS`` words in all, are sent to every task.
 
     Null and empty texts have no words. Rows that repeat an id are scanned each by itself. Other
     columns are ignored, and no rows give no rows.
     """
     spark = docs.sparkSession
     described = _templates(templates, containment)
-    known = spark.createDataFrame(described, "template int, label string, words array<string>, least int")
-    vocabulary = list(dict.fromkeys(w for _, _, words, _ in described for w in words))
-    fewest = min((least for *_, least in described), default=1)
-    in_vocabulary = F.array(*[F.lit(w) for w in vocabulary]) if vocabulary else F.expr("cast(array() as array<string>)")
-
-    spaced = docs.select(
-        F.col(id_col).alias("id"), F.col(text_col).alias("text"), _spaced(F.col(text_col)).alias("spaced")
-    )
-    lines = F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda line: F.split(F.trim(_spaced(line)), " "))
-    # lines without a word are null
-    reduced = F.transform(
-        lines, lambda words: F.when(words != F.array(F.lit("")), F.array_intersect(words, in_vocabulary))
-    )
-    # a run that begins with a line without such words has no more than the next one
-    starts = F.filter(
-        F.transform("lines", lambda words, n: F.when(F.size(words) > 0, n)), lambda n: n.isNotNull()
-    )
-    joined = lambda n: F.aggregate(
-        F.slice("lines", n + 2, run - 1),
-        F.struct(F.lit(True).alias("open"), F.element_at("lines", n + 1).alias("words")),
-        lambda done, words: F.when(
-            done["open"] & words.isNotNull(),
-            F.struct(F.lit(True).alias("open"), F.array_union(done["words"], words).alias("words")),
-        ).otherwise(F.struct(F.lit(False).alias("open"), done["words"].alias("words"))),
-        lambda done: done["words"],
-    )
-    runs = F.transform(starts, lambda n: F.struct(n.alias("line"), joined(n).alias("words")))
-    runs = F.filter(runs, lambda block: F.size(block["words"]) >= fewest)
-    places = F.array_sort(
-        F.flatten(
-            F.array(*[F.coalesce(_phrase_places(F.col("spaced"), p), F.expr("cast(array() as array<int>)")) for p in phrases])
-        )
-    )
+    if sum(len(words) for _, _, words, *_ in described) > MOST_WORDS:
+        raise ValueError(f"templates may have at most {MOST_WORDS} words")
+    known = spark.createDataFrame(described, "template int, label string, words array<string>, least int, reach int")
+    in_vocabulary = _strings(list(dict.fromkeys(w for _, _, words, *_ in described for w in words)))
+    fewest = min((least for *_, least, _ in described), default=1)
+
+    spaced = docs.select(F.col(id_col).alias("id"), _spaced(F.col(text_col)).alias("spaced"))
+    held = F.array_intersect(F.split("spaced", " "), in_vocabulary)
+    places = F.array_compact(F.array(*[_phrase_places(F.col("spaced"), p) for p in phrases]))
     labels = F.array_sort(
         F.array_distinct(
             F.array_compact(
@@ -148,30 +138,31 @@ def scan_licenses(
             )
         )
     )
-    rows = spaced.withColumn("lines", reduced).select(
+    reachable = [F.size(F.array_intersect("held", _strings(words))) >= least for _, _, words, least, _ in described]
+    rows = spaced.withColumn("held", held).select(
         "id",
         _n_words(F.col("spaced")).alias("n_words"),
         places.alias("places"),
         labels.alias("base"),
-        runs.alias("blocks"),
-        F.array_intersect(F.split("spaced", " "), in_vocabulary).alias("held"),
+        "held",
+        # the texts that some template may be in
+        F.when(reduce(Column.__or__, reachable, F.lit(False)), F.col("spaced")).alias("text"),
         F.monotonically_increasing_id().alias("row"),
     )
-    rows = materialize(rows, "license-blocks")
+    rows = materialize(rows, "license-texts")
 
-    blocks = rows.select("row", F.inline("blocks"))
     often = rows.select(F.explode("held").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     order = known.select(F.explode("words").alias("word")).distinct().join(often, "word", "left")
     order = [r["word"] for r in order.orderBy(F.coalesce("n", F.lit(0)), "word").collect()]
     # the templates' words, rarest first
-    ranked = F.array(*[F.lit(w) for w in order]) if order else in_vocabulary
-    blocks = blocks.select("row", "line", F.array_intersect(ranked, F.col("words")).alias("words"))
-    known = known.select("template", "label", "least", F.array_intersect(ranked, F.col("words")).alias("theirs"))
+    ranked = _strings(order)
+    texts = rows.where("text IS NOT NULL").select("row", F.array_intersect(ranked, F.col("held")).alias("words"))
+    theirs = known.select("template", "least", F.array_intersect(ranked, F.col("words")).alias("theirs"))
 
     prefix = F.slice("words", 1, F.size("words") - fewest + 1)
-    ours = blocks.select("row", "line", "words", F.posexplode(prefix).alias("at", "word"))
+    ours = texts.where(F.size("words") >= fewest).select("row", "words", F.posexplode(prefix).alias("at", "word"))
     their_prefix = F.slice("theirs", 1, F.size("theirs") - F.col("least") + 1)
-    indexed = known.select("*", F.posexplode(their_prefix).alias("their_at", "word"))
+    indexed = theirs.select("*", F.posexplode(their_prefix).alias("their_at", "word"))
     # a row for each word of a template at most; the templates are held by the driver
     pairs = ours.join(F.broadcast(indexed), "word").where(
         # length; the prefix of this template; the words left after this place on either side
@@ -180,26 +171,44 @@ def scan_licenses(
         # the first word that both have
         "AND NOT arrays_overlap(slice(words, 1, at), slice(theirs, 1, their_at))"
     )
-    overlap = F.size(F.array_intersect("words", "theirs"))
-    pairs = pairs.withColumn("overlap", overlap).where("overlap >= least")
-    found = pairs.groupBy("row").agg(
-        F.array_sort(
-            F.collect_set(F.struct("line", "template", (F.col("overlap") / F.size("theirs")).alias("containment")))
-        ).alias("blocks"),
+    pairs = pairs.where(F.size(F.array_intersect("words", "theirs")) >= F.col("least"))
+    pairs = materialize(pairs.select("row", "template"), "license-pairs")
+
+    wanted = pairs.groupBy("row").agg(F.collect_set("template").alias("wanted"))
+    apart = rows.where("text IS NOT NULL").select("row", "text").join(wanted, "row")
+    apart = apart.select("row", "wanted", F.posexplode(F.split(F.trim("text"), " ")).alias("place", "word"))
+    of_template = known.select("template", "least", "reach", F.size("words").alias("size"), F.explode("words").alias("word"))
+    marks = apart.join(F.broadcast(of_template), "word").where("array_contains(wanted, template)")
+    # the template's words from this one on; a template's reach is at most that of the longest one
+    farthest = max((reach for *_, reach in described), default=1)
+    ahead = Window.partitionBy("row", "template").orderBy("place").rangeBetween(0, farthest - 1)
+    block = F.collect_list(F.struct("place", "word")).over(ahead)
+    near = F.transform(F.filter("block", lambda x: x["place"] < F.col("place") + F.col("reach")), lambda x: x["word"])
+    met = marks.withColumn("block", block).withColumn("overlap", F.size(F.array_distinct(near)))
+    met = met.where("overlap >= least").select(
+        "row", "template", "place", "reach", (F.col("overlap") / F.col("size")).alias("containment")
+    )
+    turn = Window.partitionBy("row", "template").orderBy("place")
+    begins = F.coalesce(F.col("place") - F.lag("place").over(turn) >= F.col("reach"), F.lit(True))
+    met = met.withColumn("begins", begins.cast("int")).withColumn("block", F.sum("begins").over(turn))
+    met = met.groupBy("row", "template", "block").agg(
+        F.min("place").alias("word"), F.max("containment").alias("containment")
+    )
+    found = met.join(F.broadcast(known.select("template", "label")), "template").groupBy("row").agg(
+        F.array_sort(F.collect_list(F.struct("word", "template", "containment"))).alias("blocks"),
         F.collect_set("label").alias("more"),
-        F.max(F.col("overlap") / F.size("theirs")).alias("best"),
+        F.max("containment").alias("best"),
     )
-    out = rows.drop("blocks", "held").join(found, "row", "left")
-    none = F.expr("cast(array() as array<string>)")
+    out = rows.select("row", "id", "n_words", "places", "base").join(found, "row", "left")
     based = F.size("places") > 0
     return out.select(
         F.col("id").alias(id_col),
         "n_words",
-        F.size("places").cast("long").alias("n_base"),
-        F.when(based, F.element_at("places", 1)).cast("long").alias("first_word"),
-        F.when(based, F.element_at("places", -1)).cast("long").alias("last_word"),
+        F.aggregate("places", F.lit(0).cast("long"), lambda n, p: n + p["n"]).alias("n_base"),
+        F.array_min(F.transform("places", lambda p: p["first"])).alias("first_word"),
+        F.array_max(F.transform("places", lambda p: p["last"])).alias("last_word"),
         F.array_join("base", ",").alias("base_labels"),
-        F.array_join(F.array_sort(F.array_union("base", F.coalesce("more", none))), ",").alias("labels"),
+        F.array_join(F.array_sort(F.array_union("base", F.coalesce("more", _strings([])))), ",").alias("labels"),
         F.when(based, F.lit(1.0)).otherwise(F.coalesce("best", F.lit(0.0))).alias("score"),
-        F.coalesce("blocks", F.expr("cast(array() as array<struct<line: int, template: int, containment: double>>)")).alias("blocks"),
+        F.coalesce("blocks", F.expr("cast(array() as array<struct<word: int, template: int, containment: double>>)")).alias("blocks"),
     )

@@ -65,11 +65,13 @@ FROM s LEFT JOIN (SELECT doc_id, min(r) AS c FROM reach GROUP BY doc_id) m ON m.
 
 def _licenses() -> str:
     phrases = ", ".join(f"({p.split()}, '{label}')" for p, label in PHRASES.items())
-    templates = ", ".join(f"('{label}', {words}, {least})" for _, label, words, least in _templates(TEMPLATES, CONTAINMENT))
+    templates = ", ".join(
+        f"('{label}', {words}, {least}, {reach})" for _, label, words, least, reach in _templates(TEMPLATES, CONTAINMENT)
+    )
     return rf"""
 WITH d AS (SELECT doc_id, text, {_words('text', _ALPHANUMERIC)} AS w FROM documents),
 p(phrase, label) AS (VALUES {phrases}),
-t(label, words, least) AS (VALUES {templates}),
+t(label, words, least, reach) AS (VALUES {templates}),
 found AS (
     SELECT doc_id, label, unnest(list_filter(range(0, len(w) - len(phrase) + 1),
         lambda i: w[i + 1 : i + len(phrase)] = phrase)) AS place
@@ -79,13 +81,14 @@ base AS (
     SELECT doc_id, count(*) AS n, min(place) AS lo, max(place) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
     FROM found GROUP BY doc_id
 ),
-lines AS (
-    SELECT doc_id, list_distinct({_words('line', _ALPHANUMERIC)}) AS x
-    FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents)
-),
 met AS (
-    SELECT doc_id, label, len(list_intersect(x, words)) / len(words) AS c
-    FROM lines, t WHERE len(x) >= least AND len(list_intersect(x, words)) >= least
+    SELECT doc_id, label, n / len(words) AS c
+    FROM (
+        SELECT doc_id, label, words, least, list_max(list_transform(
+            list_filter(range(1, len(w) + 1), lambda i: list_contains(words, w[i])),
+            lambda i: len(list_intersect(w[i : i + reach - 1], words)))) AS n
+        FROM d, t WHERE len(list_intersect(w, words)) >= least
+    ) WHERE n >= least
 ),
 more AS (
     SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
