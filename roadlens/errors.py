@@ -29,6 +29,13 @@ class NoSharedFolder(RoadlensError):
     """A cluster session names no folder that all its executors can reach."""
 
 
+class CommitConflict(RoadlensError):
+    """Other writers were faster again and again."""
+
+    def __init__(self, base: str):
+        super().__init__(f"too many writers at {base}")
+
+
 class RepeatedIds(RoadlensError):
     """A table said to hold each id once holds some more often."""
 

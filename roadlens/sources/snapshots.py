@@ -4,14 +4,15 @@ Two layouts. *Cumulative*: each day's folder also holds the history before that
 read alone. *Delta*: each folder holds that day's feeds only, and "as of a day" is the folders up
 to it; history is then written once instead of once per day.
 
-A feed's folder is named after the feed, so feeds of one day stand side by side and the same feed
-again replaces itself.
+A feed is a part of its day, named after the feed, so feeds of one day stand side by side and the same feed
+again replaces itself. Which folder holds a part is said by the commit log of the base path: a reader sees
+the parts of one version, and a feed with all histories it is added to appears at once. Folders of days
+that were put there by others are read as they are, and become parts when a feed is added to them.
 """
 
 from __future__ import annotations
 
 import re
-import uuid
 from datetime import date, timedelta
 from functools import reduce
 
@@ -22,9 +23,10 @@ from ..errors import NoSnapshotDate, UnknownTable
 from ..functions.calendar import parse_day
 from ..operators.rows import merge_by_name
 from ..schema import SITUATION_FORMAT
+from .commits import GRACE, CommitLog
 from .storage import Folder
 
-FEED, HISTORY = "feed-", "history"
+FEED, HISTORY, WHOLE = "feed-", "history", "whole"
 
 _DAY = re.compile(r"\d{4}-\d{2}-\d{2}")
 
@@ -45,10 +47,30 @@ def snapshot_date(
     return latest
 
 
+def _known(spark: SparkSession, base: str) -> dict[str, str]:
+    """Folders by the names of their parts, ``day/part``: those of the log, and days it does not know."""
+    _, parts = CommitLog(spark, base).current()
+    return parts | _foreign(spark, base, parts)
+
+
+def _foreign(spark: SparkSession, base: str, parts: dict[str, str]) -> dict[str, str]:
+    """Parts of days that lie there as folders and that ``parts`` has nothing of."""
+    out, days = {}, {name[:10] for name in parts}
+    for day in Folder(spark, base).names():
+        if _DAY.fullmatch(day) and day not in days:
+            path = f"{base.rstrip('/')}/{day}"
+            names = [n for n in Folder(spark, path).names() if n == HISTORY or n.startswith(FEED)]
+            out |= {f"{day}/{n}": f"{path}/{n}" for n in names} or {f"{day}/{WHOLE}": path}
+    return out
+
+
 def snapshot_days(spark: SparkSession, base: str) -> list[date]:
-    """Days that have a folder, oldest first."""
-    names = Folder(spark, base).names()
-    return sorted(date.fromisoformat(n) for n in names if _DAY.fullmatch(n))
+    """Days that have a snapshot, oldest first."""
+    return _days(_known(spark, base))
+
+
+def _days(parts: dict[str, str]) -> list[date]:
+    return sorted({date.fromisoformat(name[:10]) for name in parts})
 
 
 def snapshot_path(base: str, day: date) -> str:
@@ -56,19 +78,21 @@ def snapshot_path(base: str, day: date) -> str:
 
 
 def read_snapshot(spark: SparkSession, base: str, day: date | None = None) -> DataFrame:
-    """The folder of ``day``, or the newest one."""
-    days = snapshot_days(spark, base)
+    """The snapshot of ``day``, or the newest one."""
+    parts = _known(spark, base)
+    days = _days(parts)
     if not days or (day is not None and day not in days):
         raise UnknownTable(snapshot_path(base, day) if day else base)
-    parts = _parts(spark, base, day or days[-1])
-    return reduce(merge_by_name, [spark.read.parquet(part) for part in parts])
+    return _read_day(spark, parts, day or days[-1])
+
+
+def _read_day(spark: SparkSession, parts: dict[str, str], day: date) -> DataFrame:
+    return reduce(merge_by_name, [spark.read.parquet(path) for path in _paths(parts, day)])
 
 
-def _parts(spark: SparkSession, base: str, day: date) -> list[str]:
-    """The folders that make up a day: its history and feeds, or the day's folder itself."""
-    path = snapshot_path(base, day)
-    names = Folder(spark, path).names()
-    return [f"{path}/{n}" for n in names if n == HISTORY or n.startswith(FEED)] or [path]
+def _paths(parts: dict[str, str], day: date) -> list[str]:
+    """The folders that make up a day: its history and feeds."""
+    return [parts[name] for name in sorted(parts) if name[:10] == day.isoformat()]
 
 
 def read_as_of(
@@ -78,17 +102,18 @@ def read_as_of(
     schema: str | None = None,
     since: date | None = None,
 ) -> DataFrame:
-    """Delta layout: all folders up to ``day``, or from ``since`` to it (both included); a column
-    a folder lacks is NULL there.
+    """Delta layout: all days up to ``day``, or from ``since`` to it (both included), as one version
+    of the log has them; a column a folder lacks is NULL there.
 
     Hand in the ``schema`` where it is known, as for records: without it the footers of all
     files are read to find the columns of all folders.
     """
-    days = [d for d in snapshot_days(spark, base) if (day is None or d <= day) and (since is None or d >= since)]
+    parts = _known(spark, base)
+    days = [d for d in _days(parts) if (day is None or d <= day) and (since is None or d >= since)]
     if not days:
         raise UnknownTable(base)
     reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
-    return reader.parquet(*[part for d in days for part in _parts(spark, base, d)])
+    return reader.parquet(*[path for d in days for path in _paths(parts, d)])
 
 
 def previous_snapshot(
@@ -100,26 +125,30 @@ def previous_snapshot(
     ``previous_day``: only the day just before. A folder that exists and cannot be read is an
     error in both, never an empty history.
     """
+    return _previous(spark, _known(spark, base), day, lookback)
+
+
+def _previous(spark: SparkSession, parts: dict[str, str], day: date, lookback: str) -> DataFrame | None:
     if lookback == "latest_before":
-        earlier = [d for d in snapshot_days(spark, base) if d < day]
+        earlier = [d for d in _days(parts) if d < day]
     elif lookback == "previous_day":
-        earlier = [d for d in snapshot_days(spark, base) if d == day - timedelta(days=1)]
+        earlier = [d for d in _days(parts) if d == day - timedelta(days=1)]
     else:
         raise ValueError(f"lookback must be latest_before or previous_day, not {lookback}")
-    return read_snapshot(spark, base, earlier[-1]) if earlier else None
+    return _read_day(spark, parts, earlier[-1]) if earlier else None
 
 
-def _stage(df: DataFrame, base: str) -> str:
-    staged = f"{base.rstrip('/')}/_staged-{uuid.uuid4().hex}"
-    df.write.option("compression", "snappy").parquet(staged)
-    return staged
+def write_snapshot(df: DataFrame, base: str, day: date) -> str:
+    """Make ``df`` the whole snapshot of ``day``; readers see the old one until the new one is complete."""
+    log = CommitLog(df.sparkSession, base)
+    staged = log.stage(df)
 
+    def replace(parts: dict[str, str]) -> dict[str, str]:
+        others = {name: path for name, path in parts.items() if name[:10] != day.isoformat()}
+        return others | {f"{day.isoformat()}/{WHOLE}": staged}
 
-def write_snapshot(df: DataFrame, base: str, day: date) -> str:
-    """Write the folder of ``day``, replacing it only once the new one is complete."""
-    path = snapshot_path(base, day)
-    Folder(df.sparkSession, path).replace_with(_stage(df, base))
-    return path
+    log.commit(replace)
+    return snapshot_path(base, day)
 
 
 def feed_id(df: DataFrame) -> str:
@@ -132,15 +161,13 @@ def feed_id(df: DataFrame) -> str:
     return f"{n:x}-{(high or 0) & (1 << 63) - 1:x}-{(low or 0) & (1 << 63) - 1:x}"
 
 
-def _file_feed(new: DataFrame, base: str, day: date | None, feed: str | None, col: str, fmt: str) -> date:
-    """Stage a feed and move it to its own folder under its day."""
-    spark = new.sparkSession
-    staged = _stage(new, base)
-    written = spark.read.schema(new.schema).parquet(staged)
+def _staged_feed(log: CommitLog, new: DataFrame, day: date | None, feed: str | None, col: str, fmt: str):
+    """The day of a feed, the name of its part and the folder it was written to."""
+    staged = log.stage(new)
+    written = log.spark.read.schema(new.schema).parquet(staged)
     day = day or snapshot_date(written, col, fmt)
     name = re.sub(r"[^0-9A-Za-z._-]", "_", feed) if feed else feed_id(written)
-    Folder(spark, f"{snapshot_path(base, day)}/{FEED}{name}").replace_with(staged)
-    return day
+    return day, f"{day.isoformat()}/{FEED}{name}", staged
 
 
 def append_snapshot(
@@ -155,19 +182,25 @@ def append_snapshot(
     """Cumulative layout: history so far plus ``new``, filed under ``day`` or, without it, the
     latest day in ``new`` (found by reading that column of the staged feed).
 
-    History is what lies before that day, so running a day again gives the same folder. A feed
-    that comes late is also added to the history of every later day. ``feed`` names the feed;
+    History is what lies before that day, so running a day again gives the same snapshot. A feed
+    that comes late is also added to the history of every later day, in the same version. ``feed`` names the feed;
     without it its rows do, so a second feed of a day never replaces the first.
     """
-    spark = new.sparkSession
-    day = _file_feed(new, base, day, feed, col, fmt)
-    for later in [d for d in snapshot_days(spark, base) if d >= day]:
-        kept = Folder(spark, f"{snapshot_path(base, later)}/{HISTORY}")
-        history = previous_snapshot(spark, base, later, lookback)
-        if history is not None:
-            kept.replace_with(_stage(history, base))
-        elif kept.exists():
-            kept.remove()
+    spark, log = new.sparkSession, CommitLog(new.sparkSession, base)
+    day, name, staged = _staged_feed(log, new, day, feed, col, fmt)
+
+    def file(parts: dict[str, str]) -> dict[str, str]:
+        parts |= _foreign(spark, base, parts)
+        parts[name] = staged
+        for later in [d for d in _days(parts) if d >= day]:
+            history = _previous(spark, parts, later, lookback)
+            kept = f"{later.isoformat()}/{HISTORY}"
+            parts.pop(kept, None)
+            if history is not None:
+                parts[kept] = log.stage(history)
+        return parts
+
+    log.commit(file)
     return snapshot_path(base, day)
 
 
@@ -182,4 +215,12 @@ def append_delta(
 
     Day and name are looked up in the staged folder, so that the feed itself is read once.
     """
-    return snapshot_path(base, _file_feed(new, base, None, feed, col, fmt))
+    log = CommitLog(new.sparkSession, base)
+    day, name, staged = _staged_feed(log, new, None, feed, col, fmt)
+    log.commit(lambda parts: parts | _foreign(log.spark, base, parts) | {name: staged})
+    return snapshot_path(base, day)
+
+
+def sweep(spark: SparkSession, base: str, keep: int = 10, grace: float = GRACE) -> int:
+    """Remove old versions and what only they name: see :meth:`~roadlens.sources.commits.CommitLog.sweep`."""
+    return CommitLog(spark, base).sweep(keep, grace)

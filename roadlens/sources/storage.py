@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 from ..errors import NoSharedFolder
@@ -42,19 +43,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-_RETIRED = "_retired-"
-
-
 class Folder:
     """A path on whatever file system the cluster uses."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self._spark = spark
-        jvm = spark._jvm
-        self._path_class = jvm.org.apache.hadoop.fs.Path
+        self._jvm = spark._jvm
+        self._gateway = spark.sparkContext._gateway
+        self._conf = spark._jsc.hadoopConfiguration()
+        self._path_class = self._jvm.org.apache.hadoop.fs.Path
         self.path = path
         self._at = self._path_class(path)
-        self._fs = self._at.getFileSystem(spark._jsc.hadoopConfiguration())
+        self._fs = self._at.getFileSystem(self._conf)
 
     def exists(self) -> bool:
         return self._fs.exists(self._at)
@@ -63,37 +62,49 @@ class Folder:
         return self.exists() and self._fs.getFileStatus(self._at).isFile()
 
     def names(self) -> list[str]:
-        """Entries of the folder; none if it does not exist. Other failures are raised.
-
-        An entry that a broken-off :meth:`replace_with` had set aside is put back first.
-        """
+        """Entries of the folder; none if it does not exist. Other failures are raised."""
         if not self.exists():
             return []
-        found = {status.getPath().getName() for status in self._fs.listStatus(self._at)}
-        for name in [n for n in found if n.startswith(_RETIRED)]:
-            kept = name.removeprefix(_RETIRED)
-            if kept not in found:
-                self._move(self._path_class(self._at, name), self._path_class(self._at, kept))
-                found.add(kept)
-            else:
-                self._fs.delete(self._path_class(self._at, name), True)
-            found.remove(name)
-        return sorted(found)
-
-    def replace_with(self, staged: str) -> None:
-        """Put the finished folder ``staged`` in this place; the old one goes only after that."""
-        parent = self._at.getParent()
-        self._fs.mkdirs(parent)
-        Folder(self._spark, str(parent)).names()
-        retired = self._path_class(parent, _RETIRED + self._at.getName())
-        if self.exists():
-            self._move(self._at, retired)
-        self._move(self._path_class(staged), self._at)
-        self._fs.delete(retired, True)
+        return sorted(status.getPath().getName() for status in self._fs.listStatus(self._at))
+
+    def modified(self) -> float:
+        """When the path was changed last, in seconds."""
+        return self._fs.getFileStatus(self._at).getModificationTime() / 1000
 
     def remove(self) -> None:
         self._fs.delete(self._at, True)
 
-    def _move(self, source, target) -> None:
-        if not self._fs.rename(source, target):
-            raise OSError(f"cannot move {source} to {target}")
+    def text(self) -> str:
+        """A small file as text."""
+        stream = self._fs.open(self._at)
+        try:
+            return bytes(self._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+        finally:
+            stream.close()
+
+    def write_text(self, text: str) -> None:
+        """A new small file."""
+        self._fs.mkdirs(self._at.getParent())
+        stream = self._fs.create(self._at, False)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+
+    def move_if_absent(self, target: str) -> bool:
+        """Move this file to ``target`` in one step; False, and the file is gone, if something is there."""
+        files = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._at.toUri(), self._conf)
+        plain = self._gateway.new_array(getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        try:
+            files.rename(self._at, self._path_class(target), plain)
+        except Py4JJavaError as failed:
+            if not Folder.exists(self._other(target)):
+                raise
+            self.remove()
+            if "FileAlreadyExists" not in failed.java_exception.getClass().getName():
+                raise
+            return False
+        return True
+
+    def _other(self, path: str) -> Folder:
+        other = object.__new__(Folder)
+        other.__dict__ = self.__dict__ | {"path": path, "_at": self._path_class(path)}
+        return other

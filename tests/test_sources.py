@@ -6,8 +6,9 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from roadlens.errors import NoSharedFolder, NoSnapshotDate, UnknownTable
+from roadlens.errors import CommitConflict, NoSharedFolder, NoSnapshotDate, UnknownTable
 from roadlens.sources import served, silver, snapshots
+from roadlens.sources.commits import CommitLog
 from roadlens.sources.delimited import read_raw_csv
 from roadlens.sources.storage import Folder, materialize, scratch_path, shared_folder
 from roadlens.schema import PARTITION_COLUMNS
@@ -93,12 +94,86 @@ def test_feeds_of_one_day_and_late_feeds_are_all_kept(spark, folder, append):
     assert ids(read(spark, base, date(2025, 1, 3))) == ["a", "b", "c", "late", "named again"]
 
 
-def test_a_swap_that_broke_off_is_put_back(spark, folder):
+def test_a_reader_at_any_step_sees_one_whole_version(spark, folder, monkeypatch):
+    """A feed of three rows replaced by five while someone reads before and after each step."""
     base = folder + "/bronze"
-    path = snapshots.write_snapshot(feed(spark, ("a", "01-01-2025")), base, date(2025, 1, 1))
-    at = Folder(spark, path)
-    at._move(at._at, at._path_class(base + "/_retired-2025-01-01"))
-    assert ids(snapshots.read_snapshot(spark, base)) == ["a"]
+    snapshots.append_delta(feed(spark, *[(f"old{i}", "01-01-2025") for i in range(3)]), base, feed="f1")
+    seen = []
+
+    def watched(name):
+        step = getattr(CommitLog, name)
+
+        def run(*args):
+            seen.append(ids(snapshots.read_as_of(spark, base)))
+            out = step(*args)
+            seen.append(ids(snapshots.read_as_of(spark, base)))
+            return out
+
+        monkeypatch.setattr(CommitLog, name, run)
+
+    for name in ("stage", "put"):
+        watched(name)
+    held = snapshots.read_as_of(spark, base)
+    snapshots.append_delta(feed(spark, *[(f"new{i}", "01-01-2025") for i in range(5)]), base, feed="f1")
+    old, new = [f"old{i}" for i in range(3)], [f"new{i}" for i in range(5)]
+    assert seen == [old, old, old, new]
+    assert ids(held) == old  # the folders of a version stay
+    assert snapshots.sweep(spark, base, keep=1, grace=0) == 1
+    assert ids(snapshots.read_as_of(spark, base)) == new
+
+
+@pytest.mark.parametrize("step", ["stage", "put"])
+def test_a_writer_that_breaks_off_loses_nothing(spark, folder, monkeypatch, step):
+    base = folder + "/bronze"
+    for append, day in ((snapshots.append_snapshot, 1), (snapshots.append_snapshot, 3)):
+        append(feed(spark, (f"d{day}", f"0{day}-01-2025")), base)
+    plain, calls = getattr(CommitLog, step), []
+
+    def broken(self, *args):
+        calls.append(1)
+        if len(calls) == (1 if step == "put" else 2):
+            raise OSError("gone")
+        return plain(self, *args)
+
+    monkeypatch.setattr(CommitLog, step, broken)
+    with pytest.raises(OSError, match="gone"):
+        snapshots.append_snapshot(feed(spark, ("late", "02-01-2025")), base)
+    monkeypatch.setattr(CommitLog, step, plain)
+    assert ids(snapshots.read_snapshot(spark, base)) == ["d1", "d3"]
+    snapshots.append_snapshot(feed(spark, ("late", "02-01-2025")), base)
+    assert ids(snapshots.read_snapshot(spark, base)) == ["d1", "d3", "late"]
+    assert ids(snapshots.read_snapshot(spark, base, date(2025, 1, 2))) == ["d1", "late"]
+    assert snapshots.sweep(spark, base) == 0  # young folders stay
+
+
+def test_writers_side_by_side_lose_no_feed(spark, folder, monkeypatch):
+    base, plain, others = folder + "/bronze", CommitLog.put, []
+
+    def overtaken(self, number, parts):
+        if not others:
+            others.append(1)
+            snapshots.append_delta(feed(spark, ("other", "01-01-2025")), base)
+        return plain(self, number, parts)
+
+    monkeypatch.setattr(CommitLog, "put", overtaken)
+    snapshots.append_delta(feed(spark, ("own", "01-01-2025")), base)
+    assert ids(snapshots.read_as_of(spark, base)) == ["other", "own"]
+    assert CommitLog(spark, base).numbers() == [1, 2]
+    assert not CommitLog(spark, base).put(2, {})
+    monkeypatch.setattr(CommitLog, "put", lambda *_: False)
+    with pytest.raises(CommitConflict):
+        snapshots.append_delta(feed(spark, ("never", "01-01-2025")), base)
+
+
+def test_folders_of_days_put_there_by_others_are_read(spark, folder):
+    base = folder + "/bronze"
+    feed(spark, ("a", "01-01-2025")).write.parquet(base + "/2025-01-01")
+    feed(spark, ("b", "02-01-2025")).write.parquet(base + "/2025-01-02/feed-x")
+    assert ids(snapshots.read_as_of(spark, base)) == ["a", "b"]
+    snapshots.append_delta(feed(spark, ("c", "01-01-2025")), base)
+    assert ids(snapshots.read_as_of(spark, base)) == ["a", "b", "c"]
+    snapshots.append_delta(feed(spark, ("d", "02-01-2025")), base, feed="x")
+    assert ids(snapshots.read_as_of(spark, base)) == ["a", "c", "d"]
 
 
 def test_latest_day_is_not_the_largest_text(spark):
@@ -135,7 +210,7 @@ def test_a_snapshot_contains_the_one_before(spark, folder):
 
 def test_an_unreadable_history_is_not_an_empty_one(spark, folder):
     base = folder + "/bronze"
-    Folder(spark, base + "/2025-01-01").replace_with(_folder_with_junk(folder))
+    _folder_with_junk(base + "/2025-01-01")
     with pytest.raises(Exception, match="CANNOT_READ_FILE|not a Parquet file"):
         snapshots.append_snapshot(feed(spark, ("b", "02-01-2025")), base)
 
@@ -143,9 +218,8 @@ def test_an_unreadable_history_is_not_an_empty_one(spark, folder):
 def _folder_with_junk(folder):
     import os
 
-    os.makedirs(folder + "/junk")
-    write(folder, "junk/part-0.parquet", "not parquet")
-    return folder + "/junk"
+    os.makedirs(folder)
+    write(folder, "part-0.parquet", "not parquet")
 
 
 def test_new_columns_and_orders_are_matched_by_name(spark, folder):
