@@ -9,18 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from ..errors import UnknownTable
 from ..operators import paging
 from ..operators.rows import search_table as search_rows
 from ..schema import to_source_names
+from .tables import NEXT, replace_table, table_name
 
 
 def write_mart(df: DataFrame, name: str, path: str | None = None) -> None:
-    """Replace the served table ``name``. Row order is not kept: sort when reading."""
-    writer = df.write.mode("overwrite").format("parquet")
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
+    """Replace the served table ``name`` once ``df`` is written. Row order is not kept: sort when reading."""
+    replace_table(df, name, path)
 
 
 def write_mart_jdbc(
@@ -71,9 +68,7 @@ def list_jdbc_tables(
 
 
 def open_table(spark: SparkSession, name: str) -> DataFrame:
-    if not spark.catalog.tableExists(name):
-        raise UnknownTable(name)
-    return spark.table(name)
+    return spark.table(table_name(spark, name))
 
 
 read_mart = open_table
@@ -87,7 +82,7 @@ def register_views(accidents: DataFrame, weather: DataFrame, prefix: str = "") -
 
 
 def list_tables(spark: SparkSession, pattern: str = "*") -> list[str]:
-    return sorted(t.name for t in spark.catalog.listTables(pattern=pattern))
+    return sorted(t.name for t in spark.catalog.listTables(pattern=pattern) if not t.name.endswith(NEXT))
 
 
 def table_overview(spark: SparkSession, names: Sequence[str]) -> DataFrame:

@@ -9,11 +9,11 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..errors import UnknownTable
 from ..functions.calendar import with_calendar
 from ..operators.rows import latest_per_key, split_vertical
 from ..schema import PARTITION_COLUMNS, SILVER_GROUPS, to_silver
 from .storage import materialize
+from .tables import replace_table, table_name
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -48,7 +48,7 @@ def write_silver(
     The rebalance hint brings each day's rows together, so a day is a few files rather than one
     per task, and at run time splits a day that is too large for one task.
 
-    ``overwrite`` replaces the table. ``overwrite_days`` replaces only the days found in ``df``
+    ``overwrite`` replaces the table once all is written. ``overwrite_days`` replaces only the days found in ``df``
     and leaves the other partitions alone, which is what a daily run needs.
     """
     spark = df.sparkSession
@@ -69,10 +69,7 @@ def write_silver(
         return
     if mode not in ("overwrite", "overwrite_days"):
         raise ValueError(f"mode must be overwrite or overwrite_days, not {mode}")
-    writer = rebalanced.write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).format("parquet")
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
+    replace_table(rebalanced, table, path, PARTITION_COLUMNS)
 
 
 def replace_days(df: DataFrame, table: str, days: Sequence[date]) -> None:
@@ -97,9 +94,7 @@ def read_silver(
 
     The bounds speak of partition columns only, so other days are never opened.
     """
-    if not spark.catalog.tableExists(table):
-        raise UnknownTable(table)
-    df = spark.table(table)
+    df = spark.table(table_name(spark, table))
     day = F.make_date("year", "month", "day")
     if since is not None:
         df = df.where((F.col("year") >= since.year) & (day >= F.lit(since)))

@@ -11,6 +11,7 @@ from roadlens.errors import RepeatedIds
 from roadlens.operators.quality import require_unique
 from roadlens.plans import features, marts
 from roadlens.schema import bronze_schema
+from roadlens.sources.tables import table_folder
 from roadlens.sources import served, silver, snapshots
 from roadlens.sources.star_schema import bronze_records, silver_halves
 
@@ -138,7 +139,7 @@ def test_refreshed_silver_equals_a_full_build(spark, folder):
     for name in ("accidents", "weather", "records", "rejects"):
         daily, full = (sorted(map(str, spark.table(kind + name).collect())) for kind in ("daily_", "full_"))
         assert daily == full
-        assert sorted(map(str, spark.read.schema(spark.table("daily_" + name).schema).parquet(f"{folder}/daily/daily_{name}").collect())) == full
+        assert sorted(map(str, spark.read.schema(spark.table("daily_" + name).schema).parquet(table_folder(spark, "daily_" + name)).collect())) == full
     assert not glob.glob(folder + "/daily/daily_accidents/year=2025/month=1/day=2/*.parquet")
     for name in ("accidents", "weather", "records", "rejects"):
         spark.sql(f"drop table daily_{name}")

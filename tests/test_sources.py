@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from roadlens.errors import CommitConflict, NoSharedFolder, NoSnapshotDate, UnknownTable
-from roadlens.sources import served, silver, snapshots
+from roadlens.sources import served, silver, snapshots, tables
 from roadlens.sources.commits import CommitLog
 from roadlens.sources.delimited import read_raw_csv
 from roadlens.sources.storage import Folder, materialize, scratch_path, shared_folder
@@ -338,6 +338,51 @@ def test_a_day_is_written_in_few_files(spark, folder):
 # ---------------------------------------------------------------- served
 
 
+def failing(df):
+    """``df`` in a frame that fails in a task."""
+    return df.withColumn("k", F.when(F.col("k") >= 0, F.raise_error(F.lit("broken"))).otherwise(F.col("k")).cast("int"))
+
+
+@pytest.mark.parametrize("placed", [True, False])
+def test_a_write_that_fails_leaves_the_table(spark, folder, placed):
+    name = f"kept_{placed}".lower()
+    path = f"{folder}/kept" if placed else None
+    df = spark.createDataFrame([(i, 2025, 1, 1 + i % 2) for i in range(10)], "k int, year int, month int, day int")
+    for write in (served.write_mart, silver.write_silver):
+        write(df, name, path)
+        with pytest.raises(PySparkException, match="broken"):
+            write(failing(df), name, path)
+        assert served.read_mart(spark, name).count() == 10
+        write(df.where("k < 3"), name, path)
+        assert sorted(r.k for r in served.read_mart(spark, name).collect()) == [0, 1, 2]
+    assert silver.read_silver(spark, name, since=date(2025, 1, 2)).count() == 1
+
+
+def test_a_switch_that_broke_off_is_read_and_finished(spark, folder, monkeypatch):
+    df = spark.createDataFrame([(1,), (2,)], "k int")
+    served.write_mart(df, "switched", folder + "/s")
+    held = served.read_mart(spark, "switched")
+    plain = tables._switch
+
+    def broken(spark, name):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        raise OSError("gone")
+
+    monkeypatch.setattr(tables, "_switch", broken)
+    with pytest.raises(OSError, match="gone"):
+        served.write_mart(df.where("k = 2"), "switched", folder + "/s")
+    monkeypatch.setattr(tables, "_switch", plain)
+    assert [r.k for r in served.read_mart(spark, "switched").collect()] == [2]
+    assert not [n for n in served.list_tables(spark) if n.startswith("switched__")]
+    with pytest.raises(PySparkException, match="broken"):
+        served.write_mart(failing(df), "switched", folder + "/s")
+    assert [r.k for r in served.read_mart(spark, "switched").collect()] == [2]
+    assert sorted(r.k for r in held.collect()) == [1, 2]  # the folder stays for who reads it
+    tables.replace_table(df, "switched", folder + "/s", grace=0)
+    tables.replace_table(df, "switched", folder + "/s", grace=0)
+    assert len([n for n in Folder(spark, folder).names() if n.startswith("s-")]) == 2
+
+
 def test_served_table_page_describe_list(spark, folder):
     df = spark.createDataFrame([(i, f"n{i}") for i in range(7)], "k int, v string")
     served.write_mart(df, "served_small", folder + "/s")
