@@ -168,6 +168,21 @@ def weather_severity_corr(spark, folder):
     return _rounded(marts.weather_severity_corr(*silver_halves(spark, folder)))
 
 
+@registered
+def condition_association(spark, folder):
+    return _rounded(marts.condition_association(*silver_halves(spark, folder)))
+
+
+@registered
+def condition_severity_table(spark, folder):
+    return _rounded(marts.condition_severity_table(*silver_halves(spark, folder)))
+
+
+@registered
+def weather_rank_corr(spark, folder):
+    return _rounded(marts.weather_rank_corr(*silver_halves(spark, folder)))
+
+
 def _served_copy(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     served.write_mart(df, name, path=scratch_path(spark, name))
     return served.read_mart(spark, name)
@@ -283,6 +298,22 @@ def feeds_late(spark, folder):
     return _order_columns(snapshots.read_snapshot(spark, base))
 
 
+@registered
+def silver_versions(spark, folder):
+    """A feed that replaces itself with more records: silver of the version before and of the one after."""
+    base = scratch_path(spark, "bronze")
+    records = bronze_records(spark, folder)
+    for feed in (records.where("Severity IS NOT NULL"), records):
+        snapshots.append_delta(feed, base, feed="daily")
+    versions = [
+        to_silver(snapshots.read_as_of(spark, base, schema=bronze_schema(), version=n)).select(
+            F.lit(n).alias("version"), "id", "situation_date", "severity"
+        )
+        for n in (1, 2)
+    ]
+    return versions[0].unionByName(versions[1])
+
+
 @registered
 def snapshot_delta(spark, folder):
     """As of the second feed's day, from folders that hold one feed each."""

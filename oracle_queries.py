@@ -136,6 +136,21 @@ FROM orders"""
 
 _CORRELATED = ["temperature_f", "humidity_pct", "visibility_mi", "wind_speed_mph", "precipitation_in"]
 
+_CONTINGENCY = """
+cells AS (
+  SELECT column_name, value, severity, count(*) AS n
+  FROM (SELECT a.severity, unnest([{'column_name': 'weather_condition', 'value': w.weather_condition},
+                                   {'column_name': 'wind_direction', 'value': w.wind_direction}], recursive := true)
+        FROM records a JOIN records w USING (id))
+  WHERE value IS NOT NULL AND severity IS NOT NULL GROUP BY ALL
+),
+expected AS (
+  SELECT *, CAST(sum(n) OVER (PARTITION BY column_name, value) AS DOUBLE) * sum(n) OVER (PARTITION BY column_name, severity)
+              / sum(n) OVER (PARTITION BY column_name) AS expected,
+         CAST(sum(n) OVER (PARTITION BY column_name) AS BIGINT) AS total
+  FROM cells
+)"""
+
 _TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 _WIDTHS = {"region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6, "lineitem": 11, "events": 6}
 
@@ -210,6 +225,21 @@ FROM records WHERE start_time IS NOT NULL GROUP BY 1"""),
         f"""
 SELECT '{c}' AS column_name, round(corr(CAST(a.severity AS DOUBLE), w.{c}), 6) AS correlation
 FROM records a JOIN records w USING (id)""" for c in _CORRELATED)),
+    "condition_severity_table": _on_records(f",{_CONTINGENCY} SELECT column_name, value, severity, n, round(expected, 6) AS expected FROM expected"),
+    "condition_association": _on_records(f""",{_CONTINGENCY}
+SELECT column_name, any_value(total) AS rows, count(DISTINCT value) AS x_kinds, count(DISTINCT severity) AS y_kinds,
+       (x_kinds - 1) * (y_kinds - 1) AS degrees, round(sum(CAST(n AS DOUBLE) * n / expected) - any_value(total), 6) AS chi_square,
+       round(sqrt((sum(CAST(n AS DOUBLE) * n / expected) - any_value(total)) / (any_value(total) * (least(x_kinds, y_kinds) - 1))), 6) AS cramers_v
+FROM expected GROUP BY column_name"""),
+    "weather_rank_corr": _on_records("\nUNION ALL".join(
+        f"""
+SELECT '{c}' AS column_name, count(*) AS rows, round(corr(x, y), 6) AS correlation
+FROM (SELECT rank() OVER (ORDER BY w.{c}) + (count(*) OVER (PARTITION BY w.{c}) - 1) / CAST(2 AS DOUBLE) AS x,
+             rank() OVER (ORDER BY a.severity) + (count(*) OVER (PARTITION BY a.severity) - 1) / CAST(2 AS DOUBLE) AS y
+      FROM records a JOIN records w USING (id) WHERE w.{c} IS NOT NULL AND a.severity IS NOT NULL)""" for c in _CORRELATED)),
+    "silver_versions": _on_records(f"""
+SELECT CAST(1 AS INTEGER) AS version, id, {_day('situation_date', 'situation_date')}, severity FROM records WHERE severity IS NOT NULL
+UNION ALL SELECT CAST(2 AS INTEGER), id, {_day('situation_date', 'situation_date')}, severity FROM records"""),
     "mart_copy_accidents": _on_records(f"\nSELECT {_ACCIDENT_SELECT} FROM records"),
     "mart_copy_weather": _on_records(f"\nSELECT {_WEATHER_SELECT} FROM records"),
     "served_marts": _on_records("""

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.bands import TEMPERATURE, VISIBILITY, band
 from ..functions.calendar import season
 from ..operators.aggregate import distinct_count, distinct_count_by, flag_summary, share_of_total
+from ..operators.association import chi_square, contingency, joined_pairs, rank_correlation
 from ..operators.joins import joined_aggregates, joined_correlations
 from ..operators.rows import latest_per_key, not_null, top_k
 from ..schema import ROAD_FLAGS
@@ -151,6 +152,27 @@ def weather_severity_corr(accidents: DataFrame, weather: DataFrame) -> DataFrame
     return joined_correlations(accidents, weather, "id", "severity", CORRELATED)
 
 
+#: Categories of the weather half that are held against severity.
+CONDITIONS = ["weather_condition", "wind_direction"]
+
+
+def condition_association(accidents: DataFrame, weather: DataFrame) -> DataFrame:
+    """Chi-square and Cramér's V of severity with each weather category over the join on ``id``."""
+    return chi_square(contingency(joined_pairs(accidents, weather, "id", "severity", CONDITIONS)))
+
+
+def condition_severity_table(accidents: DataFrame, weather: DataFrame) -> DataFrame:
+    """Records of each weather category and severity beside the number that independence would give."""
+    table = contingency(joined_pairs(accidents, weather, "id", "severity", CONDITIONS))
+    return table.select("column_name", F.col("x").alias("value"), F.col("y").alias("severity"), "n", "expected")
+
+
+def weather_rank_corr(accidents: DataFrame, weather: DataFrame) -> DataFrame:
+    """Rank correlation of severity with each weather reading over the join on ``id``."""
+    readings = weather.select("id", *[F.col(c).cast("double").alias(c) for c in CORRELATED])
+    return rank_correlation(joined_pairs(accidents, readings, "id", "severity", CORRELATED))
+
+
 def marts_one_pass(accidents: DataFrame) -> DataFrame:
     """Daily, severity, location and time-pattern counts from a single scan.
 

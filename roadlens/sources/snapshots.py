@@ -101,14 +101,15 @@ def read_as_of(
     day: date | None = None,
     schema: str | None = None,
     since: date | None = None,
+    version: int | None = None,
 ) -> DataFrame:
     """Delta layout: all days up to ``day``, or from ``since`` to it (both included), as one version
     of the log has them; a column a folder lacks is NULL there.
 
     Hand in the ``schema`` where it is known, as for records: without it the footers of all
-    files are read to find the columns of all folders.
+    files are read to find the columns of all folders. ``version`` reads an earlier version, as long as it is kept.
     """
-    parts = _known(spark, base)
+    parts = _known(spark, base) if version is None else CommitLog(spark, base).at(version)
     days = [d for d in _days(parts) if (day is None or d <= day) and (since is None or d >= since)]
     if not days:
         raise UnknownTable(base)
