@@ -252,7 +252,7 @@ def line_components(
 
     Equal lines are one node. Candidates agree in one of the bands of a one-permutation MinHash
     signature; unlikely ones are given up early and the rest is confirmed on the full sets. The
-    eleven bands of five miss 1.3 % of the pairs right at the threshold and 4e-5 of those at 0.9;
+    eleven bands of five miss 1.3 % of the pairs right at the threshold and 5e-5 of those at 0.9;
     a component needs only some of its links (see ``links`` for the bounds of tasks).
 
     Null and empty texts have no line. Of rows that repeat an id with other texts one has the kept line;
