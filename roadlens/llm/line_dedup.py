@@ -24,8 +24,10 @@ SIMILARITY = Similarity(percent=80, hashes=55, bands=11, looks=(20, 40, 55), mis
 SHINGLE = 5
 NEWLINE = 10
 WORD = re.compile("[^\x20\x09-\x0D]")
-#: The value of a shingle in its part depends on the bits that do not choose the part as well.
-SPREAD = np.uint64(0xC2B2AE3D27D4EB4F)
+#: Shingles sorted at once, about: few enough to stay near the processor.
+RUN = 1 << 13
+_WHITE = ~SPACED.inside
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 
 
 def lines_of(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -45,9 +47,17 @@ def lines_of(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     return owner[some], number[some], starts[some], ends[some]
 
 
-def normalised(line: bytes) -> bytes:
-    """A-Z lower-cased (UTF-8 bytes beyond ASCII stay), runs of white space one space, none at the ends."""
-    return b" ".join(line.lower().split())
+def normalised(block: Block, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """Lines with A-Z lower-cased (UTF-8 bytes beyond ASCII stay), runs of white space one space, none at the ends."""
+    white = _WHITE[block.data]
+    data = np.where(white, np.uint8(32), _LOWER[block.data])
+    extra = np.flatnonzero(white[1:] & white[:-1]) + 1
+    if len(extra):
+        data = np.delete(data, extra)
+        starts, ends = (at - np.searchsorted(extra, at) for at in (starts, ends))
+    held = data.tobytes()
+    # a line may still begin or end with one space
+    return [held[a:b].strip(b" ") for a, b in zip(starts.tolist(), ends.tolist())]
 
 
 def line_key(line: bytes) -> bytes:
@@ -92,29 +102,40 @@ def shingle_hashes(lines: list[bytes], size: int) -> tuple[np.ndarray, np.ndarra
     return mix(out), first
 
 
-def set_sizes(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """How many different hashes each line has; the lines are not empty."""
-    sizes = np.diff(first)
-    # one sort: the line's number above what bits of the hash there is room for
-    bits = np.uint64(max(len(sizes).bit_length(), 1))
-    keys = np.repeat(np.arange(len(sizes), dtype=np.uint64) << (np.uint64(64) - bits), sizes) | hashes >> bits
-    keys.sort()
-    twice = keys[1:][keys[1:] == keys[:-1]]
-    return sizes - np.bincount((twice >> (np.uint64(64) - bits)).astype(np.int64), minlength=len(sizes))
-
-
-def one_permutation(hashes: np.ndarray, first: np.ndarray, bins: int) -> np.ndarray:
-    """One-permutation MinHash: a byte of the least value in each of ``bins`` parts of the hash range.
+def sizes_and_signatures(hashes: np.ndarray, first: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many different hashes each line has, and its one-permutation MinHash signature; no line is empty.
 
+    The signature has a byte of the least hash in each of ``bins`` parts of the hash range.
     An empty part takes the value of another one of the same line, chosen by a fixed sequence of
     parts (optimal densification), so equal sets have equal signatures.
     """
     lines = len(first) - 1
-    empty = np.uint64((1 << 64) - 1)
-    least = np.full(lines * bins, empty, np.uint64)
-    part = ((hashes >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
-    np.minimum.at(least, np.repeat(np.arange(lines) * bins, np.diff(first)) + part, hashes * SPREAD)
-    out = least.reshape(lines, bins)
+    # the line's number above what bits of the hash there is room for, in order
+    bits = np.uint64(max(lines.bit_length(), 1))
+    keys = np.repeat(np.arange(lines, dtype=np.uint64) << (np.uint64(64) - bits), np.diff(first)) | hashes >> bits
+    cuts = np.unique(first[np.searchsorted(first, np.arange(0, len(keys) + RUN, RUN)).clip(max=lines)]).tolist()
+    for low, high in zip(cuts[:-1], cuts[1:]):
+        keys[low:high].sort()
+    twice = keys[1:][keys[1:] == keys[:-1]]
+    sizes = np.diff(first) - np.bincount((twice >> (np.uint64(64) - bits)).astype(np.int64), minlength=lines)
+
+    # the part follows from the upper half of the hash, so a part's hashes stand together
+    upper = keys << bits >> np.uint64(32)
+    part = upper * np.uint64(bins) >> np.uint64(32)
+    begins = np.ones(len(keys), bool)
+    begins[1:] = part[1:] != part[:-1]
+    begins[first[:-1]] = True
+    least = np.flatnonzero(begins)
+    line = (keys[least] >> (np.uint64(64) - bits)).astype(np.int64)
+    empty = np.uint16(256)
+    out = np.full((lines, bins), empty, np.uint16)
+    # the byte is the lowest one of the upper half: the part and being the least one decide those above it
+    out[line, part[least].astype(np.int64)] = upper[least] & np.uint64(255)
+    return sizes, _filled(out, empty).astype(np.uint8)
+
+
+def _filled(out: np.ndarray, empty) -> np.ndarray:
+    bins = out.shape[1]
     missing = out == empty
     parts = np.arange(bins, dtype=np.uint64)
     open_lines = np.flatnonzero(missing.any(1))
@@ -131,7 +152,7 @@ def one_permutation(hashes: np.ndarray, first: np.ndarray, bins: int) -> np.ndar
         open_lines, least, rest = open_lines[still], least[still], rest[still]
     # what is left after that many steps takes the line's least value
     out[open_lines] = np.where(rest, least.min(1, keepdims=True), out[open_lines])
-    return (out >> np.uint64(16)).astype(np.uint8)
+    return out
 
 
 def _described(shingle: int, bins: int):
@@ -141,16 +162,15 @@ def _described(shingle: int, bins: int):
         for batch in batches:
             for block in blocks(batch.column(1)):
                 owner, number, starts, ends = lines_of(block)
-                held = block.data.tobytes()
-                lines = [normalised(held[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
+                lines = normalised(block, starts, ends)
                 places: dict[bytes, int] = {}
                 for place, line in enumerate(lines):
                     places.setdefault(line, place)
                 hashes, first = shingle_hashes(list(places), shingle)
                 signature: list = [None] * len(lines)
                 size: list = [None] * len(lines)
-                rows = zip(places.values(), set_sizes(hashes, first).tolist(), one_permutation(hashes, first, bins))
-                for at, n, values in rows:
+                sizes, signatures = sizes_and_signatures(hashes, first, bins)
+                for at, n, values in zip(places.values(), sizes.tolist(), signatures):
                     signature[at], size[at] = values.tobytes(), n
                 begins = np.ones(len(owner), bool)
                 begins[1:] = owner[1:] != owner[:-1]
@@ -180,8 +200,7 @@ def _chosen(wanted):
                 continue
             for block in blocks(batch.column(1).take(pa.array(rows))):
                 _, _, starts, ends = lines_of(block)
-                held = block.data.tobytes()
-                lines = list({normalised(held[a:b]) for a, b in zip(starts.tolist(), ends.tolist())})
+                lines = list(set(normalised(block, starts, ends)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([line_key(line) for line in lines], pa.binary()),
@@ -193,10 +212,23 @@ def _chosen(wanted):
     return run
 
 
+def _marked(wanted, inside: bool):
+    """Rows whose hash, the last column, may be wanted, or those for which it is not; without that column."""
+
+    def run(batches):
+        for batch in batches:
+            may = may_hold(wanted.value, batch.columns[-1].to_numpy(zero_copy_only=False))
+            kept = batch.filter(pa.array(may if inside else ~may))
+            yield pa.RecordBatch.from_arrays(kept.columns[:-1], batch.schema.names[:-1])
+
+    return run
+
+
 def _kept_lines(
     docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: Similarity
-) -> tuple[DataFrame, DataFrame]:
-    """The lines of ``docs`` with their place, the row's key and the place that is kept for them; keys that repeat."""
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Lines that have or may have a like one, with their place, the row's key and the place that is kept for them;
+    the other lines, which are their own; keys of rows that repeat."""
     spark = docs.sparkSession
     source = docs.select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *row_key(id_col, text_col)
@@ -206,7 +238,9 @@ def _kept_lines(
 
     place = F.struct("id", "line", *PARTS)
     nodes = rows.groupBy("key").agg(
-        F.min(place).alias("at"), *[F.first(c, ignorenulls=True).alias(c) for c in ("size", "signature")]
+        F.min(place).alias("at"),
+        F.count(F.lit(1)).alias("copies"),
+        *[F.first(c, ignorenulls=True).alias(c) for c in ("size", "signature")],
     )
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "line-classes")
 
@@ -225,13 +259,20 @@ def _kept_lines(
     linked = nodes.select("node", "at").join(labels, "node")
     firsts = linked.groupBy("label").agg(F.min("at").alias("keeper"))
     # lines without a similar one keep the first of their copies
-    keepers = nodes.select("key", "node", "at").join(
+    keepers = nodes.select("key", "node", "at", "copies").join(
         linked.join(firsts, "label").select("node", "keeper"), "node", "left"
     )
+    keepers = keepers.where("copies > 1 OR keeper IS NOT NULL").select("key", F.coalesce("keeper", "at").alias("keeper"))
     # written, so that the rows of a very common line can be joined with it in several tasks
-    keepers = materialize(keepers.select("key", F.coalesce("keeper", "at").alias("keeper")), "line-keepers")
+    keepers = materialize(keepers, "line-keepers")
     again = rows.where("begins").groupBy(*PARTS).count().where("count > 1").select(*PARTS)
-    return rows.select("id", *PARTS, "line", "key").join(keepers, "key"), again
+    # most lines are like no other and need not be moved
+    likely = spark.sparkContext.broadcast(bit_map(keepers, F.xxhash64("key")))
+    lines = rows.select("id", *PARTS, "line", "key", F.xxhash64("key").alias("hash"))
+    schema = "id long, ka long, kb long, line int, key binary"
+    found = lines.mapInArrow(_marked(likely, True), schema).join(keepers, "key", "left")
+    own = lines.drop("key").mapInArrow(_marked(likely, False), "id long, ka long, kb long, line int")
+    return found.withColumn("keeper", F.coalesce("keeper", place)), own.withColumn("keeper", place), again
 
 
 def line_components(
@@ -259,8 +300,8 @@ def line_components(
     rows equal in id and text are one place: they stay or go together. A null id sorts first. Other columns are
     ignored, and no rows give no rows.
     """
-    out, _ = _kept_lines(docs, id_col, text_col, shingle, similarity)
-    return out.select(
+    found, own, _ = _kept_lines(docs, id_col, text_col, shingle, similarity)
+    return found.drop("key").unionByName(own).select(
         F.col("id").alias(id_col),
         "line",
         F.col("keeper.id").alias("kept_id"),
@@ -304,7 +345,7 @@ def drop_similar_lines(
     equal in id and text, with words, one stays. Texts are cut in Arrow batches, in time that grows with
     their length, however many lines go.
     """
-    lines, again = _kept_lines(docs, id_col, text_col, shingle, similarity)
+    lines, _, again = _kept_lines(docs, id_col, text_col, shingle, similarity)
     gone = lines.where(~F.struct("id", "line", *PARTS).eqNullSafe(F.col("keeper")))
     rows, name = keyed(docs, id_col, text_col)
     rows = one_of_each(rows, name, again)

@@ -8,6 +8,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from roadlens.llm import class_lm, decontaminate, fourier_quality, licenses, lin
 from roadlens.llm import links, quality_rules, queries, sharding, url_rules
 from roadlens.llm.components import connected_components
 from roadlens.llm.links import Similarity, similar_components
-from roadlens.llm.words import mix
+from roadlens.llm.words import blocks, mix
 from tests.llm import brute
 
 SMALL = "/root/testdata/sf0.001"
@@ -593,8 +594,26 @@ def test_set_sizes_count_each_shingle_once():
     lines = [mix(random.integers(0, n, n).astype(np.uint64)) for n in random.integers(1, 60, 200)]
     lines += [mix(np.arange(50, dtype=np.uint64)), mix(np.zeros(9, np.uint64))]
     first = np.concatenate(([0], np.cumsum([len(x) for x in lines])))
-    assert line_dedup.set_sizes(np.concatenate(lines), first).tolist() == [len(set(x.tolist())) for x in lines]
-    assert line_dedup.set_sizes(np.zeros(0, np.uint64), np.zeros(1, np.int64)).tolist() == []
+    sizes, signatures = line_dedup.sizes_and_signatures(np.concatenate(lines), first, 55)
+    assert sizes.tolist() == [len(set(x.tolist())) for x in lines]
+    # neither depends on the lines that stand beside, nor on how often a shingle occurs
+    for place, line in enumerate(lines):
+        alone = np.concatenate((line, line[:3]))
+        size, signature = line_dedup.sizes_and_signatures(alone, np.array([0, len(alone)]), 55)
+        assert size[0] == sizes[place] and (signature[0] == signatures[place]).all()
+    sizes, signatures = line_dedup.sizes_and_signatures(np.zeros(0, np.uint64), np.zeros(1, np.int64), 55)
+    assert sizes.tolist() == [] and signatures.shape == (0, 55)
+
+
+def test_lines_are_normalised_as_text_is():
+    random = np.random.default_rng(12)
+    texts = ["".join(random.choice(list("aB\u00c4 \t\r\x0b\n\u00a0"), n)) for n in random.integers(0, 40, 300)]
+    for block in blocks(pa.array(texts)):
+        owner, number, starts, ends = line_dedup.lines_of(block)
+        found = line_dedup.normalised(block, starts, ends)
+        for text, line, value in zip(owner.tolist(), number.tolist(), found):
+            raw = texts[block.first + text].split("\n")[line].encode()
+            assert value == b" ".join(raw.lower().split())
 
 
 def test_similar_lines_are_cut_from_texts(spark, none):
@@ -655,7 +674,7 @@ def test_bands_find_pairs_at_the_threshold():
             lines += [items[:size], items[: size + extra]]
         assert size / (size + extra) == 0.8
         first = np.concatenate(([0], np.cumsum([len(x) for x in lines])))
-        signature = line_dedup.one_permutation(np.concatenate(lines), first, similarity.hashes)
+        _, signature = line_dedup.sizes_and_signatures(np.concatenate(lines), first, similarity.hashes)
         keys = links._band_keys(signature, similarity)
         assert (keys[::2] == keys[1::2]).any(1).mean() >= 0.985
 
@@ -688,7 +707,7 @@ def test_signatures_agree_as_often_as_sets_do():
         both = random.permutation(items)[:100]
         values, first = np.concatenate((both[:80], both[:60], both[80:])), np.array([0, 80, 180])
         values = np.concatenate((both[:80], np.concatenate((both[:70], both[80:90]))))
-        signature = line_dedup.one_permutation(values, np.array([0, 80, 160]), 32)
+        _, signature = line_dedup.sizes_and_signatures(values, np.array([0, 80, 160]), 32)
         agree.append((signature[0] == signature[1]).mean())
     assert abs(np.mean(agree) - 70 / 90) < 0.03
 
