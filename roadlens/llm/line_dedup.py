@@ -19,13 +19,11 @@ from .links import Similarity, similar_components
 from .row_keys import PARTS, keyed, one_of_each, row_key
 from .words import SPACED, Block, _tables, blocks, code_points, distinct, find_words, mix
 
-SIMILARITY = Similarity(percent=80, hashes=55, bands=11, looks=(20, 40, 55), miss=1e-4, rows=5, width=1)
+SIMILARITY = Similarity(percent=80, hashes=55, bands=11, looks=(20, 40, 55), miss=1e-4, rows=5, width=1, sized=False)
 #: Characters of a shingle, for lines of any length.
 SHINGLE = 5
 NEWLINE = 10
 WORD = re.compile("[^\x20\x09-\x0D]")
-#: Shingles sorted at once, about: few enough to stay near the processor.
-RUN = 1 << 13
 _WHITE = ~SPACED.inside
 _LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 
@@ -102,36 +100,21 @@ def shingle_hashes(lines: list[bytes], size: int) -> tuple[np.ndarray, np.ndarra
     return mix(out), first
 
 
-def sizes_and_signatures(hashes: np.ndarray, first: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
-    """How many different hashes each line has, and its one-permutation MinHash signature; no line is empty.
+def one_permutation(hashes: np.ndarray, first: np.ndarray, bins: int) -> np.ndarray:
+    """One-permutation MinHash: a byte of the least hash in each of ``bins`` parts of the hash range.
 
-    The signature has a byte of the least hash in each of ``bins`` parts of the hash range.
     An empty part takes the value of another one of the same line, chosen by a fixed sequence of
     parts (optimal densification), so equal sets have equal signatures.
     """
     lines = len(first) - 1
-    # the line's number above what bits of the hash there is room for, in order
-    bits = np.uint64(max(lines.bit_length(), 1))
-    keys = np.repeat(np.arange(lines, dtype=np.uint64) << (np.uint64(64) - bits), np.diff(first)) | hashes >> bits
-    cuts = np.unique(first[np.searchsorted(first, np.arange(0, len(keys) + RUN, RUN)).clip(max=lines)]).tolist()
-    for low, high in zip(cuts[:-1], cuts[1:]):
-        keys[low:high].sort()
-    twice = keys[1:][keys[1:] == keys[:-1]]
-    sizes = np.diff(first) - np.bincount((twice >> (np.uint64(64) - bits)).astype(np.int64), minlength=lines)
-
-    # the part follows from the upper half of the hash, so a part's hashes stand together
-    upper = keys << bits >> np.uint64(32)
-    part = upper * np.uint64(bins) >> np.uint64(32)
-    begins = np.ones(len(keys), bool)
-    begins[1:] = part[1:] != part[:-1]
-    begins[first[:-1]] = True
-    least = np.flatnonzero(begins)
-    line = (keys[least] >> (np.uint64(64) - bits)).astype(np.int64)
-    empty = np.uint16(256)
-    out = np.full((lines, bins), empty, np.uint16)
-    # the byte is the lowest one of the upper half: the part and being the least one decide those above it
-    out[line, part[least].astype(np.int64)] = upper[least] & np.uint64(255)
-    return sizes, _filled(out, empty).astype(np.uint8)
+    empty = np.uint64((1 << 64) - 1)
+    least = np.full(lines * bins, empty, np.uint64)
+    part = ((hashes >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
+    part += np.repeat(np.arange(lines) * bins, np.diff(first))
+    np.minimum.at(least, part, hashes)
+    # the byte stands in the middle: the part and being the least one decide the bits far above it
+    out = np.where(least == empty, 256, least >> np.uint64(32) & np.uint64(255)).astype(np.uint16)
+    return _filled(out.reshape(lines, bins), np.uint16(256)).astype(np.uint8)
 
 
 def _filled(out: np.ndarray, empty) -> np.ndarray:
@@ -169,8 +152,8 @@ def _described(shingle: int, bins: int):
                 hashes, first = shingle_hashes(list(places), shingle)
                 signature: list = [None] * len(lines)
                 size: list = [None] * len(lines)
-                sizes, signatures = sizes_and_signatures(hashes, first, bins)
-                for at, n, values in zip(places.values(), sizes.tolist(), signatures):
+                # the shingles with repeats, which bound the set
+                for at, n, values in zip(places.values(), np.diff(first).tolist(), one_permutation(hashes, first, bins)):
                     signature[at], size[at] = values.tobytes(), n
                 begins = np.ones(len(owner), bool)
                 begins[1:] = owner[1:] != owner[:-1]

@@ -27,6 +27,8 @@ from .components import connected_components
 from .words import mix
 
 PAIRS_AT_ONCE = 1 << 16
+#: Members counted before their buckets leave a task, and entries of a span that one task counts, about.
+KEYS_AT_ONCE, SPAN_KEYS = 1 << 20, 1 << 21
 TASK = ["bucket", "low", "high"]
 
 
@@ -36,7 +38,8 @@ class Similarity:
 
     ``bands`` bands of ``rows`` values give the candidates. ``looks`` says after how many values a
     pair is judged, and ``miss`` is the posterior probability of a similarity at or over the
-    threshold under which a pair is given up.
+    threshold under which a pair is given up. ``sized`` says that nodes come with the sizes of their sets, by which
+    pairs are given up as well, and not only with bounds of them.
     """
 
     percent: int
@@ -46,6 +49,7 @@ class Similarity:
     miss: float = 1e-6
     rows: int = 4
     width: int = 2
+    sized: bool = True
 
     def least_matches(self) -> list[int]:
         """For each look: with fewer equal values than this, a pair is given up.
@@ -67,17 +71,22 @@ class Similarity:
         return out
 
 
-def _bucket_rows(similarity: Similarity, wanted=None):
-    """Node and size in each bucket of its signature, the band in the last six bits; those that may be wanted."""
+def _buckets(batch: pa.RecordBatch, similarity: Similarity) -> np.ndarray:
+    """The bucket of each row in each band, with the band in the last six bits."""
+    values = np.frombuffer(b"".join(batch.column(2).to_pylist()), f"u{similarity.width}")
+    keys = _band_keys(values.reshape(batch.num_rows, similarity.hashes), similarity)
+    return (mix(keys) & ~np.uint64(63)) | np.arange(similarity.bands, dtype=np.uint64)
+
+
+def _bucket_rows(similarity: Similarity, wanted):
+    """Node and size in each bucket of its signature that may be wanted."""
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            values = np.frombuffer(b"".join(batch.column(2).to_pylist()), f"u{similarity.width}")
-            keys = _band_keys(values.reshape(batch.num_rows, similarity.hashes), similarity)
-            keys = (mix(keys) & ~np.uint64(63)) | np.arange(similarity.bands, dtype=np.uint64)
-            row, band = np.nonzero(np.ones(keys.shape, bool) if wanted is None else may_hold(wanted.value, keys >> np.uint64(6)))
+            keys = _buckets(batch, similarity)
+            row, band = np.nonzero(may_hold(wanted.value, keys >> np.uint64(6)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys[row, band].view(np.int64)), *[batch.column(k).take(pa.array(row)) for k in (0, 1)]],
                 ["bucket", "node", "size"],
@@ -86,6 +95,62 @@ def _bucket_rows(similarity: Similarity, wanted=None):
     return run
 
 
+PACKED = "span int, buckets binary, members binary, items binary"
+
+
+def _summed(buckets: np.ndarray, members: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each bucket once, in order, with its sums."""
+    order = np.argsort(buckets)
+    buckets = buckets[order]
+    begins = np.flatnonzero(np.concatenate((np.ones(min(len(buckets), 1), bool), buckets[1:] != buckets[:-1])))
+    return buckets[begins], *[np.add.reduceat(x[order], begins) if len(begins) else x for x in (members, items)]
+
+
+def _packed_counts(similarity: Similarity, spans: int):
+    """Buckets with their numbers of members and items, as arrays by span of the bucket range.
+
+    Buckets are counted over ``KEYS_AT_ONCE`` members before they leave a task, so a bucket that holds
+    most nodes is a few entries, and an entry is moved as bytes, not as a row.
+    """
+
+    def packed(held):
+        keys, sizes = (np.concatenate(x) for x in zip(*held))
+        buckets, members, items = _summed(keys, np.ones(len(keys), np.int64), sizes)
+        span = ((buckets >> np.uint64(32)) * np.uint64(spans) >> np.uint64(32)).astype(np.int32)
+        cuts = np.flatnonzero(np.diff(span, prepend=-1))
+        ends = np.append(cuts[1:], len(span))
+        arrays = [[x[i:j].tobytes() for i, j in zip(cuts.tolist(), ends.tolist())] for x in (buckets, members, items)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(span[cuts]), *[pa.array(x, pa.binary()) for x in arrays]], ["span", "buckets", "members", "items"]
+        )
+
+    def run(batches):
+        held, n = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = _buckets(batch, similarity)
+            held.append((keys.ravel(), np.repeat(batch.column(1).to_numpy(), similarity.bands)))
+            n += keys.size
+            if n >= KEYS_AT_ONCE:
+                yield packed(held)
+                held, n = [], 0
+        if held:
+            yield packed(held)
+
+    return run
+
+
+def _shared(table: pa.Table) -> pa.Table:
+    """The buckets of a span that have several members."""
+    columns = [np.frombuffer(b"".join(table[k].to_pylist()), kind) for k, kind in zip((1, 2, 3), (np.uint64, np.int64, np.int64))]
+    buckets, members, items = _summed(*columns)
+    several = members > 1
+    return pa.table(
+        {"bucket": buckets[several].view(np.int64), "members": members[several], "items": items[several]}
+    )
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Batches sorted by task, cut so that every task is whole."""
     held: list[pa.RecordBatch] = []
@@ -154,8 +219,10 @@ def _survivors(table: pa.Table, similarity: Similarity) -> tuple[np.ndarray, np.
     least = similarity.least_matches()
     kept_a, kept_b = [], []
     for a, b in _pairs(_edges(table)):
-        small, large = np.minimum(size[a], size[b]), np.maximum(size[a], size[b])
-        near = (100 * small >= similarity.percent * large) & (label[a] != label[b])
+        near = label[a] != label[b]
+        if similarity.sized:
+            small, large = np.minimum(size[a], size[b]), np.maximum(size[a], size[b])
+            near &= 100 * small >= similarity.percent * large
         a, b = a[near], b[near]
         same = keys[a] == keys[b]
         own = same.any(1) & (same.argmax(1) == band[a]) if len(a) else np.zeros(0, bool)
@@ -273,12 +340,13 @@ def similar_components(
     """
     signed = nodes.select("node", "size", "signature")
     bucket_rows = "bucket long, node long, size long"
-    rows = signed.mapInArrow(_bucket_rows(similarity), bucket_rows)
     blocks = F.greatest(
         F.ceil(F.col("members") / block_members), F.ceil(F.col("items") / block_items)
     ).cast("int")
-    buckets = rows.groupBy("bucket").agg(F.count("*").alias("members"), F.sum("size").alias("items"))
-    buckets = materialize(buckets.where("members > 1").select("bucket", blocks.alias("blocks")), "shared-buckets")
+    spans = nodes.count() * similarity.bands // SPAN_KEYS + 1
+    packed = signed.mapInArrow(_packed_counts(similarity, spans), PACKED)
+    buckets = packed.groupBy("span").applyInArrow(_shared, "bucket long, members long, items long")
+    buckets = materialize(buckets.select("bucket", blocks.alias("blocks")), "shared-buckets")
     # most buckets have one member: a bit map keeps nearly all of those from being moved again
     wanted = nodes.sparkSession.sparkContext.broadcast(bit_map(buckets, F.shiftrightunsigned("bucket", 6)))
     rows = signed.mapInArrow(_bucket_rows(similarity, wanted), bucket_rows)

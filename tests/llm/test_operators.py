@@ -589,20 +589,37 @@ def test_lines_with_one_letter_or_word_changed_are_linked(spark):
     assert all(kept[a] == a for a, _ in pairs)
 
 
-def test_set_sizes_count_each_shingle_once():
+def test_signatures_follow_from_the_set_alone():
+    """Neither the lines that stand beside a line nor repeats of its shingles change its signature."""
     random = np.random.default_rng(6)
     lines = [mix(random.integers(0, n, n).astype(np.uint64)) for n in random.integers(1, 60, 200)]
     lines += [mix(np.arange(50, dtype=np.uint64)), mix(np.zeros(9, np.uint64))]
     first = np.concatenate(([0], np.cumsum([len(x) for x in lines])))
-    sizes, signatures = line_dedup.sizes_and_signatures(np.concatenate(lines), first, 55)
-    assert sizes.tolist() == [len(set(x.tolist())) for x in lines]
-    # neither depends on the lines that stand beside, nor on how often a shingle occurs
+    signatures = line_dedup.one_permutation(np.concatenate(lines), first, 55)
     for place, line in enumerate(lines):
-        alone = np.concatenate((line, line[:3]))
-        size, signature = line_dedup.sizes_and_signatures(alone, np.array([0, len(alone)]), 55)
-        assert size[0] == sizes[place] and (signature[0] == signatures[place]).all()
-    sizes, signatures = line_dedup.sizes_and_signatures(np.zeros(0, np.uint64), np.zeros(1, np.int64), 55)
-    assert sizes.tolist() == [] and signatures.shape == (0, 55)
+        alone = np.concatenate((line[::-1], line[:3]))
+        assert (line_dedup.one_permutation(alone, np.array([0, len(alone)]), 55)[0] == signatures[place]).all()
+    assert line_dedup.one_permutation(np.zeros(0, np.uint64), np.zeros(1, np.int64), 55).shape == (0, 55)
+
+
+def test_packed_counts_are_those_of_rows(spark, monkeypatch):
+    """Buckets counted as arrays over several batches, tasks and spans, and plainly."""
+    random, similarity = np.random.default_rng(13), line_dedup.SIMILARITY
+    # a third of the nodes is one set
+    signed = [(i, int(random.integers(1, 99)), bytes(55) if i % 3 == 0 else random.bytes(55)) for i in range(900)]
+    signed += [(900 + i, 5, signed[i + 1][2][:20] + random.bytes(35)) for i in range(300)]
+    expected = defaultdict(lambda: [0, 0])
+    for batch in pa.table({"node": [r[0] for r in signed], "size": [r[1] for r in signed], "signature": [r[2] for r in signed]}).to_batches():
+        for row, keys in zip(signed, links._buckets(batch, similarity).view(np.int64).tolist()):
+            for key in keys:
+                expected[key][0] += 1
+                expected[key][1] += row[1]
+    monkeypatch.setattr(links, "KEYS_AT_ONCE", 1000)
+    nodes = spark.createDataFrame(signed, "node long, size long, signature binary").repartition(5)
+    for spans in (1, 7):
+        packed = nodes.mapInArrow(links._packed_counts(similarity, spans), links.PACKED)
+        found = packed.groupBy("span").applyInArrow(links._shared, "bucket long, members long, items long")
+        assert {r[0]: [r[1], r[2]] for r in found.collect()} == {k: v for k, v in expected.items() if v[0] > 1}
 
 
 def test_lines_are_normalised_as_text_is():
@@ -674,7 +691,7 @@ def test_bands_find_pairs_at_the_threshold():
             lines += [items[:size], items[: size + extra]]
         assert size / (size + extra) == 0.8
         first = np.concatenate(([0], np.cumsum([len(x) for x in lines])))
-        _, signature = line_dedup.sizes_and_signatures(np.concatenate(lines), first, similarity.hashes)
+        signature = line_dedup.one_permutation(np.concatenate(lines), first, similarity.hashes)
         keys = links._band_keys(signature, similarity)
         assert (keys[::2] == keys[1::2]).any(1).mean() >= 0.985
 
@@ -707,7 +724,7 @@ def test_signatures_agree_as_often_as_sets_do():
         both = random.permutation(items)[:100]
         values, first = np.concatenate((both[:80], both[:60], both[80:])), np.array([0, 80, 180])
         values = np.concatenate((both[:80], np.concatenate((both[:70], both[80:90]))))
-        _, signature = line_dedup.sizes_and_signatures(values, np.array([0, 80, 160]), 32)
+        signature = line_dedup.one_permutation(values, np.array([0, 80, 160]), 32)
         agree.append((signature[0] == signature[1]).mean())
     assert abs(np.mean(agree) - 70 / 90) < 0.03
 
