@@ -385,10 +385,9 @@ def silver_days(spark, folder):
     return distinct_count_by(days, ["situation_date"], "id")
 
 
-@registered
-def silver_incremental(spark, folder):
-    """Three daily runs. The second feed moves records of the first to another day; the third moves
-    all records of one day away and gives some of those that had no day one."""
+def _daily_runs(spark, folder):
+    """Three daily runs; after each the days formed anew and the prefix of silver. The second feed moves records of
+    the first to another day; the third moves all records of one day away and gives some of those that had no day one."""
     base, prefix = scratch_path(spark, "bronze"), f"daily_{uuid.uuid4().hex}_"
     records = bronze_records(spark, folder)
     first, second, moved = date(2024, 1, 10), date(2024, 1, 20), date(2024, 1, 3)
@@ -407,13 +406,56 @@ def silver_incremental(spark, folder):
     ]
     for feed in feeds:
         filed = snapshots.append_delta(feed, base)
-        jobs.refresh_silver(spark, base, date.fromisoformat(filed.rpartition("/")[2]), dedupe=True, prefix=prefix)
+        since = date.fromisoformat(filed.rpartition("/")[2])
+        yield jobs.refresh_silver(spark, base, since, dedupe=True, prefix=prefix), prefix
+
+
+@registered
+def silver_incremental(spark, folder):
+    for _, prefix in _daily_runs(spark, folder):
+        pass
     accidents, weather, rejects = (spark.table(prefix + name) for name in ("accidents", "weather", "rejects"))
     weather = weather.select("id", "situation_date", "temperature_f")
     whole = accidents.select("id", "situation_date", "severity").join(weather, ["id", "situation_date"], "full")
     return whole.unionByName(rejects.select(whole.columns))
 
 
+@registered
+def marts_incremental(spark, folder):
+    """All marts after three daily runs that move records between days, kept by change; groups as text."""
+    for days, prefix in _daily_runs(spark, folder):
+        jobs.refresh_marts(spark, days or None, prefix + "gold_", silver_prefix=prefix)
+    keys = {
+        "top_accidents_by_day": ["accident_date"],
+        "accidents_by_severity": ["Severity", "percentage"],
+        "accidents_by_location": ["State", "City"],
+        "accidents_time_patterns": ["hour_of_day", "day_of_week"],
+        "accidents_by_weather": ["Weather_Condition"],
+        "weather_impact_analysis": ["temperature_range", "visibility_condition"],
+    }
+    nothing = F.lit(None)
+    parts = []
+    for name, own in keys.items():
+        df = served.read_mart(spark, f"{prefix}gold_{name}")
+        if name == "accidents_by_severity":
+            df = df.withColumn("percentage", F.col("percentage").cast("double"))
+        means = [F.round(c, 6) if c in df.columns else nothing.cast("double") for c in ("avg_severity", "avg_wind_speed")]
+        groups = [F.col(k).cast("string") for k in own] + [nothing.cast("string")] * (2 - len(own))
+        parts.append(
+            df.select(
+                F.lit(name).alias("mart"), groups[0].alias("k1"), groups[1].alias("k2"), "accident_count",
+                means[0].alias("avg_severity"), means[1].alias("avg_wind_speed"),
+            )
+        )
+    flags = served.read_mart(spark, f"{prefix}gold_road_infrastructure_summary")
+    flags = flags.unpivot([], flags.columns, "k1", "accident_count").withColumn("mart", F.lit("road_infrastructure_summary"))
+    copies = [
+        served.read_mart(spark, f"{prefix}gold_{name}").agg(F.count(F.lit(1)).alias("accident_count")).withColumn("mart", F.lit(name))
+        for name in ("accidents", "weather")
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [*parts, flags, *copies])
+
+
 @registered
 def silver_rejects(spark, folder):
     """Records whose day cannot be read: here those without a start time are sent without one."""

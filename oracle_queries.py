@@ -83,6 +83,15 @@ _VISIBILITY = """CASE WHEN visibility_mi < 1 THEN 'Poor' WHEN visibility_mi <= 5
 # Half-up rounding of a percentage in whole numbers, free of binary fractions.
 _SHARE = "CAST((n * 20000 + total) // (2 * total) AS DOUBLE) / 100"
 
+_FLAG_COUNTS = {
+    "traffic_signal": "traffic_signal_accidents",
+    "stop": "stop_sign_accidents",
+    "junction": "junction_accidents",
+    "roundabout": "roundabout_accidents",
+    "railway": "railway_accidents",
+    "crossing": "crossing_accidents",
+}
+
 _ACCIDENT_SELECT = f"""id, {_day('situation_date', 'situation_date')}, source, severity,
   {_stamp('start_time')}, {_stamp('end_time')}, start_lat, start_lng, end_lat, end_lng, distance_mi,
   description, street, city, county, state, zipcode, country, timezone, airport_code, amenity, bump,
@@ -324,6 +333,45 @@ versions AS (
 )
 SELECT id, {_day('d', 'situation_date')}, severity, temperature_f FROM versions
 QUALIFY row_number() OVER (PARTITION BY id ORDER BY d DESC NULLS LAST) = 1"""),
+    "marts_incremental": _on_records(f""",
+versions AS (
+  SELECT CASE WHEN situation_date > DATE '2024-01-10' OR k <> 50 THEN situation_date END AS d, * FROM once
+  UNION ALL SELECT DATE '2024-01-15', * REPLACE (1 AS severity) FROM once
+  WHERE situation_date <= DATE '2024-01-10' AND severity = 3
+  UNION ALL SELECT DATE '2024-01-25', * REPLACE (2 AS severity) FROM once WHERE situation_date = DATE '2024-01-03'
+),
+newest AS (SELECT * FROM versions QUALIFY row_number() OVER (PARTITION BY id ORDER BY d DESC NULLS LAST) = 1),
+kept AS (SELECT * FROM newest WHERE d IS NOT NULL),
+levels AS (SELECT severity, count(id) AS n FROM kept WHERE severity IS NOT NULL GROUP BY 1),
+whole AS (SELECT CAST(sum(n) AS BIGINT) AS total FROM levels),
+places AS (
+  SELECT state, city, count(id) AS n FROM kept WHERE state IS NOT NULL AND city IS NOT NULL
+  GROUP BY 1, 2 ORDER BY n DESC, state, city LIMIT 50
+),
+bands AS (
+  SELECT {_TEMPERATURE} AS t, {_VISIBILITY} AS v, severity, wind_speed_mph FROM kept
+  WHERE temperature_f IS NOT NULL AND visibility_mi IS NOT NULL
+),
+found(mart, k1, k2, accident_count, avg_severity, avg_wind_speed) AS (
+  SELECT 'top_accidents_by_day', strftime(start_time, '%Y-%m-%d'), NULL, count(id), NULL, NULL FROM kept GROUP BY 2
+  UNION ALL SELECT 'accidents_by_severity', CAST(severity AS VARCHAR), CAST(CAST({_SHARE} AS DOUBLE) AS VARCHAR), n, NULL, NULL
+  FROM levels, whole
+  UNION ALL SELECT 'accidents_by_location', state, city, n, NULL, NULL FROM places
+  UNION ALL SELECT 'accidents_time_patterns', CAST(hour(start_time) AS VARCHAR), CAST(dayofweek(start_time) + 1 AS VARCHAR),
+    count(id), NULL, NULL FROM kept WHERE start_time IS NOT NULL GROUP BY 2, 3
+  UNION ALL SELECT 'accidents_by_weather', weather_condition, NULL, count(id), round(avg(severity), 6), NULL FROM kept
+  WHERE weather_condition IS NOT NULL GROUP BY 2
+  UNION ALL SELECT 'weather_impact_analysis', t, v, count(*), round(avg(severity), 6), round(avg(wind_speed_mph), 6)
+  FROM bands GROUP BY 2, 3
+  UNION ALL SELECT 'accidents', NULL, NULL, count(*), NULL, NULL FROM kept
+  UNION ALL SELECT 'weather', NULL, NULL, count(*), NULL, NULL FROM kept
+  UNION ALL SELECT 'road_infrastructure_summary', 'total_accidents', NULL, count(id), NULL, NULL FROM kept
+""" + "".join(f"""
+  UNION ALL SELECT 'road_infrastructure_summary', '{out}', NULL, count(*) FILTER ({col}), NULL, NULL FROM kept"""
+        for col, out in _FLAG_COUNTS.items()) + """
+)
+SELECT mart, k1, k2, accident_count, CAST(avg_severity AS DOUBLE) AS avg_severity,
+       CAST(avg_wind_speed AS DOUBLE) AS avg_wind_speed FROM found"""),
     "silver_days": _on_records(f"""
 SELECT {_day('situation_date', 'situation_date')}, count(DISTINCT id) AS accident_count
 FROM records WHERE situation_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-19' GROUP BY 1"""),

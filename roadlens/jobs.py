@@ -3,6 +3,7 @@
     python -m roadlens.jobs ingest --base hdfs:///incidents part1.csv part2.csv
     python -m roadlens.jobs silver --base hdfs:///incidents --dedupe --since 2025-01-31
     python -m roadlens.jobs marts --prefix gold_ --unique-ids
+    python -m roadlens.jobs marts --prefix gold_ --unique-ids --days 2025-01-30 2025-01-31
     python -m roadlens.jobs train --model hdfs:///models/severity --unique-ids
 """
 
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .operators.quality import require_unique
 from .operators.rows import latest_per_key
-from .plans import features, marts, model
+from .plans import day_states, features, marts, model
 from .schema import bronze_schema, to_silver
 from .session import build_session
 from .sources import served, silver, snapshots
@@ -191,6 +192,52 @@ def build_marts(
     marts.write_marts(*halves, table, prefix, unique_ids, records)
 
 
+STATES = "day_states"
+
+
+def refresh_marts(
+    spark: SparkSession,
+    days: Sequence[date] | None = None,
+    prefix: str = "gold_",
+    folder: str | None = None,
+    silver_prefix: str = "",
+    wide: bool = False,
+) -> list[str]:
+    """Bring marts and copies up to date with the ``days`` of silver formed anew, as :func:`refresh_silver` gives them.
+
+    Reads those days of silver and the table of day states, whose size follows days and groups, not records. Without
+    ``days``, or where no states are kept yet, all days are formed: do so after a full build of silver. Silver must be
+    de-duplicated; that ids are unique is checked among the rows read. Running again changes nothing. Gives the
+    names of the tables written.
+    """
+    def name_of(table: str) -> str:
+        return prefix + table
+
+    def path_of(table: str) -> str | None:
+        return f"{folder}/{name_of(table)}" if folder else None
+
+    kept = [STATES, "accidents", "weather"]
+    if not all(spark.catalog.tableExists(name_of(table)) for table in kept):
+        days = None
+    names = ["accidents", "weather", *(["records"] if wide else [])]
+    read = {name: silver.read_silver(spark, silver_prefix + name, days=days) for name in names}
+    for df in read.values():
+        require_unique(df, "id")
+    formed = {STATES: day_states.day_states(read["accidents"], read["weather"], read.get("records"))}
+    formed |= {name: read[name] for name in kept[1:]}
+    for table, df in formed.items():
+        if days is None:
+            silver.write_silver(df, name_of(table), path_of(table))
+        elif days:
+            # days that are left without a row are told from the written rows
+            rows = materialize(df, table) if table == STATES else df
+            silver.replace_days(rows, name_of(table), days)
+    out = day_states.marts_of(spark.table(name_of(STATES)))
+    for table, df in out.items():
+        served.write_mart(df, name_of(table), path_of(table))
+    return [name_of(table) for table in (*out, *kept[1:])]
+
+
 def train(
     spark: SparkSession, path: str, unique_ids: bool = False, wide: bool = False, **settings
 ) -> tuple[PipelineModel, dict[str, DataFrame]]:
@@ -239,6 +286,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     job.add_argument("--prefix", default="gold_")
     job.add_argument("--url", help="JDBC address; user and password from DB_USER and DB_PASSWORD")
     job.add_argument("--unique-ids", action="store_true")
+    job.add_argument(
+        "--days", type=date.fromisoformat, nargs="*", help="keep marts by change: days of silver formed anew, none for all"
+    )
     job = jobs.add_parser("train")
     job.add_argument("--model", required=True)
     job.add_argument("--unique-ids", action="store_true")
@@ -247,6 +297,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = parser.parse_args(argv)
     if args.job == "silver" and args.since and (args.day or args.layout != "delta" or args.mode != "overwrite"):
         parser.error("--since goes with the delta layout, without --day and --mode")
+    if args.job == "marts" and args.days is not None and (args.url or not args.unique_ids):
+        parser.error("--days goes with --unique-ids, without --url")
     if args.job in ("marts", "train") and args.wide and not args.unique_ids:
         parser.error("--wide goes with --unique-ids")
 
@@ -258,6 +310,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         print(*refresh_silver(spark, args.base, args.since, args.dedupe, wide=args.wide))
     elif args.job == "silver":
         build_silver(spark, read_bronze(spark, args.base, args.day, args.layout), args.dedupe, args.mode, wide=args.wide)
+    elif args.job == "marts" and args.days is not None:
+        print(*refresh_marts(spark, args.days or None, args.prefix, wide=args.wide))
     elif args.job == "marts":
         login = {"user": os.environ.get("DB_USER"), "password": os.environ.get("DB_PASSWORD")}
         known = {k: v for k, v in login.items() if v}

@@ -64,11 +64,13 @@ def _newest(df: DataFrame, cols: list[str]) -> DataFrame:
     return latest_per_key(df.select("id", "situation_date", *cols), ["id"], ["situation_date"])
 
 
-def _with_condition(weather: DataFrame) -> DataFrame:
+def with_condition(weather: DataFrame) -> DataFrame:
+    """Rows with a weather condition, under its served name."""
     return not_null(weather, ["weather_condition"]).withColumnRenamed("weather_condition", "Weather_Condition")
 
 
-def _banded(weather: DataFrame, *cols: str) -> DataFrame:
+def banded(weather: DataFrame, *cols: str) -> DataFrame:
+    """Rows with both readings, as bands beside ``cols``."""
     return not_null(weather, ["temperature_f", "visibility_mi"]).select(
         *cols,
         band(F.col("temperature_f"), TEMPERATURE).alias("temperature_range"),
@@ -89,7 +91,7 @@ def mart_weather_condition(
         accidents = _newest(accidents, ["severity"])
         weather = _newest(weather, ["weather_condition"])
         repeats = "none"
-    known = _with_condition(weather)
+    known = with_condition(weather)
     out = joined_aggregates(
         accidents,
         known,
@@ -111,7 +113,7 @@ def mart_weather_impact(
         repeats = "none"
     out = joined_aggregates(
         accidents,
-        _banded(weather, "id", "wind_speed_mph"),
+        banded(weather, "id", "wind_speed_mph"),
         "id",
         by=["temperature_range", "visibility_condition"],
         left_means={"avg_severity": "severity"},
@@ -123,7 +125,7 @@ def mart_weather_impact(
 
 def wide_weather_condition(records: DataFrame) -> DataFrame:
     """:func:`mart_weather_condition` over unsplit records that hold each id once: no join."""
-    known = _with_condition(not_null(records, ["id"]))
+    known = with_condition(not_null(records, ["id"]))
     out = known.groupBy("Weather_Condition").agg(
         F.count(F.lit(1)).alias("accident_count"), F.avg("severity").alias("avg_severity")
     )
@@ -132,7 +134,7 @@ def wide_weather_condition(records: DataFrame) -> DataFrame:
 
 def wide_weather_impact(records: DataFrame) -> DataFrame:
     """:func:`mart_weather_impact` over unsplit records that hold each id once: no join."""
-    banded = _banded(not_null(records, ["id"]), "severity", "wind_speed_mph")
+    banded = banded(not_null(records, ["id"]), "severity", "wind_speed_mph")
     out = banded.groupBy("temperature_range", "visibility_condition").agg(
         F.count(F.lit(1)).alias("accident_count"),
         F.avg("severity").alias("avg_severity"),

@@ -88,9 +88,13 @@ def replace_days(df: DataFrame, table: str, days: Sequence[date]) -> None:
 
 
 def read_silver(
-    spark: SparkSession, table: str, since: date | None = None, until: date | None = None
+    spark: SparkSession,
+    table: str,
+    since: date | None = None,
+    until: date | None = None,
+    days: Sequence[date] | None = None,
 ) -> DataFrame:
-    """A silver table, or the days from ``since`` to ``until`` of it (both included).
+    """A silver table, or the days from ``since`` to ``until`` of it (both included), or only ``days``.
 
     The bounds speak of partition columns only, so other days are never opened.
     """
@@ -100,4 +104,6 @@ def read_silver(
         df = df.where((F.col("year") >= since.year) & (day >= F.lit(since)))
     if until is not None:
         df = df.where((F.col("year") <= until.year) & (day <= F.lit(until)))
+    if days is not None:
+        df = df.where(F.col("year").isin(sorted({d.year for d in days})) & day.isin(sorted(set(days))))
     return df
