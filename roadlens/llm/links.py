@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +29,9 @@ from .words import mix
 
 PAIRS_AT_ONCE = 1 << 16
 #: Members counted before their buckets leave a task, and entries of a span that one task counts, about.
-KEYS_AT_ONCE, SPAN_KEYS = 1 << 20, 1 << 21
+KEYS_AT_ONCE, SPAN_KEYS = 1 << 18, 1 << 18
+#: Bytes of members whose sets are held at once, or those of one task.
+SETS_AT_ONCE = 1 << 20
 TASK = ["bucket", "low", "high"]
 
 
@@ -280,27 +283,33 @@ def _confirmed(percent: int, sets_of: Callable[[pa.Array], list[np.ndarray]]):
 
     def run(batches):
         for table in whole_groups(batches):
-            sets = sets_of(table["payload"].combine_chunks())
+            payload = table["payload"].combine_chunks()
             nodes, labels = table["node"].to_pylist(), table["label"].to_pylist()
             partners = table["partners"].to_pylist()
             edges = _edges(table)
-            found = []
-            for low, high in zip(edges[:-1], edges[1:]):
-                at = dict(zip(nodes[low:high], range(low, high)))
-                joined = _Joined()
-                for row in range(low, high):
-                    own = sets[row]
-                    for other in np.frombuffer(partners[row] or b"", np.int64).tolist():
-                        # members joined in an earlier round share a label
-                        if other not in at or joined.root(labels[row]) == joined.root(labels[at[other]]):
-                            continue
-                        theirs = sets[at[other]]
-                        place = np.searchsorted(own, theirs)
-                        place[place == len(own)] = 0
-                        both = int((own[place] == theirs).sum()) if len(own) else 0
-                        if both and 100 * both >= percent * (len(own) + len(theirs) - both):
-                            joined.join(labels[row], labels[at[other]])
-                            found.append((nodes[row], other))
+            upto = np.concatenate(([0], np.cumsum(np.asarray(pc.fill_null(pc.binary_length(payload), 0), np.int64))))[edges]
+            found, done = [], 0
+            while done < len(edges) - 1:
+                then = max(done + 1, int(np.searchsorted(upto, upto[done] + SETS_AT_ONCE, "right")) - 1)
+                begin = int(edges[done])
+                sets = sets_of(payload.slice(begin, int(edges[then]) - begin))
+                for low, high in zip(edges[done:then].tolist(), edges[done + 1 : then + 1].tolist()):
+                    at = dict(zip(nodes[low:high], range(low, high)))
+                    joined = _Joined()
+                    for row in range(low, high):
+                        own = sets[row - begin]
+                        for other in np.frombuffer(partners[row] or b"", np.int64).tolist():
+                            # members joined in an earlier round share a label
+                            if other not in at or joined.root(labels[row]) == joined.root(labels[at[other]]):
+                                continue
+                            theirs = sets[at[other] - begin]
+                            place = np.searchsorted(own, theirs)
+                            place[place == len(own)] = 0
+                            both = int((own[place] == theirs).sum()) if len(own) else 0
+                            if both and 100 * both >= percent * (len(own) + len(theirs) - both):
+                                joined.join(labels[row], labels[at[other]])
+                                found.append((nodes[row], other))
+                done = then
             if found:
                 a, b = zip(*found)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
