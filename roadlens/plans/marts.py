@@ -134,8 +134,8 @@ def wide_weather_condition(records: DataFrame) -> DataFrame:
 
 def wide_weather_impact(records: DataFrame) -> DataFrame:
     """:func:`mart_weather_impact` over unsplit records that hold each id once: no join."""
-    banded = banded(not_null(records, ["id"]), "severity", "wind_speed_mph")
-    out = banded.groupBy("temperature_range", "visibility_condition").agg(
+    known = banded(not_null(records, ["id"]), "severity", "wind_speed_mph")
+    out = known.groupBy("temperature_range", "visibility_condition").agg(
         F.count(F.lit(1)).alias("accident_count"),
         F.avg("severity").alias("avg_severity"),
         F.avg("wind_speed_mph").alias("avg_wind_speed"),

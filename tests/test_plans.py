@@ -38,6 +38,17 @@ def test_dedupe_changes_the_average_as_stated(spark):
     assert (clean.accident_count, clean.avg_severity) == (2, 2.5)
 
 
+def test_wide_impact_equals_the_join(spark):
+    rows = [("a", date(2025, 1, 1), 1, 20.0, 0.5, 3.0), ("b", date(2025, 1, 1), 4, 25.0, 0.2, None),
+            ("c", date(2025, 1, 2), 2, 90.0, 9.0, 8.0), ("d", date(2025, 1, 2), 2, None, 9.0, 8.0), (None, None, 3, 90.0, 9.0, 1.0)]
+    records = spark.createDataFrame(
+        rows, "id string, situation_date date, severity int, temperature_f double, visibility_mi double, wind_speed_mph double"
+    )
+    joined, wide = marts.mart_weather_impact(records.drop(*records.columns[3:]), records.drop("severity")), marts.wide_weather_impact(records)
+    assert wide.columns == joined.columns and wide.collect() == joined.collect()
+    assert [tuple(r) for r in wide.collect()] == [("Freezing", "Poor", 2, 2.5, 3.0), ("Hot", "Good", 1, 2.0, 8.0)]
+
+
 def test_invariants(halves):
     accidents, _ = halves
     timed = accidents.where("start_time is not null").agg(F.countDistinct("id")).first()[0]
