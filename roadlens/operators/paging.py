@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..errors import BadPage
@@ -60,6 +60,10 @@ def deep_page(
     return PageIndex(df, keys, sort_by, order).page(limit, offset)
 
 
+def _div(position: Column, limit: int) -> Column:
+    return F.floor((position - position % limit) / limit)
+
+
 class PageIndex:
     """Positions of a table's rows, written once and used for all its pages.
 
@@ -68,7 +72,7 @@ class PageIndex:
     as keep one near ``RANGE_ROWS`` rows. The row total of each range (one number per range) tells
     which ranges a page touches, and a running count inside those alone gives its keys. The first
     and last of them bound the read of the rows; where the sort columns are all columns, the keys
-    are the page. :meth:`remove` deletes what was written.
+    are the page. :meth:`pages` gives all pages by one plan. :meth:`remove` deletes what was written.
     """
 
     def __init__(self, df: DataFrame, keys: Sequence[str], sort_by: str | None = None, order: str = "asc"):
@@ -92,25 +96,55 @@ class PageIndex:
         if self._finer:
             self._finer.remove()
 
+    def _positions(self) -> DataFrame:
+        """The keys with the position ``upto`` which their rows reach: the rows before a key's range, and a running count inside."""
+        begin, begins = 0, [0] * (1 + max((part for part, _ in self.totals), default=0))
+        for part, n in self.totals:
+            begins[part], begin = begin, begin + n
+        before_range = F.get(F.lit(begins).cast("array<bigint>"), F.col("part"))
+        inside_range = F.sum("n").over(Window.partitionBy("part").orderBy(self.turn("key")))
+        return self.placed.withColumn("upto", before_range + inside_range)
+
+    def pages(self, limit: int = DEFAULT_LIMIT) -> DataFrame:
+        """All pages: every row, in order, with the number of its page in ``page``, from 0.
+
+        The rows of page p are those of ``page(limit, p * limit)``, found by the same positions, but the plan has one size
+        however many pages there are. Equal rows are handed out page by page. Needs columns that can be sorted.
+        """
+        check_page(limit, 0)
+        df = self.df
+        if "page" in df.columns:
+            raise BadPage("a column is called page")
+        if set(self.columns) != set(df.columns):
+            whole = total_order(df, self.sort_by, self.keys)
+            if set(whole) != set(df.columns):
+                raise BadPage(f"cannot be sorted: {sorted(set(df.columns) - set(whole))}")
+            self._finer = self._finer or PageIndex(df, whole, self.sort_by, self.order)
+            return self._finer.pages(limit)
+        size, page = F.lit(limit).cast("bigint"), F.col("page")
+        start = F.col("upto") - F.col("n")
+        numbers = F.sequence(_div(start, limit), _div(F.col("upto") - 1, limit))
+        taken = F.least("upto", (page + 1) * size) - F.greatest(F.col("start"), page * size)
+        dealt = self._positions().withColumn("start", start).select("key", "start", "upto", F.explode(numbers).alias("page"))
+        copies = F.explode(F.array_repeat(F.lit(0), taken.cast("int"))).alias("_copy")
+        rows = dealt.select("key.*", "page", copies).select(*df.columns, "page")
+        return rows.orderBy("page", *self.turned)
+
     def page(self, limit: int, offset: int) -> DataFrame:
         check_page(limit, offset)
         df, columns, turn = self.df, self.columns, self.turn
         end, begin, touched = offset + limit, 0, []
         for part, n in self.totals:
             if begin < end and begin + n > offset:
-                touched += [F.lit(part), F.lit(begin)]
+                touched.append(part)
             begin += n
         if not touched:
             return df.limit(0)
 
-        # Rows before each range, and from there the positions [start, upto) of each key.
-        before_range = F.create_map(*touched)[F.col("part")]
-        inside_range = F.sum("n").over(Window.partitionBy("part").orderBy(turn("key")))
         upto = F.col("upto")
         start = upto - F.col("n")
         page_keys = (
-            self.placed.where(F.col("part").isin(*touched[::2]))
-            .withColumn("upto", before_range + inside_range)
+            self._positions().where(F.col("part").isin(touched))
             .where((start < end) & (upto > offset))
             .select(
                 "key",

@@ -263,6 +263,24 @@ def test_one_index_serves_all_pages_and_is_removed(spark, folder):
     assert not os.path.exists(written)
 
 
+@pytest.mark.parametrize("order", ["asc", "desc"])
+def test_all_pages_at_once_equal_page_by_page(spark, order):
+    """One plan, whose size does not follow the number of pages; keys, nulls and whole rows repeat."""
+    rng = random.Random(4)
+    data = [(rng.choice([1, 2, None]), rng.choice(["x", None]), rng.randrange(9)) for _ in range(60)] + [(2, "x", 4)] * 40
+    df = spark.createDataFrame(data, "k int, v string, w int").repartition(5)
+    index = paging.PageIndex(df, ["k"], order=order)
+    got = tuples(index.pages(7))
+    for n in range(15):
+        assert [r[:3] for r in got if r[3] == n] == tuples(index.page(7, 7 * n))
+    assert len(got) == 100 and max(r[3] for r in got) == 14
+    plans = [index.pages(limit)._jdf.queryExecution().optimizedPlan().toString() for limit in (1, 100)]
+    assert len({len(plan.splitlines()) for plan in plans}) == 1
+    assert tuples(paging.PageIndex(df.limit(0), ["k"]).pages(7)) == []
+    with pytest.raises(BadPage):
+        paging.PageIndex(df.withColumn("m", F.create_map("w", "k")), ["k"]).pages(7)
+
+
 def test_far_page_takes_the_deep_way(spark, monkeypatch):
     monkeypatch.setattr(paging, "NEAR_ROWS", 5)
     assert [r.id for r in paging.page(spark.range(30), ["id"], 4, 11).collect()] == [11, 12, 13, 14]
