@@ -252,7 +252,7 @@ def train(
         inputs = features.feature_table(*halves, impute=False, unique_ids=unique_ids)
     else:
         inputs = features.feature_rows(records.where("id is not null"), impute=False)
-    rows = materialize(inputs, "features")
+    rows = model.feature_store(inputs)
     train_rows, test_rows = features.split_train_test(rows)
     model.save_model(model.train_classifier(train_rows, **settings), path)
     fitted = model.load_model(path)

@@ -301,6 +301,21 @@ def test_closed_days_drop_late_records(spark, folder):
     assert got == {("2025-01-01", 2), ("2025-01-04", 1)}
 
 
+def test_large_feature_tables_are_dealt_out_and_small_ones_kept(spark, monkeypatch):
+    rows = spark.range(0, 3000, 1, 1).withColumn("v", F.col("id") * 2)
+    assert model.feature_store(rows).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(model, "ROWS_AT_ONCE", 100)
+    dealt = model.feature_store(rows)
+    sizes = [r[0] for r in dealt.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).select("n").collect()]
+    assert len(sizes) >= 30 and max(sizes) <= 110
+    assert sorted(map(tuple, dealt.collect())) == [(i, 2 * i) for i in range(3000)]
+
+
+def test_forest_keeps_the_place_of_rows_between_levels(spark):
+    forest = model.severity_pipeline().getStages()[-1]
+    assert forest.getCacheNodeIds() and (forest.getNumTrees(), forest.getMaxDepth()) == (100, 10)
+
+
 def test_stream_scores_equal_batch_scores(spark, folder, fitted):
     trained, _, _ = fitted
     landing = folder + "/in"
