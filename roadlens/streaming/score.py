@@ -24,8 +24,11 @@ def scored(model: PipelineModel, records: DataFrame) -> DataFrame:
 def stream_score(
     model: PipelineModel, records: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
+    """Score what arrives. The records are dealt out over the cluster first: a hundred trees a row cost far more than
+    moving it, and landed files may be few."""
+    parts = 2 * records.sparkSession.sparkContext.defaultParallelism
     return (
-        scored(model, records)
+        scored(model, records.repartition(parts))
         .writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)

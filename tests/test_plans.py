@@ -316,6 +316,15 @@ def test_forest_keeps_the_place_of_rows_between_levels(spark):
     assert forest.getCacheNodeIds() and (forest.getNumTrees(), forest.getMaxDepth()) == (100, 10)
 
 
+def test_stream_is_scored_in_more_tasks_than_files(spark, folder, fitted):
+    trained, _, _ = fitted
+    bronze_records(spark, FOLDER).coalesce(1).write.parquet(folder + "/in")
+    stream = to_silver(ingest.feed(spark, folder + "/in", bronze_schema()))
+    query = scoring.stream_score(trained, stream, folder + "/out", folder + "/offsets")
+    query.awaitTermination()
+    assert spark.read.parquet(folder + "/out").groupBy(F.input_file_name()).count().count() > 1
+
+
 def test_stream_scores_equal_batch_scores(spark, folder, fitted):
     trained, _, _ = fitted
     landing = folder + "/in"
