@@ -79,27 +79,47 @@ def _count_rows(summed) -> pa.RecordBatch:
     )
 
 
+#: Words in order, and for each value of their first bits where such words begin.
 Lookup = tuple[np.ndarray, np.ndarray]
+PROBES = 8
 
 
-def lookup(words: np.ndarray, values: np.ndarray) -> Lookup:
-    """Values by word, as two arrays in the order of the words."""
+def lookup(words: np.ndarray, values: np.ndarray, default) -> tuple[Lookup, np.ndarray]:
+    """Words to find, and their values by ``places``; the last one is for words not found."""
     order = np.argsort(words)
-    return words[order], values[order]
+    words = words[order]
+    bits = len(words).bit_length() + 1
+    first = np.searchsorted(words, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+    return (words, np.append(first, len(words)).astype(np.int32)), np.append(values[order], default)
 
 
-def look_up(held: Lookup, words: np.ndarray, default) -> np.ndarray:
-    known, values = held
+def places(held: Lookup, words: np.ndarray) -> np.ndarray:
+    """Where each word is among the known ones; their number if it is not."""
+    known, first = held
     if not len(known):
-        return np.full(len(words), default, values.dtype)
-    at = np.searchsorted(known, words)
-    at[at == len(known)] = 0
-    return np.where(known[at] == words, values[at], default)
-
-
-def _units(hashes: np.ndarray, shapes: np.ndarray, clustered: Lookup, size: int) -> np.ndarray:
+        return np.zeros(len(words), np.int64)
+    bits = (len(first) - 1).bit_length() - 1
+    at = first[words >> np.uint64(64 - bits)].astype(np.int64)
+    left = np.flatnonzero(known[np.minimum(at, len(known) - 1)] != words)
+    # few words share their first bits
+    for _ in range(PROBES):
+        at[left] += 1
+        inside = at[left] < first[(words[left] >> np.uint64(64 - bits)) + np.uint64(1)]
+        at[left[~inside]] = len(known)
+        left = left[inside]
+        left = left[known[at[left]] != words[left]]
+        if not len(left):
+            return at
+    found = np.searchsorted(known, words[left])
+    same = known[np.minimum(found, len(known) - 1)] == words[left]
+    at[left] = np.where(same, found, len(known))
+    return at
+
+
+def _units(hashes: np.ndarray, shapes: np.ndarray, clustered, size: int) -> np.ndarray:
     """Clustered words are units 0 to ``size - 1``, then come the shapes and the end."""
-    units = look_up(clustered, hashes, -1)
+    known, values = clustered
+    units = values[places(known, hashes)]
     units = np.where(units < 0, size + shapes, units)
     units[hashes == END] = size + SHAPES
     return units
@@ -111,14 +131,26 @@ def _bigrams(clustered, size: int):
     def run(batches):
         units_all = size + SHAPES + 1
         codes, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        held: list[np.ndarray] = []
+        waiting = 0
+
+        def merged():
+            code, count = np.unique(np.concatenate(held), return_counts=True)
+            every, inverse = np.unique(np.concatenate((codes, code)), return_inverse=True)
+            return every, np.bincount(inverse, np.concatenate((n, count))).astype(np.int64)
+
         for batch in batches:
             for block in blocks(batch.column(0)):
                 _, hashes, shapes, _ = tokens_of(block)
                 units = _units(hashes, shapes, clustered.value, size)
                 before = np.concatenate(([size + SHAPES], units[:-1]))
-                code, count = np.unique(before * units_all + units, return_counts=True)
-                codes, inverse = np.unique(np.concatenate((codes, code)), return_inverse=True)
-                n = np.bincount(inverse, np.concatenate((n, count))).astype(np.int64)
+                held.append(before * units_all + units)
+                waiting += len(units)
+                if waiting > FLUSH:
+                    codes, n = merged()
+                    held, waiting = [], 0
+        if held:
+            codes, n = merged()
         if len(codes):
             yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n)], ["pair", "n"])
 
@@ -178,29 +210,92 @@ def exchange_classes(bigrams: np.ndarray, words: int, classes: int, sweeps: int)
     return of
 
 
+def _once(word, code, n=None):
+    """Each (word, code) once, in order, with its sum of ``n``, or its number of rows."""
+    order = np.lexsort((code, word))
+    word, code = word[order], code[order]
+    new = np.ones(len(word), bool)
+    new[1:] = (word[1:] != word[:-1]) | (code[1:] != code[:-1])
+    starts = np.flatnonzero(new)
+    if n is None:
+        n = np.diff(np.append(starts, len(word)))
+    elif len(starts):
+        n = np.add.reduceat(n[order], starts)
+    return word[starts], code[starts], n
+
+
+#: The counts of neighbours of all words whose hashes begin with the same bits (``span``): 64-bit words, 16-bit
+#: codes and 64-bit counts as bytes.
+SPANS = "span int, words binary, codes binary, counts binary"
+_SPAN_COLUMNS = ["span", "words", "codes", "counts"]
+_SPANNED = (np.dtype(np.uint64), np.dtype(np.int16), np.dtype(np.int64))
+#: Entries of neighbours for a task, counted before copies are summed, and bits of the spans among which they are.
+TASK_ENTRIES = 1 << 21
+SPAN_BITS = 3
+
+
+def _span_arrays(word: np.ndarray, code: np.ndarray, n: np.ndarray, bits: int) -> list[pa.Array]:
+    """Columns of ``SPANS``; the words come in order."""
+    span = (word >> np.uint64(64 - bits)).astype(np.int32)
+    starts = np.flatnonzero(np.append(True, span[1:] != span[:-1])) if len(span) else np.zeros(0, np.int64)
+    bounds = np.append(starts, len(span))
+    columns = [pa.array(span[starts])]
+    for x, kind in zip((word, code, n), _SPANNED):
+        offsets, data = (bounds * kind.itemsize).astype(np.int32), np.ascontiguousarray(x.astype(kind))
+        columns.append(pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]))
+    return columns
+
+
+def _spanned(bits: int):
+    """Rows ``(word, code, n)`` by span."""
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            held.append([batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)])
+            size += batch.num_rows
+            if size > FLUSH:
+                yield rows(held)
+                held, size = [], 0
+        if size:
+            yield rows(held)
+
+    def rows(held):
+        word, code, n = (np.concatenate(x) for x in zip(*held))
+        word = word.view(np.uint64)
+        order = np.argsort(word)
+        return pa.RecordBatch.from_arrays(_span_arrays(word[order], code[order], n[order], bits), _SPAN_COLUMNS)
+
+    return run
+
+
 def _grouped(batches):
-    """``(word, code, n)`` of whole words, their codes in order and each once; rows come sorted by word."""
-    held = None
+    """``(word, code, n)`` of whole spans, each word and code once and in order; rows come sorted by span."""
+    held, size, last = [], 0, None
     for batch in batches:
-        rows = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)]
-        if held is not None:
-            rows = [np.concatenate(x) for x in zip(held, rows)]
-        if not len(rows[0]):
+        spans = batch.column(0).to_numpy(zero_copy_only=False)
+        if not len(spans):
             continue
-        cut = int(np.searchsorted(rows[0], rows[0][-1]))
-        held = [x[cut:] for x in rows]
-        if cut:
-            yield _once([x[:cut] for x in rows])
-    if held is not None:
-        yield _once(held)
-
-
-def _once(rows):
-    word, code, n = rows
-    order = np.lexsort((code, word))
-    word, code = word[order], code[order]
-    starts = np.flatnonzero(np.concatenate(([True], (word[1:] != word[:-1]) | (code[1:] != code[:-1]))))
-    return word[starts], code[starts], np.add.reduceat(n[order], starts)
+        columns = []
+        for k, kind in enumerate(_SPANNED, 1):
+            column = batch.column(k).cast(pa.large_binary())
+            bounds = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+            data = np.frombuffer(column.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]
+            columns.append(data.copy().view(kind))
+        at = (bounds - bounds[0]) // kind.itemsize
+        starts = np.flatnonzero(np.append(True, spans[1:] != spans[:-1]))
+        for low, high in zip(starts, np.append(starts[1:], len(spans))):
+            if held and spans[low] != last:
+                yield _once(*(np.concatenate(x) for x in zip(*held)))
+                held, size = [], 0
+            last = spans[low]
+            held.append([x[at[low] : at[high]] for x in columns])
+            size += at[high] - at[low]
+            if size > 4 * FLUSH and len(held) > 1:
+                held = [_once(*(np.concatenate(x) for x in zip(*held)))]
+                size = len(held[0][0])
+    if held:
+        yield _once(*(np.concatenate(x) for x in zip(*held)))
 
 
 def best_classes(table: np.ndarray, classes: int, old: np.ndarray, word: np.ndarray, code: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -250,6 +345,7 @@ def _assign(sent, classes: int):
     def run(batches):
         table = sent.value
         for word, code, n in _grouped(batches):
+            word, code = word.view(np.int64), code.astype(np.int64)
             first = np.flatnonzero(code == -1)
             upto = np.append(first, len(word))
             low = 0
@@ -274,7 +370,15 @@ def _assign(sent, classes: int):
     return run
 
 
-NEIGHBOURS = "part int, word long, a int, other long, b int, n long"
+_NEIGHBOURS = ["part", "word", "a", "other", "b", "n", *_SPAN_COLUMNS]
+NEIGHBOURS = f"part int, word long, a int, other long, b int, n long, {SPANS}"
+
+
+def _word_rows(word, code, n, bits: int) -> pa.RecordBatch:
+    spans = _span_arrays(word, code, n, bits)
+    rows = [pa.array(np.full(len(spans[0]), WORD, np.int32))]
+    rows += [pa.nulls(len(spans[0]), x) for x in (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64())]
+    return pa.RecordBatch.from_arrays(rows + spans, _NEIGHBOURS)
 
 
 def _neighbour_rows(part: int, word, a, other, b, n) -> pa.RecordBatch:
@@ -286,8 +390,10 @@ def _neighbour_rows(part: int, word, a, other, b, n) -> pa.RecordBatch:
             pa.array(np.ascontiguousarray(other).view(np.int64)),
             pa.array(b.astype(np.int32)),
             pa.array(n.astype(np.int64)),
+            pa.nulls(len(n), pa.int32()),
+            *(pa.nulls(len(n), pa.binary()) for _ in _SPANNED),
         ],
-        ["part", "word", "a", "other", "b", "n"],
+        _NEIGHBOURS,
     )
 
 
@@ -295,7 +401,7 @@ def _neighbours(sent, by_word: bool):
     """Neighbouring classes, and with ``by_word`` those of each word outside the core.
 
     Classes are those of the words sent, or of the shape if the sent ones say so. ``TABLE`` rows
-    count classes (a, b); ``WORD`` rows a word and a code (a) as ``best_classes`` takes them; ``PAIR``
+    count classes (a, b); ``WORD`` rows words and codes by span, as ``best_classes`` takes them; ``PAIR``
     rows are pairs (word, other) of which one was not sent (class -1). Classes of core words are
     ``CORE`` more.
     """
@@ -309,40 +415,32 @@ def _neighbours(sent, by_word: bool):
         for batch in batches:
             for block in blocks(batch.column(0)):
                 _, hashes, shapes, _ = tokens_of(block)
-                found = look_up(m["known"], hashes, -1)
+                found = m["classes"][places(m["known"], hashes)]
                 if m["shapes"] is not None:
                     found = np.where(found < 0, m["shapes"] + shapes, found)
                 found[hashes == END] = CORE + kinds - 1
                 left, right = np.concatenate(([END], hashes[:-1])), hashes
                 a, b = np.concatenate(([CORE + kinds - 1], found[:-1])), found
+                a_class, b_class = a & CORE - 1, b & CORE - 1
                 known = (a >= 0) & (b >= 0)
-                table += np.bincount((a[known] % CORE) * kinds + b[known] % CORE, minlength=kinds * kinds)
-                if not known.all():
-                    some = ~known
-                    n = np.ones(some.sum(), np.int64)
-                    yield _neighbour_rows(PAIR, left[some], a[some], right[some], b[some], n)
+                both = a_class * kinds + b_class
+                some = np.flatnonzero(~known)
+                table += np.bincount(both[known] if len(some) else both, minlength=kinds * kinds)
+                if len(some):
+                    yield _neighbour_rows(PAIR, left[some], a[some], right[some], b[some], np.ones(len(some), np.int64))
                 if not by_word:
                     continue
                 own = left == right
                 after, before = known & (a < CORE) & ~own, known & (b < CORE) & ~own
                 own &= known & (a < CORE)
-                word = np.concatenate((left[after], right[before], left[own]))
-                code = np.concatenate((b[after] % CORE, kinds + a[before] % CORE, np.full(own.sum(), 2 * kinds)))
-                if not len(word):
-                    continue
-                different, rank = np.unique(word, return_inverse=True)
-                pairs, n = np.unique(rank * (2 * kinds + 1) + code, return_counts=True)
-                held.append((different[pairs // (2 * kinds + 1)], pairs % (2 * kinds + 1), n))
-                size += len(n)
+                code = (b_class[after], kinds + a_class[before], np.full(own.sum(), 2 * kinds))
+                held.append((np.concatenate((left[after], right[before], left[own])), np.concatenate(code).astype(np.int16)))
+                size += len(held[-1][0])
                 if size > FLUSH:
-                    word, code, n = _once([np.concatenate(x) for x in zip(*held)])
-                    held, size = [(word, code, n)], len(n)
-                    if size > FLUSH // 2:
-                        yield _neighbour_rows(WORD, word, code, word, code, n)
-                        held, size = [], 0
-        if held:
-            word, code, n = _once([np.concatenate(x) for x in zip(*held)])
-            yield _neighbour_rows(WORD, word, code, word, code, n)
+                    yield _word_rows(*_once(*(np.concatenate(x) for x in zip(*held))), m["bits"])
+                    held, size = [], 0
+        if size:
+            yield _word_rows(*_once(*(np.concatenate(x) for x in zip(*held))), m["bits"])
         pairs = np.flatnonzero(table)
         none = np.zeros(len(pairs), np.int64)
         yield _neighbour_rows(TABLE, none, pairs // kinds, none, pairs % kinds, table[pairs])
@@ -409,23 +507,22 @@ def _scored(model):
         for batch in batches:
             for block in blocks(batch.column(2)):
                 _, hashes, shapes, first = tokens_of(block)
-                classes = look_up(m["known"], hashes, -1)
-                classes[hashes == END] = kinds - 1
+                at = places(m["known"], hashes)
+                classes = m["classes"][at]
                 before = np.concatenate(([kinds - 1], classes[:-1]))
                 after = np.concatenate((classes[1:], [-1]))
-                count = look_up(m["counts"], hashes, 0)
                 held = classes >= 0
-                known = np.where(held, np.log10(count + 0.5), 0.0)
-                step = np.where(held, known - m["below"][classes], 0.0)
-                step += np.where(held & (before >= 0), m["transitions"][before, classes], 0.0)
+                known = m["counted"][at]
+                # the last row and column are for words that were not sent
+                step = m["emitted"][at] + m["steps"][before, classes]
                 sums = lambda x: np.diff(np.concatenate(([0.0], np.cumsum(x)))[first])
                 n = np.diff(first)
-                at = np.flatnonzero(~held)
-                text = np.repeat(np.arange(len(block)), n)[at]
-                alone = before[at] >= 0
-                prior = np.where(alone, hashes[at], hashes[at - 1])
-                prior_shape = np.where(alone, -1, shapes[at - 1])
-                fields = [hashes[at].view(np.int64), shapes[at], before[at], prior.view(np.int64), prior_shape, after[at]]
+                rare = np.flatnonzero(~held)
+                text = np.repeat(np.arange(len(block)), n)[rare]
+                alone = before[rare] >= 0
+                prior = np.where(alone, hashes[rare], hashes[rare - 1])
+                prior_shape = np.where(alone, -1, shapes[rare - 1])
+                fields = [hashes[rare].view(np.int64), shapes[rare], before[rare], prior.view(np.int64), prior_shape, after[rare]]
                 order = np.lexsort((*fields, text))
                 text, fields = text[order], [x[order] for x in fields]
                 new = np.ones(len(text), bool)
@@ -439,7 +536,7 @@ def _scored(model):
                         batch.column(0).slice(block.first, len(block)),
                         batch.column(1).slice(block.first, len(block)),
                         pa.array(n.astype(np.int64)),
-                        pa.array(sums((count > 0).astype(float)).round().astype(np.int64)),
+                        pa.array(sums(m["seen"][at]).round().astype(np.int64)),
                         pa.array(sums(known) - n * m["base_below"]),
                         pa.array(sums(step)),
                         pa.ListArray.from_arrays(pa.array(lists), rows),
@@ -497,13 +594,15 @@ def word_classes(
     spark = training.sparkSession
     counts = counts.where("shape >= 0")
     octave = F.floor(F.log2("n") * 8).cast("int")
-    sizes = counts.groupBy(octave.alias("octave")).agg(F.count("*").alias("words")).collect()
+    sizes = counts.groupBy(octave.alias("octave")).agg(F.count("*").alias("words"), F.sum("n").alias("n")).collect()
     top = counts.orderBy(F.desc("n"), "word").limit(clustered_words).select("word", "n", "shape").toPandas()
     size = len(top)
+    # a word outside the core is counted with both its neighbours
+    bits = SPAN_BITS + (2 * (sum(r["n"] for r in sizes) - int(top["n"].sum())) // TASK_ENTRIES).bit_length()
     core_words = top["word"].to_numpy(np.int64).view(np.uint64)
 
     units = size + SHAPES + 1
-    sent = spark.sparkContext.broadcast(lookup(core_words, np.arange(size)))
+    sent = spark.sparkContext.broadcast(lookup(core_words, np.arange(size), -1))
     pairs = training.mapInArrow(_bigrams(sent, size), "pair long, n long")
     pairs = pairs.groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
     table = np.zeros(units * units)
@@ -537,23 +636,23 @@ def word_classes(
         }
 
     def passed(own: dict, shapes, by_word: bool) -> DataFrame:
-        lookups = lookup(own["words"], own["class"] + CORE * own["core"])
-        model = spark.sparkContext.broadcast({"known": lookups, "kinds": kinds, "shapes": shapes})
+        words, of_words = lookup(own["words"], own["class"] + CORE * own["core"], -1)
+        model = {"known": words, "classes": of_words, "kinds": kinds, "shapes": shapes, "bits": bits}
+        model = spark.sparkContext.broadcast(model)
         return training.mapInArrow(_neighbours(model, by_word), NEIGHBOURS)
 
     def moved(assigned: DataFrame, rows: DataFrame) -> DataFrame:
         about = F.expr("shiftleft(n, 16) + shape * 256 + class")
-        rows = assigned.select("word", F.lit(-1).alias("code"), about.alias("n")).unionByName(rows)
-        rows = rows.repartition("word").sortWithinPartitions("word")
+        abouts = assigned.select("word", F.lit(-1).alias("code"), about.alias("n")).mapInArrow(_spanned(bits), SPANS)
+        rows = abouts.union(rows).repartition(1 << bits >> SPAN_BITS, "span").sortWithinPartitions("span")
         return materialize(rows.mapInArrow(_assign(spark.sparkContext.broadcast(table), classes), ASSIGNED), "classes")
 
     rest = counts.join(core.select("word"), "word", "left_anti")
     rest = rest.select("word", "n", "shape", (F.col("shape") + classes).alias("class"))
     own = known(rest.limit(0))
     if sum(r["words"] for r in sizes) > size:
-        code = F.col("a").alias("code")
         rows = passed(own, classes, True)
-        rest = moved(rest, rows.where(F.col("part") == WORD).select("word", code, "n"))
+        rest = moved(rest, rows.where(F.col("part") == WORD).select(_SPAN_COLUMNS))
         for sweep in range(1, rest_sweeps + 1):
             # after the last one the table alone is counted
             own = known(rest)
@@ -567,8 +666,8 @@ def word_classes(
                 before = pairs.where((F.col("b") < CORE) & ~same)
                 before = before.select(F.col("other").alias("word"), (F.col("a") % CORE + kinds).alias("code"), "n")
                 itself = pairs.where(same & (F.col("a") < CORE)).select("word", F.lit(2 * kinds).alias("code"), "n")
-                known_rows = rows.where(F.col("part") == WORD).select("word", code, "n")
-                rest = moved(rest, known_rows.unionByName(after).unionByName(before).unionByName(itself))
+                pairs = after.unionByName(before).unionByName(itself).mapInArrow(_spanned(bits), SPANS)
+                rest = moved(rest, rows.where(F.col("part") == WORD).select(_SPAN_COLUMNS).union(pairs))
     used = np.append(np.arange(classes), kinds - 1)  # no word is left in a shape
     return core.unionByName(rest), own, table[np.ix_(used, used)]
 
@@ -630,11 +729,24 @@ def class_scores(
     of_shape = np.where(shaped.any(1), shaped.argmax(1), shaped.sum(0).argmax())
     open_ended = np.isin(np.arange(kinds), of_shape)  # such a class also holds words never seen
     tokens, words = int(tokens_in.sum()), int(words_in.sum())
+    transitions = transition_scores(table)
+    below = np.log10(np.maximum(tokens_in + 0.5 * (words_in + open_ended), 0.5))
+    sent = np.append(own["words"], END)
+    known, class_of = lookup(sent, np.append(own["class"], kinds - 1), -1)
+    count_of = lookup(sent, np.append(own["n"], ends), 0)[1]
+    counted = np.log10(count_of + 0.5)
+    counted[-1] = 0
+    emitted = counted - below[class_of]
+    emitted[-1] = 0
     model = {
-        "known": lookup(own["words"], own["class"]),
-        "counts": lookup(np.append(own["words"], END), np.append(own["n"], ends)),
-        "transitions": transition_scores(table),
-        "below": np.log10(np.maximum(tokens_in + 0.5 * (words_in + open_ended), 0.5)),
+        "known": known,
+        "classes": class_of,
+        "counted": counted,
+        "emitted": emitted,
+        "seen": (count_of > 0).astype(float),
+        "steps": np.pad(transitions, (0, 1)),
+        "transitions": transitions,
+        "below": below,
         "base_below": float(np.log10(tokens + 0.5 * (words + 1))),
         "of_shape": of_shape,
     }

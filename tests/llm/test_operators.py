@@ -5,7 +5,7 @@ import math
 import random
 import time
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -506,6 +506,62 @@ def test_best_classes_are_those_of_the_likeliest_text():
         assert math.isclose(values[found[w]], max(values), abs_tol=1e-6)
 
 
+def test_neighbours_of_words_travel_as_spans_not_as_rows(spark):
+    texts = spark.createDataFrame([(" ".join(f"w{i}" for i in range(k, k + 4000)),) for k in range(0, 12000, 2000)], "text string")
+    training, counts, _ = _words_of(spark, [r["text"] for r in texts.collect()], classes=4, clustered_words=10)
+    core = counts.where("shape >= 0").limit(10).toPandas()["word"].to_numpy(np.int64).view(np.uint64)
+    known, classes = class_lm.lookup(core, np.arange(10) % 4 + class_lm.CORE, -1)
+    kinds, bits = 4 + class_lm.SHAPES + 1, 5
+    sent = {"known": known, "classes": classes, "kinds": kinds, "shapes": 4, "bits": bits}
+    rows = training.coalesce(1).mapInArrow(class_lm._neighbours(spark.sparkContext.broadcast(sent), True), class_lm.NEIGHBOURS)
+    rows = rows.where(F.col("part") == class_lm.WORD).orderBy("span").collect()
+    assert len(rows) <= 1 << bits  # there are 14,000 words, each with a class before and one after
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([r[x] for r in rows]) for x in class_lm._SPAN_COLUMNS], class_lm._SPAN_COLUMNS
+    )
+    found = Counter()
+    for word, code, n in class_lm._grouped(iter([batch.slice(0, 7), batch.slice(7, 0), batch.slice(7)])):
+        for w, c, k in zip(word.tolist(), code.tolist(), n.tolist()):
+            assert (w, c) not in found
+            found[w, c] = k
+    expected = Counter()
+    for block in blocks(pa.array([r["text"] for r in training.collect()])):
+        _, hashes, shapes, _ = class_lm.tokens_of(block)
+        of = dict(zip(known[0].tolist(), (classes - class_lm.CORE).tolist()))
+        kind = [of.get(h, kinds - 1 if h == int(class_lm.END) else 4 + s) for h, s in zip(hashes.tolist(), shapes.tolist())]
+        inner = [h not in of and h != int(class_lm.END) for h in hashes.tolist()]
+        for i, h in enumerate(hashes.tolist()):
+            if inner[i]:
+                expected[h, kinds + (kind[i - 1] if i else kinds - 1)] += 1
+                expected[h, kind[i + 1]] += 1
+    assert found == expected
+
+
+@pytest.mark.parametrize("size", [0, 1, 2, 5000])
+def test_words_are_found_where_many_hashes_begin_alike(size):
+    random = np.random.default_rng(6)
+    words = random.integers(0, 1 << 64, size, np.uint64)
+    words[size // 2 :] >>= np.uint64(40)  # all these begin with the same bits
+    words = np.unique(words)
+    values = random.integers(0, 9, len(words))
+    held, found = class_lm.lookup(words, values, -1)
+    asked = np.concatenate((words[::-1], words + np.uint64(1), random.integers(0, 1 << 64, 500, np.uint64), [np.uint64(0), ~np.uint64(0)]))
+    of = dict(zip(words.tolist(), values.tolist()))
+    assert found[class_lm.places(held, asked)].tolist() == [of.get(w, -1) for w in asked.tolist()]
+
+
+def test_rows_of_words_are_dealt_by_span_and_summed():
+    random = np.random.default_rng(7)
+    word, code, n = random.integers(-(1 << 62), 1 << 62, 300)[random.integers(0, 300, 4000)], random.integers(-1, 9, 4000), random.integers(1, 1 << 40, 4000)
+    rows = [pa.RecordBatch.from_arrays([pa.array(x[a : a + 999]) for x in (word, code, n)], ["word", "code", "n"]) for a in range(0, 4000, 999)]
+    spans = pa.Table.from_batches(class_lm._spanned(4)(iter(rows))).sort_by("span").to_batches()
+    expected = Counter()
+    for w, c, k in zip(word.view(np.uint64).tolist(), code.tolist(), n.tolist()):
+        expected[w, c] += k
+    found = [(w, c, k) for group in class_lm._grouped(iter(spans)) for w, c, k in zip(*(x.tolist() for x in group))]
+    assert found == sorted((w, c, k) for (w, c), k in expected.items())
+
+
 def test_scores_do_not_depend_on_how_many_words_are_sent(docs):
     def scores(**options):
         found = class_lm.class_scores(docs, queries._id_remainder("doc_id") == 1, clustered_words=30, classes=6, **options)
